@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from velorank.operators.graph import Graph
@@ -53,8 +53,21 @@ def compare_rankings(
             (count / k if k > 0 else F.lit(0.0)).alias("overlap_ratio"),
         )
     )
-    summary = per_run.agg(F.coalesce(F.avg("overlap_ratio"), F.lit(0.0)).alias("average_overlap_ratio"))
-    return Comparison(per_run, summary)
+    return Comparison(per_run, _summary(per_run))
+
+
+def no_comparison(spark: SparkSession) -> Comparison:
+    """The comparison of no runs: no rows and a mean overlap of zero."""
+    schema = (
+        "run int, seeds array<bigint>, topK_standard array<bigint>, topK_personalized array<bigint>, "
+        "overlap_count bigint, overlap_ratio double"
+    )
+    per_run = spark.createDataFrame([], schema)
+    return Comparison(per_run, _summary(per_run))
+
+
+def _summary(per_run: DataFrame) -> DataFrame:
+    return per_run.agg(F.coalesce(F.avg("overlap_ratio"), F.lit(0.0)).alias("average_overlap_ratio"))
 
 
 def _ordered_ids(top: DataFrame, name: str) -> DataFrame:

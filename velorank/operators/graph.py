@@ -84,6 +84,11 @@ def slice_count(out_degree: Column, length: int) -> Column:
     return F.ceil(out_degree / F.lit(length)).cast("int")
 
 
+def slice_numbers(out_degree: Column, length: int) -> Column:
+    """All slice numbers of a vertex, ``[0]`` where it is not cut."""
+    return F.sequence(F.lit(0), F.greatest(slice_count(out_degree, length), F.lit(1)) - 1)
+
+
 def sliced_edges(edges: DataFrame, vertices: DataFrame, keys: list[str], length: int) -> DataFrame:
     """Edges with a ``slice`` number that spreads the edges of one source.
 
@@ -99,27 +104,46 @@ def sliced_edges(edges: DataFrame, vertices: DataFrame, keys: list[str], length:
     )
 
 
+def _slice_graph(graph: Graph, at_least: int) -> tuple[DataFrame, DataFrame]:
+    """Vertices as ``id, out_degree, slice``, a row per slice, and edges with their slice."""
+    keys = list(graph.keys)
+    ensure_checkpoint_dir(graph.edges.sparkSession)
+    vertices = vertex_degrees(graph).checkpoint()
+    num_edges = vertices.agg(F.coalesce(F.sum("out_degree"), F.lit(0))).first()[0]
+    length = slice_length(num_edges, at_least)
+    cut = F.explode(slice_numbers(F.col("out_degree"), length)).alias("slice")
+    return vertices.select("*", cut), sliced_edges(graph.edges, vertices, keys, length)
+
+
 def adjacency(graph: Graph, length: int = SLICE_EDGES) -> DataFrame:
     """One row per vertex with its ascending neighbour list, isolated vertices included.
 
     A vertex of more than ``length`` edges spans several rows, none much longer
     than ``length``.
     """
-    keys = list(graph.keys)
-    ensure_checkpoint_dir(graph.edges.sparkSession)
-    vertices = vertex_degrees(graph).checkpoint()
-    total, longest = vertices.agg(F.sum("out_degree"), F.max("out_degree")).first()
-    length = slice_length(total or 0, length)
-    place, edges = [*keys, "id"], graph.edges
-    places = vertices.select(*place)
-    if (longest or 0) > length:
-        place = [*place, "slice"]
-        edges = sliced_edges(edges, vertices, keys, length)
-        count = F.greatest(slice_count(F.col("out_degree"), length), F.lit(1))
-        places = vertices.select(*keys, "id", F.explode(F.sequence(F.lit(0), count - 1)).alias("slice"))
+    place = [*graph.keys, "id", "slice"]
+    vertices, edges = _slice_graph(graph, length)
     lists = edges.withColumnRenamed("src", "id").groupBy(*place).agg(F.sort_array(F.collect_list("dst")).alias("_list"))
-    return places.join(lists, place, "left").select(
-        *keys,
+    return vertices.join(lists, place, "left").select(
+        *graph.keys,
         F.col("id").alias("node_id"),
         F.coalesce("_list", F.array().cast("array<bigint>")).alias("out_neighbors"),
     )
+
+
+def contributions(graph: Graph, ranks: DataFrame, length: int = SLICE_EDGES) -> DataFrame:
+    """What each target receives: the sum of rank over out-degree of its sources.
+
+    ``ranks`` has ``id, rank``.  Edges meet ranks slice by slice, so a source of
+    very many edges is spread over tasks.
+    """
+    keys = list(graph.keys)
+    vertices, edges = _slice_graph(graph, length)
+    gives = vertices.filter("out_degree > 0").join(ranks, [*keys, "id"]).selectExpr(
+        *keys, "id AS src", "slice", "rank / out_degree AS _give"
+    )
+    return (
+        edges.join(gives, [*keys, "src", "slice"])
+        .groupBy(*keys, F.col("dst").alias("id"))
+        .agg(F.sum("_give").alias("contribution"))
+    )

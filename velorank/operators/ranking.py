@@ -16,7 +16,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
-from velorank.operators.graph import Graph, slice_count, slice_length, sliced_edges, vertex_flags
+from velorank.operators.graph import SLICE_EDGES, Graph, slice_length, sliced_edges, vertex_flags
 from velorank.operators.selection import top_k
 from velorank.session import BROADCAST_ROWS, ensure_checkpoint_dir, shuffle_partitions
 
@@ -109,20 +109,6 @@ def top_ranks(ranks: DataFrame, k: int, rank: str = "rank", keys: Sequence[str]
     return top_k(ranks, list(keys), [F.col(rank).desc(), F.col("id").asc()], k)
 
 
-def contributions(graph: Graph, ranks: DataFrame) -> DataFrame:
-    """What each target receives: the sum of rank over out-degree of its sources."""
-    keys = list(graph.keys)
-    degrees = graph.edges.groupBy(*keys, "src").agg(F.count("*").alias("_degree"))
-    given = degrees.join(ranks.withColumnRenamed("id", "src"), [*keys, "src"]).select(
-        *keys, "src", (F.col("rank") / F.col("_degree")).alias("_give")
-    )
-    return (
-        graph.edges.join(given, [*keys, "src"])
-        .groupBy(*keys, F.col("dst").alias("id"))
-        .agg(F.sum("_give").alias("contribution"))
-    )
-
-
 def rank_variants(
     graph: Graph,
     variants: Sequence[str],
@@ -131,6 +117,7 @@ def rank_variants(
     epsilon: float,
     damping: float,
     num_partitions: int | None = None,
+    slice_edges: int = SLICE_EDGES,
 ) -> Ranking:
     """Rank every graph in ``graph`` by every variant, in the same rounds.
 
@@ -150,7 +137,7 @@ def rank_variants(
         )
         _check_sizes(sizes, PERSONALIZED in variants)
         num_edges = sum(size["edges"] for size in sizes.values())
-        length = slice_length(num_edges)
+        length = slice_length(num_edges, slice_edges)
         sliced = any(size["max_degree"] > length for size in sizes.values())
         partitions = num_partitions or _default_partitions(spark, num_edges)
         vertices = flags.filter("is_vertex").drop("is_vertex")

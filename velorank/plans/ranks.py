@@ -6,7 +6,7 @@ from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 
-from velorank.operators.comparison import Comparison, compare_rankings
+from velorank.operators.comparison import Comparison, compare_rankings, no_comparison
 from velorank.operators.graph import Graph
 from velorank.operators.ranking import Ranking, pagerank, personalized_pagerank
 from velorank.sinks.files import write_comparison
@@ -37,6 +37,8 @@ def compare_random_graphs(
     settings: RankSettings, first_seed: int = 42,
 ) -> Comparison:
     """Compare both kinds of rank on ``runs`` random graphs, all in one loop."""
+    if runs < 1:
+        return no_comparison(spark)
     seeds = [first_seed + i for i in range(runs)]
     graphs = random_graphs(spark, num_nodes, num_edges, seeds)
     chosen = sample_vertices(graphs.vertices, seeds_per_run, seeds, ("run",))

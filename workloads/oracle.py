@@ -3,12 +3,12 @@
 from __future__ import annotations
 
 from workloads.queries import (
-    COMPARED_RUNS, DIGITS, FIRST_SEED, ROUNDS, ROUTE_MIN_RIDES, SEEDS_PER_RUN, TOP,
+    COMPARED_RUNS, CONVERGED, DIGITS, FIRST_SEED, ROUNDS, ROUTE_MIN_RIDES, SEEDS_PER_RUN, TOP,
 )
 
 MIN_RIDES = 100
 MAX_ROUNDS = 20
-EPSILON = "1e-3"
+COMPARED_EPSILON = 1e-3
 
 
 def half_up(value: str) -> str:
@@ -142,7 +142,7 @@ graph_seeds AS MATERIALIZED (
 )"""
 
 
-def rank_ctes(name: str, rounds: int, personalized: bool = False) -> str:
+def rank_ctes(name: str, rounds: int, personalized: bool = False, epsilon: float = COMPARED_EPSILON) -> str:
     """Chained CTEs ``{name}0 .. {name}{rounds}`` of ranks and ``{name}_steps`` of their changes."""
     if personalized:
         flag = "(v.run, v.id) IN (SELECT (run, id) FROM graph_seeds)"
@@ -178,7 +178,7 @@ def rank_ctes(name: str, rounds: int, personalized: bool = False) -> str:
     parts.append(f"""
 {name}_steps AS MATERIALIZED ({steps}),
 {name}_last AS MATERIALIZED (
-  SELECT run, coalesce(min(iteration) FILTER (WHERE delta < {EPSILON}), {rounds}) AS iteration
+  SELECT run, coalesce(min(iteration) FILTER (WHERE delta < {epsilon}), {rounds}) AS iteration
   FROM {name}_steps GROUP BY run
 )""")
     return ",".join(parts)
@@ -314,7 +314,7 @@ FROM edges JOIN vertices ON id = src GROUP BY dst""",
     "pagerank_topk": ranks("r", False, True),
     "ppr_ranks": ranks("p", True, False),
     "ppr_topk": ranks("p", True, True),
-    "pagerank_convergence": f"""WITH {LINK_GRAPH},{rank_ctes("r", MAX_ROUNDS)}
+    "pagerank_convergence": f"""WITH {LINK_GRAPH},{rank_ctes("r", MAX_ROUNDS, epsilon=CONVERGED)}
 SELECT CAST(s.iteration AS INTEGER) AS iteration, round(delta, {DIGITS}) AS delta, round(mass, {DIGITS}) AS dangling_mass
 FROM r_steps s JOIN r_last l ON l.run = s.run AND s.iteration <= l.iteration""",
     "rank_validation": f"""WITH {LINK_GRAPH},{rank_ctes("r", ROUNDS)}

@@ -10,8 +10,8 @@ from pyspark.sql import functions as F
 from velorank.operators import trip_reports as reports
 from velorank.operators import weather as impact
 from velorank.operators.comparison import compare_rankings
-from velorank.operators.graph import adjacency, dangling_vertices, vertex_degrees
-from velorank.operators.ranking import Ranking, contributions, pagerank, personalized_pagerank, top_ranks
+from velorank.operators.graph import adjacency, contributions, dangling_vertices, vertex_degrees
+from velorank.operators.ranking import Ranking, pagerank, personalized_pagerank, top_ranks
 from velorank.operators.trips import clean_trips, reject_counts
 from velorank.operators.validation import validate_ranks
 from velorank.sources.graphs import parse_edge_lines, random_graph, random_graphs, sample_vertices
@@ -21,6 +21,7 @@ Query = Callable[[SparkSession, str], DataFrame]
 
 # Rounds of the rank queries that report ranks; convergence stops by itself.
 ROUNDS = 5
+CONVERGED = 1e-2
 # Digits ranks are compared to: the order of adding doubles is not fixed.
 DIGITS = 10
 TOP = 20
@@ -156,8 +157,8 @@ def ppr_topk(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def pagerank_convergence(spark: SparkSession, folder: str) -> DataFrame:
-    """The rounds until the L1 change is below the usual threshold."""
-    return pagerank(inputs.links(spark, folder)).convergence().select(
+    """The rounds until the L1 change is below the threshold."""
+    return pagerank(inputs.links(spark, folder), epsilon=CONVERGED).convergence().select(
         "iteration", F.round("delta", DIGITS).alias("delta"), F.round("dangling_mass", DIGITS).alias("dangling_mass")
     )
 
