@@ -1,0 +1,48 @@
+import random
+
+import pytest
+from pyspark.sql import functions as F
+
+from velorank.operators import selection
+
+
+@pytest.fixture(scope="module")
+def data():
+    draw = random.Random(3)
+    # Group 0 has most of the rows.
+    return [(0 if draw.random() < 0.7 else draw.randrange(1, 4), i, draw.randrange(50)) for i in range(4000)]
+
+
+@pytest.fixture(scope="module")
+def frame(spark, data):
+    return spark.createDataFrame(data, "g int, id bigint, v int").repartition(5).cache()
+
+
+@pytest.mark.parametrize("k", [0, 1, 7, 1500, 10000])
+def test_top_k_per_group(frame, data, k):
+    want = []
+    for g in range(4):
+        want += sorted((r for r in data if r[0] == g), key=lambda r: (-r[2], r[1]))[:k]
+    got = selection.top_k(frame, ["g"], [F.col("v").desc(), F.col("id").asc()], k)
+    assert sorted(map(tuple, got.collect())) == sorted(want)
+
+
+def test_groups_are_trimmed_before_the_shuffle(frame):
+    plan = selection.top_k(frame, ["g"], [F.col("v").desc(), F.col("id")], 10)._jdf.queryExecution().toString()
+    assert "WindowGroupLimit" in plan and "Partial" in plan
+
+
+def test_overall_top_k_keeps_k_rows_per_task(frame):
+    plan = selection.top_k(frame, [], [F.col("v").desc(), F.col("id")], 10)._jdf.queryExecution().toString()
+    assert "TakeOrderedAndProject" in plan
+
+
+@pytest.mark.parametrize("k", [0, 1, 2, 30, 31, 99, 100, 1000])
+def test_position_cutoffs(spark, k):
+    draw = random.Random(k)
+    places = {g: sorted(draw.sample(range(1000), n)) for g, n in enumerate([100, 31, 1, 700])}
+    frame = spark.createDataFrame([(g, p) for g, ps in places.items() for p in ps], "g int, at bigint")
+    got = {r.g: r.cutoff for r in selection.position_cutoffs(frame, ["g"], "at", k, 1000).collect()}
+    assert set(got) == set(places)
+    for g, ps in places.items():
+        assert [p for p in ps if p <= got[g]] == ps[:k]

@@ -1,0 +1,63 @@
+import pytest
+
+from velorank.operators.graph import Graph
+from velorank.operators.validation import validate_ranks
+
+
+@pytest.fixture(scope="module")
+def graph(spark):
+    return Graph(spark.createDataFrame([(1, 2), (1, 3), (2, 1)], "src bigint, dst bigint"))
+
+
+def check(spark, graph, ranks, epsilon=1e-6):
+    frame = spark.createDataFrame(ranks, "id bigint, rank double")
+    return validate_ranks(graph, frame, epsilon).first().asDict()
+
+
+def test_valid(spark, graph):
+    assert check(spark, graph, [(1, 0.5), (2, 0.3), (3, 0.2)]) == {
+        "valid": True, "reason": None, "negative_ranks_count": 0, "rank_sum": 1.0, "num_nodes": 3, "num_ranks": 3,
+        "dangling_nodes_count": 1, "missing_dangling_ranks": 0, "min_dangling_rank": 0.2,
+    }
+
+
+def test_negative(spark, graph):
+    row = check(spark, graph, [(1, 1.5), (2, -0.7), (3, 0.2)])
+    assert not row["valid"] and row["reason"] == "Found negative ranks" and row["negative_ranks_count"] == 1
+    assert row["rank_sum"] is None and row["num_nodes"] is None
+
+
+def test_sum(spark, graph):
+    row = check(spark, graph, [(1, 0.5), (2, 0.25), (3, 0.5)])
+    assert row["reason"] == "Rank sum 1.25 not close to 1.0 (epsilon=1e-06)" and row["rank_sum"] == 1.25
+    assert row["num_nodes"] is None
+    assert check(spark, graph, [(1, 0.5), (2, 0.25), (3, 0.5)], 0.25)["valid"]
+
+
+def test_counts(spark, graph):
+    row = check(spark, graph, [(1, 0.5), (2, 0.5)])
+    assert row["reason"] == "Mismatch: 3 nodes but 2 ranks"
+    assert (row["num_nodes"], row["num_ranks"], row["dangling_nodes_count"]) == (3, 2, None)
+
+
+def test_missing_dangling(spark, graph):
+    row = check(spark, graph, [(1, 0.5), (2, 0.3), (4, 0.2)])
+    assert row["reason"] == "1 dangling nodes missing ranks"
+    assert (row["dangling_nodes_count"], row["missing_dangling_ranks"], row["min_dangling_rank"]) == (1, 1, None)
+
+
+def test_zero_dangling(spark, graph):
+    row = check(spark, graph, [(1, 0.5), (2, 0.5), (3, 0.0)])
+    assert row["reason"] == "Dangling nodes have non-positive ranks" and row["min_dangling_rank"] == 0.0
+
+
+def test_no_dangling(spark):
+    ring = Graph(spark.createDataFrame([(1, 2), (2, 1)], "src bigint, dst bigint"))
+    row = check(spark, ring, [(1, 0.5), (2, 0.5)])
+    assert row["valid"] and row["dangling_nodes_count"] == 0
+    assert row["missing_dangling_ranks"] is None and row["min_dangling_rank"] is None
+
+
+def test_no_ranks_at_all(spark, graph):
+    row = check(spark, graph, [])
+    assert row["reason"].startswith("Rank sum 0.0 not close")
