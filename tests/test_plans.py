@@ -1,0 +1,76 @@
+"""Physical plans of the registered queries."""
+
+import pytest
+from plan_text import count, own_operators
+
+from workloads.queries import QUERIES
+
+FOLDER = "/root/testdata/sf0.001"
+
+
+@pytest.fixture(scope="module")
+def plan(spark):
+    def build(name):
+        return QUERIES[name](spark, FOLDER)
+
+    return build
+
+
+LAZY = [name for name in QUERIES if not name.startswith(("pagerank", "ppr", "rank_", "random_", "topk"))]
+
+
+@pytest.mark.parametrize("name", LAZY)
+def test_nothing_runs_in_python_and_nothing_is_crossed(plan, name):
+    operators = own_operators(plan(name))
+    assert not [line for line in operators if "Python" in line or "Cartesian" in line or "NestedLoop" in line]
+
+
+@pytest.mark.parametrize("name", ["trip_clean", "trip_enrich", "trip_reject_counts"])
+def test_row_transforms_do_not_shuffle_rows(plan, name):
+    assert count(plan(name), "Exchange hashpartitioning") == 0
+
+
+@pytest.mark.parametrize("name", ["trip_weather_join", "rain_impact_by_hour", "temperature_impact"])
+def test_weather_is_broadcast(plan, name):
+    frame = plan(name)
+    assert count(frame, "BroadcastHashJoin") == 1 and count(frame, "SortMergeJoin") == 0
+
+
+@pytest.mark.parametrize("name", ["station_member_ratio", "station_total_rides", "pagerank_topk", "seed_sample"])
+def test_top_n_is_fused(plan, name):
+    frame = plan(name)
+    assert count(frame, "TakeOrderedAndProject") == 1
+
+
+def test_routes_are_cut_down_before_their_durations_are_ordered(plan):
+    frame = plan("common_routes")
+    assert count(frame, "BroadcastHashJoin") == 1
+    assert count(frame, "TakeOrderedAndProject") == 1
+    assert count(frame, "Window") == 1 or count(frame, "Window [") >= 1
+
+
+@pytest.mark.parametrize("name, columns", [
+    ("rides_by_hour_type", {"ts", "user_id", "value", "props"}),
+    ("edge_list_scan", {"l_partkey", "l_suppkey", "l_returnflag", "l_linestatus"}),
+    ("graph_edges", {"o_orderkey", "o_custkey"}),
+])
+def test_scans_read_only_what_is_needed(plan, name, columns):
+    scans = [line for line in own_operators(plan(name)) if line.startswith(("FileScan", "Scan parquet"))]
+    assert scans
+    schema = scans[0].split("ReadSchema: struct<")[1].split(">")[0]
+    assert {field.split(":")[0] for field in schema.split(",")} - {"event_id"} <= columns
+
+
+def test_filters_on_stored_columns_reach_the_scan(spark, tmp_path):
+    from velorank.operators.trips import clean_trips
+    from velorank.operators.weather import prepare_weather
+    from velorank.sources.tables import TRIP_SCHEMA, WEATHER_SCHEMA
+
+    for name, schema in (("t", TRIP_SCHEMA), ("w", WEATHER_SCHEMA)):
+        spark.createDataFrame([], schema).write.parquet(f"{tmp_path}/{name}")
+    trips = clean_trips(spark.read.parquet(f"{tmp_path}/t"))
+    (scan,) = [line for line in own_operators(trips) if line.startswith("FileScan")]
+    assert "IsNotNull(ride_id)" in scan and "IsNotNull(start_station_id)" in scan
+    weather = prepare_weather(spark.read.parquet(f"{tmp_path}/w"), 2024, 10)
+    (scan,) = [line for line in own_operators(weather) if line.startswith("FileScan")]
+    assert "EqualTo(year,2024)" in scan and "EqualTo(month,10)" in scan and "IsNotNull(temp)" in scan
