@@ -67,14 +67,13 @@ def test_trip_job(spark, data, tmp_path, staged):
     assert not spark.sparkContext._jsc.getPersistentRDDs()
 
 
-@pytest.mark.parametrize("staged", [False, True])
-def test_weather_job(spark, data, tmp_path, staged):
+def test_weather_job(spark, data, tmp_path):
     import weather_report
 
-    extra = ["--staging", f"{tmp_path}/staged"] if staged else []
     weather_report.main([
-        "--trips", f"{data}/trips_*.csv", "--weather", f"{data}/hourly.csv", "--output", f"{tmp_path}/out", *extra,
+        "--trips", f"{data}/trips_*.csv", "--weather", f"{data}/hourly.csv", "--output", f"{tmp_path}/out",
     ])
+    assert not spark.sparkContext._jsc.getPersistentRDDs()
     reports = {path.split("/")[-1]: read(path) for path in glob.glob(f"{tmp_path}/out/*")}
     assert sorted(reports) == ["1_rain_impact_by_hour", "2_rain_impact_by_member", "3_temp_impact_comparison"]
     assert sum(int(r["num_rides"]) for r in reports["1_rain_impact_by_hour"]) == 800

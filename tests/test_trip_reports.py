@@ -118,6 +118,7 @@ def test_a_route_with_one_ride_has_no_spread(spark):
 
 def test_round_trips(trips, data):
     overall = [tuple(x) for x in r.round_trips_overall(trips).collect()]
+    assert [tuple(x) for x in r.round_trips_overall(r.count_round_trips(trips), weight="rides").collect()] == overall
     want = []
     for flag in (False, True):
         minutes = [x[8] for x in data if x[7] is flag]
@@ -136,6 +137,8 @@ def test_round_trips_by_rider(trips, data):
             minutes = [x[8] for x in data if x[7] is flag and x[3] == kind]
             want.add((kind, flag, len(minutes), half_up(statistics.median_low(minutes)), half_up(mean(minutes))))
     assert {tuple(x) for x in r.round_trips_by_rider(trips).collect()} == want
+    counted = r.count_round_trips(trips)
+    assert {tuple(x) for x in r.round_trips_by_rider(counted, weight="rides").collect()} == want
 
 
 def test_even_sized_median_is_the_lower_value(spark):

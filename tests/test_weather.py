@@ -95,18 +95,23 @@ def joined(spark):
     )
 
 
-def test_rain_reports(joined):
-    assert [tuple(x) for x in w.rain_impact_by_hour(joined).collect()] == [
+@pytest.fixture(params=["trips", "totals"])
+def rides(request, joined):
+    return joined if request.param == "trips" else w.impact_totals(joined)
+
+
+def test_rain_reports(rides):
+    assert [tuple(x) for x in w.rain_impact_by_hour(rides).collect()] == [
         (8, "non_rainy", 1, 7.0), (8, "rainy", 3, 18.33), (9, "rainy", 3, 33.67),
     ]
-    assert [tuple(x) for x in w.rain_impact_by_rider(joined).collect()] == [
+    assert [tuple(x) for x in w.rain_impact_by_rider(rides).collect()] == [
         (8, "casual", "rainy", 2, 22.5), (8, "member", "non_rainy", 1, 7.0), (8, "member", "rainy", 1, 10.0),
         (9, "guest", "rainy", 2, 50.0), (9, "member", "rainy", 1, 1.0),
     ]
 
 
-def test_temperature_report_counts_members_and_casuals_only(joined):
-    assert [tuple(x) for x in w.temperature_impact(joined).collect()] == [
+def test_temperature_report_counts_members_and_casuals_only(rides):
+    assert [tuple(x) for x in w.temperature_impact(rides).collect()] == [
         ("cold", 1, 2, 22.5, 3, 33.33, 66.67),
         ("hot", 0, 0, None, 0, None, None),
         ("mild", 1, 0, None, 1, 100.0, 0.0),

@@ -10,8 +10,21 @@ from pyspark.sql import functions as F
 from velorank.functions.columns import mean_minutes
 
 
+def count_durations(trips: DataFrame, keys: Sequence[str], minutes: str = "duration_minutes") -> DataFrame:
+    """Rides per group and distinct duration: ``keys, minutes, rides``.
+
+    Small however many trips there are, and all that exact profiles of these
+    groups, or of coarser ones, need.
+    """
+    return trips.groupBy(*keys, minutes).agg(F.count("*").alias("rides"))
+
+
 def duration_profile(
-    trips: DataFrame, keys: Sequence[str], minutes: str = "duration_minutes", accuracy: int | None = None
+    trips: DataFrame,
+    keys: Sequence[str],
+    minutes: str = "duration_minutes",
+    accuracy: int | None = None,
+    weight: str | None = None,
 ) -> DataFrame:
     """``keys, total, median, mean, spread`` of each group, unrounded.
 
@@ -19,7 +32,8 @@ def duration_profile(
     group does not exceed.  Rows are first counted per group and distinct value,
     which spreads even a group with most of the rows over all tasks, and what
     is then ordered per group is one row per distinct value - for clean trips,
-    whole seconds of at most a day, 86,400 at most.
+    whole seconds of at most a day, 86,400 at most.  ``weight`` names the count
+    column of trips counted already.
 
     With ``accuracy`` the median is a sketch of that accuracy, in one pass.
     """
@@ -30,7 +44,8 @@ def duration_profile(
             mean_minutes(F.col(minutes)).alias("mean"),
             F.stddev_samp(minutes).alias("spread"),
         )
-    counted = trips.groupBy(*keys, F.col(minutes).alias("_value")).agg(F.count("*").alias("_rows"))
+    rides = F.count("*") if weight is None else F.sum(weight)
+    counted = trips.groupBy(*keys, F.col(minutes).alias("_value")).agg(rides.alias("_rows"))
     group = Window.partitionBy(*keys)
     ascending = group.orderBy("_value").rowsBetween(Window.unboundedPreceding, 0)
     seconds = F.round(F.col("_value") * 60).cast("bigint")

@@ -140,7 +140,7 @@ def rank_variants(
         length = slice_length(num_edges, slice_edges)
         sliced = any(size["max_degree"] > length for size in sizes.values())
         partitions = num_partitions or _default_partitions(spark, num_edges)
-        vertices = flags.filter("is_vertex").drop("is_vertex")
+        vertices = flags.filter("is_vertex").drop("is_vertex", *([] if seeds is not None else ["is_seed"]))
         stored = _neighbour_lists(edges, vertices, keys, length, sliced, partitions).persist()
         with shuffle_partitions(spark, partitions):
             state, rounds = _iterate(
@@ -212,7 +212,7 @@ def _iterate(
 ) -> tuple[DataFrame, list[Round]]:
     start = {key: {"_start": 1.0 / size["vertices"]} for key, size in sizes.items()}
     state = _with_scalars(vertices, keys, start)
-    state = state.select(*keys, "id", "out_degree", "is_seed", *[F.col("_start").alias(v) for v in variants])
+    state = state.select(*vertices.columns, *[F.col("_start").alias(v) for v in variants])
     mass = {(key, v): size["dangling"] / size["vertices"] for key, size in sizes.items() for v in variants}
     open_ = set(mass)
     rounds: list[Round] = []
@@ -268,6 +268,8 @@ def _next_state(
     damping: float,
 ) -> DataFrame:
     place = [*keys, "src", "slice"] if sliced else [*keys, "src"]
+    seeded = "is_seed" in state.columns
+    flag = ["is_seed"] if seeded else []
     busy = state.filter("out_degree > 0")
     running = [key for key, values in scalars.items() if any(values[f"_open_{v}"] for v in variants)]
     if len(running) < len(scalars):
@@ -281,12 +283,12 @@ def _next_state(
         *keys,
         "explode(targets) AS id",
         "cast(null AS bigint) AS out_degree",
-        "cast(null AS boolean) AS is_seed",
+        *["cast(null AS boolean) AS is_seed"] * seeded,
         *[f"cast(null AS double) AS _before_{v}" for v in variants],
         *[f"_give_{v}" for v in variants],
     )
     before = state.selectExpr(
-        *keys, "id", "out_degree", "is_seed",
+        *keys, "id", "out_degree", *flag,
         *[f"{v} AS _before_{v}" for v in variants],
         *[f"cast(0 AS double) AS _give_{v}" for v in variants],
     )
@@ -295,20 +297,21 @@ def _next_state(
         moved.unionAll(before)
         .groupBy(*keys, "id")
         .agg(
-            *[F.max(name).alias(name) for name in ("out_degree", "is_seed", *[f"_before_{v}" for v in variants])],
+            *[F.max(name).alias(name) for name in ("out_degree", *flag, *[f"_before_{v}" for v in variants])],
             *[F.sum(f"_give_{v}").alias(f"_sum_{v}") for v in variants],
         )
         .filter("out_degree IS NOT NULL")
     )
+    jump = {v: f"_all_{v} + if(is_seed, _seed_{v}, 0e0)" if seeded else f"_all_{v}" for v in variants}
     after = [
-        f"if(_open_{v}, _all_{v} + if(is_seed, _seed_{v}, 0e0) + {damping!r}D * (_sum_{v} + _dangling_{v}), "
-        f"_before_{v}) AS {v}"
-        for v in variants
+        f"if(_open_{v}, {jump[v]} + {damping!r}D * (_sum_{v} + _dangling_{v}), _before_{v}) AS {v}" for v in variants
     ]
-    return _with_scalars(summed, keys, scalars).selectExpr(
-        *keys, "id", "out_degree", "is_seed", *after, *[f"_before_{v}" for v in variants]
-    ).selectExpr(
-        *keys, "id", "out_degree", "is_seed", *variants, *[f"abs({v} - _before_{v}) AS _change_{v}" for v in variants]
+    return (
+        _with_scalars(summed, keys, scalars)
+        .selectExpr(*keys, "id", "out_degree", *flag, *after, *[f"_before_{v}" for v in variants])
+        .selectExpr(
+            *keys, "id", "out_degree", *flag, *variants, *[f"abs({v} - _before_{v}) AS _change_{v}" for v in variants]
+        )
     )
 
 

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from velorank.functions.columns import mean_minutes, percent, share
-from velorank.operators.profiles import duration_profile
+from velorank.operators.profiles import count_durations, duration_profile
 from velorank.operators.selection import top_k
 from velorank.session import BROADCAST_ROWS
 
@@ -107,21 +107,35 @@ def common_routes(
     ).orderBy(*_ranking("total_rides", ROUTE_KEYS))
 
 
-def round_trips_overall(trips: DataFrame, median_accuracy: int | None = None) -> DataFrame:
-    """Round trips against one-way rides, with their share of all rides."""
-    profile = _round_trip_profile(trips, ["round_trip"], median_accuracy)
+def round_trips_overall(
+    trips: DataFrame, median_accuracy: int | None = None, weight: str | None = None
+) -> DataFrame:
+    """Round trips against one-way rides, with their share of all rides.
+
+    ``weight`` is the count column if ``trips`` are counted by `count_round_trips`.
+    """
+    profile = _round_trip_profile(trips, ["round_trip"], median_accuracy, weight)
     # Over the report's two rows, not over the trips.
     everything = F.sum("num_rides").over(Window.partitionBy())
     return profile.withColumn("percentage", percent(F.col("num_rides"), everything)).orderBy("round_trip")
 
 
-def round_trips_by_rider(trips: DataFrame, median_accuracy: int | None = None) -> DataFrame:
+def round_trips_by_rider(
+    trips: DataFrame, median_accuracy: int | None = None, weight: str | None = None
+) -> DataFrame:
     """Round trips against one-way rides per rider kind."""
-    return _round_trip_profile(trips, ["member_casual", "round_trip"], median_accuracy)
+    return _round_trip_profile(trips, ["member_casual", "round_trip"], median_accuracy, weight)
 
 
-def _round_trip_profile(trips: DataFrame, keys: list[str], median_accuracy: int | None) -> DataFrame:
-    return duration_profile(trips, keys, accuracy=median_accuracy).select(
+def count_round_trips(trips: DataFrame) -> DataFrame:
+    """Trips counted in ``rides`` so that both round-trip reports can start from the result."""
+    return count_durations(trips, ["member_casual", "round_trip"])
+
+
+def _round_trip_profile(
+    trips: DataFrame, keys: list[str], median_accuracy: int | None, weight: str | None
+) -> DataFrame:
+    return duration_profile(trips, keys, accuracy=median_accuracy, weight=weight).select(
         *keys,
         F.col("total").alias("num_rides"),
         F.round("median", 2).alias("median_duration"),

@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from collections.abc import Sequence
+
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from velorank.functions.columns import (
@@ -12,7 +14,6 @@ from velorank.functions.columns import (
     TEMPERATURE_BANDS,
     band,
     code_class,
-    mean_minutes,
     percent,
 )
 from velorank.session import broadcast_if_small
@@ -83,31 +84,54 @@ def join_weather(trips: DataFrame, weather: DataFrame, weather_rows_at_most: int
     )
 
 
+def total_rides(joined: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """``rides`` and whole ``seconds`` ridden per group.
+
+    ``joined`` are trips, or totals of finer groups, which are added up.
+    """
+    if "rides" in joined.columns:
+        rides, seconds = F.sum("rides"), F.sum("seconds")
+    else:
+        rides, seconds = F.count("*"), F.sum(F.round(F.col("duration_minutes") * 60).cast("bigint"))
+    return joined.groupBy(*keys).agg(rides.alias("rides"), seconds.alias("seconds"))
+
+
+def impact_totals(joined: DataFrame) -> DataFrame:
+    """A few hundred rows that all weather reports can be taken from, in one pass over the trips."""
+    return total_rides(joined, ["hour_in_day", "member_casual", "is_rainy", "temp_band"])
+
+
 def rain_impact_by_hour(joined: DataFrame) -> DataFrame:
-    """Rides and mean duration per start hour, rainy or not."""
+    """Rides and mean duration per start hour, rainy or not; of trips or of `impact_totals`."""
     return _impact(joined, ["hour_in_day", "is_rainy"])
 
 
 def rain_impact_by_rider(joined: DataFrame) -> DataFrame:
-    """Rides and mean duration per start hour and rider kind, rainy or not."""
+    """Rides and mean duration per start hour and rider kind, rainy or not; of trips or of `impact_totals`."""
     return _impact(joined, ["hour_in_day", "member_casual", "is_rainy"])
 
 
 def _impact(joined: DataFrame, keys: list[str]) -> DataFrame:
-    return joined.groupBy(*keys).agg(
-        F.count("*").alias("num_rides"),
-        F.round(mean_minutes(F.col("duration_minutes")), 2).alias("avg_duration"),
+    return total_rides(joined, keys).select(
+        *keys, F.col("rides").alias("num_rides"), _mean(F.col("seconds"), F.col("rides")).alias("avg_duration")
     ).orderBy(*keys)
 
 
+def _mean(seconds: Column, rides: Column) -> Column:
+    return F.round(F.try_divide(seconds, rides * 60), 2)
+
+
 def temperature_impact(joined: DataFrame) -> DataFrame:
-    """Rider kinds per temperature band; other kinds are left out of the total."""
-    member = F.col("member_casual") == "member"
-    casual = F.col("member_casual") == "casual"
-    counted = joined.groupBy("temp_band").agg(
-        F.count_if(member).alias("member_rides"),
-        F.count_if(casual).alias("casual_rides"),
-        F.round(mean_minutes(F.when(casual, F.col("duration_minutes"))), 2).alias("casual_avg_duration"),
+    """Rider kinds per temperature band, of trips or of `impact_totals`; other kinds are left out of the total."""
+    per_kind = total_rides(joined, ["temp_band", "member_casual"])
+
+    def of(kind: str, column: str) -> Column:
+        return F.sum(F.when(F.col("member_casual") == kind, F.col(column)))
+
+    counted = per_kind.groupBy("temp_band").agg(
+        F.coalesce(of("member", "rides"), F.lit(0)).alias("member_rides"),
+        F.coalesce(of("casual", "rides"), F.lit(0)).alias("casual_rides"),
+        _mean(of("casual", "seconds"), of("casual", "rides")).alias("casual_avg_duration"),
     )
     return (
         counted.withColumn("total_rides", F.col("member_rides") + F.col("casual_rides"))

@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Iterator
 from contextlib import contextmanager
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame
 
 from velorank.operators import trip_reports as reports
 from velorank.operators import weather as impact
@@ -19,8 +19,16 @@ REPORT_COLUMNS = [
 ]
 
 
+# Report name and the column it is ordered by.
+STATION_REPORTS = {
+    "2a_stations_by_member_ratio": "member_ratio",
+    "2b_stations_by_roundtrip_ratio": "round_trip_ratio",
+    "2c_stations_by_total_rides": "total_rides",
+}
+
+
 @contextmanager
-def kept(df: DataFrame, staging: str | None) -> Iterator[DataFrame]:
+def kept(df: DataFrame, staging: str | None = None) -> Iterator[DataFrame]:
     """Rows several reports share, computed once.
 
     With ``staging``, a shared folder, they are written there as Parquet and
@@ -42,48 +50,38 @@ def report_trips(trips: DataFrame) -> DataFrame:
     return enrich_trips(clean_trips(trips)).select(*REPORT_COLUMNS)
 
 
-def trip_reports(trips: DataFrame, n: int = 10, min_rides: int = reports.MIN_RIDES) -> dict[str, DataFrame]:
-    """All reports on ``report_trips`` rows by output name."""
-    def stations(order_by: str) -> DataFrame:
-        return reports.top_stations(trips, n, min_rides, order_by)
-
-    return {
-        "1_rides_by_hour_type": reports.rides_by_hour_and_type(trips),
-        "2a_stations_by_member_ratio": stations("member_ratio"),
-        "2b_stations_by_roundtrip_ratio": stations("round_trip_ratio"),
-        "2c_stations_by_total_rides": stations("total_rides"),
-        "3_most_common_routes": reports.common_routes(trips, n, min_rides),
-        "4a_roundtrip_overall": reports.round_trips_overall(trips),
-        "4b_roundtrip_by_member": reports.round_trips_by_rider(trips),
-    }
-
-
-def weather_reports(joined: DataFrame) -> dict[str, DataFrame]:
-    """All reports on trips joined to weather, by output name."""
-    return {
-        "1_rain_impact_by_hour": impact.rain_impact_by_hour(joined),
-        "2_rain_impact_by_member": impact.rain_impact_by_rider(joined),
-        "3_temp_impact_comparison": impact.temperature_impact(joined),
-    }
-
-
 def run_trip_reports(
     trips: DataFrame, output: str, n: int = 10, min_rides: int = reports.MIN_RIDES,
     staging: str | None = None, single_file: bool = True,
 ) -> None:
-    """Write every trip report below ``output``."""
+    """Write every trip report below ``output``.
+
+    What two or more reports build on, the stations and the counted round
+    trips, is computed once.
+    """
+    def write(report: DataFrame, name: str) -> None:
+        write_report(report, f"{output}/{name}", single_file)
+
     with kept(report_trips(trips), staging) as rows:
-        for name, report in trip_reports(rows, n, min_rides).items():
-            write_report(report, f"{output}/{name}", single_file)
+        write(reports.rides_by_hour_and_type(rows), "1_rides_by_hour_type")
+        with kept(reports.station_metrics(rows, min_rides)) as stations:
+            for name, order_by in STATION_REPORTS.items():
+                write(reports.top_by(stations, n, order_by, reports.STATION_KEYS), name)
+        write(reports.common_routes(rows, n, min_rides), "3_most_common_routes")
+        with kept(reports.count_round_trips(rows)) as counted:
+            write(reports.round_trips_overall(counted, weight="rides"), "4a_roundtrip_overall")
+            write(reports.round_trips_by_rider(counted, weight="rides"), "4b_roundtrip_by_member")
 
 
 def run_weather_reports(
-    trips: DataFrame, weather: DataFrame, output: str, staging: str | None = None, single_file: bool = True,
+    trips: DataFrame, weather: DataFrame, output: str, single_file: bool = True,
 ) -> None:
-    """Join prepared ``weather`` to the trips once and write every weather report below ``output``."""
-    joined = impact.join_weather(report_trips(trips), weather).select(
-        "hour_in_day", "member_casual", "is_rainy", "temp_band", "duration_minutes"
-    )
-    with kept(joined, staging) as rows:
-        for name, report in weather_reports(rows).items():
+    """Write every weather report below ``output``, in one pass over the trips."""
+    joined = impact.join_weather(report_trips(trips), weather)
+    with kept(impact.impact_totals(joined)) as totals:
+        for name, report in (
+            ("1_rain_impact_by_hour", impact.rain_impact_by_hour(totals)),
+            ("2_rain_impact_by_member", impact.rain_impact_by_rider(totals)),
+            ("3_temp_impact_comparison", impact.temperature_impact(totals)),
+        ):
             write_report(report, f"{output}/{name}", single_file)

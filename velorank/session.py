@@ -25,7 +25,10 @@ def build_session(app_name: str, master: str | None = None, **settings: str) ->
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
-        # Rank rounds are checkpointed; drop the files of rounds nobody refers to any more.
+        # Rank rounds are checkpointed: keep the files small, and drop those of
+        # rounds nobody refers to any more.
+        .config("spark.serializer", "org.apache.spark.serializer.KryoSerializer")
+        .config("spark.checkpoint.compress", "true")
         .config("spark.cleaner.referenceTracking.cleanCheckpoints", "true")
     )
     if master:

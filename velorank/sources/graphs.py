@@ -5,7 +5,7 @@ from __future__ import annotations
 import math
 from collections.abc import Iterable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -37,20 +37,25 @@ def parse_edge_lines(lines: DataFrame, delimiter: str | None = None) -> DataFram
     Blank lines, ``#`` comments, lines without two integers and self-loops are
     left out; fields after the second are ignored.
     """
-    line = F.btrim(F.col("value"), F.lit(BLANKS))
     separator = r"\s+" if delimiter is None else _literal_pattern(delimiter)
-    fields = F.split(F.col("line"), separator)
-    pair = [
-        F.btrim(F.get(fields, F.lit(i)), F.lit(BLANKS)).try_cast("bigint").alias(name)
-        for i, name in enumerate(("src", "dst"))
-    ]
-    return (
-        lines.select(line.alias("line"))
+    fields = (
+        lines.select(F.btrim(F.col("value"), F.lit(BLANKS)).alias("line"))
         .filter(~F.col("line").startswith("#"))
-        .select(*pair)
-        .filter("src <> dst")
-        .dropDuplicates(["src", "dst"])
+        .select(F.split("line", separator, 3).alias("fields"))
     )
+    # Generated columns keep Spark from parsing once for the filter and once more
+    # for the result.
+    pair = F.struct(_integer(0).alias("src"), _integer(1).alias("dst"))
+    return fields.select(F.inline(F.array(pair))).filter("src <> dst").dropDuplicates(["src", "dst"])
+
+
+def _integer(place: int) -> Column:
+    """Field ``place`` as a bigint, NULL for other text.
+
+    The pattern weeds such text out first: a failing cast costs an exception.
+    """
+    text = F.btrim(F.get("fields", F.lit(place)), F.lit(BLANKS))
+    return F.when(text.rlike(r"^[+-]?[0-9]+$"), text.try_cast("bigint"))
 
 
 def _literal_pattern(text: str) -> str:
