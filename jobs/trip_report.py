@@ -18,11 +18,12 @@ def main(argv: list[str] | None = None) -> None:
     parser.add_argument("--top", type=int, default=10, help="rows of the station and route reports")
     parser.add_argument("--min-rides", type=int, default=100, help="leave out smaller stations and routes")
     parser.add_argument("--staging", help="shared folder for the cleaned trips; cached if not given")
+    parser.add_argument("--positional", action="store_true", help="take columns by position, whatever the header says")
     parser.add_argument("--many-files", action="store_true", help="do not merge each report into one file")
     args = parser.parse_args(argv)
     spark = build_session("Trip reports")
     run_trip_reports(
-        read_trips(spark, args.trips), args.output, args.top, args.min_rides, args.staging, not args.many_files
+        read_trips(spark, args.trips, not args.positional), args.output, args.top, args.min_rides, args.staging, not args.many_files
     )
 
 

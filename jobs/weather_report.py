@@ -23,13 +23,14 @@ def main(argv: list[str] | None = None) -> None:
     parser.add_argument("--month-in", choices=["utc", "local"], default="utc", help="zone the month is taken in")
     parser.add_argument("--repeated-hours", choices=["keep", "first"], default="keep",
                         help="what to do with a local hour that occurs twice")
+    parser.add_argument("--positional", action="store_true", help="take columns by position, whatever the header says")
     parser.add_argument("--many-files", action="store_true", help="do not merge each report into one file")
     args = parser.parse_args(argv)
     spark = build_session("Weather reports")
     weather = prepare_weather(
-        read_weather(spark, args.weather), args.year, args.month, args.zone, args.month_in, args.repeated_hours
+        read_weather(spark, args.weather, not args.positional), args.year, args.month, args.zone, args.month_in, args.repeated_hours
     )
-    run_weather_reports(read_trips(spark, args.trips), weather, args.output, not args.many_files)
+    run_weather_reports(read_trips(spark, args.trips, not args.positional), weather, args.output, not args.many_files)
 
 
 if __name__ == "__main__":

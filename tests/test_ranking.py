@@ -53,12 +53,12 @@ def close(got, want):
 
 
 def test_standard(spark, edges):
-    want, changes = plain_pagerank(endpoints(edges), edges, max_iter=50, epsilon=1e-4)
-    result = k.pagerank(graph_of(spark, edges), 50, 1e-4)
+    want, changes = plain_pagerank(endpoints(edges), edges, max_iter=50, epsilon=1e-2)
+    result = k.pagerank(graph_of(spark, edges), 50, 1e-2)
     close(by_id(result), want)
     assert [r.delta for r in result.rounds] == pytest.approx(changes)
     assert result.iterations == len(changes) < 50
-    assert result.last_delta < 1e-4 and len(result.round_seconds) == len(changes)
+    assert result.last_delta < 1e-2 and len(result.round_seconds) == len(changes)
     assert sum(want.values()) == pytest.approx(1)
 
 
@@ -77,8 +77,8 @@ def test_damping(spark, edges):
 
 
 def test_personalized(spark, edges):
-    want, changes = plain_pagerank(endpoints(edges), edges, [0, 3, 7], 50, 1e-4)
-    result = k.personalized_pagerank(graph_of(spark, edges), ids(spark, [0, 3, 7, 7, 0]), 50, 1e-4)
+    want, changes = plain_pagerank(endpoints(edges), edges, [0, 3, 7], 50, 1e-2)
+    result = k.personalized_pagerank(graph_of(spark, edges), ids(spark, [0, 3, 7, 7, 0]), 50, 1e-2)
     close(by_id(result), want)
     assert result.num_seeds == 3 and result.iterations == len(changes)
 
@@ -168,12 +168,12 @@ def several(spark):
 
 def test_several_graphs_at_once(spark, several):
     all_edges, seeds, graph, chosen = several
-    result = k.rank_variants(graph, [k.STANDARD, k.PERSONALIZED], chosen, 30, 1e-3, 0.85)
+    result = k.rank_variants(graph, [k.STANDARD, k.PERSONALIZED], chosen, 30, 2e-2, 0.85)
     rows = result.ranks.collect()
     rounds = set()
     for run, edges in all_edges.items():
         for variant, wanted_seeds in ((k.STANDARD, None), (k.PERSONALIZED, seeds[run])):
-            want, changes = plain_pagerank(endpoints(edges), edges, wanted_seeds, 30, 1e-3)
+            want, changes = plain_pagerank(endpoints(edges), edges, wanted_seeds, 30, 2e-2)
             close({r.id: r[variant] for r in rows if r.run == run}, want)
             assert sum(x.graph == (run,) and x.variant == variant for x in result.rounds) == len(changes)
             rounds.add(len(changes))
@@ -183,13 +183,13 @@ def test_several_graphs_at_once(spark, several):
 @pytest.mark.parametrize("top", [5, 1000])
 def test_comparison(spark, several, top):
     all_edges, seeds, graph, chosen = several
-    compared = compare_rankings(graph, chosen, top, 30, 1e-3)
+    compared = compare_rankings(graph, chosen, top, 30, 2e-2)
     ratios = []
     for row in compared.per_run.orderBy("run").collect():
         edges = all_edges[row.run]
         lists = []
         for wanted in (None, seeds[row.run]):
-            ranks, _ = plain_pagerank(endpoints(edges), edges, wanted, 30, 1e-3)
+            ranks, _ = plain_pagerank(endpoints(edges), edges, wanted, 30, 2e-2)
             lists.append(sorted(ranks, key=lambda v: (-round(ranks[v], 12), v))[:top])
         assert row.seeds == seeds[row.run]
         assert set(row.topK_standard) == set(lists[0]) and set(row.topK_personalized) == set(lists[1])
@@ -209,7 +209,7 @@ def test_the_plan_does_not_grow(spark, edges, monkeypatch):
         return frame
 
     monkeypatch.setattr(k, "_next_state", watched)
-    k.pagerank(graph_of(spark, edges), 8, 0.0)
+    k.pagerank(graph_of(spark, edges), 6, 0.0)
     assert max(sizes[2:]) - min(sizes[2:]) < 200
 
 

@@ -26,17 +26,18 @@ WEATHER_SCHEMA = T.StructType(
 )
 
 
-def read_trips(spark: SparkSession, path: str) -> DataFrame:
+def read_trips(spark: SparkSession, path: str, check_header: bool = True) -> DataFrame:
     """Trip rows of every file matching ``path``; times stay text until cleaning."""
-    return _read_csv(spark, path, TRIP_SCHEMA)
+    return _read_csv(spark, path, TRIP_SCHEMA, check_header)
 
 
-def read_weather(spark: SparkSession, path: str) -> DataFrame:
+def read_weather(spark: SparkSession, path: str, check_header: bool = True) -> DataFrame:
     """Hourly weather rows, times in UTC parts."""
-    return _read_csv(spark, path, WEATHER_SCHEMA)
+    return _read_csv(spark, path, WEATHER_SCHEMA, check_header)
 
 
-def _read_csv(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
-    # enforceSchema=false checks the header, so a file with re-ordered columns
-    # is an error rather than silently shifted values.
-    return spark.read.schema(schema).option("header", True).option("enforceSchema", False).csv(path)
+def _read_csv(spark: SparkSession, path: str, schema: T.StructType, check_header: bool) -> DataFrame:
+    # With the check, a file with re-ordered columns is an error rather than
+    # silently shifted values; without it, columns are taken by position.
+    reader = spark.read.schema(schema).option("header", True).option("enforceSchema", not check_header)
+    return reader.csv(path)
