@@ -57,8 +57,9 @@ def test_contributions(spark, star, length):
 
 
 def test_few_vertices_can_be_sliced():
-    for edges in (0, 10**6, 10**12, 10**15):
-        assert edges / g.slice_length(edges) <= g.MAX_SLICED
+    assert g.slice_length(10**13, 500) == g.SLICE_EDGES
+    for edges in (10**12, 10**15):
+        assert edges / g.slice_length(edges, g.MAX_SLICED + 1) <= g.MAX_SLICED
 
 
 def plain_random_edges(nodes, wanted, seed):

@@ -178,6 +178,8 @@ def test_several_graphs_at_once(spark, several):
             assert sum(x.graph == (run,) and x.variant == variant for x in result.rounds) == len(changes)
             rounds.add(len(changes))
     assert len(rounds) > 2
+    assert len(result.round_seconds) == result.iterations == max(rounds)
+    assert result.total_seconds == pytest.approx(sum(result.round_seconds))
 
 
 @pytest.mark.parametrize("top", [5, 1000])

@@ -12,7 +12,7 @@ from velorank.session import ensure_checkpoint_dir
 # Longest neighbour list kept in one row, roughly.  A vertex with more
 # neighbours is cut into slices that are shuffled and stored apart.
 SLICE_EDGES = 100_000
-# At most this many vertices can exceed the slice length, see `slice_length`.
+# At most this many vertices may exceed the slice length, see `slice_length`.
 MAX_SLICED = 1_000_000
 
 
@@ -71,13 +71,14 @@ def dangling_vertices(graph: Graph) -> DataFrame:
     return vertex_degrees(graph).filter("out_degree = 0").select(*graph.keys, "id")
 
 
-def slice_length(num_edges: int, at_least: int = SLICE_EDGES) -> int:
+def slice_length(num_edges: int, num_busy: int, length: int = SLICE_EDGES) -> int:
     """Neighbours per slice, long enough that few vertices need several slices.
 
-    A vertex is sliced when it has more than this many edges, and there are
-    ``num_edges`` in all, so fewer than ``MAX_SLICED`` vertices are.
+    ``num_busy`` vertices have more than ``length`` edges.  If those are too
+    many, slices get so long that fewer than ``MAX_SLICED`` vertices exceed
+    them: each takes more than that part of all ``num_edges``.
     """
-    return max(at_least, -(-num_edges // MAX_SLICED))
+    return length if num_busy <= MAX_SLICED else max(length, -(-num_edges // MAX_SLICED))
 
 
 def slice_count(out_degree: Column, length: int) -> Column:
@@ -104,13 +105,15 @@ def sliced_edges(edges: DataFrame, vertices: DataFrame, keys: list[str], length:
     )
 
 
-def _slice_graph(graph: Graph, at_least: int) -> tuple[DataFrame, DataFrame]:
+def _slice_graph(graph: Graph, length: int) -> tuple[DataFrame, DataFrame]:
     """Vertices as ``id, out_degree, slice``, a row per slice, and edges with their slice."""
     keys = list(graph.keys)
     ensure_checkpoint_dir(graph.edges.sparkSession)
     vertices = vertex_degrees(graph).checkpoint()
-    num_edges = vertices.agg(F.coalesce(F.sum("out_degree"), F.lit(0))).first()[0]
-    length = slice_length(num_edges, at_least)
+    num_edges, num_busy = vertices.agg(F.sum("out_degree"), F.count_if(F.col("out_degree") > length)).first()
+    length = slice_length(num_edges, num_busy, length)
+    if not num_busy:
+        return vertices.withColumn("slice", F.lit(0)), graph.edges.withColumn("slice", F.lit(0))
     cut = F.explode(slice_numbers(F.col("out_degree"), length)).alias("slice")
     return vertices.select("*", cut), sliced_edges(graph.edges, vertices, keys, length)
 

@@ -26,7 +26,7 @@ PERSONALIZED = "personalized"
 # Edges per partition of the stored neighbour lists: fewer than the first number
 # are not worth a task of their own, more than the second outgrow one.
 FEWEST_EDGES = 20_000
-MOST_EDGES = 5_000_000
+MOST_EDGES = 50_000_000
 
 
 @dataclass(frozen=True)
@@ -60,7 +60,12 @@ class Ranking:
 
     @property
     def round_seconds(self) -> list[float]:
-        return [r.seconds for r in self.rounds]
+        """Seconds of each round; graphs and variants share them."""
+        return list({r.iteration: r.seconds for r in self.rounds}.values())
+
+    @property
+    def total_seconds(self) -> float:
+        return sum(self.round_seconds)
 
     def convergence(self) -> DataFrame:
         """One row per round, graph and variant."""
@@ -133,12 +138,12 @@ def rank_variants(
     stored = None
     try:
         flags, sizes = _checkpoint(
-            vertex_flags(Graph(edges, graph.vertices, graph.keys), seeds), keys, _size_metrics()
+            vertex_flags(Graph(edges, graph.vertices, graph.keys), seeds), keys, _size_metrics(slice_edges)
         )
         _check_sizes(sizes, PERSONALIZED in variants)
         num_edges = sum(size["edges"] for size in sizes.values())
-        length = slice_length(num_edges, slice_edges)
-        sliced = any(size["max_degree"] > length for size in sizes.values())
+        num_busy = sum(size["busy"] for size in sizes.values())
+        length, sliced = slice_length(num_edges, num_busy, slice_edges), num_busy > 0
         partitions = num_partitions or _default_partitions(spark, num_edges)
         vertices = flags.filter("is_vertex").drop("is_vertex", *([] if seeds is not None else ["is_seed"]))
         stored = _neighbour_lists(edges, vertices, keys, length, sliced, partitions).persist()
@@ -154,14 +159,14 @@ def rank_variants(
     return Ranking(state.select(*keys, "id", "out_degree", *variants), rounds, partitions, num_seeds)
 
 
-def _size_metrics() -> list[Column]:
+def _size_metrics(slice_edges: int) -> list[Column]:
     vertex = F.col("is_vertex")
     return [
         F.count_if(vertex).alias("vertices"),
         F.count_if(F.col("is_seed")).alias("seeds"),
         F.count_if(vertex & (F.col("out_degree") == 0)).alias("dangling"),
         F.coalesce(F.sum(F.when(vertex, F.col("out_degree"))), F.lit(0)).alias("edges"),
-        F.coalesce(F.max("out_degree"), F.lit(0)).alias("max_degree"),
+        F.count_if(F.col("out_degree") > slice_edges).alias("busy"),
     ]
 
 
