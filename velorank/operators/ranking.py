@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 
 from velorank.operators.graph import SLICE_EDGES, Graph, slice_length, sliced_edges, vertex_flags
 from velorank.operators.selection import top_k
-from velorank.session import BROADCAST_ROWS, ensure_checkpoint_dir, shuffle_partitions
+from velorank.session import BROADCAST_ROWS, MERGE_CACHED, SHUFFLE_PARTITIONS, ensure_checkpoint_dir, setting
 
 STANDARD = "standard"
 PERSONALIZED = "personalized"
@@ -134,12 +134,14 @@ def rank_variants(
     spark = graph.edges.sparkSession
     ensure_checkpoint_dir(spark)
     keys = list(graph.keys)
-    edges = graph.edges.select(*keys, "src", "dst").persist()
+    edges = graph.edges.select(*keys, "src", "dst")
     stored = None
     try:
-        flags, sizes = _checkpoint(
-            vertex_flags(Graph(edges, graph.vertices, graph.keys), seeds), keys, _size_metrics(slice_edges)
-        )
+        with setting(spark, MERGE_CACHED, "true"):
+            edges = edges.persist()
+            flags, sizes = _checkpoint(
+                vertex_flags(Graph(edges, graph.vertices, graph.keys), seeds), keys, _size_metrics(slice_edges)
+            )
         _check_sizes(sizes, PERSONALIZED in variants)
         num_edges = sum(size["edges"] for size in sizes.values())
         num_busy = sum(size["busy"] for size in sizes.values())
@@ -147,7 +149,7 @@ def rank_variants(
         partitions = num_partitions or _default_partitions(spark, num_edges)
         vertices = flags.filter("is_vertex").drop("is_vertex", *([] if seeds is not None else ["is_seed"]))
         stored = _neighbour_lists(edges, vertices, keys, length, sliced, partitions).persist()
-        with shuffle_partitions(spark, partitions):
+        with setting(spark, SHUFFLE_PARTITIONS, partitions):
             state, rounds = _iterate(
                 stored, vertices, sizes, keys, list(variants), length, sliced, max_iter, epsilon, damping
             )

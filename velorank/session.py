@@ -9,6 +9,10 @@ from contextlib import contextmanager
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+SHUFFLE_PARTITIONS = "spark.sql.shuffle.partitions"
+# Lets adaptive execution merge small partitions of what is cached, too.
+MERGE_CACHED = "spark.sql.optimizer.canChangeCachedPlanOutputPartitioning"
+
 # Largest row count this library ever hints for a broadcast.  The sides it is
 # used for have a handful of narrow columns, so this stays within tens of MB.
 BROADCAST_ROWS = 1_000_000
@@ -25,6 +29,7 @@ def build_session(app_name: str, master: str | None = None, **settings: str) ->
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
+        .config(MERGE_CACHED, "true")
         # Rank rounds are checkpointed: keep the files small, and drop those of
         # rounds nobody refers to any more.
         .config("spark.serializer", "org.apache.spark.serializer.KryoSerializer")
@@ -58,15 +63,17 @@ def ensure_checkpoint_dir(spark: SparkSession) -> None:
 
 
 @contextmanager
-def shuffle_partitions(spark: SparkSession, count: int) -> Iterator[None]:
-    """Plan the shuffles of an eager loop with ``count`` partitions."""
-    name = "spark.sql.shuffle.partitions"
-    before = spark.conf.get(name)
-    spark.conf.set(name, str(count))
+def setting(spark: SparkSession, name: str, value: object) -> Iterator[None]:
+    """Run a block of eager steps with one SQL setting changed."""
+    before = spark.conf.get(name, None)
+    spark.conf.set(name, str(value))
     try:
         yield
     finally:
-        spark.conf.set(name, before)
+        if before is None:
+            spark.conf.unset(name)
+        else:
+            spark.conf.set(name, before)
 
 
 def broadcast_if_small(df: DataFrame, rows_at_most: int | None = None) -> DataFrame:
