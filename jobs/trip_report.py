@@ -22,9 +22,10 @@ def main(argv: list[str] | None = None) -> None:
     parser.add_argument("--many-files", action="store_true", help="do not merge each report into one file")
     args = parser.parse_args(argv)
     spark = build_session("Trip reports")
-    run_trip_reports(
+    counts = run_trip_reports(
         read_trips(spark, args.trips, not args.positional), args.output, args.top, args.min_rides, args.staging, not args.many_files
     )
+    print(counts)
 
 
 if __name__ == "__main__":

@@ -6,7 +6,7 @@ import argparse
 
 import common  # noqa: F401
 
-from velorank.operators.weather import ZONE, prepare_weather
+from velorank.operators.weather import ZONE, month_span, prepare_weather
 from velorank.plans.trips import run_weather_reports
 from velorank.session import build_session
 from velorank.sources.tables import read_trips, read_weather
@@ -30,7 +30,9 @@ def main(argv: list[str] | None = None) -> None:
     weather = prepare_weather(
         read_weather(spark, args.weather, not args.positional), args.year, args.month, args.zone, args.month_in, args.repeated_hours
     )
-    run_weather_reports(read_trips(spark, args.trips, not args.positional), weather, args.output, not args.many_files)
+    span = month_span(args.year, args.month, args.zone, args.month_in)
+    trips = read_trips(spark, args.trips, not args.positional)
+    print(run_weather_reports(trips, weather, args.output, not args.many_files, span=span))
 
 
 if __name__ == "__main__":

@@ -1,5 +1,6 @@
 """Published sample values of ten seeded random graphs."""
 
+import hashlib
 import random
 
 import pytest
@@ -10,6 +11,15 @@ from velorank.operators.graph import Graph
 
 NODES, EDGES, K, EPSILON = 5000, 20_000, 30, 1e-4
 
+# First digits of the SHA-256 of all thirty best ids in ascending order, standard and personalized, by graph seed.
+LISTS = {
+    42: ("522370defbf8f92b", "12c015de88d1284b"), 43: ("d5018ba845a08c01", "918335c36cb73b51"),
+    44: ("0d9863599fd46d44", "de620f81c01c2535"), 45: ("1d1ae98b302a3a3c", "09d8d02184e4eee1"),
+    46: ("28e81c6c05a7e47d", "732366c48d5e75bd"), 47: ("9741fba83db3b549", "b4528ee0c16267fa"),
+    48: ("0f2617bf33a9bcbf", "a152824b3c1b1bed"), 49: ("8d0d90af412750fd", "2fd44e9668ab1591"),
+    50: ("fa9728c465d43d19", "afe10fe1e3862aca"), 51: ("71ba23eb3171fc6f", "795ae1b11e5ec336"),
+}
+
 # Graph seed, seed vertices, five best standard and five best
 # personalized vertices, size of the overlap of the two top-30 lists.
 RUNS = [
@@ -27,6 +37,10 @@ RUNS = [
 AVERAGE_OVERLAP = 0.016666666666666666
 
 
+def digest(ids):
+    return hashlib.sha256(",".join(map(str, sorted(ids))).encode()).hexdigest()[:16]
+
+
 def test_sample_values(spark):
     edges, seeds, vertices = [], [], []
     for run, (seed, chosen, *_) in enumerate(RUNS):
@@ -38,11 +52,12 @@ def test_sample_values(spark):
     graph = Graph(edge_frame, vertices, ("run",))
     compared = compare_rankings(graph, spark.createDataFrame(seeds, "run int, id bigint"), K, 20, EPSILON)
     rows = compared.per_run.orderBy("run").collect()
-    for row, (_, chosen, standard, personalized, overlap) in zip(rows, RUNS, strict=True):
+    for row, (seed, chosen, standard, personalized, overlap) in zip(rows, RUNS, strict=True):
         assert sorted(chosen) == row.seeds
         assert row.topK_standard[:5] == standard
         assert row.topK_personalized[:5] == personalized
         assert row.overlap_count == overlap
+        assert (digest(row.topK_standard), digest(row.topK_personalized)) == LISTS[seed]
         # The whole lists, against the same graph ranked in memory.
         plain_edges = [e[1:] for e in edges if e[0] == row.run]
         for got, wanted in ((row.topK_standard, None), (row.topK_personalized, chosen)):

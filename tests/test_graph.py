@@ -34,14 +34,37 @@ def test_degrees_with_listed_vertices(spark, star):
 
 
 @pytest.mark.parametrize("length", [7, 100_000])
-def test_adjacency_in_slices(spark, star, length):
-    rows = g.adjacency(frames(spark, *star), length).collect()
-    assert sorted({r.node_id for r in rows}) == star[1]
-    assert sorted((r.node_id, t) for r in rows for t in r.out_neighbors) == sorted(star[0])
-    of_one = [r.out_neighbors for r in rows if r.node_id == 1]
-    assert len(of_one) == (9 if length == 7 else 1)
-    assert all(r.out_neighbors == sorted(r.out_neighbors) for r in rows)
-    assert max(len(x) for x in of_one) < 3 * length
+@pytest.mark.parametrize("stored_length", [7, 100_000])
+def test_adjacency_has_one_shape(spark, star, length, stored_length):
+    """The rows follow from the edges and the length, however sources are stored."""
+    edges, vertices = star
+    frame = g.adjacency(g.prepare_graph(frames(spark, edges, vertices), slice_edges=stored_length), length)
+    assert frame.columns == ["node_id", "slice", "out_neighbors"]
+    want = []
+    for v in vertices:
+        targets = sorted(t for s, t in edges if s == v)
+        want += [(v, k // length, targets[k : k + length]) for k in range(0, max(len(targets), 1), length)]
+    assert sorted((r.node_id, r.slice, r.out_neighbors) for r in frame.collect()) == sorted(want)
+
+
+def test_adjacency_of_vertices_only(spark):
+    frame = g.adjacency(frames(spark, [(1, 2), (9, 1)], [1, 2]))
+    assert sorted((r.node_id, r.out_neighbors) for r in frame.collect()) == [(1, [2]), (2, [])]
+
+
+def test_sources_are_read_once(spark):
+    reads = spark.sparkContext.accumulator(0)
+
+    def counted(batches):
+        for batch in batches:
+            reads.add(batch.num_rows)
+            yield batch
+
+    edges = spark.createDataFrame([(1, 2), (1, 3), (3, 2)], "src bigint, dst bigint").mapInArrow(counted, "src bigint, dst bigint")
+    ready = g.prepare_graph(g.Graph(edges))
+    assert g.adjacency(ready).count() == 3
+    assert g.contributions(ready, ready.vertices.selectExpr("id", "1D AS rank")).count() == 2
+    assert reads.value == 3
 
 
 @pytest.mark.parametrize("length", [7, 100_000])

@@ -47,7 +47,7 @@ def data(tmp_path_factory):
 
 
 @pytest.mark.parametrize("staged", [False, True])
-def test_trip_job(spark, data, tmp_path, staged):
+def test_trip_job(spark, data, tmp_path, staged, capsys):
     import trip_report
 
     extra = ["--staging", f"{tmp_path}/staged"] if staged else []
@@ -64,10 +64,11 @@ def test_trip_job(spark, data, tmp_path, staged):
     assert all(int(r["total_rides"]) >= 100 for r in reports["3_most_common_routes"])
     assert sum(float(r["percentage"]) for r in reports["4a_roundtrip_overall"]) == pytest.approx(100, abs=0.02)
     assert len(reports["4b_roundtrip_by_member"]) == 4
+    assert "{'loaded': 800, 'clean': 800, 'rejected': 0}" in capsys.readouterr().out
     assert not spark.sparkContext._jsc.getPersistentRDDs()
 
 
-def test_weather_job(spark, data, tmp_path):
+def test_weather_job(spark, data, tmp_path, capsys):
     import weather_report
 
     weather_report.main([
@@ -75,6 +76,7 @@ def test_weather_job(spark, data, tmp_path):
     ])
     assert not spark.sparkContext._jsc.getPersistentRDDs()
     reports = {path.split("/")[-1]: read(path) for path in glob.glob(f"{tmp_path}/out/*")}
+    assert "{'loaded': 800, 'clean': 800, 'joined': 800, 'rejected': 0}" in capsys.readouterr().out
     assert sorted(reports) == ["1_rain_impact_by_hour", "2_rain_impact_by_member", "3_temp_impact_comparison"]
     assert sum(int(r["num_rides"]) for r in reports["1_rain_impact_by_hour"]) == 800
     # 07:00 UTC, code 7, is 03:00 in New York.

@@ -45,7 +45,7 @@ def test_edge_list_round_trip(spark, graph, tmp_path):
 def test_adjacency_round_trip(spark, graph, tmp_path):
     files.write_adjacency(graph, f"{tmp_path}/a")
     lines = [json.loads(line) for p in parts(f"{tmp_path}/a") for line in open(p)]
-    assert {"node_id": 1, "out_neighbors": [2, 3]} in lines and {"node_id": 50, "out_neighbors": []} in lines
+    assert {"node_id": 1, "slice": 0, "out_neighbors": [2, 3]} in lines and {"node_id": 50, "slice": 0, "out_neighbors": []} in lines
     back = read_adjacency(spark, f"{tmp_path}/a")
     assert pairs(back) == pairs(graph)
     assert sorted(r.id for r in back.vertices.collect()) == [1, 2, 3, 12, 50]
@@ -80,6 +80,12 @@ def test_comparison_document(spark, tmp_path):
     assert document["average_overlap_ratio"] == pytest.approx(mean)
 
 
+def test_comparison_lines(spark, tmp_path):
+    comparison = compare_random_graphs(spark, 3, 30, 60, 2, RankSettings(k=4, max_iter=2))
+    files.write_comparison_lines(comparison, f"{tmp_path}/l")
+    assert [json.loads(line)["run"] for p in parts(f"{tmp_path}/l") for line in open(p)] == [0, 1, 2]
+
+
 def test_no_runs_and_no_list(spark):
     assert compare_random_graphs(spark, 0, 10, 10, 1, RankSettings()).summary.first()[0] == 0.0
     row = compare_random_graphs(spark, 1, 10, 20, 2, RankSettings(k=0, max_iter=1)).per_run.first()

@@ -88,6 +88,32 @@ def test_adjacency_files(spark, tmp_path, document):
     assert sorted(r.id for r in graph.vertices.collect()) == [1, 2, 3, 4]
 
 
+def test_damaged_adjacency_is_an_error(spark, tmp_path):
+    (tmp_path / "g.json").write_text('{"node_id": 1, "out_neighbors": [2]}\n{"node_id": 2, "out_neigh\n')
+    with pytest.raises(Exception, match="(?i)malformed"):
+        graphs.read_adjacency(spark, str(tmp_path)).edges.collect()
+    with pytest.raises(Exception, match="(?i)malformed"):
+        graphs.parse_adjacency_lines(spark.read.text(str(tmp_path))).edges.collect()
+
+
+def test_nodes_without_id_are_an_error(spark, tmp_path):
+    (tmp_path / "g.json").write_text('{"node_id": 1, "out_neighbors": [2]}\n{"out_neighbors": [3]}\n')
+    graph = graphs.read_adjacency(spark, str(tmp_path))
+    for frame in (graph.edges, graph.vertices):
+        with pytest.raises(Exception, match="no node_id"):
+            frame.collect()
+
+
+def test_text_lines_are_parsed_as_files_are(spark, tmp_path):
+    from velorank.sources import tables
+
+    names = ",".join(f.name for f in tables.TRIP_SCHEMA)
+    rows = ['1,classic,2024-10-01 10:00:00,x,"A, B",a,,b,1.5,,,,member', "2,e,,,,,,,,,,,casual"]
+    (tmp_path / "t.csv").write_text("\n".join([names, *rows]) + "\n")
+    lines = spark.createDataFrame([(r,) for r in rows], "value string")
+    assert sorted(tables.parse_trip_lines(lines).collect()) == sorted(tables.read_trips(spark, str(tmp_path)).collect())
+
+
 def test_seed_file(spark, tmp_path):
     (tmp_path / "seeds.txt").write_text("5\n\n 7 \n5\n")
     assert sorted(r.id for r in graphs.read_seeds(spark, str(tmp_path)).collect()) == [5, 7]

@@ -37,6 +37,27 @@ def test_month_and_missing_temperature(weather):
     assert sorted(r.hour_timestamp for r in local.collect()) == [dt.datetime(2024, 10, 31, 19), dt.datetime(2024, 10, 31, 22)]
 
 
+@pytest.mark.parametrize("month_in", ["utc", "local"])
+@pytest.mark.parametrize("year, month", [(2024, 3), (2024, 10), (2024, 11), (2023, 2), (2024, 12)])
+def test_span_covers_exactly_the_hours_of_a_month(weather, year, month, month_in):
+    """At both edges of months with and without a change of the clock."""
+    first = dt.datetime(year, month, 1) - dt.timedelta(days=2)
+    times = [first + dt.timedelta(hours=h) for h in range(36 * 24)]
+    rows = w.prepare_weather(weather(*[hour(t.year, t.month, t.day, t.hour) for t in times]), year, month, month_in=month_in)
+    local = [r.hour_timestamp for r in rows.collect()]
+    start, end = w.month_span(year, month, month_in=month_in)
+    assert (min(local), max(local)) == (start, end - dt.timedelta(hours=1))
+
+
+def test_span_loses_no_trip(spark, weather):
+    hours = weather(hour(2024, 10, 1, 0), hour(2024, 10, 31, 23))
+    times = ["2024-09-30 19:59:59", "2024-09-30 20:00:00", "2024-10-31 19:59:59", "2024-10-31 20:00:00"]
+    trips = spark.createDataFrame([(t,) for t in times], "t string").selectExpr("cast(t as timestamp) AS started_at")
+    prepared = w.prepare_weather(hours, 2024, 10)
+    for span in (None, w.month_span(2024, 10)):
+        assert w.join_weather(trips, prepared, 744, span).count() == 2
+
+
 def test_classes(weather):
     rows = weather(hour(2024, 10, 1, 5, 4.0, 7.0), hour(2024, 10, 1, 6, 30.0, None), hour(2024, 10, 1, 7, 20.0, 10.0))
     got = w.prepare_weather(rows, 2024, 10).orderBy("hour").select("rain_indicator", "temp_band").collect()

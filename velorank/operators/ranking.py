@@ -1,10 +1,11 @@
 """Standard and personalized PageRank as one DataFrame loop.
 
-A round is a single job with two shuffles: the ranks travel to the stored
-neighbour lists, and the contributions, summed before the shuffle, travel back
-together with the previous ranks.  Its result is checkpointed, so the plan and
-the lineage are equally short in every round and a lost executor costs at most
-one round.  Only per-round scalars reach the driver.
+Ranks are hash-partitioned by vertex and stay so: they meet the neighbour lists,
+laid out by source in the same partitions, without a shuffle, and a round moves
+nothing but the contributions, summed before the shuffle.  A round's ranks are
+written to the shared folder, so the plan and the lineage are equally short in
+every round and a lost executor costs at most one round.  Of one graph only its
+sums reach the driver, of many graphs only how many have not converged.
 """
 
 from __future__ import annotations
@@ -12,101 +13,86 @@ from __future__ import annotations
 import time
 from collections.abc import Sequence
 from dataclasses import dataclass
+from functools import reduce
 
-from pyspark.sql import Column, DataFrame, Observation, SparkSession
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
-from velorank.operators.graph import SLICE_EDGES, Graph, slice_length, sliced_edges, vertex_flags
+from velorank.operators.graph import SLICE_EDGES, Graph, PreparedGraph, fixed_layout, moved, prepare_graph
 from velorank.operators.selection import top_k
-from velorank.session import BROADCAST_ROWS, MERGE_CACHED, SHUFFLE_PARTITIONS, ensure_checkpoint_dir, setting
+from velorank.session import broadcast_if_small
 
 STANDARD = "standard"
 PERSONALIZED = "personalized"
 
-# Edges per partition of the stored neighbour lists: fewer than the first number
-# are not worth a task of their own, more than the second outgrow one.
-FEWEST_EDGES = 20_000
-MOST_EDGES = 50_000_000
-
-
-@dataclass(frozen=True)
-class Round:
-    """What one round did to one rank column of one graph."""
-
-    graph: tuple
-    variant: str
-    iteration: int
-    delta: float
-    dangling_mass: float
-    seconds: float
-
 
 @dataclass(frozen=True)
 class Ranking:
-    """Ranks ``id, out_degree, <variant>...`` and how they were reached."""
+    """Ranks ``id, out_degree, <variant>...`` and how they were reached.
+
+    ``history`` has a row per round, graph and variant that was still open:
+    the graph's keys, ``variant``, ``iteration``, ``delta``, ``dangling_mass``,
+    ``seconds``, ``num_partitions``, ``num_seeds``.
+    """
 
     ranks: DataFrame
-    rounds: list[Round]
+    history: DataFrame
+    round_seconds: list[float]
     num_partitions: int
     num_seeds: int = 0
 
     @property
     def iterations(self) -> int:
-        return max((r.iteration for r in self.rounds), default=0)
-
-    @property
-    def last_delta(self) -> float | None:
-        return self.rounds[-1].delta if self.rounds else None
-
-    @property
-    def round_seconds(self) -> list[float]:
-        """Seconds of each round; graphs and variants share them."""
-        return list({r.iteration: r.seconds for r in self.rounds}.values())
+        return len(self.round_seconds)
 
     @property
     def total_seconds(self) -> float:
         return sum(self.round_seconds)
 
     def convergence(self) -> DataFrame:
-        """One row per round, graph and variant."""
-        rows = [(r.variant, r.iteration, r.delta, r.dangling_mass, r.seconds) for r in self.rounds]
-        return self.ranks.sparkSession.createDataFrame(
-            rows, "variant string, iteration int, delta double, dangling_mass double, seconds double"
+        return self.history
+
+    def last_deltas(self) -> DataFrame:
+        """The last change of each graph and variant."""
+        keys = [c for c in self.history.columns if c not in _HISTORY]
+        return self.history.groupBy(*keys, "variant").agg(
+            F.max("iteration").alias("iterations"), F.max_by("delta", "iteration").alias("last_delta")
         )
 
 
+_HISTORY = ("variant", "iteration", "delta", "dangling_mass", "seconds", "num_partitions", "num_seeds")
+
+
 def pagerank(
-    graph: Graph,
+    graph: Graph | PreparedGraph,
     max_iter: int = 20,
     epsilon: float = 1e-3,
     damping: float = 0.85,
     num_partitions: int | None = None,
 ) -> Ranking:
     """Ranks ``id, out_degree, rank``; stops once the L1 change is below ``epsilon``."""
-    result = rank_variants(graph, [STANDARD], None, max_iter, epsilon, damping, num_partitions)
-    return _single(result, STANDARD)
+    return _single(rank_variants(graph, [STANDARD], None, max_iter, epsilon, damping, num_partitions), STANDARD)
 
 
 def personalized_pagerank(
-    graph: Graph,
-    seeds: DataFrame,
+    graph: Graph | PreparedGraph,
+    seeds: DataFrame | None = None,
     max_iter: int = 20,
     epsilon: float = 1e-3,
     damping: float = 0.85,
     num_partitions: int | None = None,
 ) -> Ranking:
-    """Ranks with random jumps to the ``seeds`` only.
+    """Ranks with random jumps to the ``seeds`` only (those of a prepared graph are known already).
 
     The rank of dangling vertices is still spread over all vertices.  Seeds that
     are no vertex count as seeds, so the share they would get is lost.
     """
-    result = rank_variants(graph, [PERSONALIZED], seeds, max_iter, epsilon, damping, num_partitions)
-    return _single(result, PERSONALIZED)
+    return _single(rank_variants(graph, [PERSONALIZED], seeds, max_iter, epsilon, damping, num_partitions), PERSONALIZED)
 
 
 def _single(result: Ranking, variant: str) -> Ranking:
     ranks = result.ranks.withColumnRenamed(variant, "rank")
-    return Ranking(ranks, result.rounds, result.num_partitions, result.num_seeds)
+    return Ranking(ranks, result.history, result.round_seconds, result.num_partitions, result.num_seeds)
 
 
 def top_ranks(ranks: DataFrame, k: int, rank: str = "rank", keys: Sequence[str] = ()) -> DataFrame:
@@ -115,7 +101,7 @@ def top_ranks(ranks: DataFrame, k: int, rank: str = "rank", keys: Sequence[str]
 
 
 def rank_variants(
-    graph: Graph,
+    graph: Graph | PreparedGraph,
     variants: Sequence[str],
     seeds: DataFrame | None,
     max_iter: int,
@@ -126,232 +112,158 @@ def rank_variants(
 ) -> Ranking:
     """Rank every graph in ``graph`` by every variant, in the same rounds.
 
-    The variants share the neighbour lists and both shuffles.  A graph's variant
+    The variants share the neighbour lists and the shuffle.  A graph's variant
     that has converged keeps its ranks while the others go on.
     """
-    if PERSONALIZED in variants and seeds is None:
-        raise ValueError("Personalized variant requires seeds!")
-    spark = graph.edges.sparkSession
-    ensure_checkpoint_dir(spark)
-    keys = list(graph.keys)
-    edges = graph.edges.select(*keys, "src", "dst")
-    stored = None
-    try:
-        with setting(spark, MERGE_CACHED, "true"):
-            edges = edges.persist()
-            flags, sizes = _checkpoint(
-                vertex_flags(Graph(edges, graph.vertices, graph.keys), seeds), keys, _size_metrics(slice_edges)
-            )
-        _check_sizes(sizes, PERSONALIZED in variants)
-        num_edges = sum(size["edges"] for size in sizes.values())
-        num_busy = sum(size["busy"] for size in sizes.values())
-        length, sliced = slice_length(num_edges, num_busy, slice_edges), num_busy > 0
-        partitions = num_partitions or _default_partitions(spark, num_edges)
-        vertices = flags.filter("is_vertex").drop("is_vertex", *([] if seeds is not None else ["is_seed"]))
-        stored = _neighbour_lists(edges, vertices, keys, length, sliced, partitions).persist()
-        with setting(spark, SHUFFLE_PARTITIONS, partitions):
-            state, rounds = _iterate(
-                stored, vertices, sizes, keys, list(variants), length, sliced, max_iter, epsilon, damping
-            )
-    finally:
-        edges.unpersist()
-        if stored is not None:
-            stored.unpersist()
-    num_seeds = sum(size["seeds"] for size in sizes.values())
-    return Ranking(state.select(*keys, "id", "out_degree", *variants), rounds, partitions, num_seeds)
-
-
-def _size_metrics(slice_edges: int) -> list[Column]:
-    vertex = F.col("is_vertex")
-    return [
-        F.count_if(vertex).alias("vertices"),
-        F.count_if(F.col("is_seed")).alias("seeds"),
-        F.count_if(vertex & (F.col("out_degree") == 0)).alias("dangling"),
-        F.coalesce(F.sum(F.when(vertex, F.col("out_degree"))), F.lit(0)).alias("edges"),
-        F.count_if(F.col("out_degree") > slice_edges).alias("busy"),
-    ]
-
-
-def _check_sizes(sizes: dict[tuple, dict], need_seeds: bool) -> None:
-    if not sizes or any(size["vertices"] == 0 for size in sizes.values()):
-        raise ValueError("empty graph")
-    if need_seeds and any(size["seeds"] == 0 for size in sizes.values()):
-        raise ValueError("Personalized variant requires seeds!")
-    if len(sizes) > BROADCAST_ROWS:
-        raise ValueError("too many graphs for one run")
-
-
-def _default_partitions(spark: SparkSession, num_edges: int) -> int:
-    """Two per core, more for graphs too large for that, fewer for tiny ones."""
-    usual = max(2 * spark.sparkContext.defaultParallelism, 8)
-    return max(min(usual, -(-num_edges // FEWEST_EDGES)), -(-num_edges // MOST_EDGES), 1)
-
-
-def _neighbour_lists(
-    edges: DataFrame, vertices: DataFrame, keys: list[str], length: int, sliced: bool, partitions: int
-) -> DataFrame:
-    """Rows ``src[, slice], targets``, laid out once so that no round moves them.
-
-    Hashing by source and slice keeps even a source with a large part of all
-    edges apart in many partitions; the sort spares each round's join a sort.
-    """
-    place = [*keys, "src", "slice"] if sliced else [*keys, "src"]
-    rows = sliced_edges(edges, vertices, keys, length) if sliced else edges
-    return (
-        rows.repartition(partitions, *place)
-        .groupBy(*place)
-        .agg(F.collect_list("dst").alias("targets"))
-        .sortWithinPartitions(*place)
+    ready = graph if isinstance(graph, PreparedGraph) else prepare_graph(graph, seeds, num_partitions, slice_edges)
+    if ready.totals["vertices"] == 0:
+        raise ValueError("the graph has no vertex")
+    with fixed_layout(ready.flags.sparkSession, ready.partitions):
+        sums = _ManyGraphs(ready, variants, epsilon) if ready.keys else _OneGraph(ready, variants, epsilon)
+        if PERSONALIZED in variants and sums.without_seeds():
+            raise ValueError("personalized ranks need at least one seed in every graph")
+        state = sums.joined(ready.flags.filter("is_vertex").drop("is_vertex"), ["vertices"])
+        state = state.withColumns({v: 1 / F.col("vertices") for v in variants}).drop("vertices")
+        seconds: list[float] = []
+        while len(seconds) < max_iter and sums.any_open():
+            began = time.perf_counter()
+            plan = _next_state(ready, state, sums, list(variants), damping)
+            state = sums.advance(plan, len(seconds) + 1, began)
+            seconds.append(time.perf_counter() - began)
+        history = sums.history()
+    return Ranking(state.select(*ready.keys, "id", "out_degree", *variants), history, seconds, ready.partitions, ready.totals["seeds"])
+
+
+def _next_state(ready: PreparedGraph, state: DataFrame, sums: _OneGraph | _ManyGraphs, variants: list[str], damping: float) -> DataFrame:
+    """The plan of a round: ranks after it, and ``_change_<variant>``."""
+    keys = list(ready.keys)
+    giving = sums.running(state.filter("out_degree > 0")).select(
+        *keys, "id", "out_degree", *[(F.col(v) / F.col("out_degree")).alias(f"_give_{v}") for v in variants]
     )
+    names = [f"_give_{v}" for v in variants]
+    # Ids that are no vertex are not in the state; what they receive is lost.
+    got = moved(ready, giving, names).groupBy(*keys, "id").agg(*[F.sum(n).alias(n) for n in names])
+    both = sums.joined(state.join(got, [*keys, "id"], "left"), ["vertices", "seeds", *[f"{x}_{v}" for v in variants for x in ("open", "mass")]])
+    after = {}
+    for v in variants:
+        seeded = F.when(F.col("is_seed"), (1 - damping) / F.col("seeds")).otherwise(F.lit(0.0))
+        jump = seeded if v == PERSONALIZED else (1 - damping) / F.col("vertices")
+        received = F.coalesce(f"_give_{v}", F.lit(0.0)) + F.col(f"mass_{v}") / F.col("vertices")
+        after[v] = F.when(F.col(f"open_{v}"), jump + damping * received).otherwise(F.col(v))
+    kept = [*keys, "id", "out_degree", "is_seed"]
+    moves = both.select(*kept, *[F.col(v).alias(f"_before_{v}") for v in variants], *[c.alias(v) for v, c in after.items()])
+    return moves.select(*kept, *variants, *[F.abs(F.col(v) - F.col(f"_before_{v}")).alias(f"_change_{v}") for v in variants])
 
 
-def _iterate(
-    stored: DataFrame,
-    vertices: DataFrame,
-    sizes: dict[tuple, dict],
-    keys: list[str],
-    variants: list[str],
-    length: int,
-    sliced: bool,
-    max_iter: int,
-    epsilon: float,
-    damping: float,
-) -> tuple[DataFrame, list[Round]]:
-    start = {key: {"_start": 1.0 / size["vertices"]} for key, size in sizes.items()}
-    state = _with_scalars(vertices, keys, start)
-    state = state.select(*vertices.columns, *[F.col("_start").alias(v) for v in variants])
-    mass = {(key, v): size["dangling"] / size["vertices"] for key, size in sizes.items() for v in variants}
-    open_ = set(mass)
-    rounds: list[Round] = []
-    for iteration in range(1, max_iter + 1):
-        if not open_:
-            break
-        began = time.perf_counter()
-        scalars = {
-            key: _round_scalars(key, size, mass, open_, variants, damping) for key, size in sizes.items()
-        }
-        plan = _next_state(stored, state, scalars, keys, variants, length, sliced, damping)
-        metrics = [
-            metric
-            for v in variants
-            for metric in (
-                F.coalesce(F.sum(f"_change_{v}"), F.lit(0.0)).alias(f"delta_{v}"),
-                F.coalesce(F.sum(F.when(F.col("out_degree") == 0, F.col(v))), F.lit(0.0)).alias(f"mass_{v}"),
-            )
-        ]
-        state, seen = _checkpoint(plan, keys, metrics, [f"_change_{v}" for v in variants])
-        seconds = time.perf_counter() - began
-        for key, v in sorted(open_, key=str):
-            delta = seen[key][f"delta_{v}"]
-            rounds.append(Round(key, v, iteration, delta, mass[key, v], seconds))
-            mass[key, v] = seen[key][f"mass_{v}"]
-            if delta < epsilon:
-                open_.discard((key, v))
-    return state, rounds
-
-
-def _round_scalars(
-    key: tuple, size: dict, mass: dict, open_: set, variants: list[str], damping: float
-) -> dict[str, float | bool]:
-    """Per-graph constants of a round: what every vertex and every seed is given."""
-    scalars: dict[str, float | bool] = {}
-    for v in variants:
-        by_seed = v == PERSONALIZED
-        scalars[f"_open_{v}"] = (key, v) in open_
-        scalars[f"_all_{v}"] = 0.0 if by_seed else (1.0 - damping) / size["vertices"]
-        scalars[f"_seed_{v}"] = (1.0 - damping) / size["seeds"] if by_seed else 0.0
-        scalars[f"_dangling_{v}"] = mass[key, v] / size["vertices"]
-    return scalars
-
-
-def _next_state(
-    stored: DataFrame,
-    state: DataFrame,
-    scalars: dict[tuple, dict],
-    keys: list[str],
-    variants: list[str],
-    length: int,
-    sliced: bool,
-    damping: float,
-) -> DataFrame:
-    place = [*keys, "src", "slice"] if sliced else [*keys, "src"]
-    seeded = "is_seed" in state.columns
-    flag = ["is_seed"] if seeded else []
-    busy = state.filter("out_degree > 0")
-    running = [key for key, values in scalars.items() if any(values[f"_open_{v}"] for v in variants)]
-    if len(running) < len(scalars):
-        still = state.sparkSession.createDataFrame(running, state.select(*keys).schema)
-        busy = busy.join(F.broadcast(still), keys, "left_semi")  # one row per graph
-    numbered = [f"explode(sequence(0, cast(ceil(out_degree / {length}) as int) - 1)) AS slice"] if sliced else []
-    gives = busy.selectExpr(
-        *keys, "id AS src", *numbered, *[f"{v} / out_degree AS _give_{v}" for v in variants]
-    )
-    moved = stored.join(gives, place).selectExpr(
-        *keys,
-        "explode(targets) AS id",
-        "cast(null AS bigint) AS out_degree",
-        *["cast(null AS boolean) AS is_seed"] * seeded,
-        *[f"cast(null AS double) AS _before_{v}" for v in variants],
-        *[f"_give_{v}" for v in variants],
-    )
-    before = state.selectExpr(
-        *keys, "id", "out_degree", *flag,
-        *[f"{v} AS _before_{v}" for v in variants],
-        *[f"cast(0 AS double) AS _give_{v}" for v in variants],
-    )
-    # Ids that are no vertex have no previous rank; what they receive is lost.
-    summed = (
-        moved.unionAll(before)
-        .groupBy(*keys, "id")
-        .agg(
-            *[F.max(name).alias(name) for name in ("out_degree", *flag, *[f"_before_{v}" for v in variants])],
-            *[F.sum(f"_give_{v}").alias(f"_sum_{v}") for v in variants],
+def _round_sums(variants: Sequence[str]) -> list[Column]:
+    dangling = F.col("out_degree") == 0
+    return [
+        total
+        for v in variants
+        for total in (
+            F.coalesce(F.sum(f"_change_{v}"), F.lit(0.0)).alias(f"delta_{v}"),
+            F.coalesce(F.sum(F.when(dangling, F.col(v))), F.lit(0.0)).alias(f"next_{v}"),
         )
-        .filter("out_degree IS NOT NULL")
-    )
-    jump = {v: f"_all_{v} + if(is_seed, _seed_{v}, 0e0)" if seeded else f"_all_{v}" for v in variants}
-    after = [
-        f"if(_open_{v}, {jump[v]} + {damping!r}D * (_sum_{v} + _dangling_{v}), _before_{v}) AS {v}" for v in variants
     ]
-    return (
-        _with_scalars(summed, keys, scalars)
-        .selectExpr(*keys, "id", "out_degree", *flag, *after, *[f"_before_{v}" for v in variants])
-        .selectExpr(
-            *keys, "id", "out_degree", *flag, *variants, *[f"abs({v} - _before_{v}) AS _change_{v}" for v in variants]
-        )
-    )
-
 
-def _with_scalars(df: DataFrame, keys: list[str], scalars: dict[tuple, dict]) -> DataFrame:
-    """Add each graph's scalars as columns: literals, or one row per graph joined on its keys."""
-    if not keys:
-        (values,) = scalars.values()
-        return df.withColumns({name: F.lit(value) for name, value in values.items()})
-    names = list(next(iter(scalars.values())))
-    types = {bool: "boolean", float: "double"}
-    first = next(iter(scalars.values()))
-    schema = ", ".join(
-        [f"`{name}` {df.schema[name].dataType.simpleString()}" for name in keys]
-        + [f"`{name}` {types[type(first[name])]}" for name in names]
-    )
-    rows = [(*key, *[values[name] for name in names]) for key, values in scalars.items()]
-    table = df.sparkSession.createDataFrame(rows, schema)
-    # One row per graph; `_check_sizes` bounds their number.
-    return df.join(F.broadcast(table), keys)
 
-
-def _checkpoint(
-    df: DataFrame, keys: list[str], metrics: list[Column], metric_columns: Sequence[str] = ()
-) -> tuple[DataFrame, dict[tuple, dict]]:
-    """Write ``df`` to the checkpoint folder and return it with its metrics per graph.
-
-    For a single graph the metrics are observed while the rows are written, so
-    no second job runs, and ``metric_columns`` need not be written.
-    """
-    if keys:
-        done = df.checkpoint()
-        rows = done.groupBy(*keys).agg(*metrics).collect()  # one row per graph
-        return done.drop(*metric_columns), {tuple(row[k] for k in keys): row.asDict() for row in rows}
-    watch = Observation()
-    done = df.observe(watch, *metrics).drop(*metric_columns).checkpoint()
-    return done, {(): watch.get}
+class _OneGraph:
+    """The sums of a single graph: a few numbers on the driver, observed while a round's ranks are written."""
+
+    def __init__(self, ready: PreparedGraph, variants: Sequence[str], epsilon: float) -> None:
+        totals = ready.totals
+        self._ready, self._variants, self._epsilon = ready, variants, epsilon
+        self._values = {"vertices": totals["vertices"], "seeds": totals["seeds"]}
+        self._values |= {f"open_{v}": True for v in variants}
+        self._values |= {f"mass_{v}": totals["dangling"] / totals["vertices"] for v in variants}
+        self._rows: list[tuple] = []
+
+    def without_seeds(self) -> bool:
+        return self._values["seeds"] == 0
+
+    def any_open(self) -> bool:
+        return any(self._values[f"open_{v}"] for v in self._variants)
+
+    def joined(self, df: DataFrame, names: list[str]) -> DataFrame:
+        return df.withColumns({n: F.lit(self._values[n]) for n in names})
+
+    def running(self, df: DataFrame) -> DataFrame:
+        return df
+
+    def advance(self, plan: DataFrame, iteration: int, began: float) -> DataFrame:
+        watch = Observation()
+        done = plan.observe(watch, *_round_sums(self._variants)).drop(*[f"_change_{v}" for v in self._variants]).checkpoint()
+        seen, seconds = watch.get, time.perf_counter() - began
+        for v in self._variants:
+            if self._values[f"open_{v}"]:
+                delta = seen[f"delta_{v}"]
+                self._rows.append((v, iteration, delta, self._values[f"mass_{v}"], seconds, self._ready.partitions, self._values["seeds"]))
+                self._values[f"mass_{v}"] = seen[f"next_{v}"]
+                self._values[f"open_{v}"] = delta >= self._epsilon
+        return done
+
+    def history(self) -> DataFrame:
+        kinds = ("string", "int", "double", "double", "double", "int", "bigint")
+        schema = ", ".join(f"{n} {k}" for n, k in zip(_HISTORY, kinds))
+        return self._ready.flags.sparkSession.createDataFrame(self._rows, schema)
+
+
+class _ManyGraphs:
+    """The sums of keyed graphs: a row per graph, written each round; only a count of open ones is collected."""
+
+    def __init__(self, ready: PreparedGraph, variants: Sequence[str], epsilon: float) -> None:
+        self._ready, self._variants, self._epsilon, self._keys = ready, variants, epsilon, list(ready.keys)
+        vertex = F.col("is_vertex")
+        counts = ready.flags.groupBy(*self._keys).agg(
+            F.count_if(vertex).alias("vertices"), F.count_if(F.col("is_seed")).alias("seeds"),
+            F.count_if(vertex & (F.col("out_degree") == 0)).alias("dangling"),
+        )
+        opened = {f"open_{v}": F.lit(True) for v in variants} | {f"mass_{v}": F.col("dangling") / F.col("vertices") for v in variants}
+        self._sums = counts.filter("vertices > 0").withColumns(opened).drop("dangling").checkpoint()
+        self._graphs = self._sums.count()
+        self._steps: list[DataFrame] = []
+
+    def without_seeds(self) -> bool:
+        return not self._sums.filter("seeds = 0").isEmpty()
+
+    def _is_open(self) -> Column:
+        return reduce(lambda a, b: a | b, [F.col(f"open_{v}") for v in self._variants])
+
+    def any_open(self) -> bool:
+        return self._sums.filter(self._is_open()).count() > 0
+
+    def _small(self, rows: DataFrame) -> DataFrame:
+        """Broadcast for up to a counted million graphs; beyond that Spark shuffles."""
+        return broadcast_if_small(rows, self._graphs)
+
+    def joined(self, df: DataFrame, names: list[str]) -> DataFrame:
+        return df.join(self._small(self._sums.select(*self._keys, *names)), self._keys)
+
+    def running(self, df: DataFrame) -> DataFrame:
+        return df.join(self._small(self._sums.filter(self._is_open()).select(*self._keys)), self._keys, "left_semi")
+
+    def advance(self, plan: DataFrame, iteration: int, began: float) -> DataFrame:
+        done = plan.checkpoint()
+        seen = done.groupBy(*self._keys).agg(*_round_sums(self._variants))
+        self._sums = self._sums.drop(*[f"{x}_{v}" for v in self._variants for x in ("delta", "was")]).withColumns(
+            {f"was_{v}": F.col(f"open_{v}") for v in self._variants} | {f"mass_before_{v}": F.col(f"mass_{v}") for v in self._variants}
+        ).join(seen, self._keys).withColumns(
+            {f"open_{v}": F.col(f"was_{v}") & (F.col(f"delta_{v}") >= self._epsilon) for v in self._variants}
+            | {f"mass_{v}": F.col(f"next_{v}") for v in self._variants}
+        ).drop(*[f"next_{v}" for v in self._variants]).checkpoint()
+        seconds = time.perf_counter() - began
+        for v in self._variants:
+            self._steps.append(self._sums.filter(f"was_{v}").select(
+                *self._keys, F.lit(v).alias("variant"), F.lit(iteration).alias("iteration"), F.col(f"delta_{v}").alias("delta"),
+                F.col(f"mass_before_{v}").alias("dangling_mass"), F.lit(seconds).alias("seconds"),
+                F.lit(self._ready.partitions).alias("num_partitions"), F.col("seeds").alias("num_seeds"),
+            ))
+        self._sums = self._sums.drop(*[f"mass_before_{v}" for v in self._variants])
+        return done.drop(*[f"_change_{v}" for v in self._variants])
+
+    def history(self) -> DataFrame:
+        if self._steps:
+            return reduce(DataFrame.unionAll, self._steps)
+        kinds = ("string", "int", "double", "double", "double", "int", "bigint")
+        keys = [f"`{k}` {self._sums.schema[k].dataType.simpleString()}" for k in self._keys]
+        return self._sums.sparkSession.createDataFrame([], ", ".join([*keys, *(f"{n} {k}" for n, k in zip(_HISTORY, kinds))]))

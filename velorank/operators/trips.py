@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from velorank.functions.columns import (
     RIDE_BAND_ABOVE,
@@ -20,9 +21,14 @@ MAX_MINUTES = 1440
 
 def with_duration(trips: DataFrame) -> DataFrame:
     """Parsed start and end times and ``duration_minutes``."""
-    return trips.withColumns(
-        {name: as_timestamp(trips, name) for name in ("started_at", "ended_at")}
-    ).withColumn("duration_minutes", minutes_between(F.col("started_at"), F.col("ended_at")))
+    times = {name: as_timestamp(trips, name) for name in ("started_at", "ended_at")}
+    if any(isinstance(trips.schema[name].dataType, T.StringType) for name in times):
+        # Generated columns keep Spark from parsing again for every condition on them.
+        parsed = F.struct(*[value.alias(f"_{name}") for name, value in times.items()])
+        trips = trips.select("*", F.inline(F.array(parsed)))
+        times = {name: F.col(f"_{name}") for name in times}
+    timed = trips.withColumns(times).drop("_started_at", "_ended_at")
+    return timed.withColumn("duration_minutes", minutes_between(F.col("started_at"), F.col("ended_at")))
 
 
 def clean_trips(trips: DataFrame, max_minutes: float = MAX_MINUTES, require_end_station: bool = False) -> DataFrame:
@@ -36,6 +42,15 @@ def clean_trips(trips: DataFrame, max_minutes: float = MAX_MINUTES, require_end_
     return with_duration(trips).filter(_plausible(max_minutes))
 
 
+def is_clean(max_minutes: float = MAX_MINUTES, require_end_station: bool = False) -> Column:
+    """Whether `clean_trips` keeps a row of `with_duration`; never NULL."""
+    present = ["ride_id", "start_station_id"] + (["end_station_id"] if require_end_station else [])
+    kept = _plausible(max_minutes)
+    for name in present:
+        kept = kept & F.col(name).isNotNull()
+    return F.coalesce(kept, F.lit(False))
+
+
 def _plausible(max_minutes: float) -> Column:
     minutes = F.col("duration_minutes")
     return (

@@ -5,17 +5,18 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from velorank.operators.graph import Graph, vertex_degrees
+from velorank.operators.graph import Graph, PreparedGraph, vertex_degrees
 
 
-def validate_ranks(graph: Graph, ranks: DataFrame, epsilon: float) -> DataFrame:
+def validate_ranks(graph: Graph | PreparedGraph, ranks: DataFrame, epsilon: float) -> DataFrame:
     """One row saying whether ``ranks`` (``id, rank``) fit ``graph``.
 
-    The checks are ordered; ``reason`` names the first that fails, and numbers
-    that only later checks need are then NULL.  Vertices and ranks meet in one
+    The checks are ordered; ``reason`` is the code of the first that fails, and
+    numbers that only later checks need are then NULL.  Vertices and ranks meet in one
     aggregation, so a missing or repeated rank shows up as a count.
     """
-    vertices = vertex_degrees(graph).select(
+    degrees = graph.vertices if isinstance(graph, PreparedGraph) else vertex_degrees(graph)
+    vertices = degrees.select(
         "id", F.lit(1).alias("node"), F.lit(0).alias("ranked"),
         (F.col("out_degree") == 0).cast("int").alias("dangling"), F.lit(None).cast("double").alias("rank"),
     )
@@ -40,33 +41,16 @@ def validate_ranks(graph: Graph, ranks: DataFrame, epsilon: float) -> DataFrame:
         F.count_if(dangling & (F.col("ranked") == 0)).alias("missing_dangling_ranks"),
         F.min(F.when(dangling, F.col("lowest"))).alias("min_dangling_rank"),
     )
-    # Each entry: condition of failure, its text, the numbers first known at that check.
-    off = F.abs(F.col("rank_sum") - 1.0) > epsilon
+    # Each entry: condition of failure, its code, the numbers first known at that check.
     some_dangling = F.col("dangling_nodes_count") > 0
     checks = [
-        (F.col("negative_ranks_count") > 0, F.lit("Found negative ranks"), ["negative_ranks_count"]),
-        (
-            off,
-            F.format_string(f"Rank sum %s not close to 1.0 (epsilon={epsilon})", F.col("rank_sum").cast("string")),
-            ["rank_sum"],
-        ),
-        (
-            F.col("num_nodes") != F.col("num_ranks"),
-            F.format_string("Mismatch: %d nodes but %d ranks", "num_nodes", "num_ranks"),
-            ["num_nodes", "num_ranks"],
-        ),
-        (
-            F.col("missing_dangling_ranks") > 0,
-            F.format_string("%d dangling nodes missing ranks", "missing_dangling_ranks"),
-            ["dangling_nodes_count", "missing_dangling_ranks"],
-        ),
-        (
-            some_dangling & (F.col("min_dangling_rank") <= 0),
-            F.lit("Dangling nodes have non-positive ranks"),
-            ["min_dangling_rank"],
-        ),
+        (F.col("negative_ranks_count") > 0, "negative_rank", ["negative_ranks_count"]),
+        (F.abs(F.col("rank_sum") - 1.0) > epsilon, "sum_off", ["rank_sum"]),
+        (F.col("num_nodes") != F.col("num_ranks"), "count_differs", ["num_nodes", "num_ranks"]),
+        (F.col("missing_dangling_ranks") > 0, "dangling_unranked", ["dangling_nodes_count", "missing_dangling_ranks"]),
+        (some_dangling & (F.col("min_dangling_rank") <= 0), "dangling_not_positive", ["min_dangling_rank"]),
     ]
-    reason = F.coalesce(*[F.when(failed, text) for failed, text, _ in checks])
+    reason = F.coalesce(*[F.when(failed, F.lit(code)) for failed, code, _ in checks])
     columns, passed = [], F.lit(True)
     for failed, _, names in checks:
         for name in names:

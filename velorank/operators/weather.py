@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from datetime import datetime, timedelta, timezone
+from zoneinfo import ZoneInfo
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -16,6 +18,7 @@ from velorank.functions.columns import (
     code_class,
     percent,
 )
+from velorank.operators.trips import is_clean, with_duration
 from velorank.session import broadcast_if_small
 
 ZONE = "America/New_York"
@@ -58,6 +61,15 @@ def prepare_weather(
     )
 
 
+def month_span(year: int, month: int, zone: str = ZONE, month_in: str = "utc") -> tuple[datetime, datetime]:
+    """The local times, from the first to before the second, that the weather of a month can be joined to."""
+    hours = [datetime(year, month, 1) + timedelta(hours=h) for h in range(-48, HOURS_IN_MONTH + 48)]
+    local = [h.replace(tzinfo=timezone.utc).astimezone(ZoneInfo(zone)).replace(tzinfo=None) for h in hours]
+    by = hours if month_in == "utc" else local
+    inside = [t for t, h in zip(local, by) if (h.year, h.month) == (year, month)]
+    return min(inside), max(inside) + timedelta(hours=1)
+
+
 def _first_per_hour(rows: DataFrame) -> DataFrame:
     whole = F.struct(*[F.col(name) for name in rows.columns])
     return (
@@ -67,20 +79,52 @@ def _first_per_hour(rows: DataFrame) -> DataFrame:
     )
 
 
-def join_weather(trips: DataFrame, weather: DataFrame, weather_rows_at_most: int | None = None) -> DataFrame:
+def join_weather(
+    trips: DataFrame,
+    weather: DataFrame,
+    weather_rows_at_most: int | None = None,
+    span: tuple[datetime, datetime] | None = None,
+) -> DataFrame:
     """Trips with the weather of their start hour and ``is_rainy``; other trips are dropped.
 
     The weather side is broadcast while it is small: ``weather_rows_at_most``
     is a bound the caller knows, otherwise the rows are counted.  Past that the
-    join is shuffled, and Spark splits the busy hours.
+    join is shuffled, and Spark splits the busy hours.  ``span``, as `month_span`
+    gives it, lets the scan skip trips outside the weather's time.
     """
+    if span is not None:
+        trips = within(trips, span)
     hourly = weather.select("hour_timestamp", "rain_indicator", "temp", "temp_band")
     hourly = broadcast_if_small(hourly, weather_rows_at_most)
-    rainy = F.when(F.col("rain_indicator") != PRECIPITATION_NONE, "rainy").otherwise("non_rainy")
-    return (
-        trips.withColumn("hour_timestamp", F.date_trunc("hour", "started_at"))
-        .join(hourly, "hour_timestamp")
-        .withColumn("is_rainy", rainy)
+    return _with_hour(trips).join(hourly, "hour_timestamp").withColumn("is_rainy", _rainy())
+
+
+def within(trips: DataFrame, span: tuple[datetime, datetime]) -> DataFrame:
+    """Trips that start in a span of local time; a stored timestamp is compared in the scan."""
+    return trips.filter((F.col("started_at") >= _moment(span[0])) & (F.col("started_at") < _moment(span[1])))
+
+
+def _moment(local: datetime) -> Column:
+    return F.lit(local.isoformat(sep=" ")).cast("timestamp")
+
+
+def _with_hour(trips: DataFrame) -> DataFrame:
+    return trips.withColumn("hour_timestamp", F.date_trunc("hour", "started_at"))
+
+
+def _rainy() -> Column:
+    return F.when(F.col("rain_indicator") != PRECIPITATION_NONE, "rainy").otherwise("non_rainy")
+
+
+def join_counts(raw_trips: DataFrame, weather: DataFrame, weather_rows_at_most: int | None = None) -> DataFrame:
+    """One row: trips loaded, clean trips, and rows of their join to the weather; one pass over the trips."""
+    hours = weather.groupBy("hour_timestamp").agg(F.count(F.lit(1)).alias("matches"))
+    rows = _with_hour(with_duration(raw_trips)).withColumn("clean", is_clean())
+    joined = rows.join(broadcast_if_small(hours, weather_rows_at_most), "hour_timestamp", "left")
+    return joined.agg(
+        F.count(F.lit(1)).alias("loaded"),
+        F.count_if("clean").alias("clean"),
+        F.coalesce(F.sum(F.when(F.col("clean"), F.col("matches"))), F.lit(0)).alias("joined"),
     )
 
 

@@ -7,7 +7,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, SparkSession
 
 from velorank.operators.comparison import Comparison, compare_rankings, no_comparison
-from velorank.operators.graph import Graph
+from velorank.operators.graph import Graph, PreparedGraph
 from velorank.operators.ranking import Ranking, pagerank, personalized_pagerank
 from velorank.sinks.files import write_comparison
 from velorank.sources.graphs import random_graphs, sample_vertices
@@ -15,7 +15,7 @@ from velorank.sources.graphs import random_graphs, sample_vertices
 
 @dataclass(frozen=True)
 class RankSettings:
-    """Settings of a rank run with their usual values."""
+    """Settings of a rank run; the defaults are fixed values."""
 
     k: int = 20
     max_iter: int = 20
@@ -24,7 +24,7 @@ class RankSettings:
     num_partitions: int | None = None
 
 
-def rank_graph(graph: Graph, settings: RankSettings, seeds: DataFrame | None = None) -> Ranking:
+def rank_graph(graph: Graph | PreparedGraph, settings: RankSettings, seeds: DataFrame | None = None) -> Ranking:
     """Standard ranks, or personalized ones where ``seeds`` are given."""
     common = (settings.max_iter, settings.epsilon, settings.damping, settings.num_partitions)
     if seeds is None:

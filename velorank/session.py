@@ -10,6 +10,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 SHUFFLE_PARTITIONS = "spark.sql.shuffle.partitions"
+ADAPTIVE = "spark.sql.adaptive.enabled"
+BROADCAST_THRESHOLD = "spark.sql.autoBroadcastJoinThreshold"
 # Lets adaptive execution merge small partitions of what is cached, too.
 MERGE_CACHED = "spark.sql.optimizer.canChangeCachedPlanOutputPartitioning"
 

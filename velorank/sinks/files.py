@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from velorank.operators.comparison import Comparison
-from velorank.operators.graph import Graph, adjacency
+from velorank.operators.graph import Graph, PreparedGraph, adjacency
 
 
 def write_report(report: DataFrame, path: str, single_file: bool = True) -> None:
@@ -15,16 +15,19 @@ def write_report(report: DataFrame, path: str, single_file: bool = True) -> None
     out.write.mode("overwrite").option("header", True).csv(path)
 
 
+# Names of columns, fields and files below are fixed values: readers of the outputs rely on them.
+
+
 def write_edge_list(graph: Graph, path: str, delimiter: str = "\t") -> None:
     """``src<delimiter>dst`` lines, one per edge."""
     graph.edges.select("src", "dst").write.mode("overwrite").option("sep", delimiter).csv(path)
 
 
-def write_adjacency(graph: Graph, path: str) -> None:
-    """One ``{"node_id", "out_neighbors"}`` object per line, isolated vertices included.
+def write_adjacency(graph: Graph | PreparedGraph, path: str) -> None:
+    """One ``{"node_id", "slice", "out_neighbors"}`` object per line, isolated vertices included.
 
-    `velorank.sources.graphs.read_adjacency` reads it back.  A vertex with very
-    many neighbours spans several lines.
+    `velorank.sources.graphs.read_adjacency` reads it back; ``slice`` numbers the
+    lines of a vertex, of which there is one for each 100,000 neighbours.
     """
     adjacency(graph).write.mode("overwrite").json(path)
 
@@ -34,22 +37,28 @@ def write_ranks(ranks: DataFrame, path: str) -> None:
     ranks.select("id", "rank").orderBy("id").write.mode("overwrite").option("sep", "\t").csv(path)
 
 
+def _runs(comparison: Comparison, first_seed: int) -> DataFrame:
+    return comparison.per_run.select(
+        "run",
+        (F.col("run") + first_seed).cast("bigint").alias("graph_seed"),
+        "seeds", "topK_standard", "topK_personalized", "overlap_count", "overlap_ratio",
+    )
+
+
 def write_comparison(comparison: Comparison, path: str, parameters: dict[str, int | float], first_seed: int) -> None:
     """One JSON document: the parameters, the runs in order and the mean overlap ratio.
 
-    The document has one entry per run, so its size is the number of runs asked for.
+    The document has an entry for each run that was asked for by name; for runs as
+    many as the data make them, use `write_comparison_lines`.
     """
-    run = F.struct(
-        "run",
-        (F.col("run") + first_seed).cast("bigint").alias("graph_seed"),
-        "seeds",
-        "topK_standard",
-        "topK_personalized",
-        "overlap_count",
-        "overlap_ratio",
-    )
-    document = comparison.per_run.agg(
+    run = F.struct(*_runs(comparison, first_seed).columns)
+    document = _runs(comparison, first_seed).agg(
         F.sort_array(F.collect_list(run)).alias("per_run"),
         F.coalesce(F.avg("overlap_ratio"), F.lit(0.0)).alias("average_overlap_ratio"),
     ).select(*[F.lit(value).alias(name) for name, value in parameters.items()], "per_run", "average_overlap_ratio")
     document.write.mode("overwrite").json(path)
+
+
+def write_comparison_lines(comparison: Comparison, path: str) -> None:
+    """A JSON line per run, in order over all files."""
+    comparison.per_run.orderBy("run").write.mode("overwrite").json(path)

@@ -65,32 +65,46 @@ def _literal_pattern(text: str) -> str:
 def read_adjacency(spark: SparkSession, path: str, document: bool = False) -> Graph:
     """Graph in JSON adjacency form.
 
-    By default one node object per line, which Spark can split over tasks;
-    ``document=True`` reads files holding a single ``{"nodes": [...]}`` object.
-    Repeated neighbours and neighbours that are no node themselves are kept.
+    By default one node object per line, which Spark can split over tasks; a node
+    may span several.  ``document=True`` converts files holding a single
+    ``{"nodes": [...]}`` object; Spark can't split those, so it is meant for small
+    ones.  Text that is no such JSON, and nodes without an id, are errors when the
+    graph is used.  Repeated neighbours and neighbours that are no node themselves
+    are kept.
     """
     if document:
         whole = T.StructType([T.StructField("nodes", T.ArrayType(NODE_TYPE))])
-        nodes = spark.read.schema(whole).option("multiLine", True).json(path).select(F.inline("nodes"))
+        reader = spark.read.schema(whole).option("multiLine", True)
+        nodes = reader.option("mode", "FAILFAST").json(path).select(F.inline("nodes"))
     else:
-        nodes = spark.read.schema(NODE_TYPE).json(path)
+        nodes = spark.read.schema(NODE_TYPE).option("mode", "FAILFAST").json(path)
     return graph_from_adjacency(nodes)
 
 
+def parse_adjacency_lines(lines: DataFrame) -> Graph:
+    """Graph of JSON node objects in the ``value`` column, under the rules of :func:`read_adjacency`."""
+    node = F.from_json("value", NODE_TYPE, {"mode": "FAILFAST"})
+    return graph_from_adjacency(lines.filter(F.btrim("value", F.lit(BLANKS)) != "").select(F.inline(F.array(node))))
+
+
 def graph_from_adjacency(nodes: DataFrame) -> Graph:
-    """Graph of ``(node_id, out_neighbors)`` rows; a node may span several rows."""
+    """Graph of ``(node_id, out_neighbors)`` rows; a node may span several rows, and one without id is an error."""
+    known = F.coalesce("node_id", F.raise_error(F.lit("a node has no node_id")).cast("bigint"))
     return Graph(
-        edges=nodes.select(F.col("node_id").alias("src"), F.explode("out_neighbors").alias("dst")),
-        vertices=nodes.select(F.col("node_id").alias("id")).filter("id IS NOT NULL").distinct(),
+        edges=nodes.select(known.alias("src"), F.explode("out_neighbors").alias("dst")),
+        vertices=nodes.select(known.alias("id")).distinct(),
     )
 
 
 def read_seeds(spark: SparkSession, path: str) -> DataFrame:
     """Distinct seed ids, one per non-blank line; other text is an error."""
+    return parse_seed_lines(spark.read.text(path))
+
+
+def parse_seed_lines(lines: DataFrame) -> DataFrame:
+    """Distinct ids of the ``value`` column, under the rules of :func:`read_seeds`."""
     text = F.btrim(F.col("value"), F.lit(BLANKS))
-    return spark.read.text(path).select(text.alias("line")).filter("line <> ''").select(
-        F.col("line").cast("bigint").alias("id")
-    ).distinct()
+    return lines.select(text.alias("line")).filter("line <> ''").select(F.col("line").cast("bigint").alias("id")).distinct()
 
 
 def seed_frame(spark: SparkSession, seeds: str | Iterable[int]) -> DataFrame:

@@ -3,8 +3,10 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+# Names and order of the columns of both files are fixed values.
 TRIP_SCHEMA = T.StructType(
     [T.StructField(name, T.StringType()) for name in (
         "ride_id", "rideable_type", "started_at", "ended_at",
@@ -36,6 +38,21 @@ def read_weather(spark: SparkSession, path: str, check_header: bool = True) -> D
     return _read_csv(spark, path, WEATHER_SCHEMA, check_header)
 
 
+def parse_trip_lines(lines: DataFrame) -> DataFrame:
+    """Trip rows of delimited text in the ``value`` column, columns by position."""
+    return _parse_lines(lines, TRIP_SCHEMA)
+
+
+def parse_weather_lines(lines: DataFrame) -> DataFrame:
+    """Hourly weather rows of delimited text in the ``value`` column, columns by position."""
+    return _parse_lines(lines, WEATHER_SCHEMA)
+
+
+def _parse_lines(lines: DataFrame, schema: T.StructType) -> DataFrame:
+    ddl = ", ".join(f"`{field.name}` {field.dataType.simpleString()}" for field in schema)
+    return lines.select(F.inline(F.array(F.from_csv("value", ddl))))
+
+
 def _read_csv(spark: SparkSession, path: str, schema: T.StructType, check_header: bool) -> DataFrame:
     # With the check, a file with re-ordered columns is an error rather than
     # silently shifted values; without it, columns are taken by position.

@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from velorank.operators.graph import Graph
 from velorank.operators.trips import clean_trips, enrich_trips
-from velorank.operators.weather import HOURS_IN_MONTH, join_weather, prepare_weather
+from velorank.operators.weather import HOURS_IN_MONTH, join_weather, month_span, prepare_weather
 from velorank.session import use_utc
 
 YEAR, MONTH = 2024, 1
@@ -27,16 +27,20 @@ def raw_trips(spark: SparkSession, folder: str) -> DataFrame:
     """A ride per event: it starts at the event's time and lasts ``value`` squared seconds.
 
     The station is the number in ``props``.  A view comes back to where it
-    started, after an error the end station is unknown.
+    started, after an error the end station is unknown.  At some event numbers the
+    id, a time or the station is missing, at some the ride ends within its second.
     """
     events = table(spark, folder, "events")
     stand = F.regexp_extract("props", '"k": *([0-9]+)', 1)
+    number = F.col("event_id")
     rows = events.select(
-        F.col("event_id").cast("string").alias("ride_id"),
+        F.when(number % 101 != 1, number.cast("string")).alias("ride_id"),
         F.col("event_type").alias("rideable_type"),
-        F.col("ts").cast("timestamp").alias("started_at"),
+        F.when(number % 103 != 2, F.col("ts").cast("timestamp")).alias("started_at"),
         F.floor(F.col("value") * F.col("value")).cast("bigint").alias("_seconds"),
-        stand.alias("start_station_id"),
+        F.when(number % 107 != 3, stand).alias("start_station_id"),
+        (number % 109 != 4).alias("_returned"),
+        (number % 113 == 5).alias("_brief"),
         F.when(F.col("event_type") == "view", stand)
         .when(F.col("event_type") != "error", F.col("user_id").cast("string"))
         .alias("end_station_id"),
@@ -49,7 +53,7 @@ def raw_trips(spark: SparkSession, folder: str) -> DataFrame:
         "ride_id",
         "rideable_type",
         "started_at",
-        F.expr("timestampadd(SECOND, _seconds, started_at)").alias("ended_at"),
+        F.when(F.col("_returned"), F.expr("timestampadd(MICROSECOND, if(_brief, 1, _seconds * 1000000), started_at)")).alias("ended_at"),
         F.concat(F.lit("Stand "), "start_station_id").alias("start_station_name"),
         "start_station_id",
         F.concat(F.lit("Stand "), "end_station_id").alias("end_station_name"),
@@ -85,7 +89,8 @@ def weather(spark: SparkSession, folder: str) -> DataFrame:
 
 def trips_with_weather(spark: SparkSession, folder: str) -> DataFrame:
     # One weather row per hour of one month, by construction of `raw_weather`.
-    return join_weather(trips(spark, folder), weather(spark, folder), HOURS_IN_MONTH)
+    span = month_span(YEAR, MONTH)
+    return join_weather(trips(spark, folder), weather(spark, folder), HOURS_IN_MONTH, span)
 
 
 def links(spark: SparkSession, folder: str) -> Graph:
@@ -106,6 +111,56 @@ def link_seeds(spark: SparkSession, folder: str) -> DataFrame:
     return table(spark, folder, "customer").filter("c_mktsegment = 'MACHINERY'").selectExpr("c_custkey * 4 AS id")
 
 
+def runs(spark: SparkSession, folder: str, number: int) -> Graph:
+    """Graphs told apart by ``run``: the links of the orders whose number leaves that remainder, each in one run."""
+    orders = table(spark, folder, "orders")
+    lines = table(spark, folder, "lineitem")
+    placed = orders.selectExpr(f"cast(o_orderkey % {number} as int) AS run", "o_custkey * 4 AS src", "o_orderkey * 4 + 1 AS dst")
+    bought = lines.selectExpr(f"cast(l_orderkey % {number} as int) AS run", "l_orderkey * 4 + 1 AS src", "l_partkey * 4 + 2 AS dst")
+    made = lines.selectExpr(f"cast(l_orderkey % {number} as int) AS run", "l_partkey * 4 + 2 AS src", "l_suppkey * 4 + 3 AS dst")
+    return Graph(placed.unionAll(bought).unionAll(made).dropDuplicates(["run", "src", "dst"]), None, ("run",))
+
+
+def run_seeds(spark: SparkSession, folder: str, number: int) -> DataFrame:
+    """Every customer, as a seed of the run of its remainder."""
+    return table(spark, folder, "customer").selectExpr(f"cast(c_custkey % {number} as int) AS run", "c_custkey * 4 AS id")
+
+
+def adjacency_lines(spark: SparkSession, folder: str) -> DataFrame:
+    """JSON text of the links, a line for each order line and each customer; blank lines for returned lines."""
+    lines = table(spark, folder, "lineitem").selectExpr(
+        "if(l_returnflag = 'R', ' ', concat('{\"node_id\":', l_orderkey, ', \"out_neighbors\": [', l_partkey, ',', l_suppkey, ']}')) AS value"
+    )
+    alone = table(spark, folder, "customer").selectExpr("concat('{\"out_neighbors\": [], \"node_id\": ', -c_custkey, '}') AS value")
+    return lines.unionAll(alone)
+
+
+def seed_lines(spark: SparkSession, folder: str) -> DataFrame:
+    """A line per order with its customer, between blanks; blank for open orders."""
+    return table(spark, folder, "orders").selectExpr("if(o_orderstatus = 'O', '  ', concat(' ', o_custkey, '\t')) AS value")
+
+
+def trip_lines(spark: SparkSession, folder: str) -> DataFrame:
+    """The trips as delimited text, some fields quoted, with malformed times."""
+    def written(name: str) -> str:
+        return f"coalesce(date_format({name}, 'yyyy-MM-dd HH:mm:ss'), '')"
+
+    started = f"concat({written('started_at')}, if(event_id % 17 = 0, 'x', ''))"
+    return raw_trips(spark, folder).selectExpr("*", "cast(coalesce(ride_id, '0') as bigint) AS event_id").selectExpr(
+        f"concat_ws(',', if(event_id % 19 = 0, '', coalesce(ride_id, '')), rideable_type, {started}, {written('ended_at')}, "
+        "coalesce(concat('\"', start_station_name, ', \"'), ''), coalesce(start_station_id, ''), coalesce(end_station_name, ''), coalesce(end_station_id, ''), "
+        "'1.5', '', '', '', member_casual) AS value"
+    )
+
+
+def weather_lines(spark: SparkSession, folder: str) -> DataFrame:
+    """The hourly weather as delimited text; columns nothing needs stay empty."""
+    return raw_weather(spark, folder).selectExpr(
+        "concat_ws(',', year, month, day, hour, coalesce(cast(temp as string), ''), 'a', '', '', '', '', '', '', '', '', '', '', '', '', '', '', "
+        "coalesce(cast(coco as string), ''), 'b') AS value"
+    )
+
+
 def edge_lines(spark: SparkSession, folder: str) -> DataFrame:
     """Text lines of an edge list: a part and its supplier, a comment where the line was returned."""
     return table(spark, folder, "lineitem").selectExpr(

@@ -2,13 +2,11 @@
 
 from __future__ import annotations
 
-from workloads.queries import (
-    COMPARED_RUNS, CONVERGED, DIGITS, FIRST_SEED, ROUNDS, ROUTE_MIN_RIDES, SEEDS_PER_RUN, TOP,
-)
+from workloads.queries import DIGITS, FIRST_SEED, ROUTE_MIN_RIDES, RUN_EPSILON, RUNS, TOP
 
 MIN_RIDES = 100
 MAX_ROUNDS = 20
-COMPARED_EPSILON = 1e-3
+EPSILON = 1e-3
 
 
 def half_up(value: str) -> str:
@@ -22,9 +20,12 @@ def mean(seconds: str = "seconds") -> str:
 
 RAW_TRIPS = """
 raw AS (
-  SELECT CAST(event_id AS VARCHAR) AS ride_id, event_type AS rideable_type, ts AS started_at,
-         ts + to_seconds(CAST(floor(value * value) AS BIGINT)) AS ended_at,
-         'Stand ' || stand AS start_station_name, stand AS start_station_id,
+  SELECT CASE WHEN event_id % 101 <> 1 THEN CAST(event_id AS VARCHAR) END AS ride_id, event_type AS rideable_type,
+         CASE WHEN event_id % 103 <> 2 THEN ts END AS started_at,
+         CASE WHEN event_id % 109 <> 4 AND event_id % 103 <> 2 THEN
+           ts + to_microseconds(CASE WHEN event_id % 113 = 5 THEN 1 ELSE CAST(floor(value * value) AS BIGINT) * 1000000 END) END AS ended_at,
+         CASE WHEN event_id % 107 <> 3 THEN 'Stand ' || stand END AS start_station_name,
+         CASE WHEN event_id % 107 <> 3 THEN stand END AS start_station_id,
          'Stand ' || back AS end_station_name, back AS end_station_id,
          CASE WHEN value >= 200 THEN 'staff' WHEN user_id % 2 = 0 THEN 'member' ELSE 'casual' END AS member_casual
   FROM (SELECT *, CASE WHEN event_type = 'view' THEN stand
@@ -104,45 +105,23 @@ graph_vertices AS (SELECT 0 AS run, id, out_degree FROM vertices)"""
 LINK_SEEDS = """,
 graph_seeds AS (SELECT DISTINCT 0 AS run, c_custkey * 4 AS id FROM customer WHERE c_mktsegment = 'MACHINERY')"""
 
-
-def random_graph_ctes(runs: int) -> str:
-    """The first distinct pairs of ``runs`` seeded sequences of draws, as many as there are orders."""
-    return f"""
-size AS (SELECT (SELECT count(*) FROM customer) AS nodes, (SELECT count(*) FROM orders) AS wanted),
-attempts AS (
-  SELECT CAST(r.range AS INTEGER) AS run, a.attempt,
-         md5(CAST({FIRST_SEED} + r.range AS VARCHAR) || ':' || CAST(a.attempt AS VARCHAR)) AS digest
-  FROM range({runs}) r, (SELECT unnest(range(10 * wanted)) AS attempt FROM size) a
-),
-drawn AS (
-  SELECT run, attempt, CAST('0x' || substr(digest, 1, 15) AS BIGINT) % nodes AS src,
-         CAST('0x' || substr(digest, 16, 15) AS BIGINT) % nodes AS dst
-  FROM attempts, size
-),
-firsts AS (SELECT run, src, dst, min(attempt) AS attempt FROM drawn WHERE src <> dst GROUP BY run, src, dst),
+RUN_GRAPHS = f"""
 graph_edges AS MATERIALIZED (
-  SELECT run, src, dst
-  FROM (SELECT *, row_number() OVER (PARTITION BY run ORDER BY attempt) AS place FROM firsts), size
-  WHERE place <= wanted
+  SELECT DISTINCT run, src, dst FROM (
+    SELECT CAST(o_orderkey % {RUNS} AS INTEGER) AS run, o_custkey * 4 AS src, o_orderkey * 4 + 1 AS dst FROM orders
+    UNION ALL SELECT l_orderkey % {RUNS}, l_orderkey * 4 + 1, l_partkey * 4 + 2 FROM lineitem
+    UNION ALL SELECT l_orderkey % {RUNS}, l_partkey * 4 + 2, l_suppkey * 4 + 3 FROM lineitem
+  )
 ),
 graph_vertices AS MATERIALIZED (
-  SELECT v.run, v.id, coalesce(n, 0) AS out_degree
-  FROM (SELECT CAST(r.range AS INTEGER) AS run, unnest(range(nodes)) AS id FROM range({runs}) r, size) v
-  LEFT JOIN (SELECT run, src, count(*) AS n FROM graph_edges GROUP BY run, src) d ON d.run = v.run AND d.src = v.id
-)"""
-
-
-RANDOM_SEEDS = f""",
-graph_seeds AS MATERIALIZED (
-  SELECT run, id FROM (
-    SELECT run, id, row_number() OVER (PARTITION BY run ORDER BY
-             md5('seed:' || CAST({FIRST_SEED} + run AS VARCHAR) || ':' || CAST(id AS VARCHAR)), id) AS place
-    FROM graph_vertices
-  ) WHERE place <= {SEEDS_PER_RUN}
-)"""
+  SELECT i.run, i.id, coalesce(n, 0) AS out_degree
+  FROM (SELECT run, src AS id FROM graph_edges UNION SELECT run, dst FROM graph_edges) i
+  LEFT JOIN (SELECT run, src, count(*) AS n FROM graph_edges GROUP BY run, src) d ON d.run = i.run AND d.src = i.id
+),
+graph_seeds AS MATERIALIZED (SELECT DISTINCT CAST(c_custkey % {RUNS} AS INTEGER) AS run, c_custkey * 4 AS id FROM customer)"""
 
 
-def rank_ctes(name: str, rounds: int, personalized: bool = False, epsilon: float = COMPARED_EPSILON) -> str:
+def rank_ctes(name: str, rounds: int, personalized: bool = False, epsilon: float = EPSILON) -> str:
     """Chained CTEs ``{name}0 .. {name}{rounds}`` of ranks and ``{name}_steps`` of their changes."""
     if personalized:
         flag = "(v.run, v.id) IN (SELECT (run, id) FROM graph_seeds)"
@@ -233,8 +212,52 @@ FROM trips GROUP BY {keys}"""
 def ranks(name: str, personalized: bool, top: bool) -> str:
     seeds = LINK_SEEDS if personalized else ""
     cut = f" ORDER BY rank DESC, id LIMIT {TOP}" if top else ""
-    return f"""WITH {LINK_GRAPH}{seeds},{rank_ctes(name, ROUNDS, personalized)}
-SELECT id, out_degree, round(rank, {DIGITS}) AS rank FROM {name}{ROUNDS}{cut}"""
+    return f"""WITH {LINK_GRAPH}{seeds},{rank_ctes(name, MAX_ROUNDS, personalized)},{converged_ctes(name, MAX_ROUNDS)}
+SELECT id, out_degree, round(rank * (SELECT count(*) FROM vertices), {DIGITS}) AS rank_in_means
+FROM (SELECT f.id, v.out_degree, f.rank FROM {name}_final f JOIN vertices v ON v.id = f.id{cut.replace(' id', ' f.id')})"""
+
+
+def steps(name: str, variant: str, seeds: str) -> str:
+    return f"""SELECT s.run, '{variant}' AS variant, CAST(s.iteration AS INTEGER) AS iteration, round(delta, {DIGITS}) AS delta,
+       round(mass, {DIGITS}) AS dangling_mass, {seeds} AS num_seeds
+FROM {name}_steps s JOIN {name}_last l ON l.run = s.run AND s.iteration <= l.iteration"""
+
+
+SEED_COUNT = "(SELECT count(*) FROM graph_seeds g WHERE g.run = s.run)"
+
+TWO_RANKS = f"""{RUN_GRAPHS},
+{rank_ctes("r", MAX_ROUNDS)},{converged_ctes("r", MAX_ROUNDS)},
+{rank_ctes("p", MAX_ROUNDS, True)},{converged_ctes("p", MAX_ROUNDS)},
+both_tops AS (SELECT r.run, count(*) AS n FROM r_top r JOIN p_top p ON p.run = r.run AND p.id = r.id GROUP BY r.run)"""
+
+
+def validation(cases: dict[str, str]) -> str:
+    """The checks in their order over the named rank tables (``id, rank``)."""
+    parts = []
+    for case, table in cases.items():
+        parts.append(f"""
+SELECT '{case}' AS "case", t.* FROM (
+  SELECT (SELECT count(*) FROM ({table}) WHERE rank < 0) AS negative, (SELECT sum(rank) FROM ({table})) AS total,
+         (SELECT count(*) FROM vertices) AS nodes, (SELECT count(*) FROM ({table})) AS ranked,
+         (SELECT count(*) FROM vertices WHERE out_degree = 0) AS dangling,
+         (SELECT count(*) FROM vertices v WHERE out_degree = 0 AND NOT EXISTS (SELECT 1 FROM ({table}) r WHERE r.id = v.id)) AS missing,
+         (SELECT min(rank) FROM ({table}) r JOIN vertices v ON v.id = r.id WHERE out_degree = 0) AS lowest
+) t""")
+    union = " UNION ALL ".join(parts)
+    return f"""checked AS (
+  SELECT *, negative > 0 AS f1, abs(total - 1) > 1e-6 AS f2, nodes <> ranked AS f3, missing > 0 AS f4,
+         dangling > 0 AND lowest <= 0 AS f5
+  FROM ({union})
+)
+SELECT "case", NOT (f1 OR f2 OR f3 OR f4 OR coalesce(f5, false)) AS valid,
+       CASE WHEN f1 THEN 'negative_rank' WHEN f2 THEN 'sum_off' WHEN f3 THEN 'count_differs' WHEN f4 THEN 'dangling_unranked'
+            WHEN f5 THEN 'dangling_not_positive' END AS reason,
+       CAST(negative AS BIGINT) AS negative_ranks_count, CASE WHEN NOT f1 THEN round(total, {DIGITS}) END AS rank_sum,
+       CASE WHEN NOT (f1 OR f2) THEN nodes END AS num_nodes, CASE WHEN NOT (f1 OR f2) THEN ranked END AS num_ranks,
+       CASE WHEN NOT (f1 OR f2 OR f3) THEN dangling END AS dangling_nodes_count,
+       CASE WHEN NOT (f1 OR f2 OR f3) AND dangling > 0 THEN missing END AS missing_dangling_ranks,
+       CASE WHEN NOT (f1 OR f2 OR f3 OR f4) AND dangling > 0 THEN round(lowest, {DIGITS}) END AS min_dangling_rank
+FROM checked"""
 
 
 def _percent(part: str, total: str) -> str:
@@ -299,13 +322,33 @@ SELECT *, member_rides + casual_rides AS total_rides,
        {_percent('member_rides', '(member_rides + casual_rides)')} AS member_percentage,
        {_percent('casual_rides', '(member_rides + casual_rides)')} AS casual_percentage
 FROM bands ORDER BY temp_band""",
+    "weather_join_counts": f"""WITH {JOINED}
+SELECT (SELECT count(*) FROM raw) AS loaded, (SELECT count(*) FROM trips) AS clean, (SELECT count(*) FROM joined) AS joined""",
+    "trip_text_scan": f"""WITH {RAW_TRIPS},
+written AS (
+  SELECT CASE WHEN CAST(ride_id AS BIGINT) % 19 <> 0 THEN ride_id END AS ride_id, rideable_type,
+         CASE WHEN CAST(ride_id AS BIGINT) % 17 <> 0 THEN date_trunc('second', started_at) END AS started_at,
+         date_trunc('second', ended_at) AS ended_at, start_station_name || ', ' AS start_station_name, start_station_id,
+         end_station_name, end_station_id, member_casual
+  FROM raw
+)
+SELECT *, (epoch_us(ended_at) // 1000000 - epoch_us(started_at) // 1000000) / 60e0 AS duration_minutes FROM written
+WHERE ride_id IS NOT NULL AND started_at IS NOT NULL AND start_station_id IS NOT NULL AND ended_at > started_at
+  AND (epoch_us(ended_at) // 1000000 - epoch_us(started_at) // 1000000) <= 86400""",
+    "weather_text_scan": f"""WITH {WEATHER}
+SELECT hour_timestamp, temp, coco, rain_indicator, temp_band FROM weather""",
     "edge_list_scan": """SELECT DISTINCT l_partkey AS src, l_suppkey AS dst FROM lineitem
 WHERE l_returnflag <> 'R' AND l_partkey <> l_suppkey""",
     "graph_edges": f"WITH {LINKS} SELECT src, dst FROM edges",
     "graph_vertices": f"WITH {LINKS} SELECT id, out_degree FROM vertices",
     "graph_adjacency": f"""WITH {LINKS}
-SELECT id AS node_id, coalesce(string_agg(CAST(dst AS VARCHAR), ',' ORDER BY dst), '') AS out_neighbors
-FROM vertices LEFT JOIN edges ON src = id GROUP BY id""",
+SELECT id AS node_id, CAST(coalesce(slice, 0) AS INTEGER) AS slice, coalesce(string_agg(CAST(dst AS VARCHAR), ',' ORDER BY dst), '') AS out_neighbors
+FROM vertices LEFT JOIN (SELECT *, (row_number() OVER (PARTITION BY src ORDER BY dst) - 1) // 100000 AS slice FROM edges) ON src = id
+GROUP BY id, slice""",
+    "adjacency_scan": """SELECT id, CAST(sum(n) AS BIGINT) AS out_degree FROM (
+  SELECT l_orderkey AS id, 2 AS n FROM lineitem WHERE l_returnflag <> 'R' UNION ALL SELECT -c_custkey, 0 FROM customer
+) GROUP BY id""",
+    "seed_scan": "SELECT DISTINCT o_custkey AS id FROM orders WHERE o_orderstatus <> 'O'",
     "dangling_nodes": f"WITH {LINKS} SELECT id FROM vertices WHERE out_degree = 0",
     "pagerank_contributions": f"""WITH {LINKS}
 SELECT dst AS id, round(sum(1e0 / out_degree), {DIGITS}) AS contribution
@@ -314,26 +357,31 @@ FROM edges JOIN vertices ON id = src GROUP BY dst""",
     "pagerank_topk": ranks("r", False, True),
     "ppr_ranks": ranks("p", True, False),
     "ppr_topk": ranks("p", True, True),
-    "pagerank_convergence": f"""WITH {LINK_GRAPH},{rank_ctes("r", MAX_ROUNDS, epsilon=CONVERGED)}
-SELECT CAST(s.iteration AS INTEGER) AS iteration, round(delta, {DIGITS}) AS delta, round(mass, {DIGITS}) AS dangling_mass
-FROM r_steps s JOIN r_last l ON l.run = s.run AND s.iteration <= l.iteration""",
-    "rank_validation": f"""WITH {LINK_GRAPH},{rank_ctes("r", ROUNDS)}
-SELECT true AS valid, CAST(NULL AS VARCHAR) AS reason, count(*) FILTER (WHERE rank < 0) AS negative_ranks_count,
-       round(sum(rank), {DIGITS}) AS rank_sum, (SELECT count(*) FROM vertices) AS num_nodes, count(*) AS num_ranks,
-       count(*) FILTER (WHERE out_degree = 0) AS dangling_nodes_count, CAST(0 AS BIGINT) AS missing_dangling_ranks,
-       round(min(rank) FILTER (WHERE out_degree = 0), {DIGITS}) AS min_dangling_rank
-FROM r{ROUNDS}""",
-    "random_graph_profile": f"WITH {random_graph_ctes(1)} SELECT id, out_degree FROM graph_vertices",
+    "pagerank_convergence": f"""WITH {LINK_GRAPH},{rank_ctes("r", MAX_ROUNDS)}
+SELECT * EXCLUDE (run) FROM ({steps("r", "standard", "CAST(0 AS BIGINT)")})""",
+    "keyed_convergence": f"""WITH {RUN_GRAPHS},{rank_ctes("r", MAX_ROUNDS, epsilon=RUN_EPSILON)},{rank_ctes("p", MAX_ROUNDS, True, RUN_EPSILON)}
+{steps("r", "standard", SEED_COUNT)} UNION ALL {steps("p", "personalized", SEED_COUNT)}""",
+    "rank_validation": f"""WITH {LINK_GRAPH},{rank_ctes("r", MAX_ROUNDS)},{converged_ctes("r", MAX_ROUNDS)},
+{validation({"ranks": "SELECT id, rank FROM r_final"}).replace('SELECT "case", NOT', 'SELECT NOT')}""",
+    "spoiled_validation": f"""WITH {LINKS},
+even AS MATERIALIZED (SELECT id, out_degree, 1e0 / (SELECT count(*) FROM vertices) AS rank FROM vertices),
+{validation({
+    "even": "SELECT id, rank FROM even",
+    "negative": "SELECT id, CASE WHEN id = (SELECT min(id) FROM even) THEN -rank ELSE rank END AS rank FROM even",
+    "doubled": "SELECT id, rank * 2 AS rank FROM even",
+    "missing": "SELECT id, rank / (SELECT sum(rank) FROM even WHERE out_degree > 0) AS rank FROM even WHERE out_degree > 0",
+    "zero_dangling": "SELECT id, CASE WHEN out_degree > 0 THEN rank / (SELECT sum(rank) FROM even WHERE out_degree > 0) ELSE 0e0 END AS rank FROM even",
+})}""",
     "seed_sample": f"""WITH {LINKS}
 SELECT id FROM vertices ORDER BY md5('seed:{FIRST_SEED}:' || CAST(id AS VARCHAR)), id LIMIT {TOP}""",
-    "topk_overlap": f"""WITH {random_graph_ctes(COMPARED_RUNS)}{RANDOM_SEEDS},
-{rank_ctes("r", MAX_ROUNDS)},{converged_ctes("r", MAX_ROUNDS)},
-{rank_ctes("p", MAX_ROUNDS, True)},{converged_ctes("p", MAX_ROUNDS)},
-both_tops AS (SELECT r.run, count(*) AS n FROM r_top r JOIN p_top p ON p.run = r.run AND p.id = r.id GROUP BY r.run)
+    "topk_overlap": f"""WITH {TWO_RANKS}
 SELECT s.run, s.seeds, a.ids AS "topK_standard", b.ids AS "topK_personalized",
        coalesce(n, 0) AS overlap_count, coalesce(n, 0) / {TOP}e0 AS overlap_ratio
 FROM (SELECT run, string_agg(CAST(id AS VARCHAR), ',' ORDER BY id) AS seeds FROM graph_seeds GROUP BY run) s
 JOIN (SELECT run, string_agg(CAST(id AS VARCHAR), ',' ORDER BY place) AS ids FROM r_top GROUP BY run) a USING (run)
 JOIN (SELECT run, string_agg(CAST(id AS VARCHAR), ',' ORDER BY place) AS ids FROM p_top GROUP BY run) b USING (run)
 LEFT JOIN both_tops USING (run)""",
+    "topk_average_overlap": f"""WITH {TWO_RANKS}
+SELECT round(avg(coalesce(n, 0) / {TOP}e0), {DIGITS}) AS average_overlap_ratio
+FROM (SELECT DISTINCT run FROM graph_seeds) LEFT JOIN both_tops USING (run)""",
 }

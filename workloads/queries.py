@@ -3,30 +3,33 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from velorank.operators import trip_reports as reports
 from velorank.operators import weather as impact
-from velorank.operators.comparison import compare_rankings
-from velorank.operators.graph import adjacency, contributions, dangling_vertices, vertex_degrees
-from velorank.operators.ranking import Ranking, pagerank, personalized_pagerank, top_ranks
+from velorank.operators.comparison import Comparison, compare_rankings
+from velorank.operators.graph import PreparedGraph, adjacency, contributions, dangling_vertices, prepare_graph, vertex_degrees
+from velorank.operators.ranking import (
+    PERSONALIZED, STANDARD, Ranking, pagerank, personalized_pagerank, rank_variants, top_ranks,
+)
 from velorank.operators.trips import clean_trips, reject_counts
 from velorank.operators.validation import validate_ranks
-from velorank.sources.graphs import parse_edge_lines, random_graph, random_graphs, sample_vertices
+from velorank.sources.graphs import parse_adjacency_lines, parse_edge_lines, parse_seed_lines, sample_vertices
+from velorank.sources.tables import parse_trip_lines, parse_weather_lines
+from velorank.operators.weather import HOURS_IN_MONTH
 from workloads import inputs
 
 Query = Callable[[SparkSession, str], DataFrame]
 
-# Rounds of the rank queries that report ranks; convergence stops by itself.
-ROUNDS = 5
-CONVERGED = 1e-2
-# Digits ranks are compared to: the order of adding doubles is not fixed.
-DIGITS = 10
+# Ranks are compared as multiples of the mean rank, to this many digits: the order of adding doubles is not fixed.
+DIGITS = 8
 TOP = 20
-COMPARED_RUNS = 3
-SEEDS_PER_RUN = 5
+RUNS = 10
+# Low enough to take a few rounds, high enough that the small graphs stop at different ones.
+RUN_EPSILON = 5e-2
 FIRST_SEED = 42
 ROUTE_MIN_RIDES = 20
 
@@ -100,6 +103,22 @@ def temperature_impact(spark: SparkSession, folder: str) -> DataFrame:
     return impact.temperature_impact(inputs.trips_with_weather(spark, folder))
 
 
+def weather_join_counts(spark: SparkSession, folder: str) -> DataFrame:
+    """Loaded, clean and joined trips."""
+    return impact.join_counts(inputs.raw_trips(spark, folder), inputs.weather(spark, folder), HOURS_IN_MONTH)
+
+
+def trip_text_scan(spark: SparkSession, folder: str) -> DataFrame:
+    """Clean trips parsed from delimited text, with the rows a malformed time or an empty field loses."""
+    return _plain_times(clean_trips(parse_trip_lines(inputs.trip_lines(spark, folder))).drop("start_lat", "start_lng", "end_lat", "end_lng"))
+
+
+def weather_text_scan(spark: SparkSession, folder: str) -> DataFrame:
+    """Weather prepared from delimited text."""
+    rows = impact.prepare_weather(parse_weather_lines(inputs.weather_lines(spark, folder)), inputs.YEAR, inputs.MONTH)
+    return _plain_times(rows.select("hour_timestamp", "temp", "coco", "rain_indicator", "temp_band"))
+
+
 def edge_list_scan(spark: SparkSession, folder: str) -> DataFrame:
     return parse_edge_lines(inputs.edge_lines(spark, folder))
 
@@ -114,7 +133,16 @@ def graph_vertices(spark: SparkSession, folder: str) -> DataFrame:
 
 def graph_adjacency(spark: SparkSession, folder: str) -> DataFrame:
     rows = adjacency(inputs.links(spark, folder))
-    return rows.select("node_id", F.array_join(F.col("out_neighbors").cast("array<string>"), ",").alias("out_neighbors"))
+    return rows.select("node_id", "slice", F.array_join(F.col("out_neighbors").cast("array<string>"), ",").alias("out_neighbors"))
+
+
+def adjacency_scan(spark: SparkSession, folder: str) -> DataFrame:
+    """Degrees of a graph read from JSON text."""
+    return vertex_degrees(parse_adjacency_lines(inputs.adjacency_lines(spark, folder)))
+
+
+def seed_scan(spark: SparkSession, folder: str) -> DataFrame:
+    return parse_seed_lines(inputs.seed_lines(spark, folder))
 
 
 def dangling_nodes(spark: SparkSession, folder: str) -> DataFrame:
@@ -123,79 +151,113 @@ def dangling_nodes(spark: SparkSession, folder: str) -> DataFrame:
 
 def pagerank_contributions(spark: SparkSession, folder: str) -> DataFrame:
     """What each vertex receives while all ranks are one."""
-    graph = inputs.links(spark, folder)
-    ones = vertex_degrees(graph).select("id", F.lit(1.0).alias("rank"))
+    graph = prepare_graph(inputs.links(spark, folder))
+    ones = graph.vertices.select("id", F.lit(1.0).alias("rank"))
     return contributions(graph, ones).select("id", F.round("contribution", DIGITS).alias("contribution"))
 
 
 def _standard(spark: SparkSession, folder: str) -> Ranking:
-    return pagerank(inputs.links(spark, folder), ROUNDS, 0.0)
+    return pagerank(inputs.links(spark, folder))
 
 
 def _personalized(spark: SparkSession, folder: str) -> Ranking:
-    return personalized_pagerank(inputs.links(spark, folder), inputs.link_seeds(spark, folder), ROUNDS, 0.0)
+    return personalized_pagerank(inputs.links(spark, folder), inputs.link_seeds(spark, folder))
 
 
-def _rounded(ranks: DataFrame) -> DataFrame:
-    return ranks.select("id", "out_degree", F.round("rank", DIGITS).alias("rank"))
+def _in_means(ranks: DataFrame, every: DataFrame) -> DataFrame:
+    """Ranks as multiples of the mean over ``every`` vertex; they don't shrink as the graph grows."""
+    n = every.count()
+    return ranks.select("id", "out_degree", F.round(F.col("rank") * n, DIGITS).alias("rank_in_means"))
 
 
 def pagerank_ranks(spark: SparkSession, folder: str) -> DataFrame:
-    return _rounded(_standard(spark, folder).ranks)
+    ranks = _standard(spark, folder).ranks
+    return _in_means(ranks, ranks)
 
 
 def pagerank_topk(spark: SparkSession, folder: str) -> DataFrame:
-    return top_ranks(_rounded(_standard(spark, folder).ranks), TOP)
+    ranks = _standard(spark, folder).ranks
+    return _in_means(top_ranks(ranks, TOP), ranks)
 
 
 def ppr_ranks(spark: SparkSession, folder: str) -> DataFrame:
-    return _rounded(_personalized(spark, folder).ranks)
+    ranks = _personalized(spark, folder).ranks
+    return _in_means(ranks, ranks)
 
 
 def ppr_topk(spark: SparkSession, folder: str) -> DataFrame:
-    return top_ranks(_rounded(_personalized(spark, folder).ranks), TOP)
+    ranks = _personalized(spark, folder).ranks
+    return _in_means(top_ranks(ranks, TOP), ranks)
 
 
-def pagerank_convergence(spark: SparkSession, folder: str) -> DataFrame:
-    """The rounds until the L1 change is below the threshold."""
-    return pagerank(inputs.links(spark, folder), epsilon=CONVERGED).convergence().select(
-        "iteration", F.round("delta", DIGITS).alias("delta"), F.round("dangling_mass", DIGITS).alias("dangling_mass")
+def _steps(convergence: DataFrame, *keys: str) -> DataFrame:
+    return convergence.select(
+        *keys, "variant", "iteration", F.round("delta", DIGITS).alias("delta"), F.round("dangling_mass", DIGITS).alias("dangling_mass"), "num_seeds"
     )
 
 
-def rank_validation(spark: SparkSession, folder: str) -> DataFrame:
-    graph = inputs.links(spark, folder)
-    checked = validate_ranks(graph, pagerank(graph, ROUNDS, 0.0).ranks, 1e-6)
+def pagerank_convergence(spark: SparkSession, folder: str) -> DataFrame:
+    """The rounds until the L1 change is below the threshold, or the last allowed one."""
+    return _steps(_standard(spark, folder).convergence())
+
+
+def keyed_convergence(spark: SparkSession, folder: str) -> DataFrame:
+    """The same for ten graphs and both kinds of rank, which stop each for itself."""
+    graphs, seeds = inputs.runs(spark, folder, RUNS), inputs.run_seeds(spark, folder, RUNS)
+    return _steps(rank_variants(graphs, [STANDARD, PERSONALIZED], seeds, 20, RUN_EPSILON, 0.85).convergence(), "run")
+
+
+def _checked(graph: PreparedGraph, ranks: DataFrame) -> DataFrame:
+    checked = validate_ranks(graph, ranks, 1e-6)
     return checked.withColumns({name: F.round(name, DIGITS) for name in ("rank_sum", "min_dangling_rank")})
 
 
-def _random_size(spark: SparkSession, folder: str) -> tuple[int, int]:
-    """As many vertices as customers and as many edges as orders."""
-    return inputs.table(spark, folder, "customer").count(), inputs.table(spark, folder, "orders").count()
+def rank_validation(spark: SparkSession, folder: str) -> DataFrame:
+    graph = prepare_graph(inputs.links(spark, folder))
+    return _checked(graph, pagerank(graph).ranks)
+
+
+def spoiled_validation(spark: SparkSession, folder: str) -> DataFrame:
+    """What validation says of ranks spoiled in one way each."""
+    graph = prepare_graph(inputs.links(spark, folder))
+    total = graph.vertices.count()
+    even = graph.vertices.withColumn("rank", F.lit(1.0 / total))
+    dangling, smallest = F.col("out_degree") == 0, F.col("id") == even.agg(F.min("id")).first()[0]
+    spoiled = {
+        "even": even,
+        "negative": even.withColumn("rank", F.when(smallest, -F.col("rank")).otherwise(F.col("rank"))),
+        "doubled": even.withColumn("rank", F.col("rank") * 2),
+        "missing": _renormalised(even.filter(~dangling)),
+        "zero_dangling": _renormalised(even.withColumn("rank", F.when(dangling, 0.0).otherwise(F.col("rank")))),
+    }
+    rows = [_checked(graph, ranks).withColumn("case", F.lit(name)) for name, ranks in spoiled.items()]
+    return reduce(DataFrame.unionAll, rows)
 
 
-def random_graph_profile(spark: SparkSession, folder: str) -> DataFrame:
-    """Degrees of a random graph as large as the customer and order tables."""
-    nodes, edges = _random_size(spark, folder)
-    return vertex_degrees(random_graph(spark, nodes, edges, FIRST_SEED))
+def _renormalised(ranks: DataFrame) -> DataFrame:
+    return ranks.withColumn("rank", F.col("rank") / F.lit(ranks.agg(F.sum("rank")).first()[0]))
 
 
 def seed_sample(spark: SparkSession, folder: str) -> DataFrame:
     return sample_vertices(vertex_degrees(inputs.links(spark, folder)), TOP, FIRST_SEED)
 
 
-def topk_overlap(spark: SparkSession, folder: str) -> DataFrame:
-    """Standard against personalized top ranks on several random graphs."""
-    nodes, edges = _random_size(spark, folder)
-    numbers = [FIRST_SEED + i for i in range(COMPARED_RUNS)]
-    graphs = random_graphs(spark, nodes, edges, numbers)
-    seeds = sample_vertices(graphs.vertices, SEEDS_PER_RUN, numbers, ("run",))
-    compared = compare_rankings(graphs, seeds, TOP).per_run
+def _compared(spark: SparkSession, folder: str) -> Comparison:
+    """Standard against personalized top ranks on ten graphs, each with the orders of one remainder."""
+    return compare_rankings(inputs.runs(spark, folder, RUNS), inputs.run_seeds(spark, folder, RUNS), TOP)
+
 
+def topk_overlap(spark: SparkSession, folder: str) -> DataFrame:
     def text(name: str) -> F.Column:
         return F.array_join(F.col(name).cast("array<string>"), ",").alias(name)
 
-    return compared.select("run", text("seeds"), text("topK_standard"), text("topK_personalized"), "overlap_count", "overlap_ratio")
+    return _compared(spark, folder).per_run.select(
+        "run", text("seeds"), text("topK_standard"), text("topK_personalized"), "overlap_count", "overlap_ratio"
+    )
+
+
+def topk_average_overlap(spark: SparkSession, folder: str) -> DataFrame:
+    return _compared(spark, folder).summary.select(F.round("average_overlap_ratio", DIGITS).alias("average_overlap_ratio"))
 
 
 QUERIES: dict[str, Query] = {
@@ -214,7 +276,12 @@ QUERIES: dict[str, Query] = {
     "rain_impact_by_hour": rain_impact_by_hour,
     "rain_impact_by_member": rain_impact_by_member,
     "temperature_impact": temperature_impact,
+    "weather_join_counts": weather_join_counts,
+    "trip_text_scan": trip_text_scan,
+    "weather_text_scan": weather_text_scan,
     "edge_list_scan": edge_list_scan,
+    "adjacency_scan": adjacency_scan,
+    "seed_scan": seed_scan,
     "graph_edges": graph_edges,
     "graph_vertices": graph_vertices,
     "graph_adjacency": graph_adjacency,
@@ -225,8 +292,10 @@ QUERIES: dict[str, Query] = {
     "ppr_ranks": ppr_ranks,
     "ppr_topk": ppr_topk,
     "pagerank_convergence": pagerank_convergence,
+    "keyed_convergence": keyed_convergence,
     "rank_validation": rank_validation,
-    "random_graph_profile": random_graph_profile,
+    "spoiled_validation": spoiled_validation,
     "seed_sample": seed_sample,
     "topk_overlap": topk_overlap,
+    "topk_average_overlap": topk_average_overlap,
 }
