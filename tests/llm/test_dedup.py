@@ -1,0 +1,150 @@
+"""Exact and near deduplication against brute force."""
+
+import hashlib
+from collections import defaultdict
+
+import numpy as np
+import pytest
+import xxhash
+
+from velorank.llm import exact_dedup, simhash
+from velorank.llm.components import connected_components
+
+
+def components(nodes, links):
+    """Smallest reachable node by plain union-find."""
+    parent = {n: n for n in nodes}
+
+    def find(x):
+        while parent[x] != x:
+            x = parent[x]
+        return x
+
+    for a, b in links:
+        a, b = find(a), find(b)
+        parent[max(a, b)] = min(a, b)
+    return {n: find(n) for n in nodes}
+
+
+def plain_fingerprint(text):
+    words = "".join(chr(ord(c) + 32) if "A" <= c <= "Z" else c for c in text)
+    for c in "\t\n\x0b\x0c\r":
+        words = words.replace(c, " ")
+    words = [w for w in words.split(" ") if w]
+    shingles = [" ".join(words[i : i + 3]) for i in range(len(words) - 2)] or ([" ".join(words)] if words else [])
+    hashes = [xxhash.xxh64_intdigest(s.encode(), 42) for s in shingles]
+    return sum(1 << b for b in range(64) if 2 * sum(h >> b & 1 for h in hashes) > len(hashes))
+
+
+def near_groups(texts):
+    marks = {i: plain_fingerprint(t) for i, t in texts.items()}
+    distinct = sorted(set(marks.values()))
+    links = [(a, b) for k, a in enumerate(distinct) for b in distinct[k + 1 :] if (a ^ b).bit_count() <= 3]
+    root = components(distinct, links)
+    first = {}
+    for i, m in marks.items():
+        first[root[m]] = min(first.get(root[m], i), i)
+    return {i: (f"{m:016x}", first[root[m]]) for i, m in marks.items()}
+
+
+def test_near_duplicates_match_brute_force(spark, folder, texts):
+    got = {r[0]: (r[1], r[2]) for r in simhash.near_duplicates(spark.read.parquet(f"{folder}/documents.parquet")).collect()}
+    assert got == near_groups(texts)
+
+
+def test_near_duplicates_of_odd_rows(spark, odd_docs, no_docs):
+    rows = simhash.near_duplicates(odd_docs)
+    assert rows.columns == ["doc_id", "fingerprint", "component_id"]
+    want = near_groups({r.doc_id: r.text or "" for r in odd_docs.collect()})
+    assert sorted((r[0], (r[1], r[2])) for r in rows.collect()) == sorted((r.doc_id, want[r.doc_id]) for r in odd_docs.collect())
+    assert want[1] == want[2] == want[3] == ("0" * 16, 1)
+    assert simhash.near_duplicates(no_docs).count() == 0
+    assert simhash.drop_near_duplicates(odd_docs).columns == odd_docs.columns
+
+
+@pytest.mark.parametrize("size", [20, 40, 200])
+def test_index_links_what_all_pairs_link(spark, size):
+    """Short and long lists, with groups of near fingerprints around few centres."""
+    random = np.random.default_rng(size)
+    centres = random.integers(0, 1 << 63, 4, dtype=np.uint64)
+    marks = set(int(x) for x in random.integers(0, 1 << 63, 300, dtype=np.uint64))
+    for centre in centres:
+        for _ in range(size):
+            marks.add(int(centre) ^ sum(1 << int(b) for b in random.choice(64, random.integers(0, 4), replace=False)))
+    signed = {m: m - (1 << 64) if m >> 63 else m for m in marks}
+    links = simhash.fingerprint_links(spark.createDataFrame([(s,) for s in signed.values()], "fp bigint"))
+    found = {r.node: r.component for r in connected_components(links).collect()}
+    ordered = sorted(marks)
+    pairs = [(signed[a], signed[b]) for k, a in enumerate(ordered) for b in ordered[k + 1 :] if (a ^ b).bit_count() <= 3]
+    want = components(signed.values(), pairs)
+    assert {s: found.get(s, s) for s in signed.values()} == want
+
+
+def test_long_list_is_grown_by_look_up_too(monkeypatch):
+    random = np.random.default_rng(3)
+    marks = np.unique(np.uint64(0xABCD000000000000) | random.integers(0, 1 << 20, 3000, dtype=np.uint64))
+    scanned = simhash._grown(marks, 3)
+    monkeypatch.setattr(simhash, "_SCAN", 10)
+    looked_up = simhash._grown(marks, 3)
+
+    def roots(links):
+        return components(marks.tolist(), [(int(a), int(b)) for x, y in links for a, b in zip(x, y)])
+
+    assert roots(scanned) == roots(looked_up)
+
+
+def test_pairs_share_the_guaranteed_bytes():
+    random = np.random.default_rng(5)
+    a = random.integers(0, 1 << 63, 1000, dtype=np.uint64)
+    b = a.copy()
+    for _ in range(3):
+        b ^= np.uint64(1) << random.integers(0, 64, 1000, dtype=np.uint64)
+    assert (simhash.shared_bytes(a, b) >= 5).all() and simhash.linked(a, b, 3).all()
+    assert not simhash.linked(a, ~a, 3).any()
+    assert len(simhash.index_masks(3)) == 56
+
+
+def test_components_of_chains_stars_and_loops(spark):
+    links = [(i, i + 1) for i in range(50)] + [(100, i) for i in range(101, 160)] + [(7, 7), (300, 299), (299, 300), (None, 5), (5, None)]
+    got = {r.node: r.component for r in connected_components(spark.createDataFrame(links, "a bigint, b bigint")).collect()}
+    assert got == {i: 0 for i in range(1, 51)} | {i: 100 for i in range(101, 160)} | {300: 299}
+    assert connected_components(spark.createDataFrame([], "a bigint, b bigint")).count() == 0
+
+
+def plain_copies(rows, keep):
+    groups = defaultdict(list)
+    for i, t in rows:
+        groups[t or ""].append(i)
+    return sorted(
+        (i, keep(groups[t or ""]), len(groups[t or ""]), i == keep(groups[t or ""]), hashlib.sha256((t or "").encode()).hexdigest()) for i, t in rows
+    )
+
+
+@pytest.mark.parametrize("keep", ["smallest", "largest"])
+def test_exact_copies_match_brute_force(odd_docs, hot_docs, keep):
+    for docs in (odd_docs, hot_docs):
+        want = plain_copies([(r.doc_id, r.text) for r in docs.collect()], {"smallest": min, "largest": max}[keep])
+        assert sorted(tuple(r) for r in exact_dedup.mark_exact_copies(docs, keep=keep).collect()) == want
+
+
+def test_dropping_copies_keeps_one_row_of_each_text(odd_docs, hot_docs, no_docs):
+    for docs in (odd_docs, hot_docs):
+        kept = exact_dedup.drop_exact_copies(docs, keep="largest")
+        assert kept.columns == docs.columns
+        want = {}
+        for r in docs.collect():
+            want[r.text or ""] = max(want.get(r.text or "", r.doc_id), r.doc_id)
+        assert sorted((r.text or "", r.doc_id) for r in kept.collect()) == sorted(want.items())
+    assert exact_dedup.drop_exact_copies(no_docs).count() == exact_dedup.mark_exact_copies(no_docs).count() == 0
+
+
+def test_null_ids_come_last_and_texts_can_be_normalised(spark):
+    docs = spark.createDataFrame([(None, "A  b"), (3, "a b"), (None, "x")], "doc_id bigint, text string")
+    got = sorted(((r.doc_id, r.keep_id, r.group_size, r.kept) for r in exact_dedup.mark_exact_copies(docs, normalise="case_and_space").collect()), key=str)
+    assert got == [(3, 3, 2, True), (None, 3, 2, False), (None, None, 1, True)]
+
+
+def test_exact_dedup_runs_no_python(hot_docs):
+    plan = exact_dedup.mark_exact_copies(hot_docs)._jdf.queryExecution().toString()
+    assert "Python" not in plan and "Arrow" not in plan
+    assert "SortAggregate" in plan and "rangepartitioning" in plan

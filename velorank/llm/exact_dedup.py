@@ -10,8 +10,10 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from velorank.llm.common import partitions, whole_text
+from velorank.llm.common import partitions, stored, whole_text
 
+# Characters of a text that splitters hold, which pass through the driver.
+SPLITTER_LENGTH = 64
 # A text that many rows share is sorted as this many runs for each partition.
 RUNS_PER_PARTITION = 4
 
@@ -30,8 +32,8 @@ def content_groups(
 ) -> DataFrame:
     """One row per distinct normalised text: ``text_sha256``, ``keep_id``, ``group_size``.
 
-    The splitters cut by text and a salt of the id, so a text with a third of all
-    rows becomes runs in many partitions.  Texts are shuffled once; the runs of a
+    The splitters cut by a text's beginning and a salt of the id, so a text, or a
+    beginning, with a third of all rows becomes runs in many partitions.  Texts are shuffled once; the runs of a
     text, of which there are at most ``RUNS_PER_PARTITION`` x partitions, meet
     again by digest alone.
     """
@@ -43,10 +45,11 @@ def content_groups(
         _normalised(text, normalise).alias("content"),
         F.pmod(F.xxhash64(F.col(id_column)), F.lit(n * RUNS_PER_PARTITION)).alias("salt"),
     )
+    rows = rows.withColumn("head", F.substring("content", 1, SPLITTER_LENGTH))
     # A struct's extreme has no hash-aggregate form: equal neighbours are folded in sort order.
     runs = (
-        rows.repartitionByRange(n, "content", "salt")
-        .groupBy("content", "salt")
+        rows.repartitionByRange(n, "head", "salt")
+        .groupBy("head", "content", "salt")
         .agg(best(F.struct(known, "id")).alias("kept"), F.count(F.lit(1)).alias("size"))
         .select(F.sha2("content", 256).alias("text_sha256"), F.col("kept.id").alias("kept"), "size")
     )
@@ -63,7 +66,8 @@ def mark_exact_copies(
     as copies and are all marked alike.  A null id is kept only where its group
     has no other.  An empty table gives an empty result; other columns are ignored.
     """
-    groups = content_groups(docs, id_column, text, keep, normalise)
+    # Written, so that the join's own shuffle is all that stands before it and a hot digest can be split.
+    groups = stored(content_groups(docs, id_column, text, keep, normalise))
     rows = docs.select(F.col(id_column), F.sha2(_normalised(text, normalise), 256).alias("text_sha256"))
     return rows.join(groups, "text_sha256").select(
         F.col(id_column),
