@@ -147,4 +147,5 @@ def test_null_ids_come_last_and_texts_can_be_normalised(spark):
 def test_exact_dedup_runs_no_python(hot_docs):
     plan = exact_dedup.mark_exact_copies(hot_docs)._jdf.queryExecution().toString()
     assert "Python" not in plan and "Arrow" not in plan
-    assert "SortAggregate" in plan and "rangepartitioning" in plan
+    plan = exact_dedup.content_groups(hot_docs)._jdf.queryExecution().executedPlan().toString()
+    assert "SortAggregate" in plan and "rangepartitioning" in plan and plan.count("Exchange") == 2

@@ -117,9 +117,9 @@ def _count(values: Column, keep) -> Column:
     return F.size(F.filter(values, keep)).cast("double")
 
 
-def _uniformity(values: Column, n: Column, letters: Column) -> Column:
+def _uniformity(s: Column) -> Column:
     """Chi-squared over equal parts of the alphabet, as many as keep five expected in each."""
-    parts = F.greatest(F.lit(2), F.least(letters, F.floor(n / 5))).cast("int")
+    n, letters, parts = s["n"], s["letters"], s["parts"]
 
     def squares(cells: Column) -> Column:
         def term(c: Column) -> Column:
@@ -129,34 +129,45 @@ def _uniformity(values: Column, n: Column, letters: Column) -> Column:
 
         return F.aggregate(F.transform(F.sequence(F.lit(0), parts - 1), term), F.lit(0.0), lambda a, x: a + x)
 
-    chi = _bound(F.transform(values, lambda v: F.floor(v * parts / letters)), squares)
-    df = (parts - 1).cast("double")
-    z = (F.pow(chi / df, F.lit(1 / 3)) - (1 - 2 / (9 * df))) / F.sqrt(2 / (9 * df))  # Wilson-Hilferty
-    return F.when(z > 0, _two_sided(z) / 2).otherwise(1 - _two_sided(z) / 2)
+    def upper_tail(chi: Column) -> Column:
+        df = (parts - 1).cast("double")
+        z = (F.pow(chi / df, F.lit(1 / 3)) - (1 - 2 / (9 * df))) / F.sqrt(2 / (9 * df))  # Wilson-Hilferty
+        return _bound(z, lambda z: F.when(z > 0, _two_sided(z) / 2).otherwise(1 - _two_sided(z) / 2))
 
+    return _bound(_bound(F.transform(s["values"], lambda v: F.floor(v * parts / letters)), squares), upper_tail)
 
-def _runs(values: Column, n: Column, letters: Column) -> Column:
+
+def _runs(s: Column) -> Column:
     """Wald-Wolfowitz runs above and below the middle of the alphabet."""
-    high = F.transform(values, lambda v: v >= letters / 2)
-    a = _count(high, lambda x: x)
-    b = n - a
-    changes = F.zip_with(F.slice(high, 1, F.size(high) - 1), F.slice(high, 2, F.size(high) - 1), lambda x, y: x != y)
-    runs = 1 + _count(changes, lambda x: x)
-    mean = 1 + 2 * a * b / n
-    deviation = F.sqrt((mean - 1) * (mean - 2) / (n - 1))
-    return F.when((a == 0) | (b == 0), F.pow(F.lit(2.0), 1 - n)).otherwise(
-        F.when(deviation > 0, _two_sided((runs - mean) / deviation)).otherwise(1.0)
-    )
+    n = s["n"]
+
+    def tail(x: Column) -> Column:
+        a, runs = x["a"], x["runs"]
+        mean = 1 + 2 * a * (n - a) / n
+        deviation = F.sqrt((mean - 1) * (mean - 2) / (n - 1))
+        return F.when((a == 0) | (a == n), F.pow(F.lit(2.0), 1 - n)).otherwise(
+            F.when(deviation > 0, _two_sided((runs - mean) / deviation)).otherwise(1.0)
+        )
+
+    def counts(high: Column) -> Column:
+        changes = F.zip_with(F.slice(high, 1, F.size(high) - 1), F.slice(high, 2, F.size(high) - 1), lambda x, y: x != y)
+        return F.struct(_count(high, lambda x: x).alias("a"), (1 + _count(changes, lambda x: x)).alias("runs"))
+
+    return _bound(_bound(F.transform(s["values"], lambda v: v >= s["letters"] / 2), counts), tail)
 
 
-def _serial(values: Column, n: Column) -> Column:
+def _serial(s: Column) -> Column:
     """Correlation of each character's place in the alphabet with the next one's."""
-    mean = F.aggregate(values, F.lit(0.0), lambda a, v: a + v) / n
-    off = F.transform(values, lambda v: v - mean)
-    squares = F.aggregate(off, F.lit(0.0), lambda a, x: a + x * x)
-    products = F.zip_with(F.slice(off, 1, F.size(off) - 1), F.slice(off, 2, F.size(off) - 1), lambda x, y: x * y)
-    r = F.aggregate(products, F.lit(0.0), lambda a, x: a + x) / squares
-    return F.when(squares > 0, _two_sided((r + 1 / n) * F.sqrt(n))).otherwise(0.0)
+    n = s["n"]
+
+    def tail(off: Column) -> Column:
+        squares = F.aggregate(off, F.lit(0.0), lambda a, x: a + x * x)
+        products = F.zip_with(F.slice(off, 1, F.size(off) - 1), F.slice(off, 2, F.size(off) - 1), lambda x, y: x * y)
+        r = F.aggregate(products, F.lit(0.0), lambda a, x: a + x) / squares
+        return F.when(squares > 0, _two_sided((r + 1 / n) * F.sqrt(n))).otherwise(0.0)
+
+    mean = F.aggregate(s["values"], F.lit(0.0), lambda a, v: a + v) / n
+    return _bound(_bound(mean, lambda m: F.transform(s["values"], lambda v: v - m)), tail)
 
 
 def randomness(content: Column) -> Column:
@@ -167,12 +178,17 @@ def randomness(content: Column) -> Column:
         .when(content.rlike("^[A-Z2-7]+$"), _BASE32_ALPHABET)
         .otherwise(_BASE64_ALPHABET)
     )
-    standard = F.translate(content, "-_", "+/")  # the URL-safe form of the same encoding
-    values = F.transform(
-        F.filter(F.split(standard, ""), lambda c: c != ""), lambda c: (F.instr(alphabet, c) - 1).cast("double")
-    )
-    n, letters = F.length(content).cast("double"), F.length(alphabet)
-    least = _bound(values, lambda v: F.least(_uniformity(v, n, letters), _runs(v, n, letters), _serial(v, n)))
+    letters = F.filter(F.split(F.translate(content, "-_", "+/"), ""), lambda c: c != "")  # the URL-safe form is the same encoding
+
+    def measured(a: Column) -> Column:
+        n, size = F.length(content).cast("double"), F.length(a)
+        return F.struct(
+            F.transform(letters, lambda c: (F.instr(a, c) - 1).cast("double")).alias("values"),
+            n.alias("n"), size.alias("letters"),
+            F.greatest(F.lit(2), F.least(size, F.floor(n / 5))).cast("int").alias("parts"),
+        )
+
+    least = _bound(_bound(alphabet, measured), lambda s: F.least(_uniformity(s), _runs(s), _serial(s)))
     return 1 - F.pow(1 - least, F.lit(3.0))
 
 

@@ -352,8 +352,9 @@ def read_archives(index: DataFrame) -> DataFrame:
                 if held:
                     yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*held), types)], names)
 
-    files = index.select("file").distinct()
-    return files.repartition(partitions(index.sparkSession), "file").mapInArrow(contents, kinds)
+    # Written first: else its own small shuffle, merged into one task, would decide how many tasks read the archives.
+    files = stored(index.select("file").distinct())
+    return files.repartitionByRange(max(1, files.count()), "file").mapInArrow(contents, kinds)
 
 
 def archive_and_index(pages: DataFrame, folder: str, **columns) -> DataFrame:
@@ -363,4 +364,5 @@ def archive_and_index(pages: DataFrame, folder: str, **columns) -> DataFrame:
     """
     index = stored(merge_index(write_archives(pages, folder, **columns), folder))
     places = index.select("range", "urlkey", "file", "offset")
-    return read_archives(index).join(places, ["file", "offset"])
+    # Both sides come out of lists of files, whose small size must not make Spark broadcast them.
+    return read_archives(index).hint("merge").join(places.hint("merge"), ["file", "offset"])
