@@ -46,9 +46,12 @@ def op3_embedding_near_dedup(spark: SparkSession, folder: str) -> DataFrame:
 
 def op4_secret_scan(spark: SparkSession, folder: str) -> DataFrame:
     found = secret_scan.find_secrets(table(spark, folder, "documents"))
-    named = [F.size(F.filter("found", lambda s, k=k: s["kind"] == k)).cast("bigint").alias(f"n_{secret_scan.KINDS[k]}") for k in range(3)]
+
+    def number(kind: int) -> F.Column:
+        return F.size(F.filter("found", lambda s: s["kind"] == kind)).cast("bigint").alias(f"n_{secret_scan.KINDS[kind]}")
+
     base = secret_scan.joined(F.filter("found", lambda s: s["kind"] < 3))
-    return found.select("doc_id", *named, F.sha2(base, 256).alias("base_sha256"), secret_scan.joined(F.col("found")).alias("spans"))
+    return found.select("doc_id", *map(number, range(3)), F.sha2(base, 256).alias("base_sha256"), secret_scan.joined(F.col("found")).alias("spans"))
 
 
 def op5_toxicity(spark: SparkSession, folder: str) -> DataFrame:

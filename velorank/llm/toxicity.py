@@ -22,7 +22,7 @@ from velorank.llm.common import small_batches, stored, whole_text
 
 _WORD = re.compile(r"[^\W\d_]+")
 _STEMS = (4, 5, 6)
-_BLOCK = 64
+_BLOCK = 256
 # Added to the nearest examples' votes with the label share of all, so few weak neighbours don't decide.
 _PRIOR = 0.05
 _BINS = 20
@@ -57,44 +57,48 @@ def terms(text: str) -> Counter[str]:
 
 
 class BlockMaxIndex:
-    """Unit vectors of examples by term, in blocks; ``nearest`` is exact."""
+    """Unit vectors of examples by term, in blocks; ``nearest`` is exact.
+
+    Blocks hold examples of the same heaviest term, so that few of them matter to a query.
+    """
 
     def __init__(self, vectors: list[dict[int, float]], block: int = _BLOCK) -> None:
-        self.size, self.blocks = len(vectors), -(-len(vectors) // block)
+        self._block = block
+        self._order = sorted(range(len(vectors)), key=lambda i: (max(vectors[i], key=vectors[i].get, default=-1), i))
+        self._blocks = -(-len(vectors) // block)
         by_term: dict[int, list[tuple[int, float]]] = {}
-        for i, vector in enumerate(vectors):
-            for term, weight in vector.items():
-                by_term.setdefault(term, []).append((i, weight))
-        # Per term: the blocks it occurs in, its largest weight in each, where each begins in its list, and the list.
-        self.lists: dict[int, tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]] = {}
+        for place, i in enumerate(self._order):
+            for term, weight in vectors[i].items():
+                by_term.setdefault(term, []).append((place, weight))
+        # Per term: its blocks, its largest weight in each, and by block its places and weights there.
+        self._lists: dict[int, tuple[np.ndarray, np.ndarray, dict[int, tuple[np.ndarray, np.ndarray]]]] = {}
         for term, postings in by_term.items():
-            who, weights = np.array([p[0] for p in postings]), np.array([p[1] for p in postings])
-            blocks, starts = np.unique(who // block, return_index=True)
-            self.lists[term] = (blocks, np.maximum.reduceat(weights, starts), np.r_[starts, len(who)], who, weights)
+            places, weights = np.array([p[0] for p in postings]), np.array([p[1] for p in postings])
+            blocks, starts = np.unique(places // block, return_index=True)
+            parts = zip(np.split(places % block, starts[1:]), np.split(weights, starts[1:]))
+            self._lists[term] = (blocks, np.maximum.reduceat(weights, starts), dict(zip(blocks.tolist(), parts)))
 
     def nearest(self, query: dict[int, float], k: int, without: int = -1) -> list[tuple[int, float]]:
         """The ``k`` most similar examples that share a term, ties to the first ones; ``without`` is left out."""
-        known = [(self.lists[t], w) for t, w in query.items() if t in self.lists]
-        bounds = np.zeros(self.blocks)
-        for (blocks, most, *_), weight in known:
+        known = [(self._lists[t], w) for t, w in query.items() if t in self._lists]
+        bounds = np.zeros(self._blocks)
+        for (blocks, most, _), weight in known:
             bounds[blocks] += weight * most
         best: list[tuple[float, int]] = []
-        scores = np.zeros(self.size)
-        for b in np.argsort(-bounds, kind="stable"):
+        for b in np.argsort(-bounds, kind="stable").tolist():
             # A bound equal to the last one found, give or take rounding, could still tie.
-            if bounds[b] <= 0 or len(best) == k and bounds[b] < best[-1][0] - 1e-9:
+            if bounds[b] <= 0 or len(best) == k and bounds[b] < -best[-1][0] - 1e-9:
                 break
-            touched = []
-            for (blocks, _, starts, who, weights), weight in known:
-                at = int(np.searchsorted(blocks, b))
-                if at < len(blocks) and blocks[at] == b:
-                    part = slice(starts[at], starts[at + 1])
-                    scores[who[part]] += weight * weights[part]
-                    touched.append(who[part])
-            mine = np.unique(np.concatenate(touched))
-            mine = mine[mine != without]
-            best = sorted([*best, *((float(scores[i]), int(i)) for i in mine)], key=lambda x: (-x[0], x[1]))[:k]
-        return [(i, s) for s, i in best]
+            scores = np.zeros(self._block)
+            for (_, _, parts), weight in known:
+                part = parts.get(b)
+                if part is not None:
+                    scores[part[0]] += weight * part[1]
+            least = -best[-1][0] if len(best) == k else 0.0
+            found = np.flatnonzero((scores >= least) & (scores > 0))
+            mine = [(-float(scores[i]), self._order[b * self._block + i]) for i in found.tolist()]
+            best = sorted(best + [x for x in mine if x[1] != without])[:k]
+        return [(i, -s) for s, i in best]
 
 
 def _monotone(counts: np.ndarray, ones: np.ndarray, share: float) -> np.ndarray:
