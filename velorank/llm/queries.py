@@ -102,9 +102,8 @@ QUERIES: dict[str, Query] = {
 ORACLE: dict[str, str] = {
     "op3_embedding_near_dedup": """
 WITH RECURSIVE v AS (
-    SELECT vec_id, list_transform(embedding, x -> x::DOUBLE) AS e FROM embeddings
-    WHERE len(embedding) > 0 AND len(list_filter(embedding, x -> x IS NULL OR NOT isfinite(x))) = 0
-      AND len(list_filter(embedding, x -> x <> 0)) > 0
+    SELECT vec_id, embedding::DOUBLE[] AS e FROM embeddings
+    WHERE len([x FOR x IN embedding IF x IS NULL OR NOT isfinite(x)]) = 0 AND len([x FOR x IN embedding IF x <> 0]) > 0
 ), links AS (
     SELECT a.vec_id AS a, b.vec_id AS b FROM v a JOIN v b
     ON a.vec_id <> b.vec_id AND len(a.e) = len(b.e) AND list_cosine_similarity(a.e, b.e) >= 0.95

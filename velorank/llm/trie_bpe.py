@@ -18,7 +18,6 @@ from collections.abc import Iterable, Iterator
 from functools import lru_cache
 
 import pyarrow as pa
-import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
@@ -28,9 +27,9 @@ from velorank.llm.common import small_batches, whole_text
 # Words remembered by a Python worker, and prefix pairs; either is forgotten as a whole when full.
 WORDS = 200_000
 PAIRS = 500_000
-# The word pattern of the file, kept as data there; these two are checked against it.
+# Fixed value: the word pattern that files must have.
 _WORD = "'s|'t|'re|'ve|'m|'ll|'d|[\\p{L}]+|[\\p{N}]|[^\\s\\p{L}\\p{N}]+"
-# The same for texts of the characters below only, in the faster standard module.
+# The same for texts without the characters below; other texts are normalised and split by the library.
 _PLAIN_WORD = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[^\W\d_]+|\d|(?:_|[^\s\w])+")
 _RARE = re.compile(r"[^\t-\r -~\xa0-ɏ]|[²³¹¼-¾İ]")
 _NEVER = 1 << 60
@@ -54,16 +53,15 @@ class TrieBpe:
         model = layout["model"]
         self.vocab: dict[str, int] = model["vocab"]
         self.suffix: str = model["end_of_word_suffix"]
-        self._normalizer = Tokenizer.from_file(file).normalizer
-        self._steps = layout["pre_tokenizer"]["pretokenizers"]
-        if self._steps[0]["pattern"]["Regex"] != _WORD:
+        self._library = Tokenizer.from_file(file)
+        if layout["pre_tokenizer"]["pretokenizers"][0]["pattern"]["Regex"] != _WORD:
             raise ValueError("the file splits words by another pattern")
-        self._pattern = regex.compile(_WORD, regex.V0)
         added = layout["added_tokens"]
         self.names = {i: token for token, i in self.vocab.items()} | {t["id"]: t["content"] for t in added}
         self._special = {t["content"]: t["id"] for t in added}
         self._cut = re.compile("(" + "|".join(map(re.escape, self._special)) + ")") if added else None
         self._letters = str.maketrans(dict(enumerate(_byte_letters())))
+        self._bytes = str.maketrans({letter: chr(b) for b, letter in enumerate(_byte_letters())})
         self._rank: dict[tuple[str, str], int] = {}
         self._parts: dict[str, tuple[str, str]] = {}
         for rank, merge in enumerate(model["merges"]):
@@ -171,7 +169,8 @@ class TrieBpe:
     def words(self, text: str) -> list[str]:
         """The words of a text, normalised."""
         if _RARE.search(text):
-            return self._pattern.findall(self._normalizer.normalize_str(text))
+            pieces = self._library.pre_tokenizer.pre_tokenize_str(self._library.normalizer.normalize_str(text))
+            return [piece.translate(self._bytes).encode("latin-1").decode() for piece, _ in pieces]
         return _PLAIN_WORD.findall(text.lower())
 
     def _learn(self, words: set[str]) -> None:
