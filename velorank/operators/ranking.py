@@ -24,6 +24,8 @@ from velorank.session import broadcast_if_small
 
 STANDARD = "standard"
 PERSONALIZED = "personalized"
+# Rows of per-graph sums that are not worth a task of their own.
+GRAPHS_PER_TASK = 100_000
 
 
 @dataclass(frozen=True)
@@ -250,7 +252,7 @@ class _ManyGraphs:
         ).join(seen, self._keys).withColumns(
             {f"open_{v}": F.col(f"was_{v}") & (F.col(f"delta_{v}") >= self._epsilon) for v in self._variants}
             | {f"mass_{v}": F.col(f"next_{v}") for v in self._variants}
-        ).drop(*[f"next_{v}" for v in self._variants]).checkpoint()
+        ).drop(*[f"next_{v}" for v in self._variants]).coalesce(self._graphs // GRAPHS_PER_TASK + 1).checkpoint()
         seconds = time.perf_counter() - began
         for v in self._variants:
             self._steps.append(self._sums.filter(f"was_{v}").select(
