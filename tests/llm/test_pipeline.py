@@ -30,8 +30,9 @@ def test_query_matches_sql(spark, name):
 
 
 def test_pipeline_matches_plain_stages(spark):
-    toxic = {r.doc_id for r in op5_toxicity(spark, SMALL).collect() if r.predicted}
-    docs = dict(duckdb.sql(f"SELECT doc_id, coalesce(text, '') FROM '{SMALL}/documents.parquet'").fetchall())
+    folder = "/root/testdata/sf0.01"
+    toxic = {r.doc_id for r in op5_toxicity(spark, folder).collect() if r.predicted}
+    docs = dict(duckdb.sql(f"SELECT doc_id, coalesce(text, '') FROM '{folder}/documents.parquet'").fetchall())
     left = {i: t for i, t in docs.items() if i not in toxic}
     keep = {}
     for i, t in left.items():
@@ -45,7 +46,7 @@ def test_pipeline_matches_plain_stages(spark):
             if not any(o.start < s.start < o.end for o in found):
                 end = max([s.end, *(o.end for o in found if s.start <= o.start < s.end)])
                 left[i] = left[i][: s.start] + secret_scan.REPLACEMENT + left[i][end:]
-    rows = corpus_pipeline.run(spark, SMALL).collect()
+    rows = corpus_pipeline.run(spark, folder).collect()
     assert toxic and 0 < len(left) < len(docs)
     check_packing(left, rows)
 
