@@ -200,12 +200,17 @@ def toxicity_scores(
     chosen = F.broadcast(sample)  # at most settings.examples rows
     vocabulary = {t: i for i, t in enumerate(_associated(rows.join(chosen, id_column), settings))}
 
+    least = min(_STEMS)
+    heads = {term.removeprefix("=")[:least] for term in vocabulary}  # how words of any term begin
+
     def counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in small_batches(batches):
             found = []
             for content in batch.column(1).to_pylist():
                 mine: dict[int, int] = {}
                 for word, n in Counter(_WORD.findall(content.lower())).items():
+                    if word[:least] not in heads:
+                        continue
                     for term in ("=" + word, *(word[:k] for k in _STEMS if len(word) >= k)):
                         if (at := vocabulary.get(term)) is not None:
                             mine[at] = mine.get(at, 0) + n
