@@ -222,7 +222,7 @@ class _ManyGraphs:
         )
         opened = {f"open_{v}": F.lit(True) for v in variants} | {f"mass_{v}": F.col("dangling") / F.col("vertices") for v in variants}
         self._sums = counts.filter("vertices > 0").withColumns(opened).drop("dangling").checkpoint()
-        self._graphs = self._sums.count()
+        self._graphs = self._open = self._sums.count()
         self._steps: list[DataFrame] = []
 
     def without_seeds(self) -> bool:
@@ -232,7 +232,7 @@ class _ManyGraphs:
         return reduce(lambda a, b: a | b, [F.col(f"open_{v}") for v in self._variants])
 
     def any_open(self) -> bool:
-        return self._sums.filter(self._is_open()).count() > 0
+        return self._open > 0
 
     def _small(self, rows: DataFrame) -> DataFrame:
         """Broadcast for up to a counted million graphs; beyond that Spark shuffles."""
@@ -247,12 +247,15 @@ class _ManyGraphs:
     def advance(self, plan: DataFrame, iteration: int, began: float) -> DataFrame:
         done = plan.checkpoint()
         seen = done.groupBy(*self._keys).agg(*_round_sums(self._variants))
-        self._sums = self._sums.drop(*[f"{x}_{v}" for v in self._variants for x in ("delta", "was")]).withColumns(
+        watch = Observation()
+        after = self._sums.drop(*[f"{x}_{v}" for v in self._variants for x in ("delta", "was")]).withColumns(
             {f"was_{v}": F.col(f"open_{v}") for v in self._variants} | {f"mass_before_{v}": F.col(f"mass_{v}") for v in self._variants}
         ).join(seen, self._keys).withColumns(
             {f"open_{v}": F.col(f"was_{v}") & (F.col(f"delta_{v}") >= self._epsilon) for v in self._variants}
             | {f"mass_{v}": F.col(f"next_{v}") for v in self._variants}
-        ).drop(*[f"next_{v}" for v in self._variants]).coalesce(self._graphs // GRAPHS_PER_TASK + 1).checkpoint()
+        ).drop(*[f"next_{v}" for v in self._variants]).coalesce(self._graphs // GRAPHS_PER_TASK + 1)
+        self._sums = after.observe(watch, F.count_if(self._is_open()).alias("open")).checkpoint()
+        self._open = watch.get["open"]
         seconds = time.perf_counter() - began
         for v in self._variants:
             self._steps.append(self._sums.filter(f"was_{v}").select(
