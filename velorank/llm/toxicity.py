@@ -23,6 +23,8 @@ from velorank.llm.common import small_batches, stored, whole_text
 _WORD = re.compile(r"[^\W\d_]+")
 _STEMS = (4, 5, 6)
 _BLOCK = 256
+# Blocks looked at one by one, best bound first, before the rest of those within reach.
+_SINGLE = 3
 # Added to the nearest examples' votes with the label share of all, so few weak neighbours don't decide.
 _PRIOR = 0.05
 _BINS = 20
@@ -64,41 +66,65 @@ class BlockMaxIndex:
 
     def __init__(self, vectors: list[dict[int, float]], block: int = _BLOCK) -> None:
         self._block = block
-        self._order = sorted(range(len(vectors)), key=lambda i: (max(vectors[i], key=vectors[i].get, default=-1), i))
+        order = sorted(range(len(vectors)), key=lambda i: (max(vectors[i], key=vectors[i].get, default=-1), i))
+        self._order = np.array(order, np.int64)
         self._blocks = -(-len(vectors) // block)
         by_term: dict[int, list[tuple[int, float]]] = {}
-        for place, i in enumerate(self._order):
+        for place, i in enumerate(order):
             for term, weight in vectors[i].items():
                 by_term.setdefault(term, []).append((place, weight))
-        # Per term: its blocks, its largest weight in each, and by block its places and weights there.
-        self._lists: dict[int, tuple[np.ndarray, np.ndarray, dict[int, tuple[np.ndarray, np.ndarray]]]] = {}
+        # Per term: its blocks, its largest weight in each, its places and weights by block, and all of them.
+        self._lists: dict[int, tuple[np.ndarray, np.ndarray, dict[int, tuple[np.ndarray, np.ndarray]], tuple[np.ndarray, np.ndarray]]] = {}
         for term, postings in by_term.items():
             places, weights = np.array([p[0] for p in postings]), np.array([p[1] for p in postings])
             blocks, starts = np.unique(places // block, return_index=True)
             parts = zip(np.split(places % block, starts[1:]), np.split(weights, starts[1:]))
-            self._lists[term] = (blocks, np.maximum.reduceat(weights, starts), dict(zip(blocks.tolist(), parts)))
+            self._lists[term] = (blocks, np.maximum.reduceat(weights, starts), dict(zip(blocks.tolist(), parts)), (places, weights))
 
     def nearest(self, query: dict[int, float], k: int, without: int = -1) -> list[tuple[int, float]]:
         """The ``k`` most similar examples that share a term, ties to the first ones; ``without`` is left out."""
         known = [(self._lists[t], w) for t, w in query.items() if t in self._lists]
         bounds = np.zeros(self._blocks)
-        for (blocks, most, _), weight in known:
+        for (blocks, most, _, _), weight in known:
             bounds[blocks] += weight * most
         best: list[tuple[float, int]] = []
-        for b in np.argsort(-bounds, kind="stable").tolist():
+        order = np.argsort(-bounds, kind="stable")
+        for step, b in enumerate(order.tolist()):
             # A bound equal to the last one found, give or take rounding, could still tie.
             if bounds[b] <= 0 or len(best) == k and bounds[b] < -best[-1][0] - 1e-9:
+                return [(i, -s) for s, i in best]
+            if step == _SINGLE:
                 break
             scores = np.zeros(self._block)
-            for (_, _, parts), weight in known:
+            for (_, _, parts, _), weight in known:
                 part = parts.get(b)
                 if part is not None:
                     scores[part[0]] += weight * part[1]
-            least = -best[-1][0] if len(best) == k else 0.0
-            found = np.flatnonzero((scores >= least) & (scores > 0))
-            mine = [(-float(scores[i]), self._order[b * self._block + i]) for i in found.tolist()]
-            best = sorted(best + [x for x in mine if x[1] != without])[:k]
-        return [(i, -s) for s, i in best]
+            best = self._better(best, scores, b * self._block, k, without)
+        else:
+            return [(i, -s) for s, i in best]
+        # The blocks that are left and can still hold one of the nearest, all at once.
+        able = bounds >= (-best[-1][0] - 1e-9 if len(best) == k else 0.0)
+        able[order[:_SINGLE]] = False
+        scores = np.zeros(self._blocks * self._block)
+        for (_, _, _, (places, weights)), weight in known:
+            scores[places] += weight * weights
+        scores *= np.repeat(able, self._block)
+        return [(i, -s) for s, i in self._better(best, scores, 0, k, without)]
+
+    def _better(self, best: list[tuple[float, int]], scores: np.ndarray, first: int, k: int, without: int) -> list[tuple[float, int]]:
+        """``best`` with what is better among the examples from place ``first`` on."""
+        found = np.flatnonzero(scores > 0)
+        who = self._order[first + found]
+        if len(best) == k:
+            least, last = -best[-1][0], best[-1][1]
+            keep = (scores[found] > least) | (scores[found] == least) & (who < last)
+            found, who = found[keep], who[keep]
+        if len(found) > k + 1:
+            top = np.lexsort((who, -scores[found]))[: k + 1]
+            found, who = found[top], who[top]
+        mine = [(-s, i) for s, i in zip(scores[found].tolist(), who.tolist()) if i != without]
+        return sorted(best + mine)[:k]
 
 
 def _monotone(counts: np.ndarray, ones: np.ndarray, share: float) -> np.ndarray:
