@@ -44,7 +44,8 @@ def test_routes_are_cut_down_before_their_durations_are_ordered(plan):
     frame = plan("common_routes")
     assert count(frame, "BroadcastHashJoin") == 1
     assert count(frame, "TakeOrderedAndProject") == 1
-    assert count(frame, "Window ") == 1
+    windows = [line for line in own_operators(frame) if line.startswith("Window")]
+    assert len(windows) == 2 and all("start_station_name" in line for line in windows), windows
 
 
 @pytest.mark.parametrize("name, columns", [
@@ -73,7 +74,11 @@ def test_weather_join_skips_trips_of_other_months(spark, tmp_path):
     weather = prepare_weather(spark.createDataFrame([], WEATHER_SCHEMA), 2024, 10)
     span = month_span(2024, 10)
     assert span == (datetime(2024, 9, 30, 20), datetime(2024, 10, 31, 20))
-    scan = next(line for line in own_operators(join_weather(clean, weather, 744, span)) if line.startswith("FileScan"))
+    spark.conf.set("spark.sql.maxMetadataStringLength", "2000")
+    try:
+        scan = next(line for line in own_operators(join_weather(clean, weather, 744, span)) if line.startswith("FileScan"))
+    finally:
+        spark.conf.unset("spark.sql.maxMetadataStringLength")
     assert "GreaterThanOrEqual(started_at,2024-09-30" in scan and "LessThan(started_at,2024-10-31" in scan
 
 
