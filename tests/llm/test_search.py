@@ -76,6 +76,63 @@ def test_recall_on_the_given_vectors(spark, folder):
     assert run_vectors(table(spark, folder, "embeddings")) == brute_vectors(rows)
 
 
+def cone(random, n, pairs, dims=64):
+    """A crowd of mutual cosine 0.9 with isolated pairs of cosine 0.951 in it; partners follow the crowd."""
+    middle = random.standard_normal(dims)
+    middle /= np.sqrt(middle @ middle)
+
+    def across(base):
+        noise = random.standard_normal((len(base), dims))
+        noise -= (noise * base).sum(axis=1, keepdims=True) * base
+        return noise / np.sqrt((noise * noise).sum(axis=1, keepdims=True))
+
+    crowd = np.repeat(middle[None], n, axis=0)
+    crowd = np.sqrt(0.9) * crowd + np.sqrt(0.1) * across(crowd)
+    some = crowd[:pairs]
+    # Partners leave the crowd outwards, so that nothing else is near them.
+    return np.concatenate([crowd, 0.951 * some + np.sqrt(1 - 0.951**2) * across(some)])
+
+
+def pair_recall(spark, units, n, pairs, tmp_path, **settings):
+    import pyarrow as pa
+    import pyarrow.parquet as pq
+
+    flat = pa.array(units.astype(np.float32).ravel())
+    lists = pa.ListArray.from_arrays(np.arange(0, len(flat) + 1, units.shape[1], dtype=np.int32), flat)
+    pq.write_table(pa.table({"vec_id": np.arange(len(units)), "embedding": lists}), f"{tmp_path}/v.parquet", row_group_size=10_000)
+    got = embeddings.near_vectors(spark.read.parquet(f"{tmp_path}/v.parquet").repartition(8), **settings)
+    group = {r.vec_id: r.component_id for r in got.where((F.col("vec_id") >= n) | (F.col("vec_id") < pairs)).collect()}
+    return sum(group[i] == group[n + i] for i in range(pairs)) / pairs
+
+
+def test_recall_in_a_hot_cone(spark, tmp_path):
+    """Ten windows of 256 found few of these pairs."""
+    units = cone(np.random.default_rng(5), 100_000, 400)
+    assert pair_recall(spark, units, 100_000, 400, tmp_path) >= 0.99
+
+
+def test_recall_of_passes(spark, tmp_path, monkeypatch):
+    """Cells of signs find what comparing all pairs finds, in a table with a small crowd, tiles included."""
+    monkeypatch.setattr(embeddings, "_EXACT", 100)
+    monkeypatch.setattr(embeddings, "_PARTS", (64, 128))
+    random = np.random.default_rng(6)
+    crowd, far = cone(random, 1500, 200), random.standard_normal((6000, 64))
+    far /= np.sqrt((far * far).sum(axis=1, keepdims=True))
+    units = np.concatenate([crowd, far])
+    bits, passes = embeddings._plan(len(units), units[random.permutation(len(units))[:1024]], 0.95, 8)
+    assert bits > 0 and passes > 1
+    assert pair_recall(spark, units, 1500, 200, tmp_path, window=8) >= 0.99
+
+
+def test_passes_keep_recall_level_at_every_size():
+    sample = np.random.default_rng(7).standard_normal((512, 64))
+    sample /= np.sqrt((sample * sample).sum(axis=1, keepdims=True))
+    met, plans = 1 - np.arccos(0.95) / np.pi, [embeddings._plan(n, sample, 0.95, 256) for n in (10**6, 10**7, 10**8, 10**9)]
+    assert all(1 - (1 - met**bits) ** passes >= 0.999 for bits, passes in plans)
+    assert [p for _, p in plans] == sorted({p for _, p in plans})
+    assert embeddings._plan(2000, sample, 0.95, 256) == (0, 1)
+
+
 # Toxicity
 
 
