@@ -79,6 +79,19 @@ def test_threshold_bounds_the_share_of_other_strings():
     assert secret_scan._threshold([500] * 5 + [0] * 95, battery) == 1.0
 
 
+def test_copies_of_a_string_count_once(spark):
+    random = np.random.default_rng(3)
+    letters = list("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/")
+    keys = ["".join(random.choice(letters, 40)) for _ in range(300)]
+    hot = next(i for i, p in enumerate(p_values(spark, keys)) if 0.2 < p < 0.4)
+    plain = spark.createDataFrame([(i, f"key {k} end") for i, k in enumerate(keys)], "doc_id bigint, text string")
+    copies = spark.createDataFrame([(1000 + i, f"key {keys[hot]} end {i}") for i in range(1500)], "doc_id bigint, text string")
+    least = secret_scan.thresholds(plain)
+    assert least == secret_scan.thresholds(plain.union(copies)) and max(least.values()) < 0.1
+    found = secret_scan.find_secrets(plain.union(copies)).where("doc_id >= 1000").collect()
+    assert all([(s.start, s.kind, s.end) for s in r.found] == [(4, 3, 44)] for r in found) and len(found) == 1500
+
+
 def test_redaction_and_odd_rows(spark, odd_docs, no_docs):
     docs = spark.createDataFrame(list(enumerate([*TRICKY, None])), "doc_id bigint, text string")
     found = {r.doc_id: r.found for r in secret_scan.find_secrets(docs).collect()}

@@ -5,7 +5,7 @@ inferred from the characters it uses, and three tests ask whether it could be a
 uniform random string of that alphabet: chi-squared over the alphabet, runs above
 and below its middle, and serial correlation.  Ordinary words fail at least one.
 How large the joint p-value must be is decided per class of lengths, from all
-candidates of the corpus: random strings have evenly spread p-values, so their
+distinct candidates of the corpus: random strings have evenly spread p-values, so their
 number shows in the upper half, and the threshold is the lowest at which the
 estimated share of other strings among those reported stays within ``false_share``.
 """
@@ -207,12 +207,14 @@ def candidates(text: Column, battery: Battery) -> Column:
 
 
 def thresholds(docs: DataFrame, battery: Battery = Battery(), text: str = "text") -> dict[int, float]:
-    """For each class of lengths the least p-value to report, from all candidates.
+    """For each class of lengths the least p-value to report, from all distinct candidates.
 
-    A histogram of at most a hundred counts per class, of which there are nine,
-    reaches the driver.
+    A string counts once, however often it is copied.  A histogram of at most a
+    hundred counts per class, of which there are nine, reaches the driver.
     """
-    found = docs.select(F.explode(candidates(whole_text(text), battery)).alias("c")).select("c.*")
+    strings = F.array_distinct(F.regexp_extract_all(whole_text(text), F.lit(battery.pattern), F.lit(0)))
+    distinct = docs.select(F.explode(strings).alias("m")).distinct()
+    found = distinct.select(_length_class(F.length("m")).alias("class"), randomness(F.col("m")).alias("p"))
     slots = F.least(F.floor(F.col("p") * _P_BINS), F.lit(_P_BINS - 1)).cast("int").alias("bin")
     counts: dict[int, list[int]] = {}
     for kind, place, n in found.groupBy("class", slots).count().collect():
