@@ -10,7 +10,7 @@ from test_tokens import check_packing
 
 import __spark_entry__ as contract
 import corpus_pipeline
-from velorank.llm import secret_scan
+from velorank.llm import secret_scan, simhash, toxicity
 from velorank.llm.queries import ORACLE, QUERIES, op5_toxicity
 
 SMALL = "/root/testdata/sf0.001"
@@ -57,3 +57,19 @@ def test_stages_keep_the_columns(spark, odd_docs, no_docs):
             assert stage(spark, docs, SMALL).columns == docs.columns, name
         assert corpus_pipeline.STAGES[-1][1](spark, docs, SMALL).columns[0] == "doc_id"
     assert [n for n, _ in corpus_pipeline.STAGES] == ["toxicity", "exact_dedup", "simhash_near_dedup", "secret_scan", "best_fit_packing"]
+
+
+def test_rows_without_an_id_are_decided_by_their_text(spark):
+    """Unique, near-copied and toxic texts without an id, and an id that repeats with different texts."""
+    long = " ".join(f"word{i}" for i in range(400))
+    rows = [(None, "a text that nothing else resembles at all"), (7, long), (None, long + " end"), (None, "only null ids here"), (None, "only null ids here")]
+    rows += [(7, "quite another text under the same id"), (3, "another one of id three"), (9, long.upper())]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string").repartition(3)
+    left = sorted(((r.doc_id, r.text) for r in simhash.drop_near_duplicates(docs).collect()), key=str)
+    assert left == sorted([rows[0], rows[1], rows[3], rows[5], rows[6]], key=str)
+    texts = [(i, f"calm words about weather number {i}", 0) for i in range(60)] + [(100 + i, f"awful slurry words here {i}", 1) for i in range(20)]
+    odd = [(None, "awful slurry words here again"), (None, "calm words about weather again"), (100, "calm words about weather too")]
+    docs = spark.createDataFrame([(i, t) for i, t, _ in texts] + odd, "doc_id bigint, text string")
+    marks = spark.createDataFrame([(i, y) for i, _, y in texts if i != 100], "doc_id bigint, toxic int")
+    kept = toxicity.drop_toxic(docs, marks, toxicity.Settings(association=10.0)).collect()
+    assert sorted((r.text for r in kept)) == sorted([t for _, t, y in texts if not y] + [odd[1][1], odd[2][1]])

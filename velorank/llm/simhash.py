@@ -20,6 +20,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import LongType, StructField, StructType
 
 from velorank.llm.common import partitions, small_batches, stored, whole_text
 from velorank.llm.components import connected_components
@@ -167,6 +168,13 @@ def fingerprint_links(distinct: DataFrame, distance: int = 3) -> DataFrame:
     return lists.mapInArrow(joined, "a bigint, b bigint").distinct()
 
 
+def _rooted(marked: DataFrame, id_column: str, distance: int) -> DataFrame:
+    """``fp``, its smallest id ``first_id``, and ``root``, which the fingerprints of a group share."""
+    classes = stored(marked.groupBy("fp").agg(F.min(id_column).alias("first_id")))
+    groups = connected_components(fingerprint_links(classes.select("fp"), distance)).withColumnRenamed("node", "fp")
+    return classes.join(groups, "fp", "left").select("fp", "first_id", F.coalesce("component", "fp").alias("root"))
+
+
 def near_duplicates(
     docs: DataFrame, id_column: str = "doc_id", text: str = "text", words: int = 3, distance: int = 3
 ) -> DataFrame:
@@ -179,9 +187,7 @@ def near_duplicates(
     fingerprints are folded first, so copies cost one entry in the index.
     """
     marked = stored(fingerprints(docs, id_column, text, words))
-    classes = stored(marked.groupBy("fp").agg(F.min(id_column).alias("first_id")))
-    groups = connected_components(fingerprint_links(classes.select("fp"), distance)).withColumnRenamed("node", "fp")
-    rooted = classes.join(groups, "fp", "left").select("fp", "first_id", F.coalesce("component", "fp").alias("root"))
+    rooted = _rooted(marked, id_column, distance)
     smallest = rooted.groupBy("root").agg(F.min("first_id").alias("component_id"))
     named = rooted.join(smallest, "root").select("fp", "component_id")
     return marked.join(named, "fp").select(
@@ -192,7 +198,22 @@ def near_duplicates(
 def drop_near_duplicates(
     docs: DataFrame, id_column: str = "doc_id", text: str = "text", words: int = 3, distance: int = 3
 ) -> DataFrame:
-    """The rows of ``docs`` that hold the smallest id of their group, with all their columns."""
-    groups = near_duplicates(docs, id_column, text, words, distance)
-    leading = groups.where(F.col(id_column) == F.col("component_id")).select(id_column).distinct()
-    return docs.join(leading, id_column, "left_semi")
+    """One row of each group, with all its columns: that of the smallest id, nulls last.
+
+    Fingerprints stand beside the rows, so ids may be null or repeat.  Of rows that
+    share both id and fingerprint any one stays.
+    """
+    rooted = _rooted(stored(fingerprints(docs, id_column, text, words)), id_column, distance)
+    best = rooted.groupBy("root").agg(F.min(F.struct(F.col("first_id").isNull().alias("unknown"), "first_id", "fp")).alias("best"))
+    best = best.select(F.col("best.fp").alias("_fp"), F.col("best.first_id").alias("_first"), F.col("root").alias("_root"))
+    texts = docs.columns.index(text)
+
+    def marked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in small_batches(batches):
+            marks = [fingerprint(t, words) for t in batch.column(texts).to_pylist()]
+            fp = pa.array(np.array(marks, np.uint64).view(np.int64))
+            yield pa.RecordBatch.from_arrays([*batch.columns, fp], [*batch.schema.names, "_fp"])
+
+    rows = docs.mapInArrow(marked, StructType([*docs.schema.fields, StructField("_fp", LongType())]))
+    leading = rows.join(best, "_fp").where(F.col(id_column).eqNullSafe(F.col("_first")))
+    return leading.dropDuplicates(["_root"]).select(*docs.columns)

@@ -10,11 +10,12 @@ from __future__ import annotations
 
 import re
 from collections import Counter
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+from pyspark import Broadcast
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -200,22 +201,10 @@ def _associated(rows: DataFrame, settings: Settings) -> list[str]:
     return [r["term"] for r in found.select("term").collect()]
 
 
-def toxicity_scores(
-    docs: DataFrame, labels: DataFrame, settings: Settings = Settings(), id_column: str = "doc_id", text: str = "text",
-    label: str = "toxic",
-) -> DataFrame:
-    """One row per row of ``docs``: its id, ``score``, ``predicted``, ``evidence``.
-
-    ``labels`` has ids and labels 0 or 1 to learn from; null ids and labels are left
-    out, and of differing labels of an id the larger holds.  ``evidence`` lists the
-    nearest examples (``id``, ``similarity``, ``label``).  Null and empty texts, and
-    texts without any associated term, get the share of label 1 among such
-    examples; without examples every score is 0.  Repeated rows get equal scores;
-    an empty table gives an empty one; other columns are ignored.
-
-    Term weights count over all documents.  The texts are read twice, once for the
-    examples; only ids, term numbers and counts are kept.
-    """
+def _learnt(
+    docs: DataFrame, labels: DataFrame, settings: Settings, id_column: str, text: str, label: str
+) -> tuple[DataFrame, Broadcast, Callable[[str], list[tuple[int, int]]]]:
+    """Each row's id, term numbers and counts; the model for every task; and what numbers and counts a text's terms."""
     spark = docs.sparkSession
     known = labels.where(F.col(id_column).isNotNull() & F.col(label).isin(0, 1))
     sample = stored(
@@ -229,18 +218,19 @@ def toxicity_scores(
     least = min(_STEMS)
     heads = {term.removeprefix("=")[:least] for term in vocabulary}  # how words of any term begin
 
+    def numbered(content: str) -> list[tuple[int, int]]:
+        mine: dict[int, int] = {}
+        for word, n in Counter(_WORD.findall(content.lower())).items():
+            if word[:least] not in heads:
+                continue
+            for term in ("=" + word, *(word[:k] for k in _STEMS if len(word) >= k)):
+                if (at := vocabulary.get(term)) is not None:
+                    mine[at] = mine.get(at, 0) + n
+        return sorted(mine.items())
+
     def counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in small_batches(batches):
-            found = []
-            for content in batch.column(1).to_pylist():
-                mine: dict[int, int] = {}
-                for word, n in Counter(_WORD.findall(content.lower())).items():
-                    if word[:least] not in heads:
-                        continue
-                    for term in ("=" + word, *(word[:k] for k in _STEMS if len(word) >= k)):
-                        if (at := vocabulary.get(term)) is not None:
-                            mine[at] = mine.get(at, 0) + n
-                found.append(sorted(mine.items()))
+            found = [numbered(content) for content in batch.column(1).to_pylist()]
             columns = [batch.column(0)]
             columns += [pa.array([[x[k] for x in f] for f in found], pa.list_(pa.int32())) for k in (0, 1)]
             yield pa.RecordBatch.from_arrays(columns, [id_column, "terms", "counts"])
@@ -256,7 +246,27 @@ def toxicity_scores(
         [r[id_column] for r in examples], [int(r["label"]) for r in examples],
         [dict(zip(r["terms"], r["counts"])) for r in examples], idf, settings,
     )
-    shared = spark.sparkContext.broadcast(model)
+    return vectors, spark.sparkContext.broadcast(model), numbered
+
+
+def toxicity_scores(
+    docs: DataFrame, labels: DataFrame, settings: Settings = Settings(), id_column: str = "doc_id", text: str = "text",
+    label: str = "toxic",
+) -> DataFrame:
+    """One row per row of ``docs``: its id, ``score``, ``predicted``, ``evidence``.
+
+    ``labels`` has ids and labels 0 or 1 to learn from; null ids and labels are left
+    out, and of differing labels of an id the larger holds.  ``evidence`` lists the
+    nearest examples (``id``, ``similarity``, ``label``).  Null and empty texts, and
+    texts without any associated term, get the share of label 1 among such
+    examples; without examples every score is 0.  Repeated rows get equal scores;
+    an empty table gives an empty one; other columns are ignored.
+
+    Term weights count over all documents.  The texts are read twice, once for the
+    examples; only ids, term numbers and counts are kept.
+    """
+    vectors, shared, _ = _learnt(docs, labels, settings, id_column, text, label)
+    kind = docs.schema[id_column].dataType.simpleString()
     id_kind = pa.from_numpy_dtype("int64") if kind in ("bigint", "int", "smallint") else pa.string()
     evidence = pa.list_(pa.struct([("id", id_kind), ("similarity", pa.float64()), ("label", pa.int32())]))
 
@@ -282,7 +292,18 @@ def drop_toxic(
     docs: DataFrame, labels: DataFrame, settings: Settings = Settings(), id_column: str = "doc_id", text: str = "text",
     label: str = "toxic",
 ) -> DataFrame:
-    """The rows of ``docs`` that are not predicted to be toxic, with all their columns."""
-    scores = toxicity_scores(docs, labels, settings, id_column, text, label)
-    rejected = scores.where(F.col("predicted") == 1).select(id_column).distinct()
-    return docs.join(rejected, id_column, "left_anti")
+    """The rows of ``docs`` that are not predicted to be toxic, with all their columns.
+
+    Each row is scored by its own text, whether or not its id is null or repeats.
+    """
+    _, shared, numbered = _learnt(docs, labels, settings, id_column, text, label)
+    ids, texts = docs.columns.index(id_column), docs.columns.index(text)
+
+    def kept(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        model = shared.value
+        for batch in small_batches(batches):
+            pairs = zip(batch.column(ids).to_pylist(), batch.column(texts).to_pylist())
+            scores = [model.score(dict(numbered(content or "")), doc)[0] for doc, content in pairs]
+            yield batch.filter(pa.array([s < settings.threshold for s in scores], pa.bool_()))
+
+    return docs.mapInArrow(kept, docs.schema)
