@@ -1,0 +1,97 @@
+"""Main text of pages: layouts with known texts, the given pages read plainly, and the two passes."""
+
+import html
+import re
+
+import pytest
+
+from velorank.llm import html_text
+from velorank.llm.html_text import AMBIGUOUS, BAD, GOOD, Block, Rules, first_labels, main_text, second_labels
+
+LONG = "This is the first long paragraph of the page and it has a lot of the words that every text is made of."
+MORE = "A second one is here as well, and it was said before that this is what we want to have in the end."
+LAYOUTS = {
+    "article": f"<nav><a href=/>Home</a></nav><article><h1>Title</h1><p>{LONG}</p><p>Short.</p><p>{MORE}</p></article><footer>Foot</footer>",
+    "main": f"<div class='top-menu'><a href=/>Home</a></div><main id=x><h1>Title</h1><div>{LONG}<p>Short.</div>{MORE}</main><div>{LONG}</div>",
+    "divisions": f"<body class='has-sidebar'><div id='header'>Site</div><ul class=menu><li><a href=/>Home</a><li><a href=/b>B</a></ul><div class=content><h1>Title</h1>"
+    f"<p>{LONG}</p><p>Short.</p><p>{MORE}</p></div><div id='sidebar'>{LONG}</div><div class='user-comments'><p>{LONG}</div><div>© 2020 Somebody</div>",
+    "nothing closed": f"<html><head><title>T<meta x></title><style>p{{}}</style><body><header>Site<nav><a href=/>Home</a><article><h1>Title<p>{LONG}<p>Short.<p>{MORE}<footer>Foot",
+    "asides in the article": f"<article class='post has-comments'><header><h1>Title</h1></header><p>{LONG}</p><aside>Aside</aside><p>Short.</p><div class='ad'>Buy the best of all</div>"
+    f"<p>{MORE}</p><p class=share>Share<form>Name <input><button>Send</button></form><ul><li><a href=1>One of many</a></li></ul><section id=comments>"
+    f"<article class=comment><p>{LONG}</p></article></section></article>",
+    "scripts": f"<article><script>var t = '<p>no</p>' < 1;</script><h1>Title</h1><p>{LONG}<!-- <p>no</p> --></p><noscript>no</noscript><p>Short.</p><p hidden>no</p><p>{MORE}</p>"
+    "<template><p>no</p></template><style>.a > b {}</style><textarea>no <p>no</textarea><SCRIPT>no</script ></article>",
+}
+
+
+@pytest.mark.parametrize("name", list(LAYOUTS))
+def test_layouts(name):
+    assert main_text(LAYOUTS[name]).split("\n") == ["Title", LONG, "Short.", MORE]
+
+
+def test_characters_and_white_space():
+    page = "<article><p> a&nbsp;&amp;lt;\n\t b<br>c <b>d</b>e &eacute;&#8364;&bogus; x < y <3 </p><p>one<br><br>two</p><p title='a > b' data-x=\"it's\">z</p></article>"
+    assert main_text(page) == "a &lt; b c de é€&bogus; x < y <3\none\ntwo\nz"
+
+
+@pytest.mark.parametrize("page", [None, "", " \n ", "<", "<!--", "<!-- <p>a", "<script>", "<p", "<a href=\"x", "</p></div>", "<p><b></b></p>", "<title>t</title>"])
+def test_pages_without_text(page):
+    assert main_text(page) in ("", "<")
+
+
+def test_plain_text_is_kept_whole():
+    assert main_text("Just a line") == "Just a line"
+    assert main_text("<p>One.<p>Two &amp; three.") == "One.\nTwo & three."
+    words = "the word of " * 200_000
+    assert main_text(f"<div>{words}</div>") == words.strip()
+
+
+def test_first_pass_decides_blocks_by_themselves():
+    def labels(*blocks):
+        return first_labels(list(blocks), Rules())
+
+    def block(text, linked=0, aside=False, main=False):
+        return Block(text, linked, aside, main)
+
+    strange = "Zyx " * 40
+    assert labels(block(LONG), block("Short."), block(strange), block(LONG, 90), block("© 1999"), block(LONG, aside=True)) == [GOOD, AMBIGUOUS, BAD, BAD, BAD, BAD]
+    assert labels(block(LONG), block(strange, main=True), block("Short.", main=True)) == [BAD, AMBIGUOUS, AMBIGUOUS]
+
+
+def test_second_pass_takes_the_nearest_decided_label():
+    def kept(marks, main=False):
+        blocks = [Block("x", 0, False, main) for _ in marks]
+        return "".join("+" if k else "-" for k in second_labels(blocks, [{"g": GOOD, "b": BAD, "?": AMBIGUOUS}[m] for m in marks]))
+
+    assert kept("g??b") == "++--"
+    assert kept("g?b") == "++-" and kept("b?g") == "-++"  # as near: the good one
+    assert kept("b???") == "----" and kept("???g") == "++++" and kept("???") == "+++"
+    assert kept("gb??", main=True) == "+---"
+    blocks = [Block("ad", 0, True, True), Block("x", 0, False, True), Block("y", 0, False, True)]
+    assert second_labels(blocks, [BAD, AMBIGUOUS, AMBIGUOUS]) == [False, True, True]
+
+
+def plainly(page):
+    inside = page.split("<article>")[1].split("</article>")[0]
+    blocks = [html.unescape(re.sub("</?b>", "", b.replace("<br>", " "))).split() for b in re.split("</?p[^>]*>|</?h1[^>]*>", inside)]
+    return "\n".join(" ".join(b) for b in blocks if b)
+
+
+def test_given_pages(spark, folder):
+    pages = spark.read.parquet(f"{folder}/pages.parquet")
+    want = {r.page_id: plainly(r.html) for r in pages.collect()}
+    rows = html_text.extract_text(pages)
+    assert rows.columns == ["page_id", "url", "text", "n_chars"]
+    got = rows.collect()
+    assert {r.page_id: r.text for r in got} == want and all(r.n_chars == len(r.text) for r in got) and len(got) == len(want)
+
+
+def test_odd_rows(spark):
+    """Null pages, urls and ids, repeated rows, columns named like the results, and an empty table."""
+    rows = [(1, None, None), (1, None, None), (None, "u", "<p>a"), (2, "", ""), (3, "v", "<article>\U0001f642 é</article>")]
+    pages = spark.createDataFrame([(*r, "x", 7, "y", 1) for r in rows], "page_id bigint, url string, html string, text string, n_chars int, page string, block int").repartition(2)
+    got = sorted((tuple(r) for r in html_text.extract_text(pages).collect()), key=repr)
+    assert got == sorted([(1, None, "", 0), (1, None, "", 0), (None, "u", "a", 1), (2, "", "", 0), (3, "v", "\U0001f642 é", 3)], key=repr)
+    assert html_text.extract_text(pages.limit(0)).count() == 0
+    blocks = html_text.page_block_labels(pages).collect()
+    assert sorted((r.block, r.first_label, r.kept, r.text) for r in blocks) == [(0, AMBIGUOUS, True, "a"), (0, AMBIGUOUS, True, "\U0001f642 é")]

@@ -19,7 +19,7 @@ SMALL = "/root/testdata/sf0.001"
 def test_all_are_registered():
     registered = contract.queries()
     assert set(QUERIES) | {"pipeline"} <= set(registered)
-    assert sorted(int(re.match(r"op(\d+)_", n)[1]) for n in QUERIES) == list(range(1, 11))
+    assert sorted(int(re.match(r"op(\d+)_", n)[1]) for n in QUERIES) == list(range(1, 14))
     assert set(ORACLE) <= set(contract.oracle_sql())
 
 
