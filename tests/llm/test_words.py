@@ -92,7 +92,7 @@ def test_near_words_share_a_key():
         if word != other:
             short = min(len(word), len(other))
             assert set(spelling.join_keys(word, short, dealt)) & set(spelling.join_keys(other, short, dealt))
-    assert len(spelling.signatures("erdbeere", {})) == 10
+    assert len(spelling.signatures("erdbeere", {}, 5)) == 10
 
 
 def test_words_of_equal_letters_hardly_meet(spark):

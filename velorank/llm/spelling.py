@@ -26,7 +26,7 @@ from velorank.llm.common import small_batches, stored, whole_text
 
 WORD = "[A-Za-zÀ-ÿ]+"
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
-PARTS = 5
+PARTS = 4
 # Places whose commonness decides their part; rarer ones go by hash.
 _RANKED = 4096
 
@@ -105,11 +105,10 @@ def near_words(words: DataFrame, parts: int = PARTS) -> DataFrame:
             yield pa.RecordBatch.from_arrays([*batch.columns, *columns], ["word", "n", "same", "shorter"])
 
     rows = stored(words.select("word", "n").mapInArrow(keyed, "word string, n bigint, same array<bigint>, shorter array<bigint>"))
-    same = rows.select(F.explode("same").alias("key"), F.col("word").alias("a"), F.col("n").alias("na"))
-    other = rows.select(F.explode("same").alias("key"), F.col("word").alias("b"), F.col("n").alias("nb"), F.lit(True).alias("level"))
-    longer = rows.select(F.explode("shorter").alias("key"), F.col("word").alias("b"), F.col("n").alias("nb"), F.lit(False).alias("level"))
-    once = ~F.col("level") | (F.col("a") < F.col("b"))
-    met = same.join(other.union(longer), "key").where(once & (F.levenshtein("a", "b", 1) == 1))
+    own = rows.select(F.explode("same").alias("key"), F.col("word").alias("a"), F.col("n").alias("na"))
+    other = rows.select(F.explode(F.concat("same", "shorter")).alias("key"), F.col("word").alias("b"), F.col("n").alias("nb"))
+    once = (F.length("a") < F.length("b")) | (F.col("a") < F.col("b"))  # words of equal length would meet twice
+    met = own.join(other, "key").where(once & (F.length("a") <= F.length("b")) & (F.levenshtein("a", "b", 1) == 1))
     pairs = met.groupBy("a", "b").agg(F.first("na").alias("na"), F.first("nb").alias("nb"))
     ways = F.explode(F.array(F.struct("a", "na", "b", "nb"), F.struct(F.col("b").alias("a"), F.col("nb").alias("na"), F.col("a").alias("b"), F.col("na").alias("nb"))))
     return pairs.select(ways.alias("p")).select("p.*")
