@@ -234,3 +234,57 @@ def test_a_round_moves_only_contributions(spark, edges, monkeypatch, slice_edges
     operators, (found, _, found_joins) = plans[-1]
     assert (found, found_joins) == (exchanges, joins)
     assert not any("Python" in line for line in operators)
+
+
+def layered(width, depth):
+    """Edges from each layer to the next one: what starts somewhere is past the last layer after ``depth`` rounds."""
+    return sorted({(layer * width + i, (layer + 1) * width + j) for layer in range(depth) for i in range(width) for j in (i, (i * 7 + 1) % width)})
+
+
+def test_only_vertices_a_wave_has_reached_send(spark):
+    edges = layered(12, 4)
+    result = k.rank_variants(graph_of(spark, edges), [k.STANDARD, k.PERSONALIZED], ids(spark, [0, 1, 15]), 25, 0.0, 0.85)
+    assert result.senders == [48, 36, 24, 12] and result.iterations == 25
+    rows = result.ranks.collect()
+    for variant, seeds in ((k.STANDARD, None), (k.PERSONALIZED, [0, 1, 15])):
+        want, changes = plain_pagerank(endpoints(edges), edges, seeds, 25, 0.0)
+        close({r.id: r[variant] for r in rows}, want)
+        steps = result.convergence().filter(f"variant = '{variant}'").orderBy("iteration").collect()
+        assert [r.delta for r in steps] == pytest.approx(changes, abs=1e-14)
+
+
+def test_rounds_go_on_where_all_vertices_keep_sending(spark, edges):
+    """Loops of edges: waves never die, and several checks are needed."""
+    want, _ = plain_pagerank(endpoints(edges), edges, max_iter=2 * k.ROUNDS_PER_CHECK + 1, epsilon=0)
+    result = k.pagerank(graph_of(spark, edges), 2 * k.ROUNDS_PER_CHECK + 1, 0.0)
+    close(by_id(result), want)
+    assert len(result.senders) == 2 * k.ROUNDS_PER_CHECK + 1
+
+
+def test_a_stopped_run_goes_on_after_its_last_round(spark, edges, tmp_path, monkeypatch):
+    graph, chosen, folder = graph_of(spark, edges), ids(spark, [0, 3, 7]), str(tmp_path / "progress")
+    whole = k.personalized_pagerank(graph, chosen, 12, 0.0)
+    k.personalized_pagerank(graph, chosen, 7, 0.0, progress=folder)
+    rounds, plain = [], k._next_state
+    monkeypatch.setattr(k, "_next_state", lambda *args: rounds.append(1) or plain(*args))
+    rest = k.personalized_pagerank(graph, chosen, 12, 0.0, progress=folder)
+    assert len(rounds) == 5 and rest.iterations == 12
+    close(by_id(rest), by_id(whole))
+
+    def history(ranking):
+        return [(r.iteration, r.num_seeds, pytest.approx(r.delta), pytest.approx(r.dangling_mass)) for r in ranking.convergence().orderBy("iteration").collect()]
+
+    assert history(rest) == history(whole) and rest.senders == whole.senders
+    with pytest.raises(ValueError, match="another graph"):
+        k.personalized_pagerank(graph, chosen, 12, 0.0, 0.5, progress=folder)
+    with pytest.raises(ValueError, match="another graph"):
+        k.pagerank(graph_of(spark, [(1, 2)]), 3, progress=folder)
+
+
+def test_a_round_is_one_write_and_checks_are_shared(spark, several, monkeypatch):
+    """The sums of all graphs are taken once for some rounds."""
+    _, _, graph, chosen = several
+    measured, plain = [], k._Levels.measure
+    monkeypatch.setattr(k._Levels, "measure", lambda self, waves, rounds: measured.append(rounds) or plain(self, waves, rounds))
+    result = k.rank_variants(graph, [k.STANDARD, k.PERSONALIZED], chosen, 9, 0.0, 0.85)
+    assert measured == [4, 8, 9] and result.iterations == 9

@@ -38,22 +38,25 @@ def compare_rankings(
     best = {v: top_ranks(ranks.select("run", "id", F.col(v).alias("rank")), k, keys=["run"]) for v in (STANDARD, PERSONALIZED)}
     lists = {v: _ordered_ids(top, f"topK_{v}") for v, top in best.items()}
     both = best[STANDARD].select("run", "id").join(best[PERSONALIZED].select("run", "id"), ["run", "id"])
-    overlap = both.groupBy("run").agg(F.count("*").alias("overlap_count"))
-    chosen = seeds.groupBy("run").agg(F.sort_array(F.collect_set("id")).alias("seeds"))
+    shared = both.groupBy("run").agg(F.count("*").alias("overlap_count"))
     count = F.coalesce("overlap_count", F.lit(0))
+    ratio = count / k if k > 0 else F.lit(0.0)
+    chosen = seeds.groupBy("run").agg(F.sort_array(F.collect_set("id")).alias("seeds"))
     per_run = (
         chosen.join(lists[STANDARD], "run", "left")
         .join(lists[PERSONALIZED], "run", "left")
-        .join(overlap, "run", "left")
+        .join(shared, "run", "left")
         .select(
             "run",
             "seeds",
             *[F.coalesce(name, F.array().cast("array<bigint>")).alias(name) for name in ("topK_standard", "topK_personalized")],
             count.alias("overlap_count"),
-            (count / k if k > 0 else F.lit(0.0)).alias("overlap_ratio"),
+            ratio.alias("overlap_ratio"),
         )
     )
-    return Comparison(per_run, _summary(per_run))
+    # The mean needs neither the lists nor the seeds themselves.
+    ratios = seeds.select("run").distinct().join(shared, "run", "left").select(ratio.alias("overlap_ratio"))
+    return Comparison(per_run, _summary(ratios))
 
 
 def no_comparison(spark: SparkSession) -> Comparison:

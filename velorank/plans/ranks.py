@@ -24,12 +24,14 @@ class RankSettings:
     num_partitions: int | None = None
 
 
-def rank_graph(graph: Graph | PreparedGraph, settings: RankSettings, seeds: DataFrame | None = None) -> Ranking:
-    """Standard ranks, or personalized ones where ``seeds`` are given."""
+def rank_graph(
+    graph: Graph | PreparedGraph, settings: RankSettings, seeds: DataFrame | None = None, progress: str | None = None
+) -> Ranking:
+    """Standard ranks, or personalized ones where ``seeds`` are given; ``progress`` is a folder to go on from."""
     common = (settings.max_iter, settings.epsilon, settings.damping, settings.num_partitions)
     if seeds is None:
-        return pagerank(graph, *common)
-    return personalized_pagerank(graph, seeds, *common)
+        return pagerank(graph, *common, progress)
+    return personalized_pagerank(graph, seeds, *common, progress)
 
 
 def compare_random_graphs(

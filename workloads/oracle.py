@@ -2,11 +2,10 @@
 
 from __future__ import annotations
 
-from workloads.queries import DIGITS, FIRST_SEED, ROUTE_MIN_RIDES, RUN_EPSILON, RUNS, TOP
+from workloads.queries import DIGITS, EPSILON, FIRST_SEED, ROUTE_MIN_RIDES, RUNS, TOP
 
 MIN_RIDES = 100
 MAX_ROUNDS = 20
-EPSILON = 1e-3
 
 
 def half_up(value: str) -> str:
@@ -359,7 +358,7 @@ FROM edges JOIN vertices ON id = src GROUP BY dst""",
     "ppr_topk": ranks("p", True, True),
     "pagerank_convergence": f"""WITH {LINK_GRAPH},{rank_ctes("r", MAX_ROUNDS)}
 SELECT * EXCLUDE (run) FROM ({steps("r", "standard", "CAST(0 AS BIGINT)")})""",
-    "keyed_convergence": f"""WITH {RUN_GRAPHS},{rank_ctes("r", MAX_ROUNDS, epsilon=RUN_EPSILON)},{rank_ctes("p", MAX_ROUNDS, True, RUN_EPSILON)}
+    "keyed_convergence": f"""WITH {RUN_GRAPHS},{rank_ctes("r", MAX_ROUNDS)},{rank_ctes("p", MAX_ROUNDS, True)}
 {steps("r", "standard", SEED_COUNT)} UNION ALL {steps("p", "personalized", SEED_COUNT)}""",
     "rank_validation": f"""WITH {LINK_GRAPH},{rank_ctes("r", MAX_ROUNDS)},{converged_ctes("r", MAX_ROUNDS)},
 {validation({"ranks": "SELECT id, rank FROM r_final"}).replace('SELECT "case", NOT', 'SELECT NOT')}""",
@@ -371,6 +370,7 @@ even AS MATERIALIZED (SELECT id, out_degree, 1e0 / (SELECT count(*) FROM vertice
     "doubled": "SELECT id, rank * 2 AS rank FROM even",
     "missing": "SELECT id, rank / (SELECT sum(rank) FROM even WHERE out_degree > 0) AS rank FROM even WHERE out_degree > 0",
     "zero_dangling": "SELECT id, CASE WHEN out_degree > 0 THEN rank / (SELECT sum(rank) FROM even WHERE out_degree > 0) ELSE 0e0 END AS rank FROM even",
+    "strangers": "SELECT CASE WHEN out_degree = 0 THEN -1 - id ELSE id END AS id, rank FROM even",
 })}""",
     "seed_sample": f"""WITH {LINKS}
 SELECT id FROM vertices ORDER BY md5('seed:{FIRST_SEED}:' || CAST(id AS VARCHAR)), id LIMIT {TOP}""",
