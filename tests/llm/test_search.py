@@ -111,26 +111,53 @@ def test_recall_in_a_hot_cone(spark, tmp_path):
     assert pair_recall(spark, units, 100_000, 400, tmp_path) >= 0.99
 
 
-def test_recall_of_passes(spark, tmp_path, monkeypatch):
-    """Cells of signs find what comparing all pairs finds, in a table with a small crowd, tiles included."""
-    monkeypatch.setattr(embeddings, "_EXACT", 100)
-    monkeypatch.setattr(embeddings, "_PARTS", (64, 128))
+def test_recall_of_passes(spark, tmp_path):
+    """Narrow windows and a small crowd in a larger table."""
     random = np.random.default_rng(6)
     crowd, far = cone(random, 1500, 200), random.standard_normal((6000, 64))
     far /= np.sqrt((far * far).sum(axis=1, keepdims=True))
     units = np.concatenate([crowd, far])
-    bits, passes = embeddings._plan(len(units), units[random.permutation(len(units))[:1024]], 0.95, 8)
-    assert bits > 0 and passes > 1
-    assert pair_recall(spark, units, 1500, 200, tmp_path, window=8) >= 0.99
+    mixed = embeddings._passes(len(units), units[random.permutation(len(units))[:4096]], 0.95, 128)
+    assert mixed > embeddings._passes(len(units), far[:4096], 0.95, 128)  # for the crowd's sake
+    assert pair_recall(spark, units, 1500, 200, tmp_path, window=128) >= 0.99
+
+
+def test_recall_of_isolated_pairs(spark, tmp_path):
+    random = np.random.default_rng(8)
+    units = random.standard_normal((50_000, 64))
+    units /= np.sqrt((units * units).sum(axis=1, keepdims=True))
+    noise = random.standard_normal((300, 64))
+    noise -= (noise * units[:300]).sum(axis=1, keepdims=True) * units[:300]
+    noise /= np.sqrt((noise * noise).sum(axis=1, keepdims=True))
+    units = np.concatenate([units, 0.951 * units[:300] + np.sqrt(1 - 0.951**2) * noise])
+    assert pair_recall(spark, units, 50_000, 300, tmp_path) >= 0.99
 
 
 def test_passes_keep_recall_level_at_every_size():
-    sample = np.random.default_rng(7).standard_normal((512, 64))
+    sample = np.random.default_rng(7).standard_normal((4096, 64))
     sample /= np.sqrt((sample * sample).sum(axis=1, keepdims=True))
-    met, plans = 1 - np.arccos(0.95) / np.pi, [embeddings._plan(n, sample, 0.95, 256) for n in (10**6, 10**7, 10**8, 10**9)]
-    assert all(1 - (1 - met**bits) ** passes >= 0.999 for bits, passes in plans)
-    assert [p for _, p in plans] == sorted({p for _, p in plans})
-    assert embeddings._plan(2000, sample, 0.95, 256) == (0, 1)
+    met, sizes = 1 - np.arccos(0.95) / np.pi, (10**4, 10**6, 10**8, 10**10)
+    passes = [embeddings._passes(n, sample, 0.95, 256) for n in sizes]
+    assert passes == sorted(passes)
+    for n, p in zip(sizes, passes):  # a pair meets if it shares as many hashes as cut the table into windows
+        assert (1 - met ** np.log2(n / 256)) ** p <= 0.02 and p < 600
+
+
+def test_a_pass_sorts_and_windows(spark, folder):
+    """On the smallest table as on any: codes are range-partitioned and sorted, and windows are bounded."""
+    random = np.random.default_rng(1)
+    units = random.standard_normal((40, 8))
+    units[20:] = units[:20] + 0.01 * random.standard_normal((20, 8))
+    units /= np.sqrt((units * units).sum(axis=1, keepdims=True))
+    assert embeddings._window_links(units, 5, 0.99) == []
+    assert sorted(embeddings._window_links(units, 20, 0.99)) == [(20 + i, i) for i in range(20)]
+    classes = spark.createDataFrame([(i, v.astype("<f4").tobytes()) for i, v in enumerate(units)], "id bigint, vec binary")
+    coded = embeddings._coded(classes, {32: units}, 3, 7, "<f4")
+    assert coded.count() == 40 and all(len(r.codes) == 3 for r in coded.collect())
+    links = embeddings._pass_links(coded, classes, range(0, 3), 4, 0.99, "<f4")
+    plan = links._jdf.queryExecution().toString()
+    assert "FlatMapGroupsInArrow" in plan and "CartesianProduct" not in plan and "NestedLoop" not in plan
+    assert links.count() >= 15
 
 
 # Toxicity

@@ -1,12 +1,15 @@
-"""Near-duplicate embeddings by passes of random projections.
-
-In each pass the signs of random projections are a vector's cell, and all vectors of
-a cell are compared, in bounded tiles, however many they are.  A pair shares a sign
-with a chance that depends on its angle alone, so crowded places cost comparisons but
-no recall.  Numbers of signs and passes follow from the counted vectors and from how
-crowded a sample of them is, so that a pair at the threshold meets with the same
-chance at every size; where comparing all pairs is no dearer, that is what is done.
-Pairs are verified by their cosine and united over all passes.
+"""Near-duplicate embeddings by sorted projection passes.
+
+In each pass a vector gets a code of concatenated random hashes, vectors are ordered
+lexicographically by their codes, and each is compared with a bounded window of its
+neighbours in that order.  Pairs are verified by their cosine and united over all passes.
+
+A hash says on which side of a random hyperplane a vector lies.  Planes through the
+origin hardly split a crowd that lies in one cone, so a pass moves each of its planes
+to the middle of the run that shares the prefix before it, as a bounded sample shows
+it: the first hashes to the median, the further ones to the mean.  The number of passes
+follows from the counted vectors and from how often made-up pairs at the threshold,
+drawn around the sample, fall into one window.
 """
 
 from __future__ import annotations
@@ -20,23 +23,32 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from velorank.llm.common import stored
+from velorank.llm.common import partitions, small_batches, stored, with_positions
 from velorank.llm.components import connected_components
 
 # Chance that no pass brings a pair at the threshold together.
 MISS = 1e-3
+# Neighbours in a pass's order that a vector is compared with.
 WINDOW = 256
 SEED = 7
-_BITS = 64
+# Hashes of a code, and how many of them are moved to medians of the sample's runs.
+_BITS = 31
+_DEPTH = 7
+# Vectors, the ones of smallest digest, that planes are fitted to and passes are tried on.
+_SAMPLE = 4096
+_TRIED = (512, 16)
+_COUNTABLE = 50
+# Passes at least; so many make up for what the trial can't see in small tables.
+_LEAST_PASSES = 8
+# Windows that are compared in one group.
+_WINDOWS = 8
 _TILE = 1024
-# Up to this many vectors all pairs are compared.
-_EXACT = 1 << 14
-# Vectors that show how crowded the table is, whatever its size.
-_SAMPLE = 1024
-# Vectors of a cell that one task compares with as many others, at least and at most.
-_PARTS = (512, 4096)
 # Passes whose shuffles are on disk at the same time.
-_ROUND = 8
+_ROUND = 4
+# Parts that the members of a large group are dealt to when they look up its size.
+_SALT = 64
+# Members of small groups that are counted together.
+_COUNTED = 2048
 # Single precision finds what may be near, double precision decides.
 _SLACK = 1e-3
 
@@ -48,11 +60,81 @@ def _units(vectors: list[bytes], kind: str) -> np.ndarray:
     return rows / np.sqrt((rows * rows).sum(axis=1, keepdims=True))
 
 
-def _codes(units: np.ndarray, turn: int, seed: int) -> np.ndarray:
-    """Signs of a pass's projections, first one highest, as numbers that sort like the bits."""
-    planes = np.random.default_rng([seed, turn, units.shape[1]]).standard_normal((units.shape[1], _BITS))
-    bits = np.packbits(units @ planes > 0, axis=1)
-    return (bits.view(">u8").ravel().astype(np.uint64) ^ np.uint64(1 << 63)).view(np.int64)
+class _Pass:
+    """The planes of a pass for vectors of one length, moved to the middles of the sample's runs."""
+
+    def __init__(self, sample: np.ndarray, turn: int, seed: int) -> None:
+        self.planes = np.random.default_rng([seed, turn, sample.shape[1]]).standard_normal((sample.shape[1], _BITS))
+        places = sample @ self.planes
+        run = np.zeros(len(sample), np.int64)
+        self.medians = []
+        for level in range(_DEPTH):
+            middles = np.zeros(1 << level)
+            for r in np.unique(run):
+                middles[r] = np.median(places[run == r, level])
+            self.medians.append(middles)
+            run = 2 * run + (places[:, level] > middles[run])
+        self.means = np.zeros((1 << _DEPTH, _BITS - _DEPTH))
+        for r in np.unique(run):
+            self.means[r] = places[run == r, _DEPTH:].mean(axis=0)
+
+    def codes(self, units: np.ndarray) -> np.ndarray:
+        """Hashes, first one highest, as numbers that sort like them."""
+        places = units @ self.planes
+        code = np.zeros(len(units), np.int64)
+        for level, middles in enumerate(self.medians):
+            code = 2 * code + (places[:, level] > middles[code])
+        above = places[:, _DEPTH:] > self.means[code]
+        return code << (_BITS - _DEPTH) | above @ (1 << np.arange(_BITS - _DEPTH)[::-1])
+
+
+def _hit_rate(n: int, sample: np.ndarray, threshold: float, window: int, seed: int) -> float:
+    """How often a pass brings a pair at the threshold into one window among ``n`` vectors like the sample.
+
+    A pair meets if the run that shares its common prefix fits into a window.
+    """
+    if n <= window:
+        return 1.0
+    pairs, turns = _TRIED
+    random = np.random.default_rng([seed, sample.shape[1]])
+    some = sample[random.permutation(len(sample))[:pairs]]
+    across = random.standard_normal(some.shape)
+    across -= (across * some).sum(axis=1, keepdims=True) * some
+    length = np.sqrt((across * across).sum(axis=1, keepdims=True))
+    cosine = float(np.clip(threshold, 0.0, 1.0))
+    others = cosine * some + np.sqrt(1 - cosine * cosine) * across / np.where(length > 0, length, 1.0)
+    spreads = []
+    for turn in range(turns):
+        one = _Pass(sample, turn, seed)
+        a, b, every = one.codes(some), one.codes(others), np.sort(one.codes(sample))
+        shared = np.array([_BITS - int(x).bit_length() for x in a ^ b])
+        below = _BITS - shared
+        inside = np.searchsorted(every, ((b >> below) + 1) << below) - np.searchsorted(every, b >> below << below)
+        # What a sample of this size can't tell is taken to halve with each further hash.
+        spreads.append(np.maximum(inside / len(sample), 0.5 ** np.maximum(shared, np.log2(len(sample)))))
+    needed = np.stack(spreads) / window
+    half, quarter = turns // 2, max(1, len(some) // 4)
+
+    def rate(size: float) -> float:
+        """The rate of the quarter of pairs that meet least: those of crowds.  Half of the turns say which, the others how often."""
+        hits = size * needed <= 1
+        return float(hits[half:, np.argsort(hits[:half].sum(axis=0), kind="stable")[:quarter]].mean())
+
+    # Where hits are too rare to count, they are as rare as in smaller tables, and rarer by the power seen there.
+    size = float(n)
+    while rate(size) * half * quarter < _COUNTABLE and size > window:
+        size /= 2
+    if size == n or size <= window:
+        return rate(size)
+    power = np.log(rate(size) / rate(size / 16)) / np.log(16)
+    return rate(size) * (n / size) ** min(power, 0.0)
+
+
+def _passes(n: int, sample: np.ndarray, threshold: float, window: int, seed: int = SEED) -> int:
+    """Passes that miss a pair at the threshold with a chance of ``MISS`` at most."""
+    rate = _hit_rate(n, sample, threshold, window, seed) if len(sample) else 1.0
+    rate = max(rate, min(1.0, window / n) if n else 1.0)  # neighbours in any order meet this often
+    return max(_LEAST_PASSES, int(np.ceil(np.log(MISS) / np.log1p(-rate))) if rate < 1 else 1)
 
 
 def _usable(rows: DataFrame, id_column: str, vector: str, kind: str) -> DataFrame:
@@ -92,133 +174,144 @@ def _forest(near: np.ndarray) -> list[tuple[int, int]]:
     return out
 
 
-def _passes(bits: int, threshold: float) -> int:
-    """Passes of cells of so many signs that miss a pair at the threshold with a chance of ``MISS`` at most."""
-    met = (1 - np.arccos(np.clip(threshold, -1.0, 1.0)) / np.pi) ** bits
-    if met >= 1:
-        return 1
-    return int(np.ceil(np.log(MISS) / np.log1p(-met))) if met > 1e-9 else 1 << 40
-
-
-def _plan(n: int, sample: np.ndarray, threshold: float, window: int) -> tuple[int, int]:
-    """Signs and passes that cost least for ``n`` vectors as crowded as the sample.
-
-    A vector costs a pass half the comparisons with its cell and what moving it
-    there costs, which is counted as ``window`` comparisons.  No sign means one
-    cell, so all pairs.
+def _sampled(classes: DataFrame, kind: str) -> tuple[int, dict[int, np.ndarray]]:
+    """How many vectors there are, and a bounded sample of unit vectors by length."""
+    sample = classes.orderBy("digest").limit(_SAMPLE).select("vec").collect()
+    by_size: dict[int, list[bytes]] = {}
+    for r in sample:
+        by_size.setdefault(len(r.vec), []).append(bytes(r.vec))
+    return classes.count(), {size: _units(vecs, kind) for size, vecs in by_size.items()}
+
+
+def _coded(classes: DataFrame, samples: dict[int, np.ndarray], passes: int, seed: int, kind: str) -> DataFrame:
+    """``id``, ``size`` and ``codes``, the code of each pass, of every vector."""
+    spark = classes.sparkSession
+    fitted = spark.sparkContext.broadcast({size: [_Pass(units, t, seed) for t in range(passes)] for size, units in samples.items()})
+
+    def coded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        plans = dict(fitted.value)
+        for batch in small_batches(batches, 4096):
+            vecs = batch.column(1).to_pylist()
+            sizes = np.array([len(v) for v in vecs])
+            for size in np.unique(sizes).tolist():
+                at = np.flatnonzero(sizes == size)
+                units = _units([vecs[i] for i in at], kind)
+                if size not in plans:  # a length the sample does not hold: planes through the origin
+                    plans[size] = [_Pass(units[:0], t, seed) for t in range(passes)]
+                codes = np.stack([one.codes(units) for one in plans[size]], axis=1).astype(np.int32)
+                lists = pa.ListArray.from_arrays(np.arange(0, codes.size + 1, passes, dtype=np.int32), codes.ravel())
+                columns = [batch.column(0).take(pa.array(at)), pa.array(np.full(len(at), size, np.int32)), lists]
+                yield pa.RecordBatch.from_arrays(columns, ["id", "size", "codes"])
+
+    return stored(classes.select("id", "vec").mapInArrow(coded, "id bigint, size int, codes array<int>"))
+
+
+def _window_links(units: np.ndarray, window: int, threshold: float) -> list[tuple[int, int]]:
+    """Links that connect what is near among rows at most ``window`` places apart, in tiles of bounded size."""
+    n, rough = len(units), units.astype(np.float32)
+    found_a, found_b = [], []
+    for first in range(0, n, window):
+        rows = np.arange(first, min(first + window, n))
+        cols = np.arange(first, min(first + 2 * window, n))
+        apart = cols[None, :] - rows[:, None]
+        i, j = np.nonzero((rough[rows] @ rough[cols].T >= threshold - _SLACK) & (apart > 0) & (apart <= window))
+        near = np.einsum("ij,ij->i", units[rows[i]], units[cols[j]]) >= threshold
+        found_a.append(rows[i[near]])
+        found_b.append(cols[j[near]])
+    a, b = np.concatenate(found_a), np.concatenate(found_b)
+    if not len(a):
+        return []
+    some = np.union1d(a, b)
+    near = np.zeros((len(some), len(some)), bool)
+    near[np.searchsorted(some, a), np.searchsorted(some, b)] = True
+    return [(int(some[i]), int(some[j])) for i, j in _forest(near | near.T)]
+
+
+def _pass_links(coded: DataFrame, classes: DataFrame, turns: range, window: int, threshold: float, kind: str) -> DataFrame:
+    """Verified links ``a``, ``b`` that connect what is near within a window of some of the passes.
+
+    Codes alone are sorted, over sampled splitters, and numbered through.  A group
+    holds some windows of that order and the window after them, so every vector
+    meets its whole window and moves 1 + 1 / ``_WINDOWS`` times a pass.
     """
-    if n <= _EXACT:
-        return 0, 1
-    same = 1 - np.arccos(np.clip(sample @ sample.T, -1.0, 1.0))[np.triu_indices(len(sample), 1)] / np.pi
-    costs = []
-    for bits in range(_BITS):
-        cell = 1 + (n - 1) * float((same**bits).mean()) if len(same) else n
-        costs.append(_passes(bits, threshold) * (cell / 2 + window))
-    bits = int(np.argmin(costs))
-    return bits, _passes(bits, threshold)
-
-
-def _planned(classes: DataFrame, threshold: float, window: int, kind: str) -> tuple[int, int]:
-    """:func:`_plan` for the commonest length; a bounded sample reaches the driver, in the order of the digests."""
-    length = F.length("vec")
-    most = classes.groupBy(length.alias("size")).count().orderBy(F.col("count").desc(), "size").first()
-    if most is None or most["count"] <= _EXACT:
-        return 0, 1
-    sample = classes.where(length == most["size"]).orderBy("digest").limit(_SAMPLE).select("vec").collect()
-    return _plan(most["count"], _units([bytes(r.vec) for r in sample], kind), threshold, window)
-
-
-def _near_links(units: np.ndarray, left: np.ndarray, right: np.ndarray, threshold: float) -> list[tuple[int, int]]:
-    """Links that connect what is near between two sets of rows of ``units``, in blocks of bounded size."""
-    rough, out = units.astype(np.float32), []
-    for first in range(0, len(left), _TILE):
-        for second in range(0, len(right), _TILE):
-            rows, cols = left[first : first + _TILE], right[second : second + _TILE]
-            may = rough[rows] @ rough[cols].T >= threshold - _SLACK
-            rows, cols = rows[may.any(axis=1)], cols[may.any(axis=0)]
-            if not len(rows):
-                continue
-            both = np.union1d(rows, cols)
-            near = np.zeros((len(both), len(both)), bool)
-            near[np.ix_(np.searchsorted(both, rows), np.searchsorted(both, cols))] = units[rows] @ units[cols].T >= threshold
-            near |= near.T
-            np.fill_diagonal(near, False)
-            out += [(both[i], both[j]) for i, j in _forest(near)]
-    return out
-
-
-def _cell_links(classes: DataFrame, threshold: float, bits: int, turns: range, seed: int, kind: str) -> DataFrame:
-    """Verified links ``a``, ``b`` that connect what is near within a cell of some pass."""
-
-    def celled(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        names = ["turn", "size", "cell", "id", "vec"]
-        for batch in batches:
-            sizes = np.array([len(v) for v in batch.column(1).to_pylist()])
-            for size in np.unique(sizes):
-                mine = batch.take(pa.array(np.flatnonzero(sizes == size)))
-                units = _units(mine.column(1).to_pylist(), kind) if bits else None
-                for turn in turns:
-                    cells = _codes(units, turn, seed) >> (_BITS - bits) if bits else np.zeros(mine.num_rows, np.int64)
-                    fixed = [pa.array(np.full(mine.num_rows, x, np.int32)) for x in (turn, size)]
-                    yield pa.RecordBatch.from_arrays([*fixed, pa.array(cells), mine.column(0), mine.column(1)], names)
-
-    cell = ["turn", "size", "cell"]
-    rows = classes.select("id", "vec").mapInArrow(celled, "turn int, size int, cell bigint, id bigint, vec binary")
-    n = F.col("count")
-    tile = F.greatest(F.lit(_PARTS[0]), F.least(F.lit(_PARTS[1]), F.ceil(n / 16)))
-    sizes = rows.groupBy(*cell).count().where(n > 1).select(*cell, F.ceil(n / tile).cast("int").alias("parts"))
-    # Without signs there is one cell for each length of vectors.
-    rows = rows.join(sizes if bits else F.broadcast(sizes), cell)
-    rows = rows.withColumn("part", F.pmod(F.xxhash64("id"), F.col("parts")).cast("int"))
-    rows = rows.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
-    tiles = rows.select(*cell, F.least("part", "other").alias("i"), F.greatest("part", "other").alias("j"), "part", "id", "vec")
+    step = window * _WINDOWS
+    each = F.posexplode(F.slice("codes", turns.start + 1, len(turns))).alias("turn", "code")
+    ordered = with_positions(coded.select("id", "size", each), "turn", "size", "code", "id")
+    block = F.floor(F.col("position") / step)
+    late = (F.col("position") % step < window) & (block > 0)
+    blocks = F.explode(F.when(late, F.array(block - 1, block)).otherwise(F.array(block))).alias("block")
+    placed = ordered.select("id", "turn", "position", blocks).join(classes.select("id", "vec"), "id")
 
     def compared(table: pa.Table) -> pa.Table:
-        ids, part = table.column("id").to_numpy(), table.column("part").to_numpy()
-        i, j = table.column("i")[0].as_py(), table.column("j")[0].as_py()
-        units = _units(table.column("vec").to_pylist(), kind)
-        found = _near_links(units, np.flatnonzero(part == i), np.flatnonzero(part == j), threshold)
-        ends = [pa.array([ids[pair[k]] for pair in found], pa.int64()) for k in (0, 1)]
-        return pa.table(ends, ["a", "b"])
+        table = table.sort_by("position")
+        ids, turn = table.column("id").to_numpy(), table.column("turn").to_numpy()
+        vecs = table.column("vec").to_pylist()
+        kinds = np.array([len(v) for v in vecs])
+        starts = np.flatnonzero(np.r_[True, (turn[1:] != turn[:-1]) | (kinds[1:] != kinds[:-1])])
+        ends: list[list[int]] = [[], []]
+        for first, last in zip(starts, np.r_[starts[1:], len(ids)]):  # other passes and lengths don't compare
+            for i, j in _window_links(_units(vecs[first:last], kind), window, threshold):
+                ends[0].append(int(ids[first + i]))
+                ends[1].append(int(ids[first + j]))
+        return pa.table([pa.array(e, pa.int64()) for e in ends], ["a", "b"])
 
-    return tiles.groupBy(*cell, "i", "j").applyInArrow(compared, "a bigint, b bigint").distinct()
+    return placed.groupBy("block").applyInArrow(compared, "a bigint, b bigint").distinct()
 
 
 def _links(classes: DataFrame, threshold: float, passes: int | None, window: int, seed: int, kind: str) -> DataFrame:
     """Links of all passes; those of a few passes at a time are written, so that their shuffles can go."""
-    bits, needed = _planned(classes, threshold, window, kind)
-    passes = needed if passes is None or not bits else passes
-    found = [_cell_links(classes, threshold, bits, range(t, min(t + _ROUND, passes)), seed, kind) for t in range(0, passes, _ROUND)]
-    return reduce(DataFrame.union, [stored(f) for f in found] if len(found) > 1 else found).distinct()
+    n, samples = _sampled(classes, kind)
+    if passes is None:
+        passes = max((_passes(n, units, threshold, window, seed) for units in samples.values()), default=1)
+    coded = _coded(classes, samples, passes, seed, kind)
+    found = [_pass_links(coded, classes, range(t, min(t + _ROUND, passes)), window, threshold, kind) for t in range(0, passes, _ROUND)]
+    return reduce(DataFrame.union, [stored(f) for f in found]).distinct()
 
 
 def _link_counts(members: DataFrame, threshold: float, kind: str) -> DataFrame:
     """``id``, ``links``: for each vector of a group how many others of it, copies counted, are near.
 
-    A group is dealt into tiles of two bounded parts of it, so groups of any size
-    are counted in tasks of bounded size, and no pair is written.
+    A large group is dealt into tiles of two bounded parts of it, so groups of any
+    size are counted in tasks of bounded size, and no pair is written.  Its members
+    look up its size in ``_SALT`` places, so that they need not meet in one task.
+    Small groups are counted many at a time.
     """
-    sizes = members.groupBy("component").agg(F.ceil(F.count(F.lit(1)) / _TILE).cast("int").alias("parts"))
-    rows = members.join(sizes, "component").withColumn("part", F.pmod(F.xxhash64("id"), F.col("parts")).cast("int"))
+    members = stored(members)
+    counts = members.groupBy("component").agg(F.count(F.lit(1)).alias("n"))
+    large = counts.where(F.col("n") > _TILE).select(
+        "component", F.ceil(F.col("n") / _TILE).cast("int").alias("parts"), F.explode(F.sequence(F.lit(0), F.lit(_SALT - 1))).alias("salt")
+    )
+    buckets = members.count() // _COUNTED + 1
+    salted = members.withColumn("salt", F.pmod(F.xxhash64("id"), F.lit(_SALT)).cast("int"))
+    rows = salted.join(large, ["component", "salt"], "left").select(
+        "component", "id", "weight", "vec", F.col("parts").isNotNull().alias("large"), F.coalesce("parts", F.lit(1)).alias("parts"),
+        F.when(F.col("parts").isNotNull(), F.col("component")).otherwise(F.pmod(F.xxhash64("component"), F.lit(buckets))).alias("place"),
+    ).withColumn("part", F.pmod(F.xxhash64("id", F.lit(1)), F.col("parts")).cast("int"))
     others = F.sequence(F.lit(0), F.col("parts") - 1)
-    asking = rows.withColumn("other", F.explode(others)).select("component", F.col("part").alias("i"), F.col("other").alias("j"), F.lit(True).alias("asks"), "id", "weight", "vec")
-    asked = rows.withColumn("other", F.explode(others)).select("component", F.col("other").alias("i"), F.col("part").alias("j"), F.lit(False).alias("asks"), "id", "weight", "vec")
+    held = ["large", "place", "component", "id", "weight", "vec"]
+    asking = rows.withColumn("other", F.explode(others)).select(F.col("part").alias("i"), F.col("other").alias("j"), F.lit(True).alias("asks"), *held)
+    asked = rows.withColumn("other", F.explode(others)).select(F.col("other").alias("i"), F.col("part").alias("j"), F.lit(False).alias("asks"), *held)
 
     def counted(table: pa.Table) -> pa.Table:
-        asks = table.column("asks").to_numpy(zero_copy_only=False)
-        ids, weights = table.column("id").to_numpy(), table.column("weight").to_numpy()
+        asks = table.column("asks").to_numpy()
+        ids, weights, groups = (table.column(c).to_numpy() for c in ("id", "weight", "component"))
         vecs = table.column("vec").to_pylist()
         sizes = np.array([len(v) for v in vecs])
         out, links = ids[asks], np.zeros(int(asks.sum()), np.int64)
         for size in np.unique(sizes):
-            mine, theirs = sizes[asks] == size, np.flatnonzero(~asks & (sizes == size))
-            if mine.any() and len(theirs):
-                units = _units([vecs[i] for i in np.flatnonzero(asks)[mine]], kind)
-                near = (units @ _units([vecs[i] for i in theirs], kind).T >= threshold) & (out[mine][:, None] != ids[theirs])
-                links[mine] = near @ weights[theirs]
+            mine, theirs = np.flatnonzero(asks & (sizes == size)), np.flatnonzero(~asks & (sizes == size))
+            place = np.searchsorted(np.flatnonzero(asks), mine)
+            if not len(mine) or not len(theirs):
+                continue
+            mine_units, units = _units([vecs[i] for i in mine], kind), _units([vecs[i] for i in theirs], kind)
+            for first in range(0, len(mine), _TILE):
+                rows = slice(first, first + _TILE)
+                near = mine_units[rows] @ units.T >= threshold
+                near &= (ids[mine[rows]][:, None] != ids[theirs]) & (groups[mine[rows]][:, None] == groups[theirs])
+                links[place[rows]] = near @ weights[theirs]
         return pa.table({"id": out, "links": links})
 
-    tiles = asking.union(asked).groupBy("component", "i", "j").applyInArrow(counted, "id bigint, links bigint")
+    tiles = asking.union(asked).groupBy("large", "place", "i", "j").applyInArrow(counted, "id bigint, links bigint")
     return tiles.groupBy("id").agg(F.sum("links").alias("links"))
 
 
@@ -237,12 +330,10 @@ def near_vectors(
     result; other columns are ignored.  Ids must be integers.
 
     Passes find groups: a link is missed only if no pass brings a pair, or a chain
-    of pairs between them, into one cell, which for a pair at the threshold has a
-    chance of ``MISS`` at every size and in crowds of any size.  Up to ``_EXACT``
-    vectors, and where it costs no more, all pairs are compared.  Within a group
-    every link is then counted.  ``passes`` sets their number, ``window`` what moving
-    a vector costs in comparisons.  A crowd whose vectors are all about as near as
-    the threshold is compared pair by pair: time grows with the square of its size.
+    of pairs between them, into one window, which for a pair at the threshold has a
+    chance of about ``MISS`` at every size and in crowds.  Within a group every link
+    is then counted.  ``passes`` sets their number, ``window`` how many neighbours a
+    vector is compared with in each.
     """
     kind = {"float": "<f4"}.get(rows.schema[vector].dataType.elementType.simpleString(), "<f8")
     rows = rows.select(F.col(id_column).cast("bigint").alias(id_column), vector)
@@ -250,6 +341,7 @@ def near_vectors(
     classes = stored(
         read.where(F.col("digest").isNotNull())
         .groupBy("digest").agg(F.min("id").alias("id"), F.count(F.lit(1)).alias("weight"), F.min("vec").alias("vec"))
+        .repartition(partitions(rows.sparkSession), "id")  # passes join by it
     )
     groups = connected_components(_links(classes, threshold, passes, window, seed, kind))
     groups = stored(groups.union(groups.select(F.col("component").alias("node"), "component").distinct()).withColumnRenamed("node", "id"))
