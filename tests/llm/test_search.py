@@ -177,7 +177,7 @@ def test_index_finds_what_comparing_all_finds():
         query = vector()
         scores = [(-sum(w * e.get(t, 0.0) for t, w in query.items()), i) for i, e in enumerate(examples) if i != n and query.keys() & e.keys()]
         want = sorted(scores)[:7]
-        got = index.nearest(query, 7, without=n)
+        got = index.nearest(query, 7, without=frozenset([n]))
         assert np.allclose([s for _, s in got], [-s for s, _ in want])
         assert {i for i, _ in got} == {i for _, i in want} or np.isclose(want[-1][0], sorted(scores)[7][0])
 
@@ -194,7 +194,48 @@ def test_held_out_accuracy(spark):
     assert any(r.evidence for r in rows if r.predicted)
 
 
-def test_own_label_never_counts_and_odd_rows(spark, odd_docs, no_docs):
+def test_scores_match_brute_force_and_depend_on_the_text_alone(spark):
+    """Whole scores against all examples by plain cosine; equal texts score alike whatever their ids."""
+    from collections import Counter
+
+    random = np.random.default_rng(11)
+    words = [f"word{chr(97 + i // 26)}{chr(97 + i % 26)}" for i in range(120)]
+    texts = [" ".join(random.choice(words[: 40 if i % 3 else 120], random.integers(3, 30))) + (" trash idiot" if i % 3 == 0 else "") for i in range(240)]
+    texts += texts[:6] + ["", "unseen"]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string")
+    known = {i: int(i % 3 == 0) for i in range(160)} | {240: 1}
+    labels = spark.createDataFrame(list(known.items()), "doc_id bigint, toxic int")
+    settings = toxicity.Settings(association=0.0, least_examples=1)
+    rows = {r.doc_id: r for r in toxicity.toxicity_scores(docs, labels, settings).collect()}
+    assert all(rows[240 + i].score == rows[i].score for i in range(6))
+    counts = [toxicity.terms(t) for t in texts]
+    seen = Counter(t for i, c in enumerate(counts) for t in c)
+    inside = Counter(t for i in known for t in counts[i])
+    vocabulary = {t for t, n in inside.items() if n < len(known)}  # what all examples hold tells nothing
+
+    def vector(c):
+        raw = {t: (1 + np.log(n)) * (np.log((1 + len(texts)) / (1 + seen[t])) + 1) for t, n in c.items() if t in vocabulary}
+        norm = np.sqrt(sum(w * w for w in raw.values()))
+        return {t: w / norm for t, w in raw.items()}
+
+    examples = {i: vector(counts[i]) for i in known}
+    share = sum(known.values()) / len(known)
+
+    def vote(i, without=()):
+        mine = vector(counts[i])
+        near = sorted(((-sum(w * e.get(t, 0.0) for t, w in mine.items()), j) for j, e in examples.items() if j not in without and mine.keys() & e.keys()))[:15]
+        return (sum(-s * known[j] for s, j in near) + 0.05 * share) / (sum(-s for s, _ in near) + 0.05), near
+
+    votes = np.array([vote(i, [j for j in known if texts[j] == texts[i]])[0] for i in known])
+    at = np.minimum((votes * 20).astype(int), 19)
+    rates = toxicity._monotone(np.bincount(at, minlength=20), np.bincount(at, weights=list(known.values()), minlength=20), share)
+    for i, r in rows.items():
+        mine, near = vote(i)
+        want = np.interp(mine, (np.arange(20) + 0.5) / 20, rates) if near else share
+        assert r.score == pytest.approx(want, abs=1e-9) and [e.similarity for e in r.evidence] == pytest.approx([-s for s, _ in near])
+
+
+def test_odd_rows_and_a_wrong_label(spark, odd_docs, no_docs):
     labels = spark.createDataFrame([(1, 1), (2, 0), (None, 1), (4, None), (4, 1), (99, 1)], "doc_id bigint, toxic int")
     rows = toxicity.toxicity_scores(odd_docs, labels).collect()
     assert sorted(r.doc_id for r in rows) == sorted(r.doc_id for r in odd_docs.collect())

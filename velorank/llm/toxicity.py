@@ -36,7 +36,8 @@ class Settings:
     """``examples``: labelled rows used at most (the ones of smallest id hash, whatever
     the input's size).  ``features``: terms kept at most, those most associated with
     the label; ``association`` is the least chi-squared value (30 is a chance of 5 in
-    10^8 for one term).  ``least_examples``: examples a term must occur in.
+    10^8 for one term); with 0, one of ``least_examples``
+    and room for them all terms count.  ``least_examples``: examples a term must occur in.
     ``neighbours``: nearest examples that vote.
     """
 
@@ -82,8 +83,8 @@ class BlockMaxIndex:
             parts = zip(np.split(places % block, starts[1:]), np.split(weights, starts[1:]))
             self._lists[term] = (blocks, np.maximum.reduceat(weights, starts), dict(zip(blocks.tolist(), parts)), (places, weights))
 
-    def nearest(self, query: dict[int, float], k: int, without: int = -1) -> list[tuple[int, float]]:
-        """The ``k`` most similar examples that share a term, ties to the first ones; ``without`` is left out."""
+    def nearest(self, query: dict[int, float], k: int, without: frozenset[int] = frozenset()) -> list[tuple[int, float]]:
+        """The ``k`` most similar examples that share a term, ties to the first ones; those ``without`` are left out."""
         known = [(self._lists[t], w) for t, w in query.items() if t in self._lists]
         bounds = np.zeros(self._blocks)
         for (blocks, most, _, _), weight in known:
@@ -113,7 +114,7 @@ class BlockMaxIndex:
         scores *= np.repeat(able, self._block)
         return [(i, -s) for s, i in self._better(best, scores, 0, k, without)]
 
-    def _better(self, best: list[tuple[float, int]], scores: np.ndarray, first: int, k: int, without: int) -> list[tuple[float, int]]:
+    def _better(self, best: list[tuple[float, int]], scores: np.ndarray, first: int, k: int, without: frozenset[int]) -> list[tuple[float, int]]:
         """``best`` with what is better among the examples from place ``first`` on."""
         found = np.flatnonzero(scores > 0)
         who = self._order[first + found]
@@ -121,10 +122,10 @@ class BlockMaxIndex:
             least, last = -best[-1][0], best[-1][1]
             keep = (scores[found] > least) | (scores[found] == least) & (who < last)
             found, who = found[keep], who[keep]
-        if len(found) > k + 1:
-            top = np.lexsort((who, -scores[found]))[: k + 1]
+        if len(found) > k + len(without):
+            top = np.lexsort((who, -scores[found]))[: k + len(without)]
             found, who = found[top], who[top]
-        mine = [(-s, i) for s, i in zip(scores[found].tolist(), who.tolist()) if i != without]
+        mine = [(-s, i) for s, i in zip(scores[found].tolist(), who.tolist()) if i not in without]
         return sorted(best + mine)[:k]
 
 
@@ -142,15 +143,20 @@ def _monotone(counts: np.ndarray, ones: np.ndarray, share: float) -> np.ndarray:
 class NeighbourModel:
     """Scores sparse term counts; small enough, by :class:`Settings`, to be sent to every task."""
 
-    def __init__(self, ids: list, labels: list[int], counts: list[dict[int, int]], idf: np.ndarray, settings: Settings) -> None:
+    def __init__(
+        self, ids: list, labels: list[int], counts: list[dict[int, int]], contents: list[int], idf: np.ndarray, settings: Settings
+    ) -> None:
         self.ids, self.labels, self.idf, self.settings = ids, np.array(labels, float), idf, settings
         self.index = BlockMaxIndex([self._vector(c) for c in counts])
         self.share = float(self.labels.mean()) if len(labels) else 0.0
         bare = np.array([not c for c in counts], bool)
         # What an example without any term is likely to be labelled.
         self.plain = float((self.labels[bare].sum() + self.share) / (bare.sum() + 1)) if len(labels) else 0.0
-        self.place = {doc: i for i, doc in enumerate(ids)}
-        votes = [self._vote(c, i)[0] for i, c in enumerate(counts) if c]
+        # Calibration leaves out an example and its copies; a score leaves out nothing, so equal texts score alike.
+        alike: dict[int, list[int]] = {}
+        for i, content in enumerate(contents):
+            alike.setdefault(content, []).append(i)
+        votes = [self._vote(c, frozenset(alike[content]))[0] for c, content in zip(counts, contents) if c]
         at = np.minimum((np.array(votes) * _BINS).astype(int), _BINS - 1)
         marks = self.labels[~bare] if len(labels) else self.labels
         n = np.bincount(at, minlength=_BINS)
@@ -161,16 +167,16 @@ class NeighbourModel:
         norm = float(np.sqrt(sum(w * w for w in raw.values())))
         return {t: float(w) / norm for t, w in raw.items()} if norm else {}
 
-    def _vote(self, counts: dict[int, int], without: int) -> tuple[float, list[tuple[int, float]]]:
+    def _vote(self, counts: dict[int, int], without: frozenset[int] = frozenset()) -> tuple[float, list[tuple[int, float]]]:
         near = self.index.nearest(self._vector(counts), self.settings.neighbours, without)
         weight = sum(s for _, s in near)
         return (sum(s * self.labels[i] for i, s in near) + _PRIOR * self.share) / (weight + _PRIOR), near
 
-    def score(self, counts: dict[int, int], doc: object = None) -> tuple[float, list[tuple[object, float, int]]]:
-        """Calibrated score and the nearest examples; a document's own label never counts."""
+    def score(self, counts: dict[int, int]) -> tuple[float, list[tuple[object, float, int]]]:
+        """Calibrated score and the nearest examples; it depends on the text alone."""
         if not counts:
             return self.plain, []
-        vote, near = self._vote(counts, self.place.get(doc, -1))
+        vote, near = self._vote(counts)
         if not near:
             return self.plain, []
         middle = (np.arange(_BINS) + 0.5) / _BINS
@@ -231,12 +237,14 @@ def _learnt(
     def counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in small_batches(batches):
             found = [numbered(content) for content in batch.column(1).to_pylist()]
-            columns = [batch.column(0)]
+            columns = [batch.column(0), batch.column(2)]
             columns += [pa.array([[x[k] for x in f] for f in found], pa.list_(pa.int32())) for k in (0, 1)]
-            yield pa.RecordBatch.from_arrays(columns, [id_column, "terms", "counts"])
+            yield pa.RecordBatch.from_arrays(columns, [id_column, "content", "terms", "counts"])
 
     kind = rows.schema[id_column].dataType.simpleString()
-    vectors = stored(rows.mapInArrow(counted, f"`{id_column}` {kind}, terms array<int>, counts array<int>"))
+    vectors = stored(
+        rows.withColumn("content", F.xxhash64("_text")).mapInArrow(counted, f"`{id_column}` {kind}, content bigint, terms array<int>, counts array<int>")
+    )
     total = vectors.count()
     idf = np.ones(len(vocabulary))
     for term, n in vectors.select(F.explode("terms").alias("t")).groupBy("t").count().collect():  # a row per term
@@ -244,7 +252,7 @@ def _learnt(
     examples = vectors.join(chosen, id_column).dropDuplicates([id_column]).orderBy(id_column).collect()
     model = NeighbourModel(
         [r[id_column] for r in examples], [int(r["label"]) for r in examples],
-        [dict(zip(r["terms"], r["counts"])) for r in examples], idf, settings,
+        [dict(zip(r["terms"], r["counts"])) for r in examples], [r["content"] for r in examples], idf, settings,
     )
     return vectors, spark.sparkContext.broadcast(model), numbered
 
@@ -273,9 +281,7 @@ def toxicity_scores(
     def scored(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model = shared.value
         for batch in small_batches(batches, 1024):
-            out = []
-            for doc, t, n in zip(*(batch.column(k).to_pylist() for k in range(3))):
-                out.append(model.score(dict(zip(t, n)), doc))
+            out = [model.score(dict(zip(t, n))) for t, n in zip(batch.column(2).to_pylist(), batch.column(3).to_pylist())]
             near = [[{"id": i if id_kind == pa.int64() else str(i), "similarity": s, "label": y} for i, s, y in e] for _, e in out]
             predicted = [int(s >= settings.threshold) for s, _ in out]
             columns = [batch.column(0), pa.array([s for s, _ in out], pa.float64()), pa.array(predicted, pa.int32()), pa.array(near, evidence)]
@@ -297,13 +303,12 @@ def drop_toxic(
     Each row is scored by its own text, whether or not its id is null or repeats.
     """
     _, shared, numbered = _learnt(docs, labels, settings, id_column, text, label)
-    ids, texts = docs.columns.index(id_column), docs.columns.index(text)
+    texts = docs.columns.index(text)
 
     def kept(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model = shared.value
         for batch in small_batches(batches):
-            pairs = zip(batch.column(ids).to_pylist(), batch.column(texts).to_pylist())
-            scores = [model.score(dict(numbered(content or "")), doc)[0] for doc, content in pairs]
+            scores = [model.score(dict(numbered(content or "")))[0] for content in batch.column(texts).to_pylist()]
             yield batch.filter(pa.array([s < settings.threshold for s in scores], pa.bool_()))
 
     return docs.mapInArrow(kept, docs.schema)
