@@ -144,8 +144,29 @@ def test_null_ids_come_last_and_texts_can_be_normalised(spark):
     assert got == [(3, 3, 2, True), (None, 3, 2, False), (None, None, 1, True)]
 
 
-def test_exact_dedup_runs_no_python(hot_docs):
-    plan = exact_dedup.mark_exact_copies(hot_docs)._jdf.queryExecution().toString()
+def test_exact_dedup_runs_no_python(spark, folder):
+    docs = spark.read.parquet(f"{folder}/documents.parquet")
+    plan = exact_dedup.mark_exact_copies(docs)._jdf.queryExecution().toString()
     assert "Python" not in plan and "Arrow" not in plan
-    plan = exact_dedup.content_groups(hot_docs)._jdf.queryExecution().executedPlan().toString()
-    assert "SortAggregate" in plan and "rangepartitioning" in plan and plan.count("Exchange") == 2
+    plan = exact_dedup.content_runs(docs)._jdf.queryExecution().executedPlan().toString()
+    assert "SortAggregate" in plan and "rangepartitioning" in plan
+    assert plan.count("Exchange") - plan.count("BroadcastExchange") == 1
+
+
+@pytest.mark.parametrize("hot_rows, n", [(1000, 8), (1000, 200), (100, 8)])
+def test_neighbours_fold_all_but_hot_contents(spark, hot_docs, monkeypatch, hot_rows, n):
+    """However many partitions there are; a hot content is as many runs as salts, and nothing else is cut."""
+    monkeypatch.setattr(exact_dedup, "HOT_ROWS", hot_rows)
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", str(n))
+    try:
+        runs = exact_dedup.content_runs(hot_docs).collect()
+        groups = exact_dedup.content_groups(hot_docs).collect()
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
+    assert sum(r.size for r in runs) == 900 and len(groups) == 601
+    hot = [r for r in runs if r.hot]
+    assert len(runs) - len(hot) == (601 if hot_rows == 1000 else 600)
+    if hot_rows == 100:
+        assert 1 < len(hot) <= n * exact_dedup.RUNS_PER_PARTITION and sum(r.size for r in hot) == 300
+    assert max(r.group_size for r in groups) == 300

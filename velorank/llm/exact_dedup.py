@@ -2,7 +2,8 @@
 
 Sampled splitters range-partition the normalised texts, each partition is sorted
 (spilling to disk as needed), and a sort aggregate compares each text with its
-neighbour in full.
+neighbour in full.  Only texts that a first count finds in very many rows are cut
+into several runs, which a second, small sort of the same kind unites.
 """
 
 from __future__ import annotations
@@ -10,12 +11,14 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from velorank.llm.common import partitions, stored, whole_text
+from velorank.llm.common import partitions, stored, unused, whole_text
 
-# Characters of a text that splitters hold, which pass through the driver.
-SPLITTER_LENGTH = 64
+# Characters at a text's beginning and end that splitters hold, which pass through the driver.
+SPLITTER_LENGTH = 32
 # A text that many rows share is sorted as this many runs for each partition.
 RUNS_PER_PARTITION = 4
+# Rows of one beginning, end and length that one task may hold, however small the table.
+HOT_ROWS = 1000
 
 NORMALISATIONS = {
     "none": lambda text: text,
@@ -27,33 +30,66 @@ def _normalised(text: str, normalise: str) -> Column:
     return NORMALISATIONS[normalise](whole_text(text))
 
 
-def content_groups(
+# What rows are ordered by before their whole contents: a total preorder of contents that short splitters can cut.
+_ORDER = ("head", "length", "tail")
+
+
+def _ordered_contents(docs: DataFrame, id_column: str, text: str, normalise: str) -> DataFrame:
+    rows = docs.select(F.col(id_column).alias("id"), _normalised(text, normalise).alias("content"))
+    return rows.select(
+        "id", "content", F.substring("content", 1, SPLITTER_LENGTH).alias("head"),
+        F.length("content").alias("length"), F.substring("content", -SPLITTER_LENGTH, SPLITTER_LENGTH).alias("tail"),
+    )
+
+
+def content_runs(
     docs: DataFrame, id_column: str = "doc_id", text: str = "text", keep: str = "smallest", normalise: str = "none"
 ) -> DataFrame:
-    """One row per distinct normalised text: ``text_sha256``, ``keep_id``, ``group_size``.
+    """One row per run of equal contents in the sorted partitions: ``text_sha256``, ``kept``, ``size``, ``hot``, and hot contents.
 
-    The splitters cut by a text's beginning and a salt of the id, so a text, or a
-    beginning, with a third of all rows becomes runs in many partitions.  Texts are shuffled once; the runs of a
-    text, of which there are at most ``RUNS_PER_PARTITION`` x partitions, meet
-    again by digest alone.
+    A content is one run, unless its beginning, length and end are those of more
+    rows than a task should hold: then it is a run for each of a bounded number of
+    salts.  The hot ones, fewer than the runs there may be, are found by a count that
+    is summed before its shuffle.
     """
     n = partitions(docs.sparkSession)
     best = {"smallest": F.min, "largest": F.max}[keep]
     known = F.col("id").isNull() if keep == "smallest" else F.col("id").isNotNull()  # a null id comes last
-    rows = docs.select(
-        F.col(id_column).alias("id"),
-        _normalised(text, normalise).alias("content"),
-        F.pmod(F.xxhash64(F.col(id_column)), F.lit(n * RUNS_PER_PARTITION)).alias("salt"),
-    )
-    rows = rows.withColumn("head", F.substring("content", 1, SPLITTER_LENGTH))
+    rows = _ordered_contents(docs, id_column, text, normalise)
+    most = max(HOT_ROWS, docs.count() // (n * RUNS_PER_PARTITION))
+    hot = stored(rows.groupBy(*_ORDER).count().where(F.col("count") > most).select(*_ORDER, F.lit(True).alias("hot")))
+    spread = F.coalesce(F.xxhash64(F.col("id").cast("string"), F.spark_partition_id()), F.lit(0))
+    rows = rows.join(F.broadcast(hot), list(_ORDER), "left").withColumn("hot", F.coalesce("hot", F.lit(False)))
+    rows = rows.withColumn("salt", F.when(F.col("hot"), F.pmod(spread, F.lit(n * RUNS_PER_PARTITION))).otherwise(0))
     # A struct's extreme has no hash-aggregate form: equal neighbours are folded in sort order.
-    runs = (
-        rows.repartitionByRange(n, "head", "salt")
-        .groupBy("head", "content", "salt")
+    return (
+        rows.repartitionByRange(n, *_ORDER, "salt")
+        .groupBy(*_ORDER, "salt", "content", "hot")
         .agg(best(F.struct(known, "id")).alias("kept"), F.count(F.lit(1)).alias("size"))
-        .select(F.sha2("content", 256).alias("text_sha256"), F.col("kept.id").alias("kept"), "size")
+        .select(*_ORDER, F.when(F.col("hot"), F.col("content")).alias("content"), "hot", F.sha2("content", 256).alias("text_sha256"), "kept", "size")
+    )
+
+
+def content_groups(
+    docs: DataFrame, id_column: str = "doc_id", text: str = "text", keep: str = "smallest", normalise: str = "none"
+) -> DataFrame:
+    """One row per distinct normalised text: ``text_sha256``, ``keep_id``, ``group_size``.
+
+    The comparison of neighbours in sorted runs decides; the runs of a hot content,
+    of which there are at most ``RUNS_PER_PARTITION`` x partitions, are sorted by
+    their contents once more.
+    """
+    n = partitions(docs.sparkSession)
+    best = {"smallest": F.min, "largest": F.max}[keep]
+    runs = stored(content_runs(docs, id_column, text, keep, normalise))
+    whole = runs.where(~F.col("hot")).select("text_sha256", "kept", "size")
+    united = (
+        runs.where("hot").repartitionByRange(n, *_ORDER)
+        .groupBy(*_ORDER, "content")
+        .agg(best("kept").alias("kept"), F.sum("size").alias("size"), F.first("text_sha256").alias("text_sha256"))
+        .select("text_sha256", "kept", "size")
     )
-    return runs.groupBy("text_sha256").agg(best("kept").alias("keep_id"), F.sum("size").alias("group_size"))
+    return whole.union(united).select("text_sha256", F.col("kept.id").alias("keep_id"), F.col("size").alias("group_size"))
 
 
 def mark_exact_copies(
@@ -87,11 +123,10 @@ def drop_exact_copies(
     joined back by digest and id; of the texts themselves only kept ones are
     shuffled, once more than :func:`content_groups` does.
     """
-    key = F.coalesce(F.col(id_column).cast("string"), F.lit(""))
+    digest, key = unused(docs, "_digest", "_key")
     groups = content_groups(docs, id_column, text, keep, normalise)
-    groups = groups.select(
-        F.col("text_sha256").alias("_digest"), F.coalesce(F.col("keep_id").cast("string"), F.lit("")).alias("_key")
-    )
-    rows = docs.withColumn("_digest", F.sha2(_normalised(text, normalise), 256)).withColumn("_key", key)
+    groups = groups.select(F.col("text_sha256").alias(digest), F.coalesce(F.col("keep_id").cast("string"), F.lit("")).alias(key))
+    rows = docs.withColumn(digest, F.sha2(_normalised(text, normalise), 256))
+    rows = rows.withColumn(key, F.coalesce(F.col(id_column).cast("string"), F.lit("")))
     # Keyed by digest and id, the copies of a hot text are spread before they are dropped.
-    return rows.join(groups, ["_digest", "_key"], "left_semi").dropDuplicates(["_digest", "_key"]).drop("_digest", "_key")
+    return rows.join(groups, [digest, key], "left_semi").dropDuplicates([digest, key]).select(*docs.columns)
