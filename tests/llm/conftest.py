@@ -36,10 +36,9 @@ def odd_docs(spark):
         (7, "word " * 30_000, "en", "a", 150_000), (8, "password = \"abcdefghijkl0123\" und Größe 🙂 <|endoftext|>", "de", "c", 50),
         (9, "a" * 5000, None, "c", 5000), (10, "naïve café 中文 ½ x²", "fr", "c", 18),
     ]
-    extra = [(*r, "x", 1, 2, 3, 4) for r in rows]
-    return spark.createDataFrame(
-        extra, DOCS + ", fp string, position int, size int, text_sha256 int, part int"
-    ).repartition(3)
+    names = "position size text_sha256 part _fp _root _first _digest _key _spans _part _row _before curve shard slot word n content hot".split()
+    extra = [(*r, "x", *range(len(names))) for r in rows]
+    return spark.createDataFrame(extra, DOCS + ", fp string, " + ", ".join(f"{n} int" for n in names)).repartition(3)
 
 
 @pytest.fixture(scope="session")

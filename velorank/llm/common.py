@@ -43,6 +43,17 @@ def whole_text(column: str = "text") -> Column:
     return F.coalesce(F.col(column), F.lit(""))
 
 
+def unused(df: DataFrame, *names: str) -> list[str]:
+    """The names, each with underscores before it until no column of ``df`` is called so."""
+    taken, out = {c.lower() for c in df.columns}, []
+    for name in names:
+        while name.lower() in taken:
+            name = "_" + name
+        taken.add(name.lower())
+        out.append(name)
+    return out
+
+
 def stored(df: DataFrame) -> DataFrame:
     """The rows, written once to the folder all executors share; the lineage ends there."""
     ensure_checkpoint_dir(df.sparkSession)
@@ -69,20 +80,22 @@ def with_positions(df: DataFrame, *order: str, position: str = "position") -> Da
     """
     spark = df.sparkSession
     number = F.monotonically_increasing_id()
+    part, row = unused(df, "_part", "_row")
     rows = stored(
         df.repartitionByRange(partitions(spark), *order)
         .sortWithinPartitions(*order)
-        .select("*", F.spark_partition_id().alias("_part"), number.bitwiseAND(F.lit(_ROW_BITS)).alias("_row"))
+        .select("*", F.spark_partition_id().alias(part), number.bitwiseAND(F.lit(_ROW_BITS)).alias(row))
     )
-    return add_offsets(rows, "_part", F.col("_row"), position).drop("_part", "_row")
+    return add_offsets(rows, part, F.col(row), position).drop(part, row)
 
 
 def add_offsets(rows: DataFrame, part: str, place: Column, position: str) -> DataFrame:
     """``place`` plus the number of rows in parts before the own one; one row per part is broadcast."""
-    counts = rows.groupBy(part).agg(F.count(F.lit(1)).alias("_n"))
-    before = F.sum("_n").over(Window.orderBy(part).rowsBetween(Window.unboundedPreceding, -1))
-    offsets = counts.select(part, F.coalesce(before, F.lit(0)).alias("_before"))
-    return rows.join(F.broadcast(offsets), part).withColumn(position, F.col("_before") + place).drop("_before")
+    n, name = unused(rows, "_n", "_before")
+    counts = rows.groupBy(part).agg(F.count(F.lit(1)).alias(n))
+    before = F.sum(n).over(Window.orderBy(part).rowsBetween(Window.unboundedPreceding, -1))
+    offsets = counts.select(part, F.coalesce(before, F.lit(0)).alias(name))
+    return rows.join(F.broadcast(offsets), part).withColumn(position, F.col(name) + place).drop(name)
 
 
 def small_batches(batches: Iterator[pa.RecordBatch], rows: int = 256) -> Iterator[pa.RecordBatch]:

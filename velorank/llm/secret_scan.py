@@ -17,7 +17,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from velorank.llm.common import whole_text
+from velorank.llm.common import unused, whole_text
 
 # The known forms and the lengths they must have.
 ASSIGN = r"""(?i:password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)"""
@@ -280,6 +280,7 @@ def redact_secrets(docs: DataFrame, battery: Battery = Battery(), text: str = "t
         more = F.struct(F.greatest(acc["at"], s["end"]).alias("at"), acc["out"].alias("out"))
         return F.when(s["start"] >= acc["at"], fresh).otherwise(more)
 
-    marked = docs.withColumn("_spans", secret_spans(docs, battery, text))
-    rest = F.aggregate("_spans", start, step, lambda acc: F.concat(acc["out"], F.substring(content, acc["at"].cast("int") + 1, F.length(content))))
-    return marked.withColumn(text, F.when(F.size("_spans") > 0, rest).otherwise(content)).drop("_spans")
+    (spans,) = unused(docs, "_spans")
+    marked = docs.withColumn(spans, secret_spans(docs, battery, text))
+    rest = F.aggregate(spans, start, step, lambda acc: F.concat(acc["out"], F.substring(content, acc["at"].cast("int") + 1, F.length(content))))
+    return marked.withColumn(text, F.when(F.size(spans) > 0, rest).otherwise(content)).drop(spans)

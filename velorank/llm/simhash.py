@@ -22,7 +22,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StructField, StructType
 
-from velorank.llm.common import partitions, small_batches, stored, whole_text
+from velorank.llm.common import partitions, small_batches, stored, unused, whole_text
 from velorank.llm.components import connected_components
 
 SEED = 42
@@ -205,15 +205,16 @@ def drop_near_duplicates(
     """
     rooted = _rooted(stored(fingerprints(docs, id_column, text, words)), id_column, distance)
     best = rooted.groupBy("root").agg(F.min(F.struct(F.col("first_id").isNull().alias("unknown"), "first_id", "fp")).alias("best"))
-    best = best.select(F.col("best.fp").alias("_fp"), F.col("best.first_id").alias("_first"), F.col("root").alias("_root"))
+    mark, first, root = unused(docs, "_fp", "_first", "_root")
+    best = best.select(F.col("best.fp").alias(mark), F.col("best.first_id").alias(first), F.col("root").alias(root))
     texts = docs.columns.index(text)
 
     def marked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in small_batches(batches):
             marks = [fingerprint(t, words) for t in batch.column(texts).to_pylist()]
             fp = pa.array(np.array(marks, np.uint64).view(np.int64))
-            yield pa.RecordBatch.from_arrays([*batch.columns, fp], [*batch.schema.names, "_fp"])
+            yield pa.RecordBatch.from_arrays([*batch.columns, fp], [*batch.schema.names, mark])
 
-    rows = docs.mapInArrow(marked, StructType([*docs.schema.fields, StructField("_fp", LongType())]))
-    leading = rows.join(best, "_fp").where(F.col(id_column).eqNullSafe(F.col("_first")))
-    return leading.dropDuplicates(["_root"]).select(*docs.columns)
+    rows = docs.mapInArrow(marked, StructType([*docs.schema.fields, StructField(mark, LongType())]))
+    leading = rows.join(best, mark).where(F.col(id_column).eqNullSafe(F.col(first)))
+    return leading.dropDuplicates([root]).select(*docs.columns)
