@@ -10,6 +10,16 @@ from velorank.sinks import files
 from velorank.sources.graphs import read_adjacency, read_edge_list, seed_frame
 
 
+@pytest.fixture
+def small_files(spark):
+    """Files stay as many as partitions."""
+    name = "spark.sql.adaptive.coalescePartitions.enabled"
+    before = spark.conf.get(name)
+    spark.conf.set(name, "false")
+    yield
+    spark.conf.set(name, before)
+
+
 @pytest.fixture(scope="module")
 def graph(spark):
     edges = spark.createDataFrame([(3, 1), (1, 2), (1, 3), (2, 1), (12, 3)], "src bigint, dst bigint")
@@ -96,3 +106,42 @@ def test_rank_graph_chooses_by_seeds(spark, graph):
     settings = RankSettings(max_iter=2)
     assert rank_graph(graph, settings).num_seeds == 0
     assert rank_graph(graph, settings, seed_frame(spark, "1,2")).num_seeds == 2
+
+
+def test_ranks_are_read_back_in_place(spark, tmp_path, small_files):
+    ranks = spark.range(1000).selectExpr("id * 3 - 50 AS id", "id / 7D AS rank").repartition(5)
+    files.write_ranks(ranks, f"{tmp_path}/r")
+    assert len(parts(f"{tmp_path}/r")) > 1
+    back = sorted((r.place, r.id, r["rank"]) for r in files.read_ranks(spark, f"{tmp_path}/r").collect())
+    assert back == [(i, i * 3 - 50, i / 7) for i in range(1000)]
+    manifest = [json.loads(line) for p in parts(f"{tmp_path}/r-manifest") for line in open(p)]
+    assert sum(m["rows"] for m in manifest) == 1000 and [m["first_id"] for m in manifest] == sorted(m["first_id"] for m in manifest)
+
+
+@pytest.mark.parametrize("harm", ["lost", "more", "changed"])
+def test_rank_files_that_differ_from_their_manifest(spark, tmp_path, small_files, harm):
+    import os
+
+    files.write_ranks(spark.range(100).selectExpr("id", "0.5D AS rank").repartition(3), f"{tmp_path}/r")
+    first = parts(f"{tmp_path}/r")[0]
+    for name in glob.glob(f"{tmp_path}/r/.*.crc"):
+        os.remove(name)
+    if harm == "lost":
+        os.remove(first)
+    elif harm == "more":
+        open(f"{tmp_path}/r/part-99999-x.csv", "w").write("500\t0.1\n")
+    else:
+        text = open(first).read()
+        open(first, "w").write(text + "200\t0.5\n")
+    with pytest.raises(ValueError, match="manifest"):
+        files.read_ranks(spark, f"{tmp_path}/r")
+
+
+def test_report_file_has_its_name(spark, tmp_path):
+    for n in (1, 2):  # the second one replaces the first
+        files.write_report_file(spark.createDataFrame([("a", n)], "k string, n int").repartition(3), f"{tmp_path}/out/report.csv")
+        assert open(f"{tmp_path}/out/report.csv").read() == f"k,n\na,{n}\n"
+    assert [p for p in glob.glob(f"{tmp_path}/out/*")] == [f"{tmp_path}/out/report.csv"]
+    empty = spark.createDataFrame([], "k string, n int")
+    files.write_report_file(empty, f"{tmp_path}/out/empty.csv")
+    assert open(f"{tmp_path}/out/empty.csv").read().startswith("k,n") or open(f"{tmp_path}/out/empty.csv").read() == ""

@@ -127,3 +127,68 @@ def test_inline_seeds(spark):
     assert graphs.seed_frame(spark, "").count() == 0
     with pytest.raises(ValueError):
         graphs.seed_frame(spark, "1,x")
+
+
+def test_files_of_different_layouts(spark, tmp_path):
+    """Columns go by name: other orders, further columns, names in other case; files of one layout are read together."""
+    line = "r{},classic,2024-10-01 10:00:00,2024-10-01 10:05:00,A,a,\"B, b\",b,1.5,2.5,3.5,4.5,member"
+    for i in (1, 2):
+        (tmp_path / f"trips {i}.csv").write_text(f"{TRIP_HEADER}\n{line.format(i)}\n")
+    names = [*reversed(TRIP_HEADER.split(",")), "bike"]
+    values = dict(zip(TRIP_HEADER.split(","), ["r3", "electric", "2024-10-02 10:00:00", "x", "C", "c", "", "", "7.5", "", "", "", "casual"]))
+    (tmp_path / "trips_3.csv").write_text("﻿" + ",".join(f'" {n.upper()}"' for n in names) + "\n" + ",".join([*(values[n] for n in names[:-1]), "b"]) + "\n")
+    (tmp_path / "trips_4.csv").write_text("")
+    assert sorted(len(files) for files in tables.file_layouts(spark, f"{tmp_path}/trips*").values()) == [1, 2]
+    rows = {r.ride_id: r for r in tables.read_trip_files(spark, f"{tmp_path}/trips*").collect()}
+    assert sorted(rows) == ["r1", "r2", "r3"]
+    assert rows["r1"].end_station_name == "B, b" and rows["r2"].end_lng == 4.5
+    assert (rows["r3"].member_casual, rows["r3"].start_lat, rows["r3"].end_station_id, rows["r3"].rideable_type) == ("casual", 7.5, None, "electric")
+
+
+def test_lost_and_repeated_columns(spark, tmp_path):
+    (tmp_path / "t.csv").write_text("ride_id,rideable_type\nr,c\n")
+    with pytest.raises(ValueError, match="no column started_at"):
+        tables.read_trip_files(spark, str(tmp_path))
+    (row,) = tables.read_trip_files(spark, str(tmp_path), missing_ok=True).collect()
+    assert (row.ride_id, row.started_at, row.start_lat) == ("r", None, None) and len(row) == 13
+    (tmp_path / "u.csv").write_text(f"{TRIP_HEADER},Ride_ID\n")
+    with pytest.raises(ValueError, match="twice"):
+        tables.read_trip_files(spark, str(tmp_path), missing_ok=True)
+
+
+def degrees(graph):
+    return sorted((r.src, r.dst) for r in graph.edges.collect()), sorted(r.id for r in graph.vertices.collect())
+
+
+@pytest.mark.parametrize("text, edges, vertices", [
+    ('{"nodes": [{"node_id": 1, "out_neighbors": [2, 3, 3]}, {"out_neighbors": [], "node_id": -2}]}', [(1, 2), (1, 3), (1, 3)], [-2, 1]),
+    ('\n{ "nodes" :\n[\n{\n"node_id": 1}\n,{"node_id":2,"out_neighbors":[1]}\n]\n}\n', [(2, 1)], [1, 2]),
+    ('{"nodes": []}', [], []),
+])
+def test_documents(spark, tmp_path, text, edges, vertices):
+    (tmp_path / "d.json").write_text(text)
+    assert degrees(graphs.read_adjacency(spark, str(tmp_path), document=True)) == (edges, vertices)
+
+
+@pytest.mark.parametrize("text", [
+    '{"nodes": [{"node_id": 1, "more": {"a": 1}}]}', '{"edges": [{"node_id": 1}]}', '{"nodes": [{"node_id": 1} {"node_id": 2}]}',
+    '{"nodes": [{"node_id": "a"}]}', '{"nodes": [{"out_neighbors": [1]}]}', "no document", '{"nodes": [{"node_id": 1]}',
+])
+def test_other_text_is_no_document(spark, tmp_path, text):
+    (tmp_path / "d.json").write_text(text)
+    with pytest.raises(Exception, match="(?i)document|malformed|node_id|parse"):
+        degrees(graphs.read_adjacency(spark, str(tmp_path), document=True))
+
+
+def test_a_document_is_read_by_several_tasks(spark, tmp_path):
+    nodes = ", ".join(f'{{"node_id": {i}, "out_neighbors": [{i + 1}, {i + 2}]}}' for i in range(20_000))
+    (tmp_path / "d.json").write_text(f'{{"nodes": [{nodes}]}}')
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "100000")
+    try:
+        graph = graphs.read_adjacency(spark, str(tmp_path), document=True)
+        edges = graph.edges.selectExpr("src", "dst", "spark_partition_id() AS task").collect()
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+    assert sorted((r.src, r.dst) for r in edges) == sorted((i, i + k) for i in range(20_000) for k in (1, 2))
+    assert len({r.task for r in edges}) > 5

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 from collections.abc import Iterator
 from contextlib import contextmanager
 
@@ -64,6 +65,12 @@ def ensure_checkpoint_dir(spark: SparkSession) -> None:
         raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
 
 
+def scratch_folder(spark: SparkSession, purpose: str) -> str:
+    """URI of a new folder, below the checkpoint folder all executors share."""
+    ensure_checkpoint_dir(spark)
+    return f"{spark.sparkContext.getCheckpointDir().rstrip('/')}/{purpose}-{uuid.uuid4().hex}"
+
+
 @contextmanager
 def setting(spark: SparkSession, name: str, value: object) -> Iterator[None]:
     """Run a block of eager steps with one SQL setting changed."""

@@ -49,6 +49,26 @@ def parse_edge_lines(lines: DataFrame, delimiter: str | None = None) -> DataFram
     return fields.select(F.inline(F.array(pair))).filter("src <> dst").dropDuplicates(["src", "dst"])
 
 
+def parse_named_edge_lines(lines: DataFrame, delimiter: str | None = None) -> DataFrame:
+    """Distinct pairs of integers of any size, as text in normal form, under the rules of :func:`parse_edge_lines`."""
+    separator = r"\s+" if delimiter is None else _literal_pattern(delimiter)
+    fields = (
+        lines.select(F.btrim(F.col("value"), F.lit(BLANKS)).alias("line"))
+        .filter(~F.col("line").startswith("#"))
+        .select(F.split("line", separator, 3).alias("fields"))
+    )
+    pair = F.struct(_whole_number(0).alias("src"), _whole_number(1).alias("dst"))
+    return fields.select(F.inline(F.array(pair))).filter("src <> dst").dropDuplicates(["src", "dst"])
+
+
+def _whole_number(place: int) -> Column:
+    """Field ``place`` as an integer's shortest text, NULL for other text."""
+    text = F.btrim(F.get("fields", F.lit(place)), F.lit(BLANKS))
+    digits = F.regexp_extract(text, r"^[+-]?0*([0-9]+)$", 1)
+    sign = F.when(text.startswith("-") & (digits != "0"), F.lit("-")).otherwise(F.lit(""))
+    return F.when(text.rlike(r"^[+-]?[0-9]+$"), F.concat(sign, digits))
+
+
 def _integer(place: int) -> Column:
     """Field ``place`` as a bigint, NULL for other text.
 
@@ -65,20 +85,37 @@ def _literal_pattern(text: str) -> str:
 def read_adjacency(spark: SparkSession, path: str, document: bool = False) -> Graph:
     """Graph in JSON adjacency form.
 
-    By default one node object per line, which Spark can split over tasks; a node
-    may span several.  ``document=True`` converts files holding a single
-    ``{"nodes": [...]}`` object; Spark can't split those, so it is meant for small
-    ones.  Text that is no such JSON, and nodes without an id, are errors when the
-    graph is used.  Repeated neighbours and neighbours that are no node themselves
-    are kept.
+    By default one node object per line; a node may span several.  ``document=True``
+    reads files holding a single ``{"nodes": [...]}`` object, see
+    :func:`parse_document_pieces`; Spark splits both forms over tasks.  Text that is
+    no such JSON, and nodes without an id, are errors when the graph is used.
+    Repeated neighbours and neighbours that are no node themselves are kept.
     """
     if document:
-        whole = T.StructType([T.StructField("nodes", T.ArrayType(NODE_TYPE))])
-        reader = spark.read.schema(whole).option("multiLine", True)
-        nodes = reader.option("mode", "FAILFAST").json(path).select(F.inline("nodes"))
-    else:
-        nodes = spark.read.schema(NODE_TYPE).option("mode", "FAILFAST").json(path)
-    return graph_from_adjacency(nodes)
+        return parse_document_pieces(spark.read.option("lineSep", "}").text(path))
+    return graph_from_adjacency(spark.read.schema(NODE_TYPE).option("mode", "FAILFAST").json(path))
+
+
+# What may stand before, between and after the nodes of a document.
+_HEAD = r'^\s*\{\s*"nodes"\s*:\s*\[\s*'
+_NODE = _HEAD + r"\{([^{]*)$" + r"|^\s*,\s*\{([^{]*)$"
+_REST = _HEAD + r"\]\s*$" + r"|^\s*\]\s*$|^\s*$"
+
+
+def parse_document_pieces(pieces: DataFrame) -> Graph:
+    """Graph of single-object documents cut at every closing brace, one piece per row of ``value``.
+
+    A node holds a number and a list of numbers, so its own closing brace is the
+    first one after its start: wherever a file is cut into byte ranges, the text up
+    to the next brace is a whole node.  Pieces of any other form, such as nested
+    objects or braces within text, are errors.
+    """
+    text = F.col("value")
+    body = F.coalesce(F.nullif(F.regexp_extract(text, _NODE, 1), F.lit("")), F.regexp_extract(text, _NODE, 2))
+    other = F.when(text.rlike(_REST), F.lit(None).cast("string")).otherwise(F.raise_error(F.lit("not a document of nodes")).cast("string"))
+    node = F.when(text.rlike(_NODE), F.concat(F.lit("{"), body, F.lit("}"))).otherwise(other)
+    nodes = pieces.select(node.alias("node")).filter("node IS NOT NULL")
+    return graph_from_adjacency(nodes.select(F.inline(F.array(F.from_json("node", NODE_TYPE, {"mode": "FAILFAST"})))))
 
 
 def parse_adjacency_lines(lines: DataFrame) -> Graph:

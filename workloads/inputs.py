@@ -166,3 +166,33 @@ def edge_lines(spark: SparkSession, folder: str) -> DataFrame:
     return table(spark, folder, "lineitem").selectExpr(
         "concat(if(l_returnflag = 'R', '# ', ''), l_partkey, '\\t', l_suppkey, '\\t', l_linestatus) AS value"
     )
+
+
+def written_trips(spark: SparkSession, folder: str, path: str) -> None:
+    """The trips as CSV files of two layouts below ``path``: the usual one, and one in reverse order with a further column."""
+    rows = raw_trips(spark, folder).selectExpr(
+        "ride_id", "rideable_type", "date_format(started_at, 'yyyy-MM-dd HH:mm:ss') AS started_at", "date_format(ended_at, 'yyyy-MM-dd HH:mm:ss') AS ended_at",
+        "start_station_name", "start_station_id", "end_station_name", "end_station_id", "1.5D AS start_lat", "cast(NULL AS DOUBLE) AS start_lng",
+        "cast(NULL AS DOUBLE) AS end_lat", "cast(NULL AS DOUBLE) AS end_lng", "member_casual",
+    )
+    odd = "coalesce(cast(start_station_id AS INT) % 2 = 1, false)"
+    rows.filter(f"NOT {odd}").write.option("header", True).csv(f"{path}/usual")
+    rows.filter(odd).withColumn("Bike", F.lit("b")).select("Bike", *reversed(rows.columns)).write.option("header", True).csv(f"{path}/reversed")
+
+
+def written_document(spark: SparkSession, folder: str, path: str) -> None:
+    """A single JSON document: each customer with their orders, and a vertex 1 without any."""
+    customers = table(spark, folder, "customer").selectExpr("-c_custkey AS id")
+    orders = table(spark, folder, "orders").groupBy((-F.col("o_custkey")).alias("id")).agg(F.collect_list("o_orderkey").alias("to"))
+    nodes = customers.join(orders, "id", "left").selectExpr(
+        "concat(', {\"out_neighbors\": [', coalesce(concat_ws(', ', cast(to AS array<string>)), ''), '], \"node_id\": ', id, '}') AS value"
+    )
+    ends = [spark.sql(f"SELECT '{text}' AS value") for text in ('{"nodes": [{"node_id": 1, "out_neighbors": []}', "]}")]
+    ends[0].unionAll(nodes).unionAll(ends[1]).coalesce(1).write.text(path)
+
+
+def wide_edge_lines(spark: SparkSession, folder: str) -> DataFrame:
+    """An edge list whose ids exceed 64 bits on either side of zero: a part and its supplier."""
+    return table(spark, folder, "lineitem").selectExpr(
+        "concat(if(l_returnflag = 'R', '# ', ''), '-', l_partkey, '00000000000000000007', '\t', if(l_linenumber = 1, '+000', ''), l_suppkey, '00000000000000000000') AS value"
+    )

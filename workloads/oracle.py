@@ -280,6 +280,24 @@ def reject_counts() -> str:
 SELECT count(*) AS loaded, {counts} FROM (SELECT CASE {case} ELSE 'clean' END AS reason FROM timed)"""
 
 
+def report_lines(name: str, columns: list[str], sql: str) -> str:
+    """A report's lines as the files hold them."""
+    line = " || '|' || ".join(f"coalesce(CAST({c} AS VARCHAR), '')" for c in columns)
+    return f"SELECT '{name}' AS report, {line} AS line FROM ({sql})"
+
+
+def report_files() -> str:
+    found = [
+        report_lines("1_rides_by_hour_type", ["weekend_indicator", "member_casual", "hour_in_day", "ride_type", "num_of_rides"], f"""WITH {TRIPS}
+SELECT weekend_indicator, member_casual, hour_in_day, ride_type, count(*) AS num_of_rides FROM trips GROUP BY 1, 2, 3, 4"""),
+        report_lines("4a_roundtrip_overall", ["round_trip", "num_rides", "median_duration", "avg_duration", "percentage"],
+                     round_trips("round_trip", ", " + half_up("count(*) / CAST(sum(count(*)) OVER () AS DOUBLE) * 100") + " AS percentage")),
+        report_lines("4b_roundtrip_by_member", ["member_casual", "round_trip", "num_rides", "median_duration", "avg_duration"],
+                     round_trips("member_casual, round_trip")),
+    ]
+    return " UNION ALL ".join(found)
+
+
 ORACLE: dict[str, str] = {
     "trip_clean": f"WITH {TRIPS} SELECT * EXCLUDE (seconds) FROM clean",
     "trip_reject_counts": reject_counts(),
@@ -336,6 +354,29 @@ WHERE ride_id IS NOT NULL AND started_at IS NOT NULL AND start_station_id IS NOT
   AND (epoch_us(ended_at) // 1000000 - epoch_us(started_at) // 1000000) <= 86400""",
     "weather_text_scan": f"""WITH {WEATHER}
 SELECT hour_timestamp, temp, coco, rain_indicator, temp_band FROM weather""",
+    "trip_file_scan": f"""WITH {RAW_TRIPS},
+written AS (
+  SELECT ride_id, rideable_type, date_trunc('second', started_at) AS started_at, date_trunc('second', ended_at) AS ended_at,
+         start_station_name, start_station_id, end_station_name, end_station_id, 1.5e0 AS start_lat, member_casual
+  FROM raw
+)
+SELECT *, (epoch_us(ended_at) // 1000000 - epoch_us(started_at) // 1000000) / 60e0 AS duration_minutes FROM written
+WHERE ride_id IS NOT NULL AND started_at IS NOT NULL AND start_station_id IS NOT NULL AND ended_at > started_at
+  AND (epoch_us(ended_at) // 1000000 - epoch_us(started_at) // 1000000) <= 86400""",
+    "report_files": report_files(),
+    "document_scan": """SELECT -c_custkey AS id, count(o_orderkey) AS out_degree
+FROM customer LEFT JOIN orders ON o_custkey = c_custkey GROUP BY c_custkey UNION ALL SELECT 1, 0""",
+    "wide_id_edges": """WITH pairs AS (
+  SELECT DISTINCT CAST(CAST('-' || l_partkey || '00000000000000000007' AS DECIMAL(38, 0)) AS VARCHAR) AS src,
+         CAST(CAST(l_suppkey || '00000000000000000000' AS DECIMAL(38, 0)) AS VARCHAR) AS dst
+  FROM lineitem WHERE l_returnflag <> 'R'
+), names AS (
+  SELECT name, row_number() OVER (ORDER BY CAST(name AS DECIMAL(38, 0))) - 1 AS id
+  FROM (SELECT src AS name FROM pairs UNION SELECT dst FROM pairs)
+)
+SELECT s.id AS src_id, d.id AS dst_id, src, dst FROM pairs JOIN names s ON s.name = src JOIN names d ON d.name = dst""",
+    "rank_files": f"""WITH {LINKS}
+SELECT id, CAST(out_degree AS DOUBLE) AS rank, row_number() OVER (ORDER BY id) - 1 AS place FROM vertices""",
     "edge_list_scan": """SELECT DISTINCT l_partkey AS src, l_suppkey AS dst FROM lineitem
 WHERE l_returnflag <> 'R' AND l_partkey <> l_suppkey""",
     "graph_edges": f"WITH {LINKS} SELECT src, dst FROM edges",

@@ -11,14 +11,19 @@ from pyspark.sql import functions as F
 from velorank.operators import trip_reports as reports
 from velorank.operators import weather as impact
 from velorank.operators.comparison import Comparison, compare_rankings
+from velorank.operators.dictionary import by_number, decode_ids, encode_graph
 from velorank.operators.graph import PreparedGraph, adjacency, contributions, dangling_vertices, prepare_graph, vertex_degrees
 from velorank.operators.ranking import (
     PERSONALIZED, STANDARD, Ranking, pagerank, personalized_pagerank, rank_variants, top_ranks,
 )
 from velorank.operators.trips import clean_trips, reject_counts
 from velorank.operators.validation import validate_ranks
-from velorank.sources.graphs import parse_adjacency_lines, parse_edge_lines, parse_seed_lines, sample_vertices
-from velorank.sources.tables import parse_trip_lines, parse_weather_lines
+from velorank.session import scratch_folder
+from velorank.sinks.files import read_ranks, write_ranks, write_report_file
+from velorank.sources.graphs import (
+    parse_adjacency_lines, parse_edge_lines, parse_named_edge_lines, parse_seed_lines, read_adjacency, sample_vertices,
+)
+from velorank.sources.tables import parse_trip_lines, parse_weather_lines, read_trip_files
 from velorank.operators.weather import HOURS_IN_MONTH
 from workloads import inputs
 
@@ -120,6 +125,31 @@ def weather_text_scan(spark: SparkSession, folder: str) -> DataFrame:
     return _plain_times(rows.select("hour_timestamp", "temp", "coco", "rain_indicator", "temp_band"))
 
 
+def trip_file_scan(spark: SparkSession, folder: str) -> DataFrame:
+    """Clean trips from files of two layouts, written and read back by the names in their headers."""
+    path = scratch_folder(spark, "trips")
+    inputs.written_trips(spark, folder, path)
+    rows = clean_trips(read_trip_files(spark, f"{path}/*/part-*.csv"))
+    return _plain_times(rows.drop("start_lng", "end_lat", "end_lng"))
+
+
+def report_files(spark: SparkSession, folder: str) -> DataFrame:
+    """Lines of reports that were written as single files of their names and read back."""
+    path = scratch_folder(spark, "reports")
+    rides = inputs.trips(spark, folder)
+    written = {
+        "1_rides_by_hour_type": reports.rides_by_hour_and_type(rides),
+        "4a_roundtrip_overall": reports.round_trips_overall(rides),
+        "4b_roundtrip_by_member": reports.round_trips_by_rider(rides),
+    }
+    parts = []
+    for name, report in written.items():
+        write_report_file(report, f"{path}/{name}.csv")
+        back = spark.read.option("header", True).csv(f"{path}/{name}.csv")
+        parts.append(back.select(F.lit(name).alias("report"), F.concat_ws("|", *[F.coalesce(c, F.lit("")) for c in back.columns]).alias("line")))
+    return reduce(DataFrame.unionAll, parts)
+
+
 def edge_list_scan(spark: SparkSession, folder: str) -> DataFrame:
     return parse_edge_lines(inputs.edge_lines(spark, folder))
 
@@ -142,6 +172,27 @@ def adjacency_scan(spark: SparkSession, folder: str) -> DataFrame:
     return vertex_degrees(parse_adjacency_lines(inputs.adjacency_lines(spark, folder)))
 
 
+def document_scan(spark: SparkSession, folder: str) -> DataFrame:
+    """Degrees of a graph read from a single JSON document."""
+    path = scratch_folder(spark, "document")
+    inputs.written_document(spark, folder, path)
+    return vertex_degrees(read_adjacency(spark, f"{path}/part-*", document=True))
+
+
+def wide_id_edges(spark: SparkSession, folder: str) -> DataFrame:
+    """Edges between ids beyond 64 bits, with the dense ids they get and the names those stand for."""
+    graph, names = encode_graph(parse_named_edge_lines(inputs.wide_edge_lines(spark, folder)), by_number)
+    both = graph.edges.selectExpr("src AS src_id", "dst AS dst_id", "src", "dst")
+    return decode_ids(both, names, ["src", "dst"])
+
+
+def rank_files(spark: SparkSession, folder: str) -> DataFrame:
+    """Degrees as ranks, written in the order of ids and read back with each line's place over all files."""
+    path = scratch_folder(spark, "ranks")
+    write_ranks(vertex_degrees(inputs.links(spark, folder)).selectExpr("id", "cast(out_degree AS DOUBLE) AS rank"), path)
+    return read_ranks(spark, path)
+
+
 def seed_scan(spark: SparkSession, folder: str) -> DataFrame:
     return parse_seed_lines(inputs.seed_lines(spark, folder))
 
@@ -281,7 +332,12 @@ QUERIES: dict[str, Query] = {
     "weather_join_counts": weather_join_counts,
     "trip_text_scan": trip_text_scan,
     "weather_text_scan": weather_text_scan,
+    "trip_file_scan": trip_file_scan,
+    "report_files": report_files,
     "edge_list_scan": edge_list_scan,
+    "document_scan": document_scan,
+    "wide_id_edges": wide_id_edges,
+    "rank_files": rank_files,
     "adjacency_scan": adjacency_scan,
     "seed_scan": seed_scan,
     "graph_edges": graph_edges,
