@@ -303,3 +303,34 @@ def test_a_cell_with_a_third_of_all_rows_is_spread(spark):
     frame = spark.createDataFrame([(i, "a" if i % 3 == 0 else f"s{i}") for i in range(3000)], "id bigint, name string")
     placed = hilbert.hilbert_order(frame, ["name"], ["id"])
     assert sorted(r.position for r in placed.collect()) == list(range(3000))
+
+
+def test_text_is_cut_by_whole_values(spark):
+    """A common beginning does not matter, and cuts are those of the sorted rows."""
+    random = np.random.default_rng(3)
+    names = [f"https://www.example.org/a/very/long/path/{chr(97 + i)}" for i in range(20)] + ["é", "z"]
+    rows = [str(random.choice(names)) for _ in range(900)]
+    frame = spark.createDataFrame([(i, n) for i, n in enumerate(rows)] + [(900, None)], "id bigint, name string").repartition(4)
+    want = sorted({sorted(rows, key=str.encode)[i * 900 // 8] for i in range(1, 8)}, key=str.encode)
+    assert hilbert._text_cuts(frame, "name", 8) == want
+    assert hilbert._text_cuts(frame.limit(0), "name", 8) == []
+    got = hilbert.hilbert_shards(frame, ["name"], ["id"], 5)
+    spans = hilbert.shard_ranges(got.where("name IS NOT NULL"), ["name"]).collect()
+    assert sorted((r.max_name > s.min_name) for r in spans for s in spans if s.shard > r.shard).count(True) == 0
+
+
+def test_shards_of_rows_with_clashing_columns(spark, odd_docs, tmp_path):
+    got = hilbert.hilbert_shards(odd_docs, ["lang", "curve", "n_chars"], ["doc_id", "slot"], 3)
+    check_shards([(r.shard, r.slot) for r in got.collect()], 3)
+    assert set(odd_docs.columns) - {"curve", "position", "shard", "slot"} <= set(got.columns)
+    assert sorted(got.select("_curve", "_position", "_shard", "_slot").distinct().collect()) == sorted(odd_docs.select("curve", "position", "shard", "slot").distinct().collect())
+
+
+def test_readers_skip_shards_on_every_dimension(spark):
+    """Each dimension's ranges rule out shards, with a common beginning of all sources, too."""
+    random = np.random.default_rng(4)
+    rows = [(i, f"lang{random.integers(16):02}", f"https://example.org/{random.integers(16):02}", int(random.integers(1 << 16))) for i in range(4000)]
+    frame = spark.createDataFrame(rows, "id bigint, lang string, source string, size bigint").repartition(4)
+    spans = hilbert.shard_ranges(hilbert.hilbert_shards(frame, ["lang", "source", "size"], ["id"], 64), ["lang", "source", "size"]).collect()
+    for name, value in (("lang", "lang03"), ("source", "https://example.org/11"), ("size", 12345)):
+        assert sum(r[f"min_{name}"] <= value <= r[f"max_{name}"] for r in spans) <= 40  # of 64
