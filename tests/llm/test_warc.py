@@ -40,8 +40,12 @@ def brute(pages):
     return sorted(out)
 
 
+def rows_of_list(rows):
+    return sorted((r.page_id, r.payload_bytes, r.payload_digest, r.record_type, r.refers_to) for r in rows)
+
+
 def rows_of(frame):
-    return sorted((r.page_id, r.payload_bytes, r.payload_digest, r.record_type, r.refers_to) for r in frame.collect())
+    return rows_of_list(frame.collect())
 
 
 def pages_frame(spark, pages):
@@ -95,6 +99,23 @@ def test_members_are_read_in_pieces():
         list(warc.read_members(io.BytesIO(b"".join(records)[:-5])))
 
 
-def test_pages_without_id_are_an_error(spark):
-    with pytest.raises(Exception, match="no id"):
-        warc.write_archives(pages_frame(spark, [(None, "http://a/", "x")]), shared_folder(spark, "warc"))
+def test_pages_without_id_come_last(spark):
+    """They revisit the smallest id of their payload; payloads no id has are responses all."""
+    known = [(3, "http://a/", "p" * 100), (1, "http://b/", "p" * 100), (0, "http://a/", "x")]
+    unnamed = [(None, "http://a/", "p" * 100), (None, None, "q" * 100), (None, None, "q" * 100), (None, "http://a/", None)]
+    captures = warc.archive_and_index(pages_frame(spark, known + unnamed), shared_folder(spark, "warc")).collect()
+    assert rows_of_list([r for r in captures if r.page_id is not None]) == brute(known)
+    found = sorted((r.payload_bytes, r.record_type, r.refers_to) for r in captures if r.page_id is None)
+    assert found == [(0, "response", None), (100, "response", None), (100, "response", None), (100, "revisit", 1)]
+
+
+def test_pages_of_one_key_are_spread(spark, monkeypatch):
+    monkeypatch.setattr(warc, "_RUN_ROWS", 10)
+    pages = [(None, "http://hot.example/", f"page {i}") for i in range(200)] + [(i, f"http://s{i}.example/", "x") for i in range(100)]
+    folder = shared_folder(spark, "warc")
+    index = stored(warc.merge_index(warc.write_archives(pages_frame(spark, pages), folder), folder, fan_in=8))
+    found = index.collect()
+    assert len(found) == 300 == len({(r.file, r.offset) for r in found}) and sum(r.page_id is None for r in found) == 200
+    assert len({r.range for r in found if r.page_id is None}) > 1
+    order = [(r.urlkey, r.timestamp, r.page_id is None, r.page_id or 0) for r in sorted(found, key=lambda r: r.range)]
+    assert order == sorted(order)

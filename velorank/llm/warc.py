@@ -4,7 +4,8 @@ Tasks write archives and, next to them, runs of index entries sorted by URL key
 timestamp.  The runs are merged by loser trees: first, as long as there are more of
 them than a task should open, in groups into longer runs; then by key ranges, each
 task merging its range out of all runs.  The ranges are cut by sampled entries, full
-keys with time and id, so a URL captured very often is spread over several.
+keys with time, id and place, so a URL captured very often is spread over several, and
+so are pages that share an id or have none.
 """
 
 from __future__ import annotations
@@ -34,11 +35,15 @@ _LAST_SECOND = 200_000_000_000
 # Fixed by the WARC format.
 _PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
 
+# Entries sort as they stand; ``unnamed`` pages, which have no id, come after the others (their ``page_id`` is 0 here).
 ENTRY = pa.schema([
-    ("urlkey", pa.string()), ("timestamp", pa.string()), ("page_id", pa.int64()),
+    ("urlkey", pa.string()), ("timestamp", pa.string()), ("unnamed", pa.bool_()), ("page_id", pa.int64()),
     ("file", pa.string()), ("offset", pa.int64()), ("size", pa.int64()),
 ])
-_ENTRY_DDL = "urlkey string, timestamp string, page_id bigint, file string, offset bigint, size bigint"
+_ENTRY_DDL = "urlkey string, timestamp string, unnamed boolean, page_id bigint, file string, offset bigint, size bigint"
+# What cuts and samples hold: no two entries are equal in it.
+_KEY = pa.schema(list(ENTRY)[:6])
+_KEY_DDL = _ENTRY_DDL.rpartition(",")[0]
 
 
 def url_key(url: str | None) -> str:
@@ -105,13 +110,17 @@ def _header(lines: list[tuple[str, object]]) -> bytes:
     return b"WARC/1.1\r\n" + "".join(f"{k}: {v}\r\n" for k, v in lines).encode() + b"\r\n"
 
 
-def _record(page: int, url: str | None, when: str, payload: bytes, digest: str, first: int | None) -> bytes:
+def _name(page: int | None) -> str:
+    return "<urn:page:none>" if page is None else f"<urn:page:{page}>"
+
+
+def _record(page: int | None, url: str | None, when: str, payload: bytes, digest: str, first: int | None) -> bytes:
     """A gzip member with a response, or a revisit, which has the HTTP headers only."""
     http = f"HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=utf-8\r\nContent-Length: {len(payload)}\r\n\r\n".encode()
     block = http if first is not None else http + payload
     lines: list[tuple[str, object]] = [
         ("WARC-Type", "response" if first is None else "revisit"),
-        ("WARC-Record-ID", f"<urn:page:{page}>"),
+        ("WARC-Record-ID", _name(page)),
         ("WARC-Date", when),
         ("Content-Type", "application/http; msgtype=response"),
         ("Content-Length", len(block)),
@@ -120,7 +129,7 @@ def _record(page: int, url: str | None, when: str, payload: bytes, digest: str,
     if url:
         lines.append(("WARC-Target-URI", quote(url, safe=":/?#[]@!$&'()*+,;=%~")))
     if first is not None:
-        lines += [("WARC-Profile", _PROFILE), ("WARC-Refers-To", f"<urn:page:{first}>")]
+        lines += [("WARC-Profile", _PROFILE), ("WARC-Refers-To", _name(first))]
     packer = zlib.compressobj(1, zlib.DEFLATED, 31)
     return packer.compress(_header(lines) + block + b"\r\n\r\n") + packer.flush()
 
@@ -152,7 +161,7 @@ def read_members(source) -> Iterator[tuple[int, int, bytes]]:
 
 
 def _urn(text: str | None) -> int | None:
-    return int(text.removeprefix("<urn:page:").removesuffix(">")) if text else None
+    return int(text.removeprefix("<urn:page:").removesuffix(">")) if text and text != _name(None) else None
 
 
 # Writing
@@ -176,10 +185,12 @@ def write_archives(
     adaptive execution.  Without a ``date`` column a page's date is its id in seconds
     from 1970.  A null payload is empty, a null URL is left out.  Rows that repeat
     an id are records of their own (the first row of a digest is the one of its
-    smallest id, so repeats of it are responses too); a page without an id raises
-    an error.  A task's files have names of their own and count once it is done.
+    smallest id, so repeats of it are responses too).  Pages without an id come last:
+    they revisit the smallest id of their payload, and are responses where it has none,
+    for nothing could be referred to.  A task's files have names of their own and
+    count once it is done.
     """
-    known = F.coalesce(F.col(id_column).cast("bigint"), F.raise_error(F.lit("a page has no id")).cast("bigint"))
+    known = F.col(id_column).cast("bigint")
     when = F.col(date).cast("timestamp") if date else F.lit(None).cast("timestamp")
     body = F.coalesce(F.col(payload), F.lit("")).cast("binary")
     rows = pages.select(known.alias("id"), F.col(url).cast("string").alias("url"), F.unix_seconds(when).alias("second"), body.alias("body"))
@@ -187,7 +198,7 @@ def write_archives(
     keys = pages.select(known.alias("id"), F.sha2(body, 256).alias("shared"), F.octet_length(body).alias("n"))
     firsts = (
         keys.where(F.col("n") >= least_revisit).groupBy("shared").agg(F.min("id").alias("first"), F.count(F.lit(1)).alias("copies"))
-        .where(F.col("copies") > 1).drop("copies")
+        .where((F.col("copies") > 1) & F.col("first").isNotNull()).drop("copies")
     )
     decided = rows.join(firsts, "shared", "left").select("id", "url", "second", "body", "digest", "first")
 
@@ -205,7 +216,7 @@ def write_archives(
             run = f"{name}-{len(runs):04d}.run"
             _write_run(fs, f"{path}/{run}", entries)
             step = max(1, len(entries) // _SAMPLES)
-            samples = [{"urlkey": e[0], "timestamp": e[1], "page_id": e[2]} for e in entries[step // 2 :: step]]
+            samples = [dict(zip(_KEY.names, e)) for e in entries[step // 2 :: step]]
             runs.append((f"{folder}/{run}", len(entries), samples))
             entries.clear()
 
@@ -214,11 +225,11 @@ def write_archives(
                 for page, address, second, content, digest, first in zip(*(c.to_pylist() for c in batch.columns)):
                     if data is None:
                         data = fs.open_output_stream(f"{path}/{name}.warc.gz", compression=None, buffer_size=1 << 20)
-                    moment = datetime(1970, 1, 1, tzinfo=timezone.utc) + timedelta(seconds=page % _LAST_SECOND if second is None else second)
+                    moment = datetime(1970, 1, 1, tzinfo=timezone.utc) + timedelta(seconds=(page or 0) % _LAST_SECOND if second is None else second)
                     stamp = moment.strftime("%Y-%m-%dT%H:%M:%SZ")
                     record = _record(page, address, stamp, content, digest, None if first == page else first)
                     data.write(record)
-                    entries.append((url_key(address), stamp, page, f"{folder}/{name}.warc.gz", place, len(record)))
+                    entries.append((url_key(address), stamp, page is None, page or 0, f"{folder}/{name}.warc.gz", place, len(record)))
                     place += len(record)
                     if len(entries) == _RUN_ROWS:
                         close_run()
@@ -227,11 +238,11 @@ def write_archives(
         finally:
             if data is not None:
                 data.close()
-        kinds = pa.list_(pa.struct([("urlkey", pa.string()), ("timestamp", pa.string()), ("page_id", pa.int64())]))
+        kinds = pa.list_(pa.struct(list(_KEY)))
         columns = [pa.array([r[k] for r in runs], t) for k, t in enumerate((pa.string(), pa.int64(), kinds))]
         yield pa.RecordBatch.from_arrays(columns, ["run", "entries", "samples"])
 
-    manifest = "run string, entries bigint, samples array<struct<urlkey:string,timestamp:string,page_id:bigint>>"
+    manifest = f"run string, entries bigint, samples array<struct<{_KEY_DDL}>>"
     return stored(decided.mapInArrow(written, manifest))
 
 
@@ -249,7 +260,7 @@ def _slice(run: str, low: tuple | None, high: tuple | None) -> Iterator[tuple]:
                 continue
             columns = file.read_row_group(group).to_pydict()
             for entry in zip(*(columns[f.name] for f in ENTRY)):
-                if (low is None or entry[:3] >= low) and (high is None or entry[:3] < high):
+                if (low is None or entry >= low) and (high is None or entry < high):
                     yield entry
 
 
@@ -289,7 +300,7 @@ def _merge_groups(spark, runs: list[str], folder: str, fan_in: int) -> list[str]
 
 
 def merge_index(manifest: DataFrame, folder: str, fan_in: int = FAN_IN) -> DataFrame:
-    """All entries in global order of URL key, timestamp and id: ``range``, then the entry's columns.
+    """All entries in global order of URL key, timestamp and id, nulls last: ``range``, then the entry's columns.
 
     Ranges ascend, and within a range rows come in order.  ``fan_in`` runs are open
     in a task at most.  Paths of the runs, and one cut per range, pass through the
@@ -300,11 +311,11 @@ def merge_index(manifest: DataFrame, folder: str, fan_in: int = FAN_IN) -> DataF
     while len(runs) > fan_in:
         runs = _merge_groups(spark, runs, folder, fan_in)
     n = partitions(spark)
-    samples = with_positions(manifest.select(F.explode("samples").alias("s")).select("s.*"), "urlkey", "timestamp", "page_id")
+    samples = with_positions(manifest.select(F.explode("samples").alias("s")).select("s.*"), *_KEY.names)
     total = samples.count()
     step = max(1, total // n)
     chosen = samples.where((F.col("position") % step == 0) & (F.col("position") > 0)).orderBy("position").collect()  # at most 2 n
-    cuts = sorted({(r["urlkey"], r["timestamp"], r["page_id"]) for r in chosen})
+    cuts = sorted(tuple(r[name] for name in _KEY.names) for r in chosen)
     ranges = list(zip(range(len(cuts) + 1), [None, *cuts], [*cuts, None]))
 
     def merged(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -314,7 +325,8 @@ def merge_index(manifest: DataFrame, folder: str, fan_in: int = FAN_IN) -> DataF
                 yield from _batches(iter(LoserTree([_slice(r, low, high) for r in runs])), [("range", number)])
 
     work = spark.createDataFrame([(r[0],) for r in ranges], "range int").repartitionByRange(len(ranges), "range")
-    return work.mapInArrow(merged, f"range int, {_ENTRY_DDL}")
+    found = work.mapInArrow(merged, f"range int, {_ENTRY_DDL}")
+    return found.withColumn("page_id", F.when(~F.col("unnamed"), F.col("page_id"))).drop("unnamed")
 
 
 # Reading
