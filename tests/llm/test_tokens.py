@@ -180,9 +180,20 @@ def test_records_round_trip(spark, odd_docs, no_docs):
     assert empty.count() == records.read_records(empty).count() == 0
 
 
-def test_documents_without_id_have_no_place(spark):
-    with pytest.raises(Exception, match="no id"):
-        records.write_records(spark.createDataFrame([(None, "x")], "doc_id bigint, text string"), shared_folder(spark, "records"), public_files())
+def test_documents_without_id_come_last(spark):
+    """A third of the rows has no id, a third one and the same: both are spread over several files."""
+    docs = [(None, f"none {i % 7}") for i in range(400)] + [(-5, "hot")] * 400 + [(i, f"text {i}") for i in range(400)] + [(2**63 - 1, None)]
+    given = spark.createDataFrame(docs, "doc_id bigint, text string").repartition(5)
+    manifest = records.write_records(given, shared_folder(spark, "records"), public_files())
+    rows = records.read_records(manifest).orderBy("start").collect()
+    want = sorted(docs, key=lambda d: (d[0] is None, d[0]))
+    assert [r.id for r in rows] == [d[0] for d in want]
+    found = sorted((r.id is None, r.id or 0, np.frombuffer(r.ids, "<u4").tolist()) for r in rows)
+    assert found == sorted((i is None, i or 0, [*BYTES.encode(t or "", add_special_tokens=False).ids, 2]) for i, t in docs)
+    starts = np.cumsum([0, *(r.n_tokens for r in rows)])
+    assert [r.start for r in rows] == starts[:-1].tolist()
+    for shared in (None, -5):
+        assert len({r.part for r in rows if r.id == shared}) > 1
 
 
 def test_damage_is_noticed():

@@ -4,8 +4,9 @@ A file is a sequence of frames, all numbers little-endian::
 
     uint64 length | uint32 masked crc32 of those 8 bytes | payload | uint32 masked crc32 of the payload
 
-A payload is the document's id (int64), the bytes per token id (one byte, 2 or 4),
-and the token ids as unsigned integers of that size.
+A payload is the document's id (int64), the bytes per token id (one byte, 2 or 4, plus
+128 for a document without an id, whose id field is 0), and the token ids as unsigned
+integers of that size.
 Checksums are masked by rotating them right by 15 bits and adding a constant, so
 that a checksum stored among the data is not mistaken for one of the data.  Next
 to each ``.rec`` file stands an ``.idx`` file with one int64 pair per record, its
@@ -34,6 +35,7 @@ MASK_DELTA = 0xA282EAD8
 _HEAD = struct.Struct("<QI")
 _TAIL = struct.Struct("<I")
 _DOCUMENT = struct.Struct("<qB")
+_NO_ID = 128
 
 
 class BadRecord(ValueError):
@@ -50,14 +52,17 @@ def frame(payload: bytes) -> bytes:
     return b"".join((size, struct.pack("<I", masked(size)), payload, struct.pack("<I", masked(payload))))
 
 
-def payload_of(doc: int, ids: np.ndarray) -> bytes:
+def payload_of(doc: int | None, ids: np.ndarray) -> bytes:
     width = 2 if not len(ids) or ids.max() < 1 << 16 else 4
-    return _DOCUMENT.pack(doc, width) + ids.astype(f"<u{width}").tobytes()
+    head = _DOCUMENT.pack(0, width | _NO_ID) if doc is None else _DOCUMENT.pack(doc, width)
+    return head + ids.astype(f"<u{width}").tobytes()
 
 
-def parse_payload(payload: bytes) -> tuple[int, np.ndarray]:
-    """The document's id and its token ids, as little-endian unsigned 32-bit numbers."""
+def parse_payload(payload: bytes) -> tuple[int | None, np.ndarray]:
+    """The document's id (None if it has none) and its token ids, as little-endian unsigned 32-bit numbers."""
     doc, width = _DOCUMENT.unpack_from(payload)
+    if width & _NO_ID:
+        doc, width = None, width ^ _NO_ID
     return doc, np.frombuffer(payload, f"<u{width}", offset=_DOCUMENT.size).astype("<u4")
 
 
@@ -75,7 +80,7 @@ def read_frame(source) -> bytes | None:
     return payload
 
 
-def read_at(file: str, record: int) -> tuple[int, np.ndarray]:
+def read_at(file: str, record: int) -> tuple[int | None, np.ndarray]:
     """One record by its number, through the index."""
     fs, path = pafs.FileSystem.from_uri(file)
     with fs.open_input_file(path.removesuffix(".rec") + ".idx") as index:
@@ -95,15 +100,16 @@ def write_records(
     ``records``, ``tokens``, ``bytes``.  ``folder`` is a URI any executor can
     write to.  A task writes under names of its own and reports them when it is
     done, so what a lost or repeated task leaves behind is never read.  Ids must
-    be integers; rows without an id, which have no place in the order, raise an
-    error.  A null text is empty; repeated rows are records of their own; an empty
-    table gives no files.
+    be integers; documents without one come last.  Rows that share an id, or have
+    none, stand together in any order, over as many files as their number asks for.
+    A null text is empty; repeated rows are records of their own; an empty table
+    gives no files.
     """
     spark = docs.sparkSession
-    known = F.coalesce(F.col(id_column), F.raise_error(F.lit("a document has no id")).cast("bigint"))
-    rows = docs.select(known.cast("bigint").alias("id"), whole_text(text).alias("text"))
-    # The digest only orders repeated ids.
-    ordered = rows.repartitionByRange(partitions(spark), "id").sortWithinPartitions("id", F.xxhash64("text"))
+    rows = docs.select(F.col(id_column).cast("bigint").alias("id"), whole_text(text).alias("text"), F.monotonically_increasing_id().alias("row"))
+    # The row's place only parts rows of one id; the splitters are sampled from ids alone, so texts are read once.
+    by_id = F.col("id").asc_nulls_last()
+    ordered = rows.repartitionByRange(partitions(spark), by_id, "row").sortWithinPartitions(by_id, "row").select("id", "text")
 
     def written(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder, part = byte_bpe(*tokenizer), TaskContext.get().partitionId()
