@@ -27,6 +27,8 @@ from velorank.llm.common import small_batches, whole_text
 # Words remembered by a Python worker, and prefix pairs; either is forgotten as a whole when full.
 WORDS = 200_000
 PAIRS = 500_000
+# Bytes of the texts whose distinct words are walked together; longer texts are walked with at most 63 others.
+WALK = 1 << 23
 # Fixed value: the word pattern that files must have.
 _WORD = "'s|'t|'re|'ve|'m|'ll|'d|[\\p{L}]+|[\\p{N}]|[^\\s\\p{L}\\p{N}]+"
 # The same for texts without the characters below; other texts are normalised and split by the library.
@@ -69,19 +71,20 @@ class TrieBpe:
             self._rank[left, right] = rank
             if self._parts.setdefault(left + right, (left, right)) != (left, right):
                 raise ValueError("a token of two merges has no single history")
-        # Lengths of the tokens that end in two given letters, within a word and at its end, longest first.
+        # Lengths of the tokens that end in three given letters, within a word and at its end, longest first;
+        # tokens of two letters can end whatever ends in them.
         self._lengths: tuple[dict[str, list[int]], dict[str, list[int]]] = ({}, {})
         for token in self.vocab:
             path = token.removesuffix(self.suffix)
-            if len(path) > 1:
-                self._lengths[path != token].setdefault(path[-2:], []).append(len(path))
+            if len(path) > 2:
+                self._lengths[path != token].setdefault(path[-3:], []).append(len(path))
         for table in self._lengths:
             for end, found in table.items():
                 table[end] = sorted(set(found), reverse=True)
         self._edges: dict[tuple[str, bool], list[tuple[str, int, int]]] = {}
         self._apart: dict[tuple[str, str], bool] = {}
         self._ids: dict[str, str] = {}
-        self._tokens: dict[str, str] = {}
+        self._written = {str(i): token for i, token in self.names.items()}
 
     # Pairs of tokens
 
@@ -124,12 +127,17 @@ class TrieBpe:
 
     def _last(self, path: str, ends: bool, lasts: list[str]) -> str:
         """Last token of the encoding of ``path``; ``lasts`` has that of each shorter prefix."""
-        vocab, suffix, n = self.vocab, self.suffix if ends else "", len(path)
-        for length in self._lengths[ends].get(path[-2:], ()):
-            if length <= n:
+        vocab, known, suffix, n = self.vocab, self._apart, self.suffix if ends else "", len(path)
+        for length in (*self._lengths[ends].get(path[-3:], ()), 2):
+            if length < n:
                 token = path[n - length :] + suffix
-                if token in vocab and (length == n or self.stay_apart(lasts[n - length], token)):
-                    return token
+                if token in vocab:
+                    pair = lasts[n - length], token
+                    apart = known.get(pair)
+                    if self.stay_apart(*pair) if apart is None else apart:
+                        return token
+            elif length == n and path + suffix in vocab:
+                return path + suffix
         token = path[-1] + suffix
         if token not in vocab:
             raise ValueError("a byte is missing in the vocabulary")
@@ -177,12 +185,10 @@ class TrieBpe:
         spelt = {w: w.encode().decode("latin-1").translate(self._letters) for w in words}
         encoded, vocab = self.encode_words(spelt.values()), self.vocab
         for word, path in spelt.items():
-            tokens = encoded[path]
-            self._ids[word] = " ".join([str(vocab[t]) for t in tokens])
-            self._tokens[word] = " ".join(tokens)
+            self._ids[word] = " ".join([str(vocab[t]) for t in encoded[path]])
 
     def encode_all(self, texts: list[str]) -> list[tuple[int, str, str]]:
-        """For each text the number of ids, the ids joined by blanks, and the decoded text."""
+        """For each text the number of ids, the ids joined by blanks, and what these ids decode to."""
         split: list[list[str]] = []
         for text in texts:
             if self._cut is None or not any([s in text for s in self._special]):
@@ -192,18 +198,22 @@ class TrieBpe:
                 split.append([w for i, p in enumerate(pieces) for w in ([f"\0{p}"] if i % 2 else self.words(p))])
         if len(self._ids) > WORDS:
             self._ids.clear()
-            self._tokens.clear()
         fresh = set().union(*split) - self._ids.keys()
         for special, number in self._special.items():
             if f"\0{special}" in fresh:
-                self._ids[f"\0{special}"], self._tokens[f"\0{special}"] = str(number), special
+                self._ids[f"\0{special}"] = str(number)
         self._learn(fresh - self._ids.keys())
         out = []
         for words in split:
             ids = " ".join(map(self._ids.__getitem__, words))
-            out.append((ids.count(" ") + 1 if ids else 0, ids, " ".join(map(self._tokens.__getitem__, words))))
+            numbers = ids.split()
+            out.append((len(numbers), ids, self.decode_written(numbers)))
         return out
 
+    def decode_written(self, numbers: Iterable[str]) -> str:
+        """Decoding of ids written as decimal numbers."""
+        return " ".join(map(self._written.__getitem__, numbers))
+
     def decode(self, ids: Iterable[int]) -> str:
         """The library's decoding for files that name no decoder: tokens joined by blanks."""
         return " ".join([self.names[i] for i in ids])
@@ -215,6 +225,21 @@ def trie_bpe(file: str) -> TrieBpe:
     return TrieBpe(file)
 
 
+def walks(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[pa.Array, list[str]]]:
+    """First column and texts of consecutive rows: about ``WALK`` bytes of text, at least a row."""
+    ids, texts, size = [], [], 0
+    for batch in small_batches(batches, 64):
+        own = batch.column(1).nbytes
+        if texts and size + own > WALK:
+            yield pa.concat_arrays(ids), texts
+            ids, texts, size = [], [], 0
+        ids.append(batch.column(0))
+        texts += batch.column(1).to_pylist()
+        size += own
+    if texts:
+        yield pa.concat_arrays(ids), texts
+
+
 def encode_and_decode(
     docs: DataFrame, file: str, id_column: str = "doc_id", text: str = "text", contents: bool = False
 ) -> DataFrame:
@@ -222,16 +247,16 @@ def encode_and_decode(
 
     With ``contents`` also ``ids`` (array) and ``decoded``.  Null text is empty and
     gives no ids; repeated rows give equal results; an empty table an empty one.
-    Nothing is shuffled: a task walks the trie of the words it meets first, and
-    remembers a bounded number of them.
+    Nothing is shuffled: a task walks the trie of the new words of some texts at once,
+    and remembers a bounded number of words.  Texts are decoded from their ids.
     """
     rows = docs.select(F.col(id_column), whole_text(text).alias("_text"))
 
     def encoded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = trie_bpe(file)
-        for batch in small_batches(batches, 1024):
-            found = encoder.encode_all(batch.column(1).to_pylist())
-            columns = [batch.column(0), pa.array([n for n, _, _ in found], pa.int64())]
+        for own, texts in walks(batches):
+            found = encoder.encode_all(texts)
+            columns = [own, pa.array([n for n, _, _ in found], pa.int64())]
             columns += [pa.array([hashlib.sha256(x[k].encode()).hexdigest() for x in found], pa.string()) for k in (1, 2)]
             if contents:
                 columns.append(pa.array([[int(i) for i in ids.split()] for _, ids, _ in found], pa.list_(pa.int64())))
