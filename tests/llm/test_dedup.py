@@ -1,6 +1,7 @@
 """Exact and near deduplication against brute force."""
 
 import hashlib
+import itertools
 from collections import defaultdict
 
 import numpy as np
@@ -62,9 +63,9 @@ def test_near_duplicates_of_odd_rows(spark, odd_docs, no_docs):
     assert simhash.drop_near_duplicates(odd_docs).columns == odd_docs.columns
 
 
-@pytest.mark.parametrize("size", [20, 40, 200])
-def test_index_links_what_all_pairs_link(spark, size):
-    """Short and long lists, with groups of near fingerprints around few centres."""
+@pytest.mark.parametrize(("size", "longest"), [(20, 4096), (40, 4096), (200, 4096), (200, 50), (40, 3)])
+def test_index_links_what_all_pairs_link(spark, size, longest):
+    """Short, long and too long lists, with groups of near fingerprints around few centres."""
     random = np.random.default_rng(size)
     centres = random.integers(0, 1 << 63, 4, dtype=np.uint64)
     marks = set(int(x) for x in random.integers(0, 1 << 63, 300, dtype=np.uint64))
@@ -72,7 +73,7 @@ def test_index_links_what_all_pairs_link(spark, size):
         for _ in range(size):
             marks.add(int(centre) ^ sum(1 << int(b) for b in random.choice(64, random.integers(0, 4), replace=False)))
     signed = {m: m - (1 << 64) if m >> 63 else m for m in marks}
-    links = simhash.fingerprint_links(spark.createDataFrame([(s,) for s in signed.values()], "fp bigint"))
+    links = simhash.fingerprint_links(spark.createDataFrame([(s,) for s in signed.values()], "fp bigint"), longest=longest)
     found = {r.node: r.component for r in connected_components(links).collect()}
     ordered = sorted(marks)
     pairs = [(signed[a], signed[b]) for k, a in enumerate(ordered) for b in ordered[k + 1 :] if (a ^ b).bit_count() <= 3]
@@ -101,7 +102,48 @@ def test_pairs_share_the_guaranteed_bytes():
         b ^= np.uint64(1) << random.integers(0, 64, 1000, dtype=np.uint64)
     assert (simhash.shared_bytes(a, b) >= 5).all() and simhash.linked(a, b, 3).all()
     assert not simhash.linked(a, ~a, 3).any()
-    assert len(simhash.index_masks(3)) == 56
+    assert len(simhash.index_masks(4)) == 70
+
+
+def test_tally_drops_pairs_that_share_too_few_bytes(monkeypatch):
+    """Pairs of one list share four bytes; those without a fifth never reach the bit check."""
+    random = np.random.default_rng(8)
+    marks = np.unique(random.integers(0, 1 << 32, 30, dtype=np.uint64) << np.uint64(32) | np.uint64(7))
+    near = marks[:5] ^ np.uint64(1 << 40)
+    marks = np.unique(np.concatenate([marks, near]))[:32]
+    tallied, verified = [], []
+
+    def tally(a, b, plain=simhash.shared_bytes):
+        tallied.append(plain(a, b))
+        return tallied[-1]
+
+    def bits(x, plain=np.bitwise_count):
+        verified.append(len(x))
+        return plain(x)
+
+    monkeypatch.setattr(simhash, "shared_bytes", tally)
+    monkeypatch.setattr(np, "bitwise_count", bits)
+    a, b, crowded = simhash.list_links(np.full(len(marks), 7), marks, 3)
+    counts = np.concatenate(tallied)
+    assert counts.min() == 4 and sum(verified) == (counts >= 5).sum() < len(counts) == len(marks) * (len(marks) - 1) // 2
+    monkeypatch.undo()
+    want = {(int(x), int(y)) for x in marks for y in marks if x < y and (int(x) ^ int(y)).bit_count() <= 3}
+    assert {(min(p), max(p)) for p in zip(a.tolist(), b.tolist())} == want != set() and not len(crowded)
+
+
+def test_long_list_over_many_batches(spark):
+    """A list of 30,000 members in one key, only a few of which are near one another."""
+    random = np.random.default_rng(9)
+    marks = np.unique(random.integers(0, 1 << 32, 30_000, dtype=np.uint64) | np.uint64(0x1234567800000000))
+    frame = spark.createDataFrame([(int(m),) for m in marks], "fp bigint")
+    found = {r.node: r.component for r in connected_components(simhash.fingerprint_links(frame)).collect()}
+    pairs = []
+    for k in range(1, 4):
+        for bits in itertools.combinations(range(32), k):
+            other = marks ^ np.uint64(sum(1 << b for b in bits))
+            pairs += [(int(m), int(m) ^ sum(1 << b for b in bits)) for m in marks[np.isin(other, marks)]]
+    want = components(marks.tolist(), pairs)
+    assert pairs and {m: found.get(m, m) for m in marks.tolist()} == want
 
 
 def test_components_of_chains_stars_and_loops(spark):

@@ -3,11 +3,11 @@
 Two fingerprints of 8 bytes that differ in at most ``distance`` bits share at
 least ``8 - distance`` bytes in place.  Posting lists of single bytes would each
 hold a 256th of all documents, and counting along them would touch a share of
-all pairs.  So the index is keyed by that guaranteed number of positional bytes
-at once (every choice of places is a key): any qualifying pair meets in at least
-one list, lists stay short at any size, and within a list the shared bytes of a
-pair are tallied, pairs below the minimum are dropped, and the rest is verified
-bit by bit.
+all pairs.  So the index is keyed by one positional byte less than that minimum
+(every choice of places is a key): any qualifying pair meets in several lists, and
+lists stay short at any size.  Within a list the shared positional bytes of a pair
+are tallied; pairs below the minimum are dropped, and the rest is verified bit by
+bit.  What stands in a long list is indexed once more, by the whole minimum.
 """
 
 from __future__ import annotations
@@ -31,6 +31,8 @@ _CHUNK = 1 << 16
 _PAIRWISE = 32
 # From this length on, neighbours are looked up by their possible values instead of by scanning the list.
 _SCAN = 1 << 13
+# Members of lists beyond this length are indexed by one more byte.
+_LONGEST = 1 << 12
 
 
 def fingerprint(text: str | None, words: int = 3) -> int:
@@ -71,9 +73,9 @@ def fingerprints(docs: DataFrame, id_column: str = "doc_id", text: str = "text",
     return rows.mapInArrow(hashed, f"`{id_column}` {kind}, fp bigint")
 
 
-def index_masks(distance: int = 3) -> list[int]:
-    """The bits of each choice of ``8 - distance`` byte places, as signed 64-bit values."""
-    masks = [sum(0xFF << 8 * p for p in places) for places in itertools.combinations(range(8), 8 - distance)]
+def index_masks(places: int) -> list[int]:
+    """The bits of each choice of so many byte places, as signed 64-bit values."""
+    masks = [sum(0xFF << 8 * p for p in chosen) for chosen in itertools.combinations(range(8), places)]
     return [m - (1 << 64) if m >> 63 else m for m in masks]
 
 
@@ -110,62 +112,98 @@ def _grown(members: np.ndarray, distance: int) -> list[tuple[np.ndarray, np.ndar
     return out
 
 
-def list_links(keys: np.ndarray, marks: np.ndarray, distance: int) -> tuple[np.ndarray, np.ndarray]:
-    """Links within complete posting lists; ``keys`` and ``marks`` are sorted together."""
+def list_links(
+    keys: np.ndarray, marks: np.ndarray, distance: int, longest: int | None = None
+) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Links within complete posting lists, and the members of those longer than ``longest``.
+
+    ``keys`` and ``marks`` are sorted together.
+    """
     fresh = np.ones(len(keys), bool)
     fresh[1:] = (keys[1:] != keys[:-1]) | (marks[1:] != marks[:-1])
     keys, marks = keys[fresh], marks[fresh]
-    starts = np.flatnonzero(np.r_[True, keys[1:] != keys[:-1]])
+    starts = np.flatnonzero(np.r_[True, keys[1:] != keys[:-1]]) if len(keys) else np.zeros(0, np.int64)
     sizes = np.diff(np.r_[starts, len(keys)])
     short = np.repeat((sizes > 1) & (sizes <= _PAIRWISE), sizes)
-    found = []
+    found, crowded = [(marks[:0], marks[:0])], [marks[:0]]
     for gap in range(1, min(_PAIRWISE, int(sizes.max(initial=1)))):
         i = np.flatnonzero(short[:-gap] & (keys[:-gap] == keys[gap:]))
         i = i[linked(marks[i], marks[i + gap], distance)]
         found.append((marks[i], marks[i + gap]))
     for start, size in zip(starts[sizes > _PAIRWISE], sizes[sizes > _PAIRWISE]):
-        found += _grown(marks[start : start + size], distance)
-    if not found:
-        return marks[:0], marks[:0]
-    return np.concatenate([a for a, _ in found]), np.concatenate([b for _, b in found])
+        members = marks[start : start + size]
+        if longest is not None and size > longest:
+            crowded.append(members)
+        else:
+            found += _grown(members, distance)
+    return np.concatenate([a for a, _ in found]), np.concatenate([b for _, b in found]), np.concatenate(crowded)
 
 
-def fingerprint_links(distinct: DataFrame, distance: int = 3) -> DataFrame:
-    """Links ``a``, ``b`` that connect exactly the fingerprints within ``distance`` bits.
+def _listed(marks: DataFrame, places: int, distance: int, longest: int | None) -> DataFrame:
+    """Links ``a``, ``b`` out of the lists of all choices of ``places`` bytes; members of longer lists as ``a`` alone.
 
-    ``distinct`` has each fingerprint once.  A list's members agree in all bytes of
-    its key, so it holds at most 2^(8 x distance) of them, whatever the input is;
-    lists are sorted on disk and read as a stream.  In long lists a group's members
-    are linked to its first one, not pair by pair.
+    Lists are sorted on disk and read as a stream; of a list that is too long only
+    the first ``longest`` members and a batch are held.
     """
-    n = partitions(distinct.sparkSession)
-    masks = F.array(*[F.lit(m) for m in index_masks(distance)])
-    postings = distinct.select(F.explode(masks).alias("mask"), "fp").select(F.col("mask").bitwiseAND(F.col("fp")).alias("key"), "fp")
+    masks = F.array(*[F.lit(m) for m in index_masks(places)])
+    postings = marks.select(F.explode(masks).alias("mask"), "fp").select(F.col("mask").bitwiseAND(F.col("fp")).alias("key"), "fp")
 
     def joined(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held_keys, held = [], []
+        held_keys, held = [], []  # of the last list met, whose end has not come yet
+        passing = None  # the key of a list known to be too long
 
         def out(keys: np.ndarray, marks: np.ndarray) -> pa.RecordBatch:
-            a, b = list_links(keys, marks, distance)
-            return pa.RecordBatch.from_arrays([pa.array(a.view(np.int64)), pa.array(b.view(np.int64))], ["a", "b"])
+            a, b, crowded = list_links(keys, marks, distance, longest)
+            b = pa.concat_arrays([pa.array(b.view(np.int64)), pa.nulls(len(crowded), pa.int64())])
+            return pa.RecordBatch.from_arrays([pa.array(np.concatenate([a, crowded]).view(np.int64)), b], ["a", "b"])
+
+        def alone(marks: np.ndarray) -> pa.RecordBatch:
+            return pa.RecordBatch.from_arrays([pa.array(marks.view(np.int64)), pa.nulls(len(marks), pa.int64())], ["a", "b"])
 
         for batch in batches:
             keys, marks = batch.column(0).to_numpy(), batch.column(1).to_numpy().view(np.uint64)
-            last = int(np.searchsorted(keys, keys[-1])) if len(keys) else 0
+            if passing is not None and len(keys):
+                same = int(np.searchsorted(keys, passing, side="right"))
+                yield alone(marks[:same])
+                keys, marks = keys[same:], marks[same:]
+            if not len(keys):
+                continue
+            passing = None
+            last = int(np.searchsorted(keys, keys[-1]))
             if last:  # the list before the batch's last one is complete
                 yield out(np.concatenate([*held_keys, keys[:last]]), np.concatenate([*held, marks[:last]]))
                 held_keys, held = [], []
-            elif held_keys and len(keys) and held_keys[0][0] != keys[0]:
+            elif held_keys and held_keys[0][0] != keys[0]:
                 yield out(np.concatenate(held_keys), np.concatenate(held))
                 held_keys, held = [], []
-            if len(keys):
-                held_keys.append(keys[last:])
-                held.append(marks[last:])
+            held_keys.append(keys[last:])
+            held.append(marks[last:])
+            # Choices of places can have one key, so a mark may be listed under it once for each of them.
+            if longest is not None and len(together := np.unique(np.concatenate(held))) > longest:
+                yield alone(together)
+                held_keys, held, passing = [], [], keys[-1]
         if held:
             yield out(np.concatenate(held_keys), np.concatenate(held))
 
-    lists = postings.repartition(n, "key").sortWithinPartitions("key", "fp")
-    return lists.mapInArrow(joined, "a bigint, b bigint").distinct()
+    lists = postings.repartition(partitions(marks.sparkSession), "key").sortWithinPartitions("key", "fp")
+    return lists.mapInArrow(joined, "a bigint, b bigint")
+
+
+def fingerprint_links(distinct: DataFrame, distance: int = 3, longest: int = _LONGEST) -> DataFrame:
+    """Links ``a``, ``b`` that connect exactly the fingerprints within ``distance`` bits.
+
+    ``distinct`` has each fingerprint once; ``distance`` is at most 7.  In lists of
+    more than 32 members a group's members are linked to its first one, not pair by
+    pair.  Members of lists beyond ``longest`` are indexed by the guaranteed number
+    of bytes, where a list holds at most 2^(8 x distance) of them whatever the input
+    is: a pair that meets in such a list and shares enough meets there again.
+    """
+    least = 8 - distance
+    if least < 2:
+        return _listed(distinct, least, distance, None).distinct()
+    first = stored(_listed(distinct, least - 1, distance, longest))
+    crowded = first.where(F.col("b").isNull()).select(F.col("a").alias("fp")).distinct()
+    return first.where(F.col("b").isNotNull()).union(_listed(crowded, least, distance, None)).distinct()
 
 
 def _rooted(marked: DataFrame, id_column: str, distance: int) -> DataFrame:
