@@ -171,13 +171,23 @@ def test_index_finds_what_comparing_all_finds():
         weights = random.random(len(terms)) + 0.01
         return dict(zip(terms.tolist(), (weights / np.sqrt((weights**2).sum())).tolist()))
 
-    examples = [vector() for _ in range(500)] + [{}]
-    index = toxicity.BlockMaxIndex(examples, block=16)
-    for n in range(100):
-        query = vector()
-        scores = [(-sum(w * e.get(t, 0.0) for t, w in query.items()), i) for i, e in enumerate(examples) if i != n and query.keys() & e.keys()]
+    def sparse(v):
+        return np.array(sorted(v), np.int32), np.array([v[t] for t in sorted(v)])
+
+    # Most terms are in few examples, two in so many that they are multiplied out.
+    examples = [vector() | ({40: 0.2} if i % 2 else {41: 0.1} if i % 5 else {}) for i in range(500)] + [{}]
+    index = toxicity.BlockMaxIndex([sparse(e) for e in examples], 43, block=16)
+    assert 0 < len(index._dense) < 40
+    queries = [vector() | ({40: 0.3} if n % 3 else {}) for n in range(100)]
+    found = index.nearest([sparse(q) for q in queries], 7, [[n, n + 1] for n in range(100)])
+    assert index.nearest([sparse(q) for q in queries], 7)[5] == index.nearest([sparse(queries[5])], 7)[0]
+    assert index.nearest([sparse({}), sparse({42: 1.0})], 7) == [[], []]
+    for n, (query, got) in enumerate(zip(queries, found)):
+        scores = [
+            (-sum(w * e.get(t, 0.0) for t, w in query.items()), i) for i, e in enumerate(examples)
+            if i not in (n, n + 1) and query.keys() & e.keys()
+        ]
         want = sorted(scores)[:7]
-        got = index.nearest(query, 7, without=frozenset([n]))
         assert np.allclose([s for _, s in got], [-s for s, _ in want])
         assert {i for i, _ in got} == {i for _, i in want} or np.isclose(want[-1][0], sorted(scores)[7][0])
 
@@ -192,6 +202,8 @@ def test_held_out_accuracy(spark):
     assert sum(r.predicted for r in rows) - hits <= 0.02 * len(rows)
     assert all(0 <= r.score <= 1 and r.predicted == (r.score >= 0.7) for r in rows)
     assert any(r.evidence for r in rows if r.predicted)
+    # Every text that holds a word is searched, and finds as many examples as vote.
+    assert all(len(r.evidence) == 15 for r in rows)
 
 
 def test_scores_match_brute_force_and_depend_on_the_text_alone(spark):
@@ -205,16 +217,28 @@ def test_scores_match_brute_force_and_depend_on_the_text_alone(spark):
     docs = spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string")
     known = {i: int(i % 3 == 0) for i in range(160)} | {240: 1}
     labels = spark.createDataFrame(list(known.items()), "doc_id bigint, toxic int")
-    settings = toxicity.Settings(association=0.0, least_examples=1)
-    rows = {r.doc_id: r for r in toxicity.toxicity_scores(docs, labels, settings).collect()}
-    assert all(rows[240 + i].score == rows[i].score for i in range(6))
+    rows = {r.doc_id: r for r in toxicity.toxicity_scores(docs, labels).collect()}
+    assert all(rows[240 + i].score == rows[i].score and rows[240 + i].evidence == rows[i].evidence for i in range(6))
     counts = [toxicity.terms(t) for t in texts]
-    seen = Counter(t for i, c in enumerate(counts) for t in c)
-    inside = Counter(t for i in known for t in counts[i])
-    vocabulary = {t for t, n in inside.items() if n < len(known)}  # what all examples hold tells nothing
+    seen = Counter(t for c in counts for t in c)
+    vocabulary = {t for i in known for t in counts[i]}
+
+    def chi(term):
+        """Chi-squared of the table of holding the term and being toxic."""
+        cells = Counter((term in counts[i], y) for i, y in known.items())
+        total = 0.0
+        for holds in (True, False):
+            for y in (0, 1):
+                expected = sum(cells[holds, z] for z in (0, 1)) * sum(cells[h, y] for h in (True, False)) / len(known)
+                if expected:
+                    total += (cells[holds, y] - expected) ** 2 / expected
+        return total
+
+    factor = {t: np.sqrt(x) if (x := chi(t)) >= 9 else 1.0 for t in vocabulary}
+    assert factor["trash"] > 3 and 1.0 in factor.values()
 
     def vector(c):
-        raw = {t: (1 + np.log(n)) * (np.log((1 + len(texts)) / (1 + seen[t])) + 1) for t, n in c.items() if t in vocabulary}
+        raw = {t: (1 + np.log(n)) * (np.log((1 + len(texts)) / (1 + seen[t])) + 1) * factor[t] for t, n in c.items() if t in vocabulary}
         norm = np.sqrt(sum(w * w for w in raw.values()))
         return {t: w / norm for t, w in raw.items()}
 

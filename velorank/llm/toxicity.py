@@ -4,6 +4,9 @@ Examples sit in an inverted index whose posting lists are cut into blocks of
 examples, each with its largest weight.  The sum of those bounds says how similar
 an example of a block can be at most, so blocks that can't reach the nearest ones
 found so far are skipped and the result is that of comparing all.
+
+All words of all examples count.  The weight of a word is its TF-IDF, multiplied by
+how strongly it goes with the label where it clearly does.
 """
 
 from __future__ import annotations
@@ -22,42 +25,54 @@ from pyspark.sql import functions as F
 from velorank.llm.common import small_batches, stored, whole_text
 
 _WORD = re.compile(r"[^\W\d_]+")
-_STEMS = (4, 5, 6)
 _BLOCK = 256
-# Blocks looked at one by one, best bound first, before the rest of those within reach.
-_SINGLE = 3
+# Blocks looked at first, best bound first, to know what the others must reach.
+_FIRST = 3
+# Terms in more than this share of examples are multiplied out for many texts at once; their lists would be nearly full.
+_COMMON = 1 / 8
+# Texts compared at once.
+_TEXTS = 64
+# What sums in another order may differ by.
+_ROUNDING = 1e-9
 # Added to the nearest examples' votes with the label share of all, so few weak neighbours don't decide.
 _PRIOR = 0.05
 _BINS = 20
 
+# Term numbers, ascending, and a number (count or weight) for each.
+Sparse = tuple[np.ndarray, np.ndarray]
+
 
 @dataclass(frozen=True)
 class Settings:
     """``examples``: labelled rows used at most (the ones of smallest id hash, whatever
-    the input's size).  ``features``: terms kept at most, those most associated with
-    the label; ``association`` is the least chi-squared value (30 is a chance of 5 in
-    10^8 for one term); with 0, one of ``least_examples``
-    and room for them all terms count.  ``least_examples``: examples a term must occur in.
+    the input's size).  ``association``: least chi-squared value between a term and the
+    label from which the term's weight is multiplied by the root of that value, if above 1.
     ``neighbours``: nearest examples that vote.
     """
 
     examples: int = 8192
-    features: int = 4096
-    association: float = 30.0
-    least_examples: int = 5
+    association: float = 9.0
     neighbours: int = 15
     threshold: float = 0.7
 
 
 def terms(text: str) -> Counter[str]:
-    """Terms of a text: its words, marked, and their beginnings, which inflected forms share."""
-    found: Counter[str] = Counter()
-    for word, n in Counter(_WORD.findall(text.lower())).items():
-        found["=" + word] += n
-        for size in _STEMS:
-            if len(word) >= size:
-                found[word[:size]] += n
-    return found
+    """Terms of a text: its words in lower case."""
+    return Counter(_WORD.findall(text.lower()))
+
+
+def association(found: np.ndarray, positive: np.ndarray, examples: int, positives: int) -> np.ndarray:
+    """Chi-squared of each term with the label, from the examples and positive examples that hold it."""
+    a, b = positive.astype(float), (found - positive).astype(float)
+    c, d = positives - a, (examples - positives) - b
+    spread = (a + b) * (c + d) * (a + c) * (b + d)
+    return np.where(spread > 0, examples * (a * d - b * c) ** 2 / np.where(spread > 0, spread, 1), 0.0)
+
+
+def _ranges(starts: np.ndarray, lengths: np.ndarray) -> np.ndarray:
+    """All numbers of the ranges, one range after the other."""
+    ends = np.cumsum(lengths)
+    return np.arange(ends[-1] if len(ends) else 0) + np.repeat(starts - ends + lengths, lengths)
 
 
 class BlockMaxIndex:
@@ -66,67 +81,97 @@ class BlockMaxIndex:
     Blocks hold examples of the same heaviest term, so that few of them matter to a query.
     """
 
-    def __init__(self, vectors: list[dict[int, float]], block: int = _BLOCK) -> None:
-        self._block = block
-        order = sorted(range(len(vectors)), key=lambda i: (max(vectors[i], key=vectors[i].get, default=-1), i))
-        self._order = np.array(order, np.int64)
-        self._blocks = -(-len(vectors) // block)
-        by_term: dict[int, list[tuple[int, float]]] = {}
-        for place, i in enumerate(order):
-            for term, weight in vectors[i].items():
-                by_term.setdefault(term, []).append((place, weight))
-        # Per term: its blocks, its largest weight in each, its places and weights by block, and all of them.
-        self._lists: dict[int, tuple[np.ndarray, np.ndarray, dict[int, tuple[np.ndarray, np.ndarray]], tuple[np.ndarray, np.ndarray]]] = {}
-        for term, postings in by_term.items():
-            places, weights = np.array([p[0] for p in postings]), np.array([p[1] for p in postings])
-            blocks, starts = np.unique(places // block, return_index=True)
-            parts = zip(np.split(places % block, starts[1:]), np.split(weights, starts[1:]))
-            self._lists[term] = (blocks, np.maximum.reduceat(weights, starts), dict(zip(blocks.tolist(), parts)), (places, weights))
-
-    def nearest(self, query: dict[int, float], k: int, without: frozenset[int] = frozenset()) -> list[tuple[int, float]]:
-        """The ``k`` most similar examples that share a term, ties to the first ones; those ``without`` are left out."""
-        known = [(self._lists[t], w) for t, w in query.items() if t in self._lists]
-        bounds = np.zeros(self._blocks)
-        for (blocks, most, _, _), weight in known:
-            bounds[blocks] += weight * most
-        best: list[tuple[float, int]] = []
-        order = np.argsort(-bounds, kind="stable")
-        for step, b in enumerate(order.tolist()):
-            # A bound equal to the last one found, give or take rounding, could still tie.
-            if bounds[b] <= 0 or len(best) == k and bounds[b] < -best[-1][0] - 1e-9:
-                return [(i, -s) for s, i in best]
-            if step == _SINGLE:
-                break
-            scores = np.zeros(self._block)
-            for (_, _, parts, _), weight in known:
-                part = parts.get(b)
-                if part is not None:
-                    scores[part[0]] += weight * part[1]
-            best = self._better(best, scores, b * self._block, k, without)
-        else:
-            return [(i, -s) for s, i in best]
-        # The blocks that are left and can still hold one of the nearest, all at once.
-        able = bounds >= (-best[-1][0] - 1e-9 if len(best) == k else 0.0)
-        able[order[:_SINGLE]] = False
-        scores = np.zeros(self._blocks * self._block)
-        for (_, _, _, (places, weights)), weight in known:
-            scores[places] += weight * weights
-        scores *= np.repeat(able, self._block)
-        return [(i, -s) for s, i in self._better(best, scores, 0, k, without)]
-
-    def _better(self, best: list[tuple[float, int]], scores: np.ndarray, first: int, k: int, without: frozenset[int]) -> list[tuple[float, int]]:
-        """``best`` with what is better among the examples from place ``first`` on."""
-        found = np.flatnonzero(scores > 0)
-        who = self._order[first + found]
-        if len(best) == k:
-            least, last = -best[-1][0], best[-1][1]
-            keep = (scores[found] > least) | (scores[found] == least) & (who < last)
-            found, who = found[keep], who[keep]
-        if len(found) > k + len(without):
-            top = np.lexsort((who, -scores[found]))[: k + len(without)]
-            found, who = found[top], who[top]
-        mine = [(-s, i) for s, i in zip(scores[found].tolist(), who.tolist()) if i not in without]
-        return sorted(best + mine)[:k]
+    def __init__(self, vectors: list[Sparse], size: int, block: int = _BLOCK) -> None:
+        """``size``: the number of terms."""
+        self._block, self._blocks, self._size = block, -(-len(vectors) // block), size
+        lengths = np.array([len(t) for t, _ in vectors], np.int64)
+        heaviest = [int(t[np.argmax(w)]) if len(t) else -1 for t, w in vectors]
+        self._order = np.array(sorted(range(len(vectors)), key=lambda i: (heaviest[i], i)), np.int64)
+        self._place = np.empty(len(vectors), np.int64)
+        self._place[self._order] = np.arange(len(vectors))
+        # Examples one after the other, to compare the few that are left in full.
+        self._terms = np.concatenate([t for t, _ in vectors] + [np.zeros(0, np.int32)]).astype(np.int64)
+        self._weights = np.concatenate([w for _, w in vectors] + [np.zeros(0)])
+        self._starts = np.concatenate([[0], np.cumsum(lengths)])
+        # Posting lists by term and place.
+        places = np.repeat(self._place, lengths)
+        by_term = np.lexsort((places, self._terms))
+        listed = self._terms[by_term]
+        self._places, self._posted = places[by_term], self._weights[by_term]
+        held = np.bincount(listed, minlength=size)
+        common = np.flatnonzero(held > max(_COMMON * len(vectors), 1))
+        self._row = np.full(size, -1, np.int64)
+        self._row[common] = np.arange(len(common))
+        self._dense = np.zeros((len(common), self._blocks * block))
+        dense = self._row[listed] >= 0
+        self._dense[self._row[listed[dense]], self._places[dense]] = self._posted[dense]
+        # The part of a list in one block: its block, its first posting and its largest weight.
+        key = listed * max(self._blocks, 1) + self._places // block
+        first = np.flatnonzero(np.diff(key, prepend=-1))
+        self._part_block = self._places[first] // block
+        self._part_start = np.concatenate([first, [len(key)]])
+        self._part_most = np.maximum.reduceat(self._posted, first) if len(first) else np.zeros(0)
+        self._term_start = np.searchsorted(listed[first], np.arange(size + 1))
+
+    def nearest(self, queries: list[Sparse], k: int, without: list[list[int]] | None = None) -> list[list[tuple[int, float]]]:
+        """For each query the ``k`` most similar examples that share a term, ties to the first ones.
+
+        Examples ``without`` lists for a query are left out of its result.
+        """
+        out: list[list[tuple[int, float]]] = []
+        for at in range(0, len(queries), _TEXTS):
+            some = queries[at : at + _TEXTS]
+            shared = np.zeros((len(some), len(self._dense)))
+            for n, (mine, weights) in enumerate(some):
+                rows = self._row[mine]
+                shared[n, rows[rows >= 0]] = weights[rows >= 0]
+            known = shared @ self._dense
+            for n, query in enumerate(some):
+                out.append(self._nearest(query, known[n], k, without[at + n] if without else []))
+        return out
+
+    def _nearest(self, query: Sparse, known: np.ndarray, k: int, without: list[int]) -> list[tuple[int, float]]:
+        """``known``: what common terms give to the similarity of each place."""
+        if not self._blocks:
+            return []
+        rare = self._row[query[0]] < 0
+        mine, weights = query[0][rare], query[1][rare]
+        lengths = self._term_start[mine + 1] - self._term_start[mine]
+        parts, weights = _ranges(self._term_start[mine], lengths), np.repeat(weights, lengths)
+        bounds = known.reshape(self._blocks, self._block).max(axis=1)
+        bounds = bounds + np.bincount(self._part_block[parts], weights * self._part_most[parts], self._blocks)
+        scores, left_out = np.zeros(len(known)), self._place[without]
+
+        def score(able: np.ndarray) -> float:
+            """Adds the places of these blocks; what the ``k``-th best place has now."""
+            use = able[self._part_block[parts]]
+            at = parts[use]
+            many = self._part_start[at + 1] - self._part_start[at]
+            posts = _ranges(self._part_start[at], many)
+            found = known + np.bincount(self._places[posts], np.repeat(weights[use], many) * self._posted[posts], len(known))
+            of_able = np.repeat(able, self._block)
+            scores[of_able] = found[of_able]
+            scores[left_out] = 0.0
+            return float(np.partition(scores, -k)[-k]) if len(scores) >= k else 0.0
+
+        done = np.zeros(self._blocks, bool)
+        done[np.argsort(-bounds, kind="stable")[:_FIRST]] = True
+        least = score(done)
+        # A bound equal to the last one found, give or take rounding, could still tie.
+        able = (bounds > 0) & (bounds >= least - _ROUNDING) & ~done
+        if able.any():
+            least = score(able)
+        who = np.sort(self._order[np.flatnonzero((scores > 0) & (scores >= least - _ROUNDING))])
+        if not len(who):
+            return []
+        # Those left are compared in full, in one order of adding, so that a text always finds the same.
+        weight = np.zeros(self._size)
+        weight[query[0]] = query[1]
+        many = self._starts[who + 1] - self._starts[who]
+        at = _ranges(self._starts[who], many)
+        exact = np.add.reduceat(weight[self._terms[at]] * self._weights[at], np.cumsum(many) - many)
+        top = np.lexsort((who, -exact))[:k]
+        return list(zip(who[top].tolist(), exact[top].tolist()))
 
 
 def _monotone(counts: np.ndarray, ones: np.ndarray, share: float) -> np.ndarray:
@@ -141,120 +186,131 @@ def _monotone(counts: np.ndarray, ones: np.ndarray, share: float) -> np.ndarray:
 
 
 class NeighbourModel:
-    """Scores sparse term counts; small enough, by :class:`Settings`, to be sent to every task."""
+    """Scores term counts; small enough, by :class:`Settings`, to be sent to every task."""
 
     def __init__(
-        self, ids: list, labels: list[int], counts: list[dict[int, int]], contents: list[int], idf: np.ndarray, settings: Settings
+        self, ids: list, labels: list[int], counts: list[Sparse], contents: list[int], weights: np.ndarray, settings: Settings
     ) -> None:
-        self.ids, self.labels, self.idf, self.settings = ids, np.array(labels, float), idf, settings
-        self.index = BlockMaxIndex([self._vector(c) for c in counts])
+        """``weights`` has a factor per term."""
+        self.ids, self.labels, self.weights, self.settings = ids, np.array(labels, float), weights, settings
+        self._vectors = [self._vector(c) for c in counts]
+        self._index: BlockMaxIndex | None = None
         self.share = float(self.labels.mean()) if len(labels) else 0.0
-        bare = np.array([not c for c in counts], bool)
-        # What an example without any term is likely to be labelled.
+        bare = np.array([not len(t) for t, _ in counts], bool)
+        # What an example without any word is likely to be labelled.
         self.plain = float((self.labels[bare].sum() + self.share) / (bare.sum() + 1)) if len(labels) else 0.0
         # Calibration leaves out an example and its copies; a score leaves out nothing, so equal texts score alike.
         alike: dict[int, list[int]] = {}
         for i, content in enumerate(contents):
             alike.setdefault(content, []).append(i)
-        votes = [self._vote(c, frozenset(alike[content]))[0] for c, content in zip(counts, contents) if c]
-        at = np.minimum((np.array(votes) * _BINS).astype(int), _BINS - 1)
-        marks = self.labels[~bare] if len(labels) else self.labels
-        n = np.bincount(at, minlength=_BINS)
-        self.rates = _monotone(n, np.bincount(at, weights=marks, minlength=_BINS), self.share)
-
-    def _vector(self, counts: dict[int, int]) -> dict[int, float]:
-        raw = {t: (1 + np.log(n)) * self.idf[t] for t, n in counts.items()}
-        norm = float(np.sqrt(sum(w * w for w in raw.values())))
-        return {t: float(w) / norm for t, w in raw.items()} if norm else {}
-
-    def _vote(self, counts: dict[int, int], without: frozenset[int] = frozenset()) -> tuple[float, list[tuple[int, float]]]:
-        near = self.index.nearest(self._vector(counts), self.settings.neighbours, without)
+        worded = np.flatnonzero(~bare).tolist()
+        near = self.index.nearest([self._vectors[i] for i in worded], settings.neighbours, [alike[contents[i]] for i in worded])
+        at = np.array([min(int(self._vote(n) * _BINS), _BINS - 1) for n in near], int)
+        marks = self.labels[worded]
+        self.rates = _monotone(np.bincount(at, minlength=_BINS), np.bincount(at, weights=marks, minlength=_BINS), self.share)
+
+    @property
+    def index(self) -> BlockMaxIndex:
+        """Built where it is used; only the examples' vectors are sent."""
+        if self._index is None:
+            self._index = BlockMaxIndex(self._vectors, len(self.weights))
+        return self._index
+
+    def __getstate__(self) -> dict:
+        return self.__dict__ | {"_index": None}
+
+    def _vector(self, counts: Sparse) -> Sparse:
+        raw = (1 + np.log(counts[1])) * self.weights[counts[0]]
+        norm = np.sqrt((raw * raw).sum())
+        return counts[0], raw / norm if norm else raw
+
+    def _vote(self, near: list[tuple[int, float]]) -> float:
         weight = sum(s for _, s in near)
-        return (sum(s * self.labels[i] for i, s in near) + _PRIOR * self.share) / (weight + _PRIOR), near
-
-    def score(self, counts: dict[int, int]) -> tuple[float, list[tuple[object, float, int]]]:
-        """Calibrated score and the nearest examples; it depends on the text alone."""
-        if not counts:
-            return self.plain, []
-        vote, near = self._vote(counts)
-        if not near:
-            return self.plain, []
-        middle = (np.arange(_BINS) + 0.5) / _BINS
-        return float(np.interp(vote, middle, self.rates)), [(self.ids[i], s, int(self.labels[i])) for i, s in near]
-
+        return (sum(s * self.labels[i] for i, s in near) + _PRIOR * self.share) / (weight + _PRIOR)
 
-def _associated(rows: DataFrame, settings: Settings) -> list[str]:
-    """The terms most associated with the label among the examples."""
-
-    def occurring(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in small_batches(batches):
-            pairs = [(t, y) for y, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()) for t in terms(text)]
-            columns = [pa.array([t for t, _ in pairs], pa.string()), pa.array([y for _, y in pairs], pa.int32())]
-            yield pa.RecordBatch.from_arrays(columns, ["term", "label"])
-
-    n, positives = rows.agg(F.count(F.lit(1)), F.coalesce(F.sum("label"), F.lit(0))).first()
-    a, b = F.col("a").cast("double"), F.col("b").cast("double")
-    c, d = F.lit(float(positives)) - a, F.lit(float(n - positives)) - b
-    spread = (a + b) * (c + d) * (a + c) * (b + d)
-    found = (
-        rows.select(F.col("label").cast("int"), "_text").mapInArrow(occurring, "term string, label int")
-        .groupBy("term").agg(F.sum("label").alias("a"), F.sum(1 - F.col("label")).alias("b"))
-        .where(F.col("a") + F.col("b") >= settings.least_examples)
-        .withColumn("chi", F.when(spread > 0, n * (a * d - b * c) * (a * d - b * c) / spread))
-        .where(F.col("chi") >= settings.association)
-        .orderBy(F.col("chi").desc(), "term").limit(settings.features)
-    )
-    return [r["term"] for r in found.select("term").collect()]
+    def scores(self, counts: list[Sparse]) -> list[tuple[float, list[tuple[object, float, int]]]]:
+        """Calibrated score and the nearest examples of each text; they depend on the text alone."""
+        middle = (np.arange(_BINS) + 0.5) / _BINS
+        out = []
+        for near in self.index.nearest([self._vector(c) for c in counts], self.settings.neighbours):
+            score = float(np.interp(self._vote(near), middle, self.rates)) if near else self.plain
+            out.append((score, [(self.ids[i], s, int(self.labels[i])) for i, s in near]))
+        return out
 
 
 def _learnt(
     docs: DataFrame, labels: DataFrame, settings: Settings, id_column: str, text: str, label: str
-) -> tuple[DataFrame, Broadcast, Callable[[str], list[tuple[int, int]]]]:
-    """Each row's id, term numbers and counts; the model for every task; and what numbers and counts a text's terms."""
+) -> tuple[Broadcast, Callable[[str], Sparse]]:
+    """The model for every task, and what numbers and counts a text's terms."""
     spark = docs.sparkSession
     known = labels.where(F.col(id_column).isNotNull() & F.col(label).isin(0, 1))
-    sample = stored(
-        known.groupBy(id_column).agg(F.max(label).alias("label"))
+    chosen = (
+        known.groupBy(id_column).agg(F.max(label).cast("int").alias("label"))
         .orderBy(F.xxhash64(F.col(id_column)), id_column).limit(settings.examples)
     )
-    rows = docs.select(F.col(id_column), whole_text(text).alias("_text"))
-    chosen = F.broadcast(sample)  # at most settings.examples rows
-    vocabulary = {t: i for i, t in enumerate(_associated(rows.join(chosen, id_column), settings))}
-
-    least = min(_STEMS)
-    heads = {term.removeprefix("=")[:least] for term in vocabulary}  # how words of any term begin
-
-    def numbered(content: str) -> list[tuple[int, int]]:
-        mine: dict[int, int] = {}
-        for word, n in Counter(_WORD.findall(content.lower())).items():
-            if word[:least] not in heads:
-                continue
-            for term in ("=" + word, *(word[:k] for k in _STEMS if len(word) >= k)):
-                if (at := vocabulary.get(term)) is not None:
-                    mine[at] = mine.get(at, 0) + n
-        return sorted(mine.items())
+    texts = docs.select(F.col(id_column).alias("id"), whole_text(text).alias("text"))
+    chosen = F.broadcast(stored(chosen).select(F.col(id_column).alias("id"), "label"))  # at most settings.examples rows
+    sample = stored(
+        texts.join(chosen, "id").groupBy("id").agg(F.first("label").alias("label"), F.min("text").alias("text"))
+        .withColumn("content", F.xxhash64("text"))
+    )
+
+    def words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in small_batches(batches):
+            yield pa.RecordBatch.from_arrays([pa.array([t for x in batch.column(0).to_pylist() for t in terms(x)], pa.string())], ["term"])
+
+    found = sample.select("text").mapInArrow(words, "term string").distinct().toArrow()  # the terms of the examples
+    vocabulary = spark.sparkContext.broadcast({t: n for n, t in enumerate(sorted(found.column(0).to_pylist()))})
+    size = len(vocabulary.value)
+
+    def numbered(content: str) -> Sparse:
+        number = vocabulary.value.get
+        mine = sorted((at, n) for t, n in terms(content).items() if (at := number(t)) is not None)
+        return np.array([at for at, _ in mine], np.int32), np.array([n for _, n in mine], np.int32)
 
     def counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in small_batches(batches):
-            found = [numbered(content) for content in batch.column(1).to_pylist()]
-            columns = [batch.column(0), batch.column(2)]
-            columns += [pa.array([[x[k] for x in f] for f in found], pa.list_(pa.int32())) for k in (0, 1)]
-            yield pa.RecordBatch.from_arrays(columns, [id_column, "content", "terms", "counts"])
-
-    kind = rows.schema[id_column].dataType.simpleString()
-    vectors = stored(
-        rows.withColumn("content", F.xxhash64("_text")).mapInArrow(counted, f"`{id_column}` {kind}, content bigint, terms array<int>, counts array<int>")
+            mine = [numbered(x) for x in batch.column(3).to_pylist()]
+            lists = [pa.array([x[k] for x in mine], pa.list_(pa.int32())) for k in (0, 1)]
+            yield pa.RecordBatch.from_arrays([*batch.columns[:3], *lists], ["id", "label", "content", "terms", "counts"])
+
+    def spread(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """In how many of a task's texts each term is; as term -1 how many texts there are."""
+        seen, total = np.zeros(size, np.int64), 0
+        for batch in small_batches(batches):
+            total += batch.num_rows
+            for x in batch.column(0).to_pylist():
+                seen[numbered(x)[0]] += 1
+        held = np.flatnonzero(seen)
+        for at in range(0, len(held) + 1, 1 << 16):
+            some = held[at : at + (1 << 16)]
+            rows = [np.append(some, -1), np.append(seen[some], 0 if at else total)]
+            yield pa.RecordBatch.from_arrays([pa.array(rows[0], pa.int32()), pa.array(rows[1], pa.int64())], ["term", "n"])
+
+    kind = docs.schema[id_column].dataType.simpleString()
+    examples = (
+        sample.select("id", "label", "content", "text")
+        .mapInArrow(counted, f"id {kind}, label int, content bigint, terms array<int>, counts array<int>")
+        .orderBy("id").toArrow().combine_chunks()
     )
-    total = vectors.count()
-    idf = np.ones(len(vocabulary))
-    for term, n in vectors.select(F.explode("terms").alias("t")).groupBy("t").count().collect():  # a row per term
-        idf[term] = np.log((1 + total) / (1 + n)) + 1
-    examples = vectors.join(chosen, id_column).dropDuplicates([id_column]).orderBy(id_column).collect()
+    counts = [
+        (t.values.to_numpy(), n.values.to_numpy()) for t, n in zip(examples.column("terms"), examples.column("counts"))
+    ]
+    marks = np.array(examples.column("label").to_pylist(), np.int64)
+    spreads = texts.select("text").mapInArrow(spread, "term int, n bigint")
+    everywhere = spreads.groupBy("term").agg(F.sum("n").alias("n")).toArrow()  # a row per term of the examples
+    seen = np.zeros(size + 1)  # the last place is that of term -1
+    seen[everywhere.column("term").to_numpy()] = everywhere.column("n").to_numpy()
+    none = np.zeros(0, np.int32)
+    held = np.bincount(np.concatenate([none, *[t for t, _ in counts]]), minlength=size)
+    positive = np.bincount(np.concatenate([none, *[t for (t, _), y in zip(counts, marks) if y]]), minlength=size)
+    chi = association(held, positive, len(counts), int(marks.sum()))
+    factor = np.where(chi >= settings.association, np.maximum(np.sqrt(chi), 1.0), 1.0)
+    weights = (np.log((1 + seen[-1]) / (1 + seen[:-1])) + 1) * factor
     model = NeighbourModel(
-        [r[id_column] for r in examples], [int(r["label"]) for r in examples],
-        [dict(zip(r["terms"], r["counts"])) for r in examples], [r["content"] for r in examples], idf, settings,
+        examples.column("id").to_pylist(), marks.tolist(), counts, examples.column("content").to_pylist(), weights, settings
     )
-    return vectors, spark.sparkContext.broadcast(model), numbered
+    return spark.sparkContext.broadcast(model), numbered
 
 
 def toxicity_scores(
@@ -265,30 +321,31 @@ def toxicity_scores(
 
     ``labels`` has ids and labels 0 or 1 to learn from; null ids and labels are left
     out, and of differing labels of an id the larger holds.  ``evidence`` lists the
-    nearest examples (``id``, ``similarity``, ``label``).  Null and empty texts, and
-    texts without any associated term, get the share of label 1 among such
-    examples; without examples every score is 0.  Repeated rows get equal scores;
-    an empty table gives an empty one; other columns are ignored.
-
-    Term weights count over all documents.  The texts are read twice, once for the
-    examples; only ids, term numbers and counts are kept.
+    nearest examples (``id``, ``similarity``, ``label``).  Every text that shares a word
+    with an example is searched; others, null and empty ones included, get the share of
+    label 1 among examples without words; without examples every score is 0.  Repeated
+    rows get equal scores, of texts of one id the smallest is learnt from; an empty table
+    gives an empty one; other columns are ignored.
+
+    Term weights count over all documents.  The texts are read three times: for the
+    examples, for the weights and to be scored; none but the examples are kept.
     """
-    vectors, shared, _ = _learnt(docs, labels, settings, id_column, text, label)
+    shared, numbered = _learnt(docs, labels, settings, id_column, text, label)
     kind = docs.schema[id_column].dataType.simpleString()
     id_kind = pa.from_numpy_dtype("int64") if kind in ("bigint", "int", "smallint") else pa.string()
     evidence = pa.list_(pa.struct([("id", id_kind), ("similarity", pa.float64()), ("label", pa.int32())]))
 
     def scored(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model = shared.value
-        for batch in small_batches(batches, 1024):
-            out = [model.score(dict(zip(t, n))) for t, n in zip(batch.column(2).to_pylist(), batch.column(3).to_pylist())]
+        for batch in small_batches(batches):
+            out = model.scores([numbered(x) for x in batch.column(1).to_pylist()])
             near = [[{"id": i if id_kind == pa.int64() else str(i), "similarity": s, "label": y} for i, s, y in e] for _, e in out]
             predicted = [int(s >= settings.threshold) for s, _ in out]
             columns = [batch.column(0), pa.array([s for s, _ in out], pa.float64()), pa.array(predicted, pa.int32()), pa.array(near, evidence)]
             yield pa.RecordBatch.from_arrays(columns, [id_column, "score", "predicted", "evidence"])
 
     id_name = "bigint" if id_kind == pa.int64() else "string"
-    return vectors.mapInArrow(
+    return docs.select(F.col(id_column), whole_text(text).alias("_text")).mapInArrow(
         scored,
         f"`{id_column}` {kind}, score double, predicted int, evidence array<struct<id:{id_name},similarity:double,label:int>>",
     )
@@ -302,13 +359,13 @@ def drop_toxic(
 
     Each row is scored by its own text, whether or not its id is null or repeats.
     """
-    _, shared, numbered = _learnt(docs, labels, settings, id_column, text, label)
+    shared, numbered = _learnt(docs, labels, settings, id_column, text, label)
     texts = docs.columns.index(text)
 
     def kept(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model = shared.value
         for batch in small_batches(batches):
-            scores = [model.score(dict(numbered(content or "")))[0] for content in batch.column(texts).to_pylist()]
-            yield batch.filter(pa.array([s < settings.threshold for s in scores], pa.bool_()))
+            scores = model.scores([numbered(content or "") for content in batch.column(texts).to_pylist()])
+            yield batch.filter(pa.array([s < settings.threshold for s, _ in scores], pa.bool_()))
 
     return docs.mapInArrow(kept, docs.schema)
