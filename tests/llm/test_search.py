@@ -167,7 +167,7 @@ def test_index_finds_what_comparing_all_finds():
     random = np.random.default_rng(4)
 
     def vector():
-        terms = random.choice(40, random.integers(1, 8), replace=False)
+        terms = random.choice(100, random.integers(1, 8), replace=False)
         weights = random.random(len(terms)) + 0.01
         return dict(zip(terms.tolist(), (weights / np.sqrt((weights**2).sum())).tolist()))
 
@@ -175,13 +175,13 @@ def test_index_finds_what_comparing_all_finds():
         return np.array(sorted(v), np.int32), np.array([v[t] for t in sorted(v)])
 
     # Most terms are in few examples, two in so many that they are multiplied out.
-    examples = [vector() | ({40: 0.2} if i % 2 else {41: 0.1} if i % 5 else {}) for i in range(500)] + [{}]
-    index = toxicity.BlockMaxIndex([sparse(e) for e in examples], 43, block=16)
-    assert 0 < len(index._dense) < 40
-    queries = [vector() | ({40: 0.3} if n % 3 else {}) for n in range(100)]
+    examples = [vector() | ({100: 0.2} if i % 2 else {101: 0.1} if i % 5 else {}) for i in range(500)] + [{}]
+    index = toxicity.BlockMaxIndex([sparse(e) for e in examples], 103, block=16)
+    assert 2 <= len(index._dense) < 10
+    queries = [vector() | ({100: 0.3} if n % 3 else {}) for n in range(100)]
     found = index.nearest([sparse(q) for q in queries], 7, [[n, n + 1] for n in range(100)])
     assert index.nearest([sparse(q) for q in queries], 7)[5] == index.nearest([sparse(queries[5])], 7)[0]
-    assert index.nearest([sparse({}), sparse({42: 1.0})], 7) == [[], []]
+    assert index.nearest([sparse({}), sparse({102: 1.0})], 7) == [[], []]
     for n, (query, got) in enumerate(zip(queries, found)):
         scores = [
             (-sum(w * e.get(t, 0.0) for t, w in query.items()), i) for i, e in enumerate(examples)
@@ -277,6 +277,13 @@ def test_odd_rows_and_a_wrong_label(spark, odd_docs, no_docs):
         assert got == {i: y for i, _, y in texts}
 
 
+def test_words_are_runs_of_letters():
+    every = "".join(map(chr, range(128)))
+    for text in ("Don't STOP_it, 2nd\tx1y", every, every[::-1], "", " "):
+        assert toxicity.words(text) == toxicity._WORD.findall(text.lower())
+    assert toxicity.words("Größe ÉTÉ 中文x²") == ["größe", "été", "中文x"]
+
+
 def test_rates_never_fall():
     rates = toxicity._monotone(np.array([10, 0, 5, 20]), np.array([5, 0, 1, 18]), 0.1)
     assert (np.diff(rates) >= -1e-12).all() and rates[-1] > 0.8
