@@ -31,8 +31,10 @@ _BLOCK = 256
 _FIRST = 3
 # Terms in more than this share of examples are multiplied out for many texts at once; their lists would be nearly full.
 _COMMON = 1 / 16
+# Where the median bound is this share of the third, few blocks can be left out: all are scored at once.
+_LEVEL = 0.4
 # Texts compared at once.
-_TEXTS = 64
+_TEXTS = 256
 # More than what sums of single precision are off by; whatever is this near is compared in full.
 _ROUNDING = 1e-5
 # Added to the nearest examples' votes with the label share of all, so few weak neighbours don't decide.
@@ -101,11 +103,13 @@ class BlockMaxIndex:
         self._terms = np.concatenate([t for t, _ in vectors] + [np.zeros(0, np.int32)]).astype(np.int64)
         self._weights = np.concatenate([w for _, w in vectors] + [np.zeros(0)])
         self._starts = np.concatenate([[0], np.cumsum(lengths)])
+        seen: dict[tuple[bytes, bytes], int] = {}
+        self._like = np.array([seen.setdefault((t.tobytes(), w.tobytes()), i) for i, (t, w) in enumerate(vectors)], np.int64)
         # Posting lists by term and place.
         places = np.repeat(self._place, lengths)
         by_term = np.lexsort((places, self._terms))
         listed = self._terms[by_term]
-        self._places, self._posted = places[by_term], self._weights[by_term]
+        self._places, self._posted = places[by_term].astype(np.int32), self._weights[by_term].astype(np.float32)
         held = np.bincount(listed, minlength=size)
         common = np.flatnonzero(held > max(_COMMON * len(vectors), 1))
         self._row = np.full(size, -1, np.int64)
@@ -120,6 +124,7 @@ class BlockMaxIndex:
         self._part_start = np.concatenate([first, [len(key)]])
         self._part_most = np.maximum.reduceat(self._posted, first) if len(first) else np.zeros(0)
         self._term_start = np.searchsorted(listed[first], np.arange(size + 1))
+        self._post_start = np.searchsorted(listed, np.arange(size + 1))
 
     def nearest(self, queries: list[Sparse], k: int, without: list[list[int]] | None = None) -> list[list[tuple[int, float]]]:
         """For each query the ``k`` most similar examples that share a term, ties to the first ones.
@@ -149,18 +154,22 @@ class BlockMaxIndex:
         mine, weights = query[0][rare], query[1][rare]
         starts = self._term_start[mine]
         lengths = self._term_start[mine + 1] - starts
-        parts, weights = _ranges(starts, lengths), np.repeat(weights, lengths)
-        blocks = self._part_block[parts]
-        bounds = known.max(axis=1) + np.bincount(blocks, weights * self._part_most[parts], self._blocks)
+        parts, by_part = _ranges(starts, lengths), np.repeat(weights, lengths)
+        blocks = self._part_block.take(parts)
+        bounds = known.max(axis=1) + np.bincount(blocks, by_part * self._part_most.take(parts), self._blocks)
         left_out = self._place[without]
 
         def scores(able: np.ndarray) -> np.ndarray:
             """Similarity of the places in these blocks, by block; 0 elsewhere."""
-            use = able[blocks]
-            at = parts[use]
-            many = self._part_start[at + 1] - self._part_start[at]
-            posts = _ranges(self._part_start[at], many)
-            found = np.bincount(self._places[posts], np.repeat(weights[use], many) * self._posted[posts], known.size)
+            if able.all():  # whole lists
+                at, many, each = self._post_start[mine], self._post_start[mine + 1] - self._post_start[mine], weights
+            else:
+                use = np.flatnonzero(able.take(blocks))
+                some = parts.take(use)
+                at, each = self._part_start.take(some), by_part.take(use)
+                many = self._part_start.take(some + 1) - at
+            posts = _ranges(at, many)
+            found = np.bincount(self._places.take(posts), np.repeat(each, many) * self._posted.take(posts), known.size)
             found = found.reshape(known.shape) + known * able[:, None]
             found.reshape(-1)[left_out] = 0.0
             return found
@@ -168,7 +177,9 @@ class BlockMaxIndex:
         def last(found: np.ndarray) -> float:
             return float(np.partition(found, -k)[-k]) if len(found) >= k else 0.0
 
-        first = np.argsort(-bounds, kind="stable")[:_FIRST]
+        order = np.argsort(-bounds, kind="stable")
+        level = bounds[order[self._blocks // 2]] >= _LEVEL * bounds[order[min(_FIRST, self._blocks) - 1]]
+        first = order if level else order[:_FIRST]
         done = np.zeros(self._blocks, bool)
         done[first] = True
         found = scores(done)
@@ -182,11 +193,12 @@ class BlockMaxIndex:
         who = np.sort(self._order[near])
         if not len(who):
             return []
-        # Those left are compared in full, in one order of adding, so that a text always finds the same.
+        # Those left are compared in full, copies once, in one order of adding, so that a text always finds the same.
         weight[query[0]] = query[1]
-        many = self._starts[who + 1] - self._starts[who]
-        at = _ranges(self._starts[who], many)
-        exact = np.add.reduceat(weight[self._terms[at]] * self._weights[at], np.cumsum(many) - many)
+        distinct, which = np.unique(self._like[who], return_inverse=True)
+        many = self._starts[distinct + 1] - self._starts[distinct]
+        at = _ranges(self._starts[distinct], many)
+        exact = np.add.reduceat(weight.take(self._terms.take(at)) * self._weights.take(at), np.cumsum(many) - many)[which]
         weight[query[0]] = 0.0
         top = np.lexsort((who, -exact))[:k]
         return list(zip(who[top].tolist(), exact[top].tolist()))
