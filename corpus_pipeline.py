@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from velorank.llm import exact_dedup, packing, secret_scan, simhash, toxicity
-from velorank.llm.common import shared_folder
+from velorank.llm.common import shared_folder, unused
 from velorank.llm.queries import table, training_labels
 from velorank.llm.tokens import public_files
 
@@ -27,11 +27,12 @@ def reject_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Dat
 
 
 def redact(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Secrets in the texts are replaced by a mark; every document stays."""
-    redacted = secret_scan.redact_secrets(docs)
-    kind = docs.schema["n_chars"].dataType
-    changed = F.length("text").cast(kind)
-    return redacted.withColumn("n_chars", F.when(F.col("text").contains(secret_scan.REPLACEMENT), changed).otherwise(F.col("n_chars")))
+    """Secrets in the texts are replaced by a mark; every document stays, and ``n_chars`` follows the texts that changed."""
+    (before,) = unused(docs, "_before")
+    redacted = secret_scan.redact_secrets(docs.withColumn(before, F.col("text")))
+    changed = F.length("text").cast(docs.schema["n_chars"].dataType)
+    same = F.col("text").eqNullSafe(F.col(before))
+    return redacted.withColumn("n_chars", F.when(same, F.col("n_chars")).otherwise(changed)).drop(before)
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
