@@ -73,3 +73,11 @@ def test_rows_without_an_id_are_decided_by_their_text(spark):
     marks = spark.createDataFrame([(i, y) for i, _, y in texts if i != 100], "doc_id bigint, toxic int")
     kept = toxicity.drop_toxic(docs, marks, toxicity.Settings(association=10.0)).collect()
     assert sorted((r.text for r in kept)) == sorted([t for _, t, y in texts if not y] + [odd[1][1], odd[2][1]])
+
+
+def test_n_chars_changes_only_with_the_text(spark):
+    texts = ["calm [REDACTED] words", 'password = "abcdefghijkl0123" here', None]
+    docs = spark.createDataFrame([(i, t, 7, 1) for i, t in enumerate(texts)], "doc_id bigint, text string, n_chars bigint, _before int")
+    rows = {r.doc_id: r for r in corpus_pipeline.redact(spark, docs, "").collect()}
+    assert rows[0].n_chars == 7 and rows[2].n_chars == 7 and rows[0]["_before"] == 1
+    assert rows[1].n_chars == len(rows[1].text) != 7
