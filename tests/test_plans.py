@@ -104,3 +104,21 @@ def test_filters_on_stored_columns_reach_the_scan(spark, tmp_path):
     weather = prepare_weather(spark.read.parquet(f"{tmp_path}/w"), 2024, 10)
     (scan,) = [line for line in own_operators(weather) if line.startswith("FileScan")]
     assert "EqualTo(year,2024)" in scan and "EqualTo(month,10)" in scan and "IsNotNull(temp)" in scan
+
+
+def test_the_task_that_writes_a_document_holds_no_nodes(spark, tmp_path, monkeypatch):
+    """It joins and gathers nothing; the document is one file all the same."""
+    from workloads import inputs
+
+    spark.createDataFrame([(1,), (2,), (None,)], "c_custkey bigint").write.parquet(f"{tmp_path}/customer.parquet")
+    orders = [(10, 1), (11, 1), (12, None)]
+    spark.createDataFrame(orders, "o_orderkey bigint, o_custkey bigint").write.parquet(f"{tmp_path}/orders.parquet")
+    plans, kind = [], type(spark.range(1))
+    plain = kind.coalesce
+    monkeypatch.setattr(kind, "coalesce", lambda frame, n: plans.append(own_operators(frame)) or plain(frame, n))
+    monkeypatch.setattr("workloads.queries.scratch_folder", lambda *_: f"{tmp_path}/document")
+    rows = QUERIES["document_scan"](spark, str(tmp_path)).collect()
+    assert sorted((r.id, r.out_degree) for r in rows) == [(-2, 0), (-1, 2), (1, 0)]
+    assert len(list((tmp_path / "document").glob("part-*"))) == 1
+    (operators,) = plans
+    assert not [line for line in operators if "Join" in line or "Aggregate" in line or "Exchange" in line]

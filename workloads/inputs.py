@@ -181,14 +181,20 @@ def written_trips(spark: SparkSession, folder: str, path: str) -> None:
 
 
 def written_document(spark: SparkSession, folder: str, path: str) -> None:
-    """A single JSON document: each customer with their orders, and a vertex 1 without any."""
+    """A single JSON document: each customer with their orders, and a vertex 1 without any.
+
+    The nodes are made and written as lines by all tasks; the one that writes the
+    document only copies those, and holds none of them.
+    """
     customers = table(spark, folder, "customer").selectExpr("-c_custkey AS id")
     orders = table(spark, folder, "orders").groupBy((-F.col("o_custkey")).alias("id")).agg(F.collect_list("o_orderkey").alias("to"))
     nodes = customers.join(orders, "id", "left").selectExpr(
         "concat(', {\"out_neighbors\": [', coalesce(concat_ws(', ', cast(to AS array<string>)), ''), '], \"node_id\": ', id, '}') AS value"
     )
+    nodes.write.text(f"{path}-nodes")
+    lines = spark.read.text(f"{path}-nodes")
     ends = [spark.sql(f"SELECT '{text}' AS value") for text in ('{"nodes": [{"node_id": 1, "out_neighbors": []}', "]}")]
-    ends[0].unionAll(nodes).unionAll(ends[1]).coalesce(1).write.text(path)
+    ends[0].unionAll(lines).unionAll(ends[1]).coalesce(1).write.text(path)
 
 
 def wide_edge_lines(spark: SparkSession, folder: str) -> DataFrame:
