@@ -288,3 +288,17 @@ def test_a_round_is_one_write_and_checks_are_shared(spark, several, monkeypatch)
     monkeypatch.setattr(k._Levels, "measure", lambda self, waves, rounds: measured.append(rounds) or plain(self, waves, rounds))
     result = k.rank_variants(graph, [k.STANDARD, k.PERSONALIZED], chosen, 9, 0.0, 0.85)
     assert measured == [4, 8, 9] and result.iterations == 9
+
+
+def test_changes_are_taken_by_compiled_arithmetic(spark, several, monkeypatch):
+    """Functions over arrays are interpreted for every vertex; none is left in what is summed over the vertices."""
+    _, _, graph, chosen = several
+    plans, plain = [], k._Levels._merged
+    monkeypatch.setattr(k._Levels, "_merged", lambda self, sums: plans.append(own_operators(sums)) or plain(self, sums))
+    k.rank_variants(graph, [k.STANDARD, k.PERSONALIZED], chosen, 9, 0.0, 0.85)
+    sums = [line for operators in plans for line in operators if "Aggregate" in line]
+    assert sums and not [line for line in sums if "lambda" in line]
+
+
+def test_rounds_at_once():
+    assert k._rounds_at_once(3) == k.ROUNDS_PER_SUM and k._rounds_at_once(1000) == k.ROUNDS_PER_CHECK

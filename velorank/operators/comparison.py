@@ -37,25 +37,20 @@ def compare_rankings(
     ranks = ranking.ranks
     best = {v: top_ranks(ranks.select("run", "id", F.col(v).alias("rank")), k, keys=["run"]) for v in (STANDARD, PERSONALIZED)}
     lists = {v: _ordered_ids(top, f"topK_{v}") for v, top in best.items()}
-    both = best[STANDARD].select("run", "id").join(best[PERSONALIZED].select("run", "id"), ["run", "id"])
-    shared = both.groupBy("run").agg(F.count("*").alias("overlap_count"))
-    count = F.coalesce("overlap_count", F.lit(0))
+    found = {v: F.coalesce(f"topK_{v}", F.array().cast("array<bigint>")) for v in lists}
+    # The ids of a list are distinct; a missing id equals no other.
+    count = F.size(F.array_compact(F.array_intersect(*found.values()))).cast("bigint")
     ratio = count / k if k > 0 else F.lit(0.0)
+
+    def with_lists(runs: DataFrame) -> DataFrame:
+        return runs.join(lists[STANDARD], "run", "left").join(lists[PERSONALIZED], "run", "left")
+
     chosen = seeds.groupBy("run").agg(F.sort_array(F.collect_set("id")).alias("seeds"))
-    per_run = (
-        chosen.join(lists[STANDARD], "run", "left")
-        .join(lists[PERSONALIZED], "run", "left")
-        .join(shared, "run", "left")
-        .select(
-            "run",
-            "seeds",
-            *[F.coalesce(name, F.array().cast("array<bigint>")).alias(name) for name in ("topK_standard", "topK_personalized")],
-            count.alias("overlap_count"),
-            ratio.alias("overlap_ratio"),
-        )
+    per_run = with_lists(chosen).select(
+        "run", "seeds", *[ids.alias(f"topK_{v}") for v, ids in found.items()], count.alias("overlap_count"), ratio.alias("overlap_ratio")
     )
-    # The mean needs neither the lists nor the seeds themselves.
-    ratios = seeds.select("run").distinct().join(shared, "run", "left").select(ratio.alias("overlap_ratio"))
+    # The mean does not need the seeds themselves.
+    ratios = with_lists(seeds.select("run").distinct()).select(ratio.alias("overlap_ratio"))
     return Comparison(per_run, _summary(ratios))
 
 

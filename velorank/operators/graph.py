@@ -7,7 +7,9 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, Observation, SparkSession, Window
 from pyspark.sql import functions as F
 
-from velorank.session import ADAPTIVE, BROADCAST_THRESHOLD, SHUFFLE_PARTITIONS, ensure_checkpoint_dir, setting
+from velorank.session import (
+    ADAPTIVE, BROADCAST_THRESHOLD, FILE_PARTITIONS, OBJECT_HASH, SHUFFLE_PARTITIONS, drop_folder, ensure_checkpoint_dir, scratch_folder, setting,
+)
 
 # Longest neighbour list kept in one row.  The edges of a source are numbered
 # through in slices of this many, which are shuffled and stored apart.
@@ -18,6 +20,9 @@ MAX_SLICED = 1_000_000
 # worth a task of their own, more than the second outgrow one.
 FEWEST_EDGES = 20_000
 MOST_EDGES = 5_000_000
+# Rows a task takes in where repeated edges are dropped or ids are counted: what it
+# holds then has this bound in graphs of any size.
+MOST_DISTINCT = 1_000_000
 
 
 @dataclass(frozen=True)
@@ -67,19 +72,20 @@ def vertex_flags(graph: Graph, seeds: DataFrame | None = None) -> DataFrame:
     keys = list(graph.keys)
     listed = graph.vertices is not None
 
-    def mark(column: str, degree: int, vertex: bool, seed: bool) -> Column:
-        return F.struct(
-            F.col(column).alias("id"), F.lit(degree).cast("bigint").alias("out_degree"),
-            F.lit(vertex).alias("is_vertex"), F.lit(seed).alias("is_seed"),
+    def marked(ids: DataFrame, degree: Column, vertex: bool, seed: bool) -> DataFrame:
+        return ids.select(
+            *keys, "id", degree.cast("bigint").alias("out_degree"), F.lit(vertex).alias("is_vertex"), F.lit(seed).alias("is_seed")
         )
 
-    ends = [mark("src", 1, not listed, False)] + ([] if listed else [mark("dst", 0, True, False)])
-    seen = graph.edges.select(*keys, F.inline(F.array(*ends)))
     if listed:
-        seen = seen.unionAll(graph.vertices.select(*keys, F.inline(F.array(mark("id", 0, True, False)))))
+        seen = marked(graph.edges.select(*keys, F.col("src").alias("id")), F.lit(1), False, False)
+        seen = seen.unionAll(marked(graph.vertices, F.lit(0), True, False))
+    else:
+        ends = graph.edges.select(*keys, F.posexplode(F.array("src", "dst")).alias("_end", "id"))
+        seen = marked(ends, 1 - F.col("_end"), True, False)
     if seeds is not None:
-        seen = seen.unionAll(seeds.select(*keys, F.inline(F.array(mark("id", 0, False, True)))))
-    return seen.groupBy(*keys, "id").agg(
+        seen = seen.unionAll(marked(seeds, F.lit(0), False, True))
+    return seen.groupBy("id", *keys).agg(
         F.sum("out_degree").alias("out_degree"),
         F.bool_or("is_vertex").alias("is_vertex"),
         F.bool_or("is_seed").alias("is_seed"),
@@ -110,10 +116,21 @@ def slice_count(out_degree: Column, length: int) -> Column:
     return F.ceil(out_degree / F.lit(length)).cast("int")
 
 
-def default_partitions(spark: SparkSession, num_edges: int) -> int:
+def default_partitions(spark: SparkSession, num_edges: int, most: int = MOST_EDGES) -> int:
     """Two per core, more for graphs too large for that, fewer for tiny ones."""
     usual = max(2 * spark.sparkContext.defaultParallelism, 8)
-    return max(min(usual, -(-num_edges // FEWEST_EDGES)), -(-num_edges // MOST_EDGES), 1)
+    return max(min(usual, -(-num_edges // FEWEST_EDGES)), -(-num_edges // most), 1)
+
+
+def distinct_edges(edges: DataFrame, num_rows: int, keys: tuple[str, ...] = ()) -> DataFrame:
+    """Edges without repeats, in as many partitions as their ``num_rows`` rows ask for.
+
+    Adaptive execution would merge partitions by their bytes as shuffled, of which the
+    tables that the tasks hold are a large multiple.
+    """
+    place = [*keys, "src", "dst"]
+    partitions = default_partitions(edges.sparkSession, num_rows, MOST_DISTINCT)
+    return edges.repartition(partitions, *place).dropDuplicates(place)
 
 
 def prepare_graph(
@@ -121,8 +138,9 @@ def prepare_graph(
 ) -> PreparedGraph:
     """Read the graph's sources once and lay out what its other tables are made of.
 
-    The edges are written, counted on the way, and dropped again when the degrees
-    and the lists are.  Layouts are kept by planning without adaptive execution:
+    The edges are written as Parquet files, counted on the way, and dropped again when
+    the degrees and the lists are.  Ids come before the graph's keys in all layouts: rows
+    are sorted by their first column, and few graphs would leave it to the second.  Layouts are kept by planning without adaptive execution:
     the sizes are known.  Sources of more than ``length`` edges are broadcast;
     `slice_length` bounds their number.
     """
@@ -130,10 +148,13 @@ def prepare_graph(
     ensure_checkpoint_dir(spark)
     keys = list(graph.keys)
     watch = Observation()
-    edges = graph.edges.select(*keys, "src", "dst").observe(watch, F.count(F.lit(1)).alias("edges")).checkpoint()
+    given, folder = graph.edges.select(*keys, "src", "dst"), scratch_folder(spark, "edges")
+    given.observe(watch, F.count(F.lit(1)).alias("edges")).write.parquet(folder)
+    edges = spark.read.schema(given.schema).parquet(folder)
     num_edges = watch.get["edges"]
     partitions = num_partitions or default_partitions(spark, num_edges)
-    with fixed_layout(spark, partitions):
+    pieces = default_partitions(spark, num_edges, MOST_DISTINCT)
+    with fixed_layout(spark, partitions), setting(spark, FILE_PARTITIONS, pieces):
         seen = Observation()
         flags = vertex_flags(Graph(edges, graph.vertices, graph.keys), seeds)
         flags = flags.observe(seen, *_totals(slice_edges)).checkpoint()
@@ -146,9 +167,10 @@ def prepare_graph(
             )
             parted = edges.join(F.broadcast(busy), [*keys, "src"], "left")
             place = F.pmod(F.xxhash64("dst"), F.col("_slices")).cast("int")
-            slices = _listed(parted.filter("_slices IS NOT NULL").withColumn("slice", place), [*keys, "src", "slice"], partitions)
+            slices = _listed(parted.filter("_slices IS NOT NULL").withColumn("slice", place), ["src", *keys, "slice"], partitions)
             plain = parted.filter("_slices IS NULL")
-        lists = _listed(plain, [*keys, "src"], partitions)
+        lists = _listed(plain, ["src", *keys], partitions)
+    drop_folder(spark, folder)
     return PreparedGraph(graph.keys, flags, lists, slices, length, partitions, totals, graph.vertices is not None)
 
 
@@ -163,13 +185,15 @@ def _totals(slice_edges: int) -> list[Column]:
 
 
 def _listed(edges: DataFrame, place: list[str], partitions: int) -> DataFrame:
-    return (
-        edges.repartition(partitions, *place)
-        .groupBy(*place)
-        .agg(F.collect_list("dst").alias("targets"))
-        .sortWithinPartitions(*place)
-        .checkpoint()
-    )
+    """Rows of ``place`` and its targets.  They end up sorted, so they are gathered in one sort, not by hash and then sorted."""
+    with setting(edges.sparkSession, OBJECT_HASH, "false"):
+        return (
+            edges.repartition(partitions, *place)
+            .groupBy(*place)
+            .agg(F.collect_list("dst").alias("targets"))
+            .sortWithinPartitions(*place)
+            .checkpoint()
+        )
 
 
 class fixed_layout:
@@ -244,10 +268,11 @@ def contributions(graph: Graph | PreparedGraph, ranks: DataFrame, length: int =
     """
     ready = graph if isinstance(graph, PreparedGraph) else prepare_graph(graph, slice_edges=length)
     keys = list(ready.keys)
-    gives = ready.vertices.filter("out_degree > 0").join(ranks, [*keys, "id"]).selectExpr(
+    gives = ready.vertices.filter("out_degree > 0").join(ranks, ["id", *keys]).selectExpr(
         *keys, "id", "out_degree", "rank / out_degree AS _give"
     )
-    return moved(ready, gives, ["_give"]).groupBy(*keys, "id").agg(F.sum("_give").alias("contribution"))
+    received = moved(ready, gives, ["_give"]).groupBy("id", *keys).agg(F.sum("_give").alias("contribution"))
+    return received.select(*keys, "id", "contribution")
 
 
 def moved(ready: PreparedGraph, gives: DataFrame, names: list[str]) -> DataFrame:
@@ -258,10 +283,10 @@ def moved(ready: PreparedGraph, gives: DataFrame, names: list[str]) -> DataFrame
         return lists.join(per_list, place).select(*keys, F.explode("targets").alias("id"), *names)
 
     plain = gives.filter(F.col("out_degree") <= ready.length) if ready.slices is not None else gives
-    out = sent(ready.lists, plain.select(*keys, F.col("id").alias("src"), *names), [*keys, "src"])
+    out = sent(ready.lists, plain.select(*keys, F.col("id").alias("src"), *names), ["src", *keys])
     if ready.slices is not None:
         numbers = F.sequence(F.lit(0), slice_count(F.col("out_degree"), ready.length) - 1)
         busy = gives.filter(F.col("out_degree") > ready.length)
         per_slice = busy.select(*keys, F.col("id").alias("src"), F.explode(numbers).alias("slice"), *names)
-        out = out.unionAll(sent(ready.slices, per_slice, [*keys, "src", "slice"]))
+        out = out.unionAll(sent(ready.slices, per_slice, ["src", *keys, "slice"]))
     return out

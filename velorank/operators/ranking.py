@@ -38,6 +38,8 @@ GRAPHS_PER_TASK = 100_000
 ROUNDS_PER_CHECK = 4
 # The same once no wave moves any more and rounds are arithmetic.
 ROUNDS_PER_SUM = 32
+# Products per variant and family that one expression spells out, see `_dot`; fewer rounds go with more waves.
+PRODUCTS = 256
 # A wave this small adds nothing to a rank, which is a multiple of at least (1 - damping) of the first wave's one.
 SILENT = 1e-20
 
@@ -149,7 +151,7 @@ def rank_variants(
         while True:
             while waves.alive and waves.depth < min(max_iter, levels.rounds + ROUNDS_PER_CHECK):
                 waves.advance(levels)
-            levels.measure(waves, min(max_iter, waves.depth if waves.alive else levels.rounds + ROUNDS_PER_SUM))
+            levels.measure(waves, min(max_iter, waves.depth if waves.alive else levels.rounds + _rounds_at_once(waves.depth)))
             if levels.rounds >= max_iter or not levels.open:
                 break
         iterations = levels.iterations()
@@ -158,6 +160,11 @@ def rank_variants(
     return Ranking(ranks, history, levels.seconds[:iterations], ready.partitions, ready.totals["seeds"], ready.totals["vertices"], waves.senders)
 
 
+def _rounds_at_once(depth: int) -> int:
+    """Rounds of arithmetic over ``depth`` waves whose changes are taken together."""
+    return max(ROUNDS_PER_CHECK, min(ROUNDS_PER_SUM, PRODUCTS // (depth + 1)))
+
+
 def _next_state(ready: PreparedGraph, state: DataFrame, levels: _Levels, families: Sequence[str], depth: int, damping: float) -> DataFrame:
     """The plan of a round: each family's wave, moved along one more edge.
 
@@ -170,8 +177,8 @@ def _next_state(ready: PreparedGraph, state: DataFrame, levels: _Levels, familie
         *keys, "id", "out_degree", *[(F.col(f"{f}_last") * damping / F.col("out_degree")).alias(n) for f, n in zip(families, names)]
     )
     # Ids that are no vertex are not in the state; what they receive is lost.
-    got = moved(ready, giving, names).groupBy(*keys, "id").agg(*[F.sum(n).alias(n) for n in names])
-    both = state.join(got, [*keys, "id"], "left")
+    got = moved(ready, giving, names).groupBy("id", *keys).agg(*[F.sum(n).alias(n) for n in names])
+    both = state.join(got, ["id", *keys], "left")
     after = []
     for f, n in zip(families, names):
         waves = F.col(f"{f}_waves")
@@ -246,7 +253,7 @@ class _Waves:
             return
         if (last.vertices, last.seeds, last.damping, last.families) != self._facts():
             raise ValueError(f"{self._progress} holds rounds of another graph or with other settings")
-        place = [*self._ready.keys, "id"]
+        place = ["id", *self._ready.keys]
         kept = spark.read.parquet(last.folder).select(self.state.columns)
         self.state = kept.repartition(self._ready.partitions, *place).sortWithinPartitions(*place).checkpoint()
         self.depth, self.senders, self.seconds, self._next_senders = last["round"], last.sent, last.seconds, last.senders
@@ -315,7 +322,8 @@ class _Levels:
     def _written(self, rows: DataFrame, watch: Observation | None = None) -> DataFrame:
         """The rows, once computed: a table in few files, or the one row itself."""
         if self._keys:
-            rows = rows.coalesce(self._graphs // GRAPHS_PER_TASK + 1)
+            # Not coalesce: one task would then hold what all of the tasks before it do.
+            rows = rows.repartition(self._graphs // GRAPHS_PER_TASK + 1)
             return (rows.observe(watch, F.count_if(self._is_open()).alias("open")) if watch else rows).checkpoint()
         return rows.sparkSession.createDataFrame(rows.collect(), rows.schema)
 
@@ -387,10 +395,10 @@ class _Levels:
     def _take_changes(self, waves: _Waves, new: range) -> None:
         def steps(variant: str, family: str) -> str:
             after, then = (self._weights(variant, family, t, waves.depth) for t in ("t", "(t - 1)"))
-            return f"transform(sequence({new.start}, {new.stop - 1}), t -> zip_with({after}, {then}, (a, b) -> a - b))"
+            return f"flatten(transform(sequence({new.start}, {new.stop - 1}), t -> zip_with({after}, {then}, (a, b) -> a - b)))"
 
         def change(variant: str, i: int) -> str:
-            parts = [_dot(f, f"get(_step_{variant}_{f}, {i})") for f in self._families(variant)]
+            parts = [_dot(f, f"_step_{variant}_{f}", waves.depth, i * (waves.depth + 1)) for f in self._families(variant)]
             return f"sum(abs({' + '.join(parts)}))"
 
         moves = self._joined(waves.state, {f"_step_{v}_{f}": steps(v, f) for v in self._variants for f in self._families(v)})
@@ -428,16 +436,19 @@ class _Levels:
             f"_last_{v}_{f}": self._weights(v, f, stop[v], waves.depth) for v in self._variants for f in self._families(v)
         })
         return ends.selectExpr(*self._keys, "id", "out_degree", *[
-            f"{' + '.join(_dot(f, f'_last_{v}_{f}') for f in self._families(v))} AS {v}" for v in self._variants
+            f"{' + '.join(_dot(f, f'_last_{v}_{f}', waves.depth) for f in self._families(v))} AS {v}" for v in self._variants
         ])
 
 
-def _dot(family: str, weights: str) -> str:
-    """A vertex's waves of a family by their weights; wave 0 is not stored."""
-    return (
-        f"({_start(family)} * get({weights}, 0)"
-        f" + aggregate(transform({family}_waves, (x, i) -> x * get({weights}, i + 1)), 0D, (total, x) -> total + x))"
-    )
+def _dot(family: str, weights: str, depth: int, first: int = 0) -> str:
+    """A vertex's waves of a family by their weights, from the ``first`` on; wave 0 is not stored.
+
+    Each product is spelled out: Spark compiles those, but interprets functions over arrays.
+    """
+    total = f"{_start(family)} * get({weights}, {first})"
+    if depth:
+        total += f" + ({' + '.join(f'coalesce(get({family}_waves, {k}), 0D) * get({weights}, {first + k + 1})' for k in range(depth))})"
+    return f"({total})"
 
 
 def _start(family: str) -> str:

@@ -13,6 +13,10 @@ from pyspark.sql import functions as F
 SHUFFLE_PARTITIONS = "spark.sql.shuffle.partitions"
 ADAPTIVE = "spark.sql.adaptive.enabled"
 BROADCAST_THRESHOLD = "spark.sql.autoBroadcastJoinThreshold"
+# In how many parts files are read, at least.
+FILE_PARTITIONS = "spark.sql.files.minPartitionNum"
+# Whether lists are gathered in a hash table (a small one, then by sorting) or by sorting alone.
+OBJECT_HASH = "spark.sql.execution.useObjectHashAggregateExec"
 # Lets adaptive execution merge small partitions of what is cached, too.
 MERGE_CACHED = "spark.sql.optimizer.canChangeCachedPlanOutputPartitioning"
 
@@ -71,6 +75,12 @@ def scratch_folder(spark: SparkSession, purpose: str) -> str:
     return f"{spark.sparkContext.getCheckpointDir().rstrip('/')}/{purpose}-{uuid.uuid4().hex}"
 
 
+def drop_folder(spark: SparkSession, folder: str) -> None:
+    """Remove a scratch folder that nothing reads any more."""
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(folder)
+    path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+
+
 @contextmanager
 def setting(spark: SparkSession, name: str, value: object) -> Iterator[None]:
     """Run a block of eager steps with one SQL setting changed."""
