@@ -2,6 +2,7 @@ import hashlib
 import random
 
 import pytest
+from pyspark.sql import functions as F
 
 from velorank.operators import graph as g
 from velorank.sources.graphs import random_graph, random_graphs, sample_vertices
@@ -140,3 +141,14 @@ def test_sample_per_run(spark):
     for run, seed in enumerate([5, 6]):
         alone = {r.id for r in sample_vertices(spark.range(30), 4, seed).collect()}
         assert {r.id for r in rows if r.run == run} == alone
+
+
+def test_what_a_task_makes_distinct_follows_from_the_rows(spark, monkeypatch):
+    """Adaptive execution does not merge the partitions, so that tasks get no more rows in a larger graph."""
+    monkeypatch.setattr(g, "MOST_DISTINCT", 1000)
+    rows = spark.range(40_000).selectExpr("id % 20000 AS src", "id % 20000 + 1 AS dst")
+    edges = g.distinct_edges(rows, 40_000)
+    per_task = [r["count"] for r in edges.groupBy(F.spark_partition_id()).count().collect()]
+    assert sum(per_task) == 20_000 and len(per_task) == 40 and max(per_task) < 1000
+    several = g.distinct_edges(rows.selectExpr("cast(src % 2 AS INT) AS run", "1L AS src", "2L AS dst"), 40_000, ("run",))
+    assert sorted(several.collect()) == [(0, 1, 2), (1, 1, 2)]

@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from velorank.operators.graph import Graph
+from velorank.operators.graph import Graph, distinct_edges
 from velorank.operators.trips import clean_trips, enrich_trips
 from velorank.operators.weather import HOURS_IN_MONTH, join_weather, month_span, prepare_weather
 from velorank.session import use_utc
@@ -103,7 +103,7 @@ def links(spark: SparkSession, folder: str) -> Graph:
     placed = orders.selectExpr("o_custkey * 4 AS src", "o_orderkey * 4 + 1 AS dst")
     bought = lines.selectExpr("l_orderkey * 4 + 1 AS src", "l_partkey * 4 + 2 AS dst")
     made = lines.selectExpr("l_partkey * 4 + 2 AS src", "l_suppkey * 4 + 3 AS dst")
-    return Graph(placed.unionAll(bought).unionAll(made).dropDuplicates(["src", "dst"]))
+    return Graph(distinct_edges(placed.unionAll(bought).unionAll(made), orders.count() + 2 * lines.count()))
 
 
 def link_seeds(spark: SparkSession, folder: str) -> DataFrame:
@@ -118,7 +118,8 @@ def runs(spark: SparkSession, folder: str, number: int) -> Graph:
     placed = orders.selectExpr(f"cast(o_orderkey % {number} as int) AS run", "o_custkey * 4 AS src", "o_orderkey * 4 + 1 AS dst")
     bought = lines.selectExpr(f"cast(l_orderkey % {number} as int) AS run", "l_orderkey * 4 + 1 AS src", "l_partkey * 4 + 2 AS dst")
     made = lines.selectExpr(f"cast(l_orderkey % {number} as int) AS run", "l_partkey * 4 + 2 AS src", "l_suppkey * 4 + 3 AS dst")
-    return Graph(placed.unionAll(bought).unionAll(made).dropDuplicates(["run", "src", "dst"]), None, ("run",))
+    edges = distinct_edges(placed.unionAll(bought).unionAll(made), orders.count() + 2 * lines.count(), ("run",))
+    return Graph(edges, None, ("run",))
 
 
 def run_seeds(spark: SparkSession, folder: str, number: int) -> DataFrame:
