@@ -7,6 +7,10 @@ from pyspark.sql import functions as F
 
 from velorank.llm.common import stored
 
+# Links in a file of a round, about.  On a local file system each file costs processes,
+# which share the executor's memory until they run a program of their own.
+_LINKS_PER_FILE = 100_000
+
 
 def connected_components(links: DataFrame) -> DataFrame:
     """``node``, ``component`` (its smallest reachable node) for every linked node but the smallest itself.
@@ -17,7 +21,8 @@ def connected_components(links: DataFrame) -> DataFrame:
     that grows with the logarithm of the nodes.  A node's smallest neighbour is
     found by an aggregate with map-side combine and joined back, where adaptive
     execution splits a node of very many links.  Each round is written to the
-    shared folder; only a count and a checksum reach the driver.
+    shared folder, in as many files as its links ask for (a round never has more than
+    the one before); only a count and a checksum reach the driver.
     """
     current = stored(
         links.where(F.col("a") != F.col("b"))
@@ -30,7 +35,8 @@ def connected_components(links: DataFrame) -> DataFrame:
         if state == before or not state[0]:
             return current.select(F.col("u").alias("node"), F.col("v").alias("component"))
         before = state
-        current = stored(_small_star(_large_star(current)))
+        files = 1 + state[0] // _LINKS_PER_FILE
+        current = stored(_small_star(_large_star(current)).coalesce(files))
 
 
 def _large_star(links: DataFrame) -> DataFrame:
