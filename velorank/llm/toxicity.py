@@ -15,6 +15,7 @@ import re
 from collections import Counter
 from collections.abc import Callable, Iterator
 from dataclasses import dataclass
+from itertools import repeat
 
 import numpy as np
 import pyarrow as pa
@@ -25,7 +26,8 @@ from pyspark.sql import functions as F
 from velorank.llm.common import small_batches, stored, whole_text
 
 _WORD = re.compile(r"[^\W\d_]+")
-_NO_LETTERS = str.maketrans({chr(c): " " for c in range(128) if not chr(c).isalpha()})
+# ASCII letters in lower case, other ASCII as blanks; bytes of other characters stay.
+_LETTERS = bytes(c if c > 127 else ord(chr(c).lower()) if chr(c).isalpha() else 32 for c in range(256))
 _BLOCK = 256
 # Blocks looked at first, best bound first, to know what the others must reach.
 _FIRST = 3
@@ -62,8 +64,11 @@ class Settings:
 def words(text: str) -> list[str]:
     """The text's runs of letters, in lower case."""
     if text.isascii():  # the same, several times faster
-        return text.lower().translate(_NO_LETTERS).split()
-    return _WORD.findall(text.lower())
+        return text.encode().translate(_LETTERS).decode("ascii").split()
+    parts = text.lower().encode("utf-8", "surrogatepass").translate(_LETTERS).decode("utf-8", "surrogatepass").split()
+    if "".join(parts).isalpha():
+        return parts
+    return [w for part in parts for w in ((part,) if part.isalpha() else _WORD.findall(part))]
 
 
 def terms(text: str) -> Counter[str]:
@@ -289,13 +294,16 @@ def _learnt(
         for batch in small_batches(batches):
             yield pa.RecordBatch.from_arrays([pa.array([t for x in batch.column(0).to_pylist() for t in terms(x)], pa.string())], ["term"])
 
-    found = sample.select("text").mapInArrow(listed, "term string").distinct().toArrow()  # the terms of the examples
-    vocabulary = spark.sparkContext.broadcast({t: n for n, t in enumerate(sorted(found.column(0).to_pylist()))})
+    # The terms of the examples, numbered in their order; the frequent ones stand together in memory, so that lookups are fast.
+    found = sample.select("text").mapInArrow(listed, "term string").groupBy("term").count().toArrow()
+    numbers = {t: n for n, t in enumerate(sorted(found.column(0).to_pylist()))}
+    frequent = found.sort_by([("count", "descending"), ("term", "ascending")]).column(0).to_pylist()
+    vocabulary = spark.sparkContext.broadcast({t: numbers[t] for t in frequent})
     size = len(vocabulary.value)
 
     def numbered(content: str) -> Sparse:
         mine, number = terms(content), vocabulary.value
-        at = np.fromiter((number.get(t, -1) for t in mine), np.int32, len(mine))
+        at = np.fromiter(map(number.get, mine, repeat(-1)), np.int32, len(mine))
         order = np.argsort(at)
         order = order[at[order] >= 0]
         return at[order], np.fromiter(mine.values(), np.int32, len(mine))[order]
@@ -313,7 +321,7 @@ def _learnt(
             total += batch.num_rows
             for x in batch.column(0).to_pylist():
                 mine = set(words(x))
-                seen[np.fromiter((number.get(t, size) for t in mine), np.int64, len(mine))] += 1
+                seen[np.fromiter(map(number.get, mine, repeat(size)), np.int64, len(mine))] += 1
         held = np.flatnonzero(seen[:size])
         for at in range(0, len(held) + 1, 1 << 16):
             some = held[at : at + (1 << 16)]
