@@ -39,6 +39,8 @@ _LEVEL = 0.4
 _TEXTS = 256
 # More than what sums of single precision are off by; whatever is this near is compared in full.
 _ROUNDING = 1e-5
+# A posting: where the example stands and its weight for the term.
+_POST = np.dtype([("place", np.int32), ("weight", np.float32)])
 # Added to the nearest examples' votes with the label share of all, so few weak neighbours don't decide.
 _PRIOR = 0.05
 _BINS = 20
@@ -102,34 +104,48 @@ class BlockMaxIndex:
         lengths = np.array([len(t) for t, _ in vectors], np.int64)
         heaviest = [int(t[np.argmax(w)]) if len(t) else -1 for t, w in vectors]
         self._order = np.array(sorted(range(len(vectors)), key=lambda i: (heaviest[i], i)), np.int64)
-        self._place = np.empty(len(vectors), np.int64)
+        self._place = np.empty(len(vectors), np.int32)
         self._place[self._order] = np.arange(len(vectors))
         # Examples one after the other, to compare the few that are left in full.
-        self._terms = np.concatenate([t for t, _ in vectors] + [np.zeros(0, np.int32)]).astype(np.int64)
+        self._terms = np.concatenate([t for t, _ in vectors] + [np.zeros(0, np.int32)], dtype=np.int32)
         self._weights = np.concatenate([w for _, w in vectors] + [np.zeros(0)])
         self._starts = np.concatenate([[0], np.cumsum(lengths)])
         seen: dict[tuple[bytes, bytes], int] = {}
         self._like = np.array([seen.setdefault((t.tobytes(), w.tobytes()), i) for i, (t, w) in enumerate(vectors)], np.int64)
-        # Posting lists by term and place.
+        del seen
+        # Posting lists by term and place, a place and its weight side by side.
         places = np.repeat(self._place, lengths)
         by_term = np.lexsort((places, self._terms))
+        self._posts = np.empty(len(by_term), _POST)
+        self._posts["place"] = places[by_term]
+        del places
+        self._posts["weight"] = self._weights.astype(np.float32)[by_term]
+        self._whole = self._posts.view(np.int64)  # copied faster than by field
         listed = self._terms[by_term]
-        self._places, self._posted = places[by_term].astype(np.int32), self._weights[by_term].astype(np.float32)
+        del by_term
         held = np.bincount(listed, minlength=size)
         common = np.flatnonzero(held > max(_COMMON * len(vectors), 1))
-        self._row = np.full(size, -1, np.int64)
+        self._row = np.full(size, -1, np.int32)
         self._row[common] = np.arange(len(common))
         self._dense = np.zeros((len(common), self._blocks * block), np.float32)
-        dense = self._row[listed] >= 0
-        self._dense[self._row[listed[dense]], self._places[dense]] = self._posted[dense]
+        dense = np.flatnonzero(self._row[listed] >= 0)
+        self._dense[self._row[listed[dense]], self._posts["place"][dense]] = self._posts["weight"][dense]
+        del dense
         # The part of a list in one block: its block, its first posting and its largest weight.
-        key = listed * max(self._blocks, 1) + self._places // block
-        first = np.flatnonzero(np.diff(key, prepend=-1))
-        self._part_block = self._places[first] // block
-        self._part_start = np.concatenate([first, [len(key)]])
-        self._part_most = np.maximum.reduceat(self._posted, first) if len(first) else np.zeros(0)
-        self._term_start = np.searchsorted(listed[first], np.arange(size + 1))
-        self._post_start = np.searchsorted(listed, np.arange(size + 1))
+        blocks = self._posts["place"] // block
+        fresh = np.ones(len(listed), bool)
+        fresh[1:] = (listed[1:] != listed[:-1]) | (blocks[1:] != blocks[:-1])
+        first = np.flatnonzero(fresh)
+        self._part_block = blocks[first]
+        del blocks
+        self._part_start = np.append(first, len(listed)).astype(np.int32)
+        self._part_most = np.maximum.reduceat(self._posts["weight"], first) if len(first) else np.zeros(0)
+        self._term_start = np.searchsorted(listed[first], np.arange(size + 1, dtype=np.int32)).astype(np.int32)
+        self._post_start = np.append(0, np.cumsum(held)).astype(np.int32)
+
+    def vectors(self) -> list[Sparse]:
+        """The examples it was made of."""
+        return [(self._terms[a:b], self._weights[a:b]) for a, b in zip(self._starts[:-1], self._starts[1:])]
 
     def nearest(self, queries: list[Sparse], k: int, without: list[list[int]] | None = None) -> list[list[tuple[int, float]]]:
         """For each query the ``k`` most similar examples that share a term, ties to the first ones.
@@ -166,16 +182,20 @@ class BlockMaxIndex:
 
         def scores(able: np.ndarray) -> np.ndarray:
             """Similarity of the places in these blocks, by block; 0 elsewhere."""
-            if able.all():  # whole lists
-                at, many, each = self._post_start[mine], self._post_start[mine + 1] - self._post_start[mine], weights
+            whole = bool(able.all())
+            if whole:  # whole lists
+                at, ends = self._post_start[mine], self._post_start[mine + 1]
+                many, each = ends - at, weights
+                posts = np.concatenate([self._whole[:0], *[self._whole[a:b] for a, b in zip(at.tolist(), ends.tolist())]])
             else:
                 use = np.flatnonzero(able.take(blocks))
                 some = parts.take(use)
                 at, each = self._part_start.take(some), by_part.take(use)
                 many = self._part_start.take(some + 1) - at
-            posts = _ranges(at, many)
-            found = np.bincount(self._places.take(posts), np.repeat(each, many) * self._posted.take(posts), known.size)
-            found = found.reshape(known.shape) + known * able[:, None]
+                posts = self._whole.take(_ranges(at, many))
+            posts = posts.view(_POST)
+            found = np.bincount(posts["place"], np.repeat(each, many) * posts["weight"], known.size).reshape(known.shape)
+            found = found + (known if whole else known * able[:, None])
             found.reshape(-1)[left_out] = 0.0
             return found
 
@@ -228,8 +248,9 @@ class NeighbourModel:
     ) -> None:
         """``weights`` has a factor per term."""
         self.ids, self.labels, self.weights, self.settings = ids, np.array(labels, float), weights, settings
-        self._vectors = [self._vector(c) for c in counts]
-        self._index: BlockMaxIndex | None = None
+        vectors = [self._vector(c) for c in counts]
+        self._vectors: list[Sparse] | None = None  # set only on the way to a task
+        self._index: BlockMaxIndex | None = BlockMaxIndex(vectors, len(weights))
         self.share = float(self.labels.mean()) if len(labels) else 0.0
         bare = np.array([not len(t) for t, _ in counts], bool)
         # What an example without any word is likely to be labelled.
@@ -239,7 +260,7 @@ class NeighbourModel:
         for i, content in enumerate(contents):
             alike.setdefault(content, []).append(i)
         worded = np.flatnonzero(~bare).tolist()
-        near = self.index.nearest([self._vectors[i] for i in worded], settings.neighbours, [alike[contents[i]] for i in worded])
+        near = self.index.nearest([vectors[i] for i in worded], settings.neighbours, [alike[contents[i]] for i in worded])
         at = np.array([min(int(self._vote(n) * _BINS), _BINS - 1) for n in near], int)
         marks = self.labels[worded]
         self.rates = _monotone(np.bincount(at, minlength=_BINS), np.bincount(at, weights=marks, minlength=_BINS), self.share)
@@ -249,10 +270,11 @@ class NeighbourModel:
         """Built where it is used; only the examples' vectors are sent."""
         if self._index is None:
             self._index = BlockMaxIndex(self._vectors, len(self.weights))
+            self._vectors = None  # the index has them
         return self._index
 
     def __getstate__(self) -> dict:
-        return self.__dict__ | {"_index": None}
+        return self.__dict__ | {"_vectors": self._vectors or self.index.vectors(), "_index": None}
 
     def _vector(self, counts: Sparse) -> Sparse:
         raw = (1 + np.log(counts[1])) * self.weights[counts[0]]
